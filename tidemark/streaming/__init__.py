@@ -1,0 +1,5 @@
+"""Empty on purpose: the cadence is a monthly batch over snapshot partitions.
+
+Late rows are handled by rewriting the snapshot partition they belong to
+(``sources.sinks.write_snapshots``), so no streaming job is part of the feature set.
+"""
