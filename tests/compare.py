@@ -36,7 +36,7 @@ def rows_of(names, rows):
 # Spark type -> the DuckDB types that hold the same values
 SAME = {
     "string": {"VARCHAR"}, "int": {"INTEGER"}, "bigint": {"BIGINT"}, "double": {"DOUBLE"}, "float": {"FLOAT"},
-    "boolean": {"BOOLEAN"}, "date": {"DATE"}, "timestamp": {"TIMESTAMP"},
+    "boolean": {"BOOLEAN"}, "date": {"DATE"}, "timestamp": {"TIMESTAMP"}, "timestamp_ntz": {"TIMESTAMP"},
 }
 
 

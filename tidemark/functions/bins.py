@@ -1,55 +1,64 @@
-"""Position of a value among sorted edges, as column expressions."""
+"""Position of a value among sorted edges; arguments are column names."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UNROLL = 32
+
+def edge_columns(df: DataFrame, edges: str, max_edges: int) -> DataFrame:
+    """Spread a sorted array over the columns e0, e1, ..., NaN where it is shorter.
+
+    Plain columns compare within generated code without touching an array, and
+    NaN sorts above every number.
+    """
+    spread = [f"coalesce(get({edges}, {i}), double('NaN')) as e{i}" for i in range(max_edges)]
+    return df.selectExpr(*[c for c in df.columns if c != edges], *spread)
+
+
+def reached_sql(value: str, max_edges: int) -> str:
+    """How many of the edge columns are <= value."""
+    return "(" + " + ".join(f"int(e{i} <= {value})" for i in range(max_edges)) + ")"
+
+
+def edges_reached(value: str, max_edges: int) -> Column:
+    return F.expr(reached_sql(value, max_edges))
 
 
-def edges_reached(value: Column, edges: Column, max_edges: int) -> Column:
-    """How many of the sorted `edges` are <= value; the array holds at most `max_edges`.
+def histogram_bin(value: str, bins: str, max_edges: int) -> Column:
+    """1-based of `bins` bins, half open but for the last, which is closed; NULL outside the edges.
 
-    Few edges become a sum of comparisons, which stays inside generated code;
-    many edges become a binary search folded over the halving step widths.
+    Reads the edge columns and `last_edge`.
     """
-    if max_edges <= UNROLL:
-        steps = [F.coalesce((F.get(edges, F.lit(i)) <= value).cast("int"), F.lit(0)) for i in range(max_edges)]
-        return reduce(lambda a, b: a + b, steps)
-    widths = [1 << k for k in reversed(range(max_edges.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(w) for w in widths]),
-        F.lit(0),
-        lambda at, w: F.when(F.get(edges, at + w - 1) <= value, at + w).otherwise(at),
-    )
+    inside = f"{value} >= e0 and {value} <= last_edge and not isnan({value})"
+    return F.expr(f"if({inside}, least({reached_sql(value, max_edges)}, {bins}), null)")
 
 
-def histogram_bin(value: Column, edges: Column, max_edges: int) -> Column:
-    """1-based bin, half open but for the last, which is closed; NULL outside the edges."""
-    bins = F.size(edges) - 1
-    inside = (value >= F.get(edges, F.lit(0))) & (value <= F.get(edges, bins)) & ~F.isnan(value)
-    return F.when(inside, F.least(edges_reached(value, edges, max_edges), bins))
+def searched(value: str, edges: str, max_edges: int) -> Column:
+    """How many elements of a long sorted array are <= value, by halving step widths."""
+    widths = ", ".join(str(1 << k) for k in reversed(range(max_edges.bit_length())))
+    return F.expr(
+        f"aggregate(array({widths}), 0, "
+        f"(at, w) -> if(coalesce(get({edges}, at + w - 1) <= {value}, false), at + w, at))")
 
 
-def even_edges(low: Column, high: Column, bins: int) -> Column:
+def even_edges(low: str, high: str, bins: int) -> Column:
     """Edges of `bins` bins of one width between low and high."""
-    step = (high - low) / bins
-    inner = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: low + step * i)
-    return F.concat(inner, F.array(high))
+    return F.expr(
+        f"concat(transform(sequence(0, {bins - 1}), i -> {low} + ({high} - {low}) / {bins} * i), array({high}))")
 
 
-def even_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+def even_bin(value: str, low: str, high: str, bins: int) -> Column:
     """`histogram_bin` for `even_edges` without visiting the edges.
 
     The quotient may land one bin off by rounding, so it is set right against
     the two edges next to it.
     """
-    step = (high - low) / bins
-    guess = F.least(F.floor((value - low) / step), F.lit(bins - 1))
-    down = value < low + step * guess
-    up = (guess < bins - 1) & (value >= low + step * (guess + 1))
-    bin_ = F.when(down, guess - 1).when(up, guess + 1).otherwise(guess) + 1
-    return F.when((low < high) & value.between(low, high) & ~F.isnan(value), bin_.cast("int"))
+    step = f"(({high} - {low}) / {bins})"
+    guess = f"least(floor(({value} - {low}) / {step}), {bins - 1})"
+    edge = f"{low} + {step} * "
+    return F.expr(f"""
+        case when not {low} < {high} or isnan({value}) or not {value} between {low} and {high} then null
+             when {value} < {edge} {guess} then int({guess})
+             when {guess} < {bins - 1} and {value} >= {edge} ({guess} + 1) then int({guess}) + 2
+             else int({guess}) + 1 end""")

@@ -44,10 +44,3 @@ def drop_nan(c: Column) -> Column:
     value = c.cast("double")
     return F.when(~F.isnan(value), value)
 
-
-def stability_term(expected: Column, actual: Column) -> Column:
-    """One bin's part of a stability index, shares held to [1e-8, 1]."""
-    def held(share):
-        return F.greatest(F.least(share, F.lit(1.0)), F.lit(SHARE_FLOOR))
-
-    return (held(actual) - held(expected)) * F.ln(held(actual) / held(expected))

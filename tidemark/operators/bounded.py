@@ -11,24 +11,17 @@ SMALL_ROWS = 20_000
 
 
 def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A per-group table as a broadcast side, once it is seen to hold few rows.
+    """A per-group summary as a local table to broadcast, once it is seen to hold few rows.
 
-    At most `max_rows` + 1 rows reach the driver. A larger table comes back as
-    it is, and Spark joins it by shuffle with its own skew handling.
+    The summary runs here and now, and at most `max_rows` + 1 of its rows reach
+    the driver; later steps read the local rows instead of running it again. A
+    longer one comes back as it is: Spark then joins it by shuffle, with its own
+    skew handling.
     """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def lookup_side(df: DataFrame, by, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A table with one row per group of `by` and per listed column.
-
-    Without `by` its length is the number of listed columns, so it is broadcast
-    unseen; otherwise the data decides, and the size is checked first.
-    """
-    return checked_small(df, max_rows) if by else F.broadcast(df)
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
 
 
 def lookup(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -49,14 +42,14 @@ def lookup(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFra
 def to_long(df: DataFrame, keys, columns) -> DataFrame:
     """One row (keys, feature, value) per listed column, values as doubles."""
     keys, columns = list(keys), list(columns)
-    wide = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    wide = df.selectExpr(*[f"`{k}`" for k in keys], *[f"double(`{c}`) as `{c}`" for c in columns])
     return wide.unpivot(keys, columns, "feature", "value")
 
 
 def known_values(long: DataFrame) -> DataFrame:
-    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long.filter("value is not null and not isnan(value)")
 
 
 def feature_spine(spark, columns) -> DataFrame:
     """One row per listed column, for features that have no data at all."""
-    return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
+    return spark.createDataFrame([(c,) for c in columns], "feature string")

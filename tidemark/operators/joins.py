@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.bounded import checked_small
+
 HOT_ROWS = 2_000_000
 SALTS = 32
 TRACKED = 8_192
@@ -18,10 +20,9 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     A key it leaves out is joined the usual way, so the sketch only decides the
     route of a key, never the result.
     """
-    top = F.expr(f"approx_top_k({key}, {MOST_HOT}, {TRACKED})")
+    top = F.expr(f"approx_top_k(`{key}`, {MOST_HOT}, {TRACKED})")
     return (
-        df.filter(F.col(key).isNotNull()).agg(top.alias("top"))
-        .select(F.explode("top").alias("item"))
+        df.filter(F.col(key).isNotNull()).agg(F.explode(top).alias("item"))
         .filter(F.col("item.count") >= hot_rows)
         .select(F.col("item.item").alias(key))
     )
@@ -35,7 +36,9 @@ def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_R
     definition, so their rows take a salted inner join that many tasks share;
     identical copies get one salt, and adaptive execution may split those.
     """
-    hot = F.broadcast(hot_keys(right, key, hot_rows))
+    hot = checked_small(hot_keys(right, key, hot_rows), MOST_HOT)
+    if hot.isEmpty():
+        return left.join(right, key, "left")
     plain = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
 
     salted_left = left.join(hot, key, "left_semi").withColumn(

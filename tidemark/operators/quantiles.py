@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.bins import edges_reached
-from tidemark.operators.bounded import known_values, lookup, lookup_side, to_long
+from tidemark.functions.bins import edge_columns, edges_reached
+from tidemark.functions.numeric import capped
+from tidemark.operators.bounded import checked_small, known_values, lookup, to_long
 
 SKETCH_ACCURACY = 2_000
 
@@ -16,23 +17,25 @@ def even_probabilities(bins: int) -> list[float]:
     return [i * (1.0 / bins) for i in range(bins)] + [1.0]
 
 
-def _positions(probs, n: Column, method: str) -> list[tuple[Column, Column, Column]]:
-    """(lower rank, upper rank, weight of the upper) per probability, ranks from 1."""
-    out = []
-    for p in probs:
-        if method == "disc":
-            rank = F.greatest(F.ceil(F.lit(float(p)) * n), F.lit(1)).cast("long")
-            out.append((rank, rank, F.lit(0.0)))
-        else:
-            at = (n - 1) * F.lit(float(p))
-            low = F.floor(at).cast("long")
-            out.append((low + 1, F.least(low + 2, n), at - low))
-    return out
+def _doubles(values) -> str:
+    return "array(" + ", ".join(f"{float(v)!r}D" for v in values) + ")"
 
 
-def _interpolate(low: Column, high: Column, weight: Column) -> Column:
-    gap = high - low
-    return F.when(weight >= 0.5, high - gap * (1 - weight)).otherwise(low + gap * weight)
+def _positions(probs, method: str) -> str:
+    """Array of (lower rank, upper rank, weight of the upper) per probability, ranks from 1."""
+    if method == "disc":
+        rank = "greatest(bigint(ceil(p * n)), 1L)"
+        one = f"named_struct('low', {rank}, 'high', {rank}, 'weight', 0.0D)"
+    else:
+        low = "bigint(floor((n - 1) * p))"
+        one = f"named_struct('low', {low} + 1, 'high', least({low} + 2, n), 'weight', (n - 1) * p - {low})"
+    return f"transform({_doubles(probs)}, p -> {one})"
+
+
+# Between two neighbours, from the nearer one.
+_INTERPOLATED = """transform(places, x -> if(x.weight >= 0.5D,
+    at[x.high] - (at[x.high] - at[x.low]) * (1 - x.weight),
+    at[x.low] + (at[x.high] - at[x.low]) * x.weight))"""
 
 
 def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear",
@@ -47,8 +50,8 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     the rows between the fences, a third sorts only the values inside the few
     intervals that hold a wanted rank. Ranks come from the counts, so the result
     is exact whatever the sketch says; the sketch only keeps the last pass small.
-    `by` is meant for calendar or model keys: the per-group tables are broadcast
-    after a check of their size.
+    `by` is meant for calendar or model keys: the per-group tables have one row
+    per group and column.
     """
     by, probs = list(by), [float(p) for p in probs]
     keys = [*by, "feature"]
@@ -56,64 +59,51 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     fence_at = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     long = known_values(to_long(df, by, columns))
 
-    fences = long.groupBy(*keys).agg(
+    fences = checked_small(long.groupBy(*keys).agg(
         F.count("*").alias("n"),
-        F.array_sort(F.array_distinct(
-            F.percentile_approx("value", fence_at, accuracy)
-        )).alias("fences"),
-    )
-    ranks = [r for low, high, _ in _positions(probs, F.col("n"), method) for r in (low, high)]
-    fences = lookup_side(fences.withColumn("ranks", F.array_distinct(F.array(*ranks))), by)
-
+        F.expr(f"percentile_approx(value, {_doubles(fence_at)}, {accuracy})").alias("fences"),
+    ))
     def slotted(side):
-        slot = edges_reached(F.col("value"), F.col("fences"), len(fence_at))
-        return lookup(long, side, keys).withColumn("slot", slot)
-
-    slots = slotted(fences.drop("ranks", "n")).groupBy(*keys, "slot").agg(F.count("*").alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy(*keys).orderBy("slot"))
-    slots = slots.withColumn("below", upto - F.col("rows"))
-    wanted = (
-        lookup(slots, fences, keys)
-        .withColumn("ranks", F.filter(
-            "ranks", lambda r: (r > F.col("below")) & (r <= F.col("below") + F.col("rows"))))
-        .filter(F.size("ranks") > 0)
-        .groupBy(*keys)
-        .agg(F.first("n").alias("n"), F.first("fences").alias("fences"),
-             F.collect_list(F.struct("slot", "below", "ranks")).alias("wanted"))
+        wide = edge_columns(side, "fences", len(fence_at))
+        return lookup(long, wide, keys).withColumn("slot", edges_reached("value", len(fence_at)))
+
+    counts = (
+        slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot").agg(F.count("*").alias("rows"))
+        .groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"))
+    )
+    # Rank r lies in the interval that starts at the last fence with fewer than r rows below it.
+    groups = (
+        lookup(counts, fences, keys)
+        .withColumn("below", F.expr("""transform(fences, (f, i) ->
+            aggregate(sequence(0, i), 0L, (sum, s) -> sum + coalesce(try_element_at(filled, s), 0L)))"""))
+        .withColumn("places", F.expr(_positions(probs, method)))
+        .withColumn("ranks", F.expr("array_distinct(concat(places.low, places.high))"))
+        .withColumn("slots", F.expr("array_distinct(transform(ranks, r -> size(filter(below, b -> b < r))))"))
     )
-    wanted = lookup_side(wanted, by)
+    groups = checked_small(groups)
 
-    inside = slotted(wanted).filter(F.array_contains(F.col("wanted.slot"), F.col("slot")))
+    inside = slotted(groups.select(*keys, "fences", "slots")).filter("array_contains(slots, slot)")
     distinct = inside.groupBy(*keys, "slot", "value").agg(F.count("*").alias("rows"))
     running = Window.partitionBy(*keys, "slot").orderBy("value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    distinct = distinct.withColumn("upto", F.sum("rows").over(running))
-    intervals = wanted.select(*keys, F.inline("wanted"))
-    found = (
-        lookup(distinct, lookup_side(intervals, by), [*keys, "slot"])
-        .withColumn("upto", F.col("upto") + F.col("below"))
-        .select(*keys, "value", F.explode(F.filter(
-            "ranks", lambda r: (r > F.col("upto") - F.col("rows")) & (r <= F.col("upto")))).alias("rank"))
-        .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    ranked = distinct.withColumn("upto", F.sum("rows").over(running))
+    found = lookup(ranked, groups.select(*keys, "n", "below", "ranks", "places"), keys).withColumn(
+        "upto", F.expr("upto + if(slot = 0, 0L, below[slot - 1])"))
+    return (
+        found.select(*keys, "n", "places", "value", F.expr(
+            "explode(filter(ranks, r -> r > upto - rows and r <= upto)) as rank"))
+        .groupBy(*keys, "n", "places")
+        .agg(F.expr("map_from_entries(collect_list(struct(rank, value)))").alias("at"))
+        .select(*keys, "n", F.expr(_INTERPOLATED).alias("quantiles"))
     )
-    values = [
-        _interpolate(F.element_at("at", low), F.element_at("at", high), weight)
-        for low, high, weight in _positions(probs, F.col("n"), method)
-    ]
-    return lookup(found, wanted.select(*keys, "n"), keys).select(
-        *keys, "n", F.array(*values).alias("quantiles"))
 
 
 def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_date",),
                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Limit each column to its quantile within the snapshot; capped columns become doubles."""
-    from tidemark.functions.numeric import capped
-
     by = list(by)
-    caps = exact_quantiles(df, columns, [prob], by, "disc", accuracy)
-    cap = F.map_from_entries(F.collect_list(F.struct("feature", F.get("quantiles", F.lit(0)))))
-    caps = (caps.groupBy(*by) if by else caps.groupBy()).agg(cap.alias("__caps"))
-    caps = lookup_side(caps, by)
+    cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
+    caps = checked_small(exact_quantiles(df, columns, [prob], by, "disc", accuracy).groupBy(*by).agg(cap))
     return lookup(df, caps, by, "left").withColumns(
         {c: capped(F.col(c), F.element_at("__caps", F.lit(c))) for c in columns}
     ).drop("__caps")

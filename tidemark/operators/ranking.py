@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.bins import edges_reached
+from tidemark.functions.bins import searched
 from tidemark.functions.numeric import drop_nan, gini
-from tidemark.operators.bounded import lookup, lookup_side
+from tidemark.operators.bounded import checked_small, lookup
 from tidemark.operators.quantiles import SKETCH_ACCURACY
 
 
@@ -22,15 +22,11 @@ def roc_auc(df: DataFrame, score: str, label: str, by=(), parts: int = 256,
     by = list(by)
     rows = df.select(*by, drop_nan(F.col(score)).alias("score"), F.col(label).cast("int").alias("label"))
     rows = rows.dropna(subset=["score", "label"])
-    cuts = rows.groupBy(*by).agg(
-        F.array_sort(F.array_distinct(F.percentile_approx(
-            "score", [i / parts for i in range(1, parts)], accuracy))).alias("cuts"))
-    slot = edges_reached(F.col("score"), F.col("cuts"), parts - 1)
-    counted = (
-        lookup(rows, lookup_side(cuts, by) if by else cuts, by)
-        .groupBy(*by, slot.alias("slot"), "score")
-        .agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    )
+    at = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    cuts = rows.groupBy(*by).agg(F.expr(f"percentile_approx(score, array({at}), {accuracy})").alias("cuts"))
+    counted = rows.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    counted = lookup(counted, checked_small(cuts) if by else cuts, by).select(
+        *by, "score", "pos", "neg", searched("score", "cuts", parts - 1).alias("slot"))
     lower = Window.partitionBy(*by, "slot").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2
     per_slot = (

@@ -5,36 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.bins import even_bin, even_edges, histogram_bin
-from tidemark.functions.numeric import stability_term
-from tidemark.operators.bounded import feature_spine, known_values, lookup, lookup_side, to_long
+from tidemark.functions.bins import edge_columns, even_bin, even_edges, histogram_bin
+from tidemark.functions.numeric import SHARE_FLOOR
+from tidemark.operators.bounded import checked_small, feature_spine, known_values, lookup, to_long
 from tidemark.operators.quantiles import even_probabilities, exact_quantiles
 
 
 def bin_counts(binned: DataFrame, keys) -> DataFrame:
     """(keys, filled) with a map bin -> rows; rows without a bin only keep their group alive."""
     counts = binned.groupBy(*keys, "bin").agg(F.count("*").alias("rows"))
-    entry = F.when(F.col("bin").isNotNull(), F.struct("bin", "rows"))
-    return counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("filled"))
+    return counts.groupBy(*keys).agg(F.expr(
+        "map_from_entries(collect_list(if(bin is null, null, struct(bin, rows))))").alias("filled"))
 
 
-def counts_array(filled: Column, bins: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(1), bins), lambda i: F.coalesce(F.try_element_at(filled, i), F.lit(0).cast("long")))
+def counts_array(filled: str, bins: str) -> Column:
+    """Rows of bins 1..bins, zero where the map has none."""
+    return F.expr(f"transform(sequence(1, {bins}), i -> coalesce(try_element_at({filled}, i), 0L))")
 
 
-def shares(counts: Column) -> Column:
-    """Counts as shares of their total, one share for each bin where the total is zero."""
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, c: a + c)
-    return F.transform(
-        counts,
-        lambda c: F.when(total == 0, F.lit(1.0) / F.size(counts)).otherwise(F.try_divide(c, total)),
-    )
+def shares(filled: str, bins: str) -> Column:
+    """Shares of bins 1..bins in their total, one share for each bin where the total is zero."""
+    total = f"aggregate(map_values({filled}), 0L, (a, c) -> a + c)"
+    return F.expr(
+        f"transform(sequence(1, {bins}), i -> if({total} = 0, 1.0D / ({bins}), "
+        f"coalesce(try_element_at({filled}, i), 0L) / {total}))")
+
 
+def stability_index(expected: str, actual: str) -> Column:
+    """Sum over bins of (a - e) ln(a / e), shares held to [1e-8, 1]; NULL for a NULL side."""
+    def held(x):
+        return f"transform({x}, s -> greatest(least(s, 1.0D), {SHARE_FLOOR!r}D))"
 
-def stability_index(expected: Column, actual: Column) -> Column:
-    terms = F.zip_with(expected, actual, stability_term)
-    return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
+    return F.expr(
+        f"aggregate(zip_with({held(expected)}, {held(actual)}, (e, a) -> (a - e) * ln(a / e)), 0.0D, (s, t) -> s + t)")
 
 
 def quantile_edges(df: DataFrame, columns, bins: int = 10, by=()) -> DataFrame:
@@ -43,6 +46,12 @@ def quantile_edges(df: DataFrame, columns, bins: int = 10, by=()) -> DataFrame:
     return q.select(*by, "feature", "n", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
 
 
+def _edge_side(edges: DataFrame, on, max_edges: int) -> DataFrame:
+    """Edges as columns with the number of bins and the last edge."""
+    side = edges.select(*on, "edges", F.expr("size(edges) - 1 as bins"), F.expr("element_at(edges, -1) as last_edge"))
+    return edge_columns(side, "edges", max_edges)
+
+
 def edge_histogram(df: DataFrame, columns, edges: DataFrame, by=(), edges_by=(), max_edges: int = 11) -> DataFrame:
     """(by..., feature, filled) for given edges; columns without edges are left out.
 
@@ -50,9 +59,8 @@ def edge_histogram(df: DataFrame, columns, edges: DataFrame, by=(), edges_by=(),
     group whose values are all missing keeps a row with an empty map.
     """
     keys, on = [*by, "feature"], [*edges_by, "feature"]
-    side = lookup_side(edges.select(*on, "edges"), edges_by)
-    binned = lookup(to_long(df, by, columns), side, on).select(
-        *keys, histogram_bin(F.col("value"), F.col("edges"), max_edges).alias("bin"))
+    binned = lookup(to_long(df, by, columns), _edge_side(edges, on, max_edges), on).select(
+        *keys, histogram_bin("value", "bins", max_edges).alias("bin"))
     return bin_counts(binned, keys)
 
 
@@ -60,40 +68,17 @@ def even_ranges(df: DataFrame, columns, bins: int, by=()) -> DataFrame:
     """(by..., feature, low, high, edges) of `bins` bins of one width."""
     span = known_values(to_long(df, by, columns)).groupBy(*by, "feature").agg(
         F.min("value").alias("low"), F.max("value").alias("high"))
-    return span.withColumn("edges", even_edges(F.col("low"), F.col("high"), bins))
+    return span.withColumn("edges", even_edges("low", "high", bins))
 
 
 def even_histogram(df: DataFrame, columns, bins: int = 30) -> DataFrame:
     """(feature, bin, bin_low, bin_high, rows) with every bin, empty ones too."""
-    span = even_ranges(df, columns, bins)
-    side = F.broadcast(span.select("feature", "low", "high"))
-    binned = lookup(known_values(to_long(df, (), columns)), side, ["feature"]).select(
-        "feature", even_bin(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-    filled = lookup(span, F.broadcast(bin_counts(binned, ["feature"])), ["feature"], "left")
-    rows = F.posexplode(counts_array(F.col("filled"), F.lit(bins))).alias("at", "rows")
-    return filled.select("feature", "edges", rows).select(
-        "feature",
-        (F.col("at") + 1).alias("bin"),
-        F.get("edges", F.col("at")).alias("bin_low"),
-        F.get("edges", F.col("at") + 1).alias("bin_high"),
-        "rows",
-    )
-
-
-def _two_sample(counts: DataFrame, edges: DataFrame, spine: DataFrame, flat: Column) -> DataFrame:
-    """(feature, edges, psi) from the counts of both samples.
-
-    Every table here has one row per listed column (two for the counts).
-    """
-    sides = counts.groupBy("feature").agg(
-        F.any_value(F.when(F.col("is_base"), F.col("filled")), True).alias("base"),
-        F.any_value(F.when(~F.col("is_base"), F.col("filled")), True).alias("target"),
-    )
-    bins = F.size("edges") - 1
-    psi = stability_index(shares(counts_array(F.col("base"), bins)), shares(counts_array(F.col("target"), bins)))
-    wide = lookup(lookup(spine, F.broadcast(edges), ["feature"], "left"), F.broadcast(sides), ["feature"], "left")
-    known = F.col("base").isNotNull() & F.col("target").isNotNull()
-    return wide.select("feature", "edges", F.when(known & flat, F.lit(0.0)).when(known, psi).alias("psi"))
+    span = checked_small(even_ranges(df, columns, bins))
+    binned = lookup(known_values(to_long(df, (), columns)), span.select("feature", "low", "high"), ["feature"])
+    counts = bin_counts(binned.select("feature", even_bin("value", "low", "high", bins).alias("bin")), ["feature"])
+    wide = lookup(counts, span, ["feature"]).withColumn("counts", counts_array("filled", str(bins)))
+    return wide.select("feature", "edges", F.expr("posexplode(counts) as (at, rows)")).selectExpr(
+        "feature", "at + 1 as bin", "edges[at] as bin_low", "edges[at + 1] as bin_high", "rows")
 
 
 def psi_two_sample(df: DataFrame, columns, is_base: Column, bins: int = 10, use_quantiles: bool = True) -> DataFrame:
@@ -104,27 +89,33 @@ def psi_two_sample(df: DataFrame, columns, is_base: Column, bins: int = 10, use_
     samples. NULL where a sample has no values; 0 where there is a single value.
     """
     columns = list(columns)
-    rows = df.select(*columns, is_base.alias("is_base")).filter(F.col("is_base").isNotNull())
-    spine = feature_spine(df.sparkSession, columns)
+    rows = df.select(*columns, is_base.alias("is_base")).filter("is_base is not null")
     long = known_values(to_long(rows, ["is_base"], columns))
     if use_quantiles:
-        edges = quantile_edges(rows.filter("is_base"), columns, bins).drop("n")
-        flat = F.size("edges") < 2
-        bin_ = histogram_bin(F.col("value"), F.col("edges"), bins + 1)
-        binned = lookup(long, F.broadcast(edges), ["feature"])
+        edges = checked_small(quantile_edges(rows.filter("is_base"), columns, bins).drop("n"))
+        flat, side = "size(edges) < 2", _edge_side(edges, ["feature"], bins + 1)
+        bin_ = histogram_bin("value", "bins", bins + 1)
     else:
-        edges = even_ranges(rows, columns, bins)
-        flat = F.col("edges")[0] == F.col("edges")[bins]
-        bin_ = even_bin(F.col("value"), F.col("low"), F.col("high"), bins)
-        binned = lookup(long, F.broadcast(edges), ["feature"])
-        edges = edges.drop("low", "high")
-    counts = bin_counts(binned.select("is_base", "feature", bin_.alias("bin")), ["is_base", "feature"])
-    return _two_sample(counts, edges, spine, flat)
+        edges = checked_small(even_ranges(rows, columns, bins))
+        flat, side = f"edges[0] = edges[{bins}]", edges.drop("edges")
+        bin_ = even_bin("value", "low", "high", bins)
+    binned = lookup(long, side, ["feature"]).select("is_base", "feature", bin_.alias("bin"))
+    sides = bin_counts(binned, ["is_base", "feature"]).groupBy("feature").agg(
+        F.expr("any_value(if(is_base, filled, null), true)").alias("base"),
+        F.expr("any_value(if(is_base, null, filled), true)").alias("target"),
+    )
+    # One row per listed column from here on.
+    wide = feature_spine(df.sparkSession, columns).join(edges.select("feature", "edges"), "feature", "left")
+    wide = wide.join(sides, "feature", "left").withColumns({
+        "expected": shares("base", "size(edges) - 1"), "actual": shares("target", "size(edges) - 1")})
+    known = F.expr("base is not null and target is not null")
+    psi = F.when(known & F.expr(flat), 0.0).when(known, stability_index("expected", "actual"))
+    return wide.select("feature", "edges", psi.alias("psi"))
 
 
 def csi_summary(psi: DataFrame, by=()) -> DataFrame:
     """Mean and maximum of the per-feature indices; features without one do not count."""
-    known = psi.filter(F.col("psi").isNotNull() & ~F.isnan("psi"))
+    known = psi.filter("psi is not null and not isnan(psi)")
     return known.groupBy(*by).agg(F.avg("psi").alias("csi_mean"), F.max("psi").alias("csi_max"))
 
 
@@ -140,27 +131,21 @@ def monitoring_baseline(df: DataFrame, features, score: str | None = "score", bi
     A column of one value gets the edge pair [v, v], a column without values
     [0, 1]; the score column is told apart by its metric_kind.
     """
-    columns = [*features, *([score] if score else [])]
-    by = list(by)
+    columns, by = [*features, *([score] if score else [])], list(by)
     keys = [*by, "feature"]
-    quant = quantile_edges(df, columns, bins, by).drop("n")
+    found = checked_small(quantile_edges(df, columns, bins, by).drop("n"))
+    spine = feature_spine(df.sparkSession, columns)
     if by:
-        groups = df.select(*by).distinct()
+        groups = checked_small(df.select(*by).distinct())
         spine = groups.select("*", F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
-    else:
-        spine = feature_spine(df.sparkSession, columns)
-    only = F.get("edges", F.lit(0))
-    edges = lookup(spine, lookup_side(quant, by), keys, "left").withColumn(
-        "edges",
-        F.when(F.col("edges").isNull(), F.array(F.lit(0.0), F.lit(1.0)))
-        .when(F.size("edges") < 2, F.array(only, only))
-        .otherwise(F.col("edges")),
-    )
+    edges = lookup(spine, found, keys, "left").withColumn("edges", F.expr("""
+        case when edges is null then array(0.0D, 1.0D) when size(edges) < 2 then array(edges[0], edges[0])
+             else edges end"""))
+    edges = checked_small(edges)
     counts = edge_histogram(df, columns, edges, by=by, edges_by=by, max_edges=bins + 1)
-    expected = shares(counts_array(F.col("filled"), F.size("edges") - 1))
     kind = F.when(F.col("feature") == F.lit(score or ""), "score").otherwise("feature")
-    return lookup(edges, lookup_side(counts, by), keys, "left").select(
-        *by, kind.alias("metric_kind"), "feature", "edges", expected.alias("expected"))
+    return lookup(edges, counts, keys, "left").withColumn("filled", F.coalesce("filled", F.expr("map()"))).select(
+        *by, kind.alias("metric_kind"), "feature", "edges", shares("filled", "size(edges) - 1").alias("expected"))
 
 
 def psi_against_baseline(df: DataFrame, columns, baseline: DataFrame, by=(), baseline_by=(),
@@ -170,8 +155,8 @@ def psi_against_baseline(df: DataFrame, columns, baseline: DataFrame, by=(), bas
     Only columns found in the baseline take part. A group without any value
     counts as evenly spread, as does one whose values all lie off the edges.
     """
-    counts = edge_histogram(df, columns, baseline, by, baseline_by, max_edges)
-    side = baseline.select(*baseline_by, "metric_kind", "feature", "edges", "expected")
-    joined = lookup(counts, lookup_side(side, baseline_by), [*baseline_by, "feature"])
-    actual = shares(counts_array(F.col("filled"), F.size("edges") - 1))
-    return joined.select(*by, "metric_kind", "feature", stability_index(F.col("expected"), actual).alias("psi"))
+    stored = checked_small(baseline.select(*baseline_by, "metric_kind", "feature", "edges", "expected"))
+    counts = edge_histogram(df, columns, stored, by, baseline_by, max_edges)
+    joined = lookup(counts, stored, [*baseline_by, "feature"]).withColumn(
+        "actual", shares("filled", "size(edges) - 1"))
+    return joined.select(*by, "metric_kind", "feature", stability_index("expected", "actual").alias("psi"))

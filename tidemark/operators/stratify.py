@@ -5,75 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounded import lookup, lookup_side
+from tidemark.operators.bounded import checked_small, lookup
 
 PREFIX = 3
 
 
 def _key_order(keys, seed: int) -> Column:
     """Pseudo-random order of the rows: the hash of the key, then the key."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    hashed = F.md5(F.concat(F.lit(f"{seed}|"), text))
-    return F.struct(hashed.alias("hash"), text.alias("key"))
+    text = "concat_ws('|', " + ", ".join(f"string(`{k}`)" for k in keys) + ")"
+    return F.expr(f"struct(md5(concat('{seed}|', {text})) as hash, {text} as key)")
 
 
-def _sections(df: DataFrame, label: str, keys, seed: int, ends) -> DataFrame:
-    """Add `section`: how many of the rank limits `ends(n)` each row lies beyond.
+def _sections(df: DataFrame, label: str, keys, seed: int, limits: list[str]) -> DataFrame:
+    """Add `section`: how many of the rank limits each row lies beyond.
 
-    Rows of a label are ranked by key hash. Counting rows per hash prefix (16^3
-    per label) tells which prefix holds each limit; only those prefixes are
-    ranked row by row. Their last rows become per-label limits every row is
-    compared with in place, so the rows themselves are never shuffled. The key
-    must be unique.
+    `limits` are SQL expressions of n, the rows of the label. Rows of a label
+    are ranked by key hash. Counting rows per hash prefix (16^3 per label) tells
+    which prefix holds each limit; only those prefixes are ranked row by row.
+    Their last rows become per-label limits every row is compared with in place,
+    so the rows themselves are never shuffled. The key must be unique.
     """
     marked = df.withColumn("__at", _key_order(keys, seed))
     prefix = F.substring("__at.hash", 1, PREFIX).alias("prefix")
-    counts = marked.groupBy(label, prefix).agg(F.count("*").alias("rows"))
     whole = Window.partitionBy(label)
-    upto = F.sum("rows").over(whole.orderBy("prefix"))
-    counts = counts.select(
-        label, "prefix", "rows", (upto - F.col("rows")).alias("below"), F.sum("rows").over(whole).alias("n"))
-    inside = F.filter(
-        F.array_distinct(F.array(*ends(F.col("n")))),
-        lambda r: (r > F.col("below")) & (r <= F.col("below") + F.col("rows")))
-    limits_in = counts.select(label, "prefix", "below", inside.alias("ranks")).filter(F.size("ranks") > 0)
-    limits_in = lookup_side(limits_in, [label])
-
-    ranked = lookup(marked.select(label, "__at", prefix), limits_in, [label, "prefix"])
-    order = Window.partitionBy(label, "prefix").orderBy("__at")
-    limits = (
-        ranked.withColumn("rank", F.row_number().over(order) + F.col("below"))
-        .filter(F.array_contains("ranks", F.col("rank").cast("long")))
-        .groupBy(label).agg(F.map_from_entries(F.collect_list(F.struct("rank", "__at"))).alias("limits"))
+    wanted = ", ".join(f"struct({i} as i, bigint({e}) as rank)" for i, e in enumerate(limits))
+    inside = (
+        marked.groupBy(label, prefix).agg(F.count("*").alias("rows"))
+        .withColumns({"upto": F.sum("rows").over(whole.orderBy("prefix")), "n": F.sum("rows").over(whole)})
+        .select(label, "prefix", F.expr("upto - rows as below"),
+                F.expr(f"filter(array({wanted}), w -> w.rank > upto - rows and w.rank <= upto) as wanted"))
+        .filter("size(wanted) > 0")
     )
-    totals = counts.groupBy(label).agg(F.max("n").alias("n"))
-    per_label = lookup(totals, limits, [label], "left").select(
-        F.col(label),
-        F.array(*[F.try_element_at("limits", e) for e in ends(F.col("n"))]).alias("__limits"),
+    order = Window.partitionBy(label, "prefix").orderBy("__at")
+    ends = (
+        lookup(marked.select(label, "__at", prefix), checked_small(inside), [label, "prefix"])
+        .withColumn("rank", F.row_number().over(order) + F.col("below"))
+        .select(label, "__at", F.expr("inline(filter(wanted, w -> w.rank = rank))"))
+        .groupBy(label).agg(F.expr("map_from_entries(collect_list(struct(i, __at)))").alias("__ends"))
     )
-    beyond = [
-        F.coalesce(F.col("__at") > F.get("__limits", F.lit(i)), F.lit(True)).cast("int")
-        for i in range(len(ends(F.lit(0))))
-    ]
+    beyond = " + ".join(f"int(coalesce(__at > try_element_at(__ends, {i}), true))" for i in range(len(limits)))
     return (
-        lookup(marked, lookup_side(per_label, [label]), [label])
-        .withColumn("section", sum(beyond[1:], beyond[0])).drop("__at", "__limits")
+        lookup(marked, checked_small(ends), [label], "left")
+        .withColumn("section", F.expr(beyond)).drop("__at", "__ends")
     )
 
 
 def stratified_split(df: DataFrame, label: str, keys, train_ratio: float = 0.8, seed: int = 42) -> DataFrame:
     """Add `split`: floor(train_ratio * n) rows of each label are "train", the rest "test"."""
-    def ends(n):
-        return [F.floor(n * F.lit(float(train_ratio))).cast("long")]
-
-    out = _sections(df, label, keys, seed, ends)
+    out = _sections(df, label, keys, seed, [f"floor(n * {float(train_ratio)!r}D)"])
     return out.withColumn("split", F.when(F.col("section") == 0, "train").otherwise("test")).drop("section")
 
 
 def stratified_folds(df: DataFrame, label: str, keys, folds: int = 3, seed: int = 42, name: str = "fold") -> DataFrame:
     """Add the fold number; fold sizes within a label differ by one at most."""
-    def ends(n):
-        size, extra = F.floor(n / folds), n % folds
-        return [(size * i + F.least(extra, F.lit(i))).cast("long") for i in range(1, folds)]
-
-    return _sections(df, label, keys, seed, ends).withColumnRenamed("section", name)
+    limits = [f"(n div {folds}) * {i} + least(n % {folds}, {i}L)" for i in range(1, folds)]
+    return _sections(df, label, keys, seed, limits).withColumnRenamed("section", name)

@@ -54,7 +54,8 @@ def read_or_empty(spark: SparkSession, root: str, schema) -> DataFrame:
 
 def read_drift(spark: SparkSession, *paths: str) -> DataFrame:
     """Drift records: one flat JSON object per file or per line."""
-    return spark.read.schema(DRIFT_SCHEMA).option("multiLine", True).json(list(paths))
+    records = spark.read.schema(DRIFT_SCHEMA).option("multiLine", True).json(list(paths))
+    return records.select(*[field.split()[0] for field in DRIFT_SCHEMA.split(", ")])
 
 
 def read_baseline_json(spark: SparkSession, *paths: str) -> DataFrame:

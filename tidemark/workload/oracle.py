@@ -405,9 +405,9 @@ LEFT JOIN (SELECT CAST(snapshot_date AS DATE) AS snapshot_date, model_id, psi_sc
     _DRIFT)
 
 _NEWEST = s.PREDICTIONS + """,
-written AS (SELECT snapshot_date, model_id, max(written_at) AS at FROM predictions GROUP BY 1, 2),
+written AS (SELECT snapshot_date, model_id, max(written_at) AS last_at FROM predictions GROUP BY 1, 2),
 picked AS (SELECT snapshot_date, model_id FROM written
-           QUALIFY row_number() OVER (PARTITION BY snapshot_date ORDER BY at DESC, model_id DESC) = 1),
+           QUALIFY row_number() OVER (PARTITION BY snapshot_date ORDER BY last_at DESC, model_id DESC) = 1),
 newest AS (SELECT p.* FROM predictions p JOIN picked USING (snapshot_date, model_id))"""
 
 sql("newest_predictions", "SELECT snapshot_date, model_id, count(*) AS rows FROM newest GROUP BY 1, 2", _NEWEST)

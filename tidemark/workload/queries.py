@@ -483,7 +483,7 @@ def metric_json(spark, folder):
 def metrics_last_wins(spark, folder):
     samples = s.table(spark, folder, "events").select(
         F.col("event_type").alias("metric"), F.to_date("ts").alias("snapshot_date"),
-        (F.col("user_id") % 5).alias("model_id"), "value", F.col("ts").alias("logged_at"), "event_id")
+        (F.col("user_id") % 5).alias("model_id"), "value", F.col("ts").cast("timestamp").alias("logged_at"), "event_id")
     return sinks.latest_metrics(samples, tiebreak="event_id")
 
 
