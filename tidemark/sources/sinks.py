@@ -51,9 +51,9 @@ def append_metrics(df: DataFrame, root: str) -> None:
     df.write.partitionBy("metric").mode("append").parquet(root)
 
 
-def latest_metrics(df: DataFrame, tiebreak: str = "value") -> DataFrame:
+def latest_metrics(df: DataFrame, tiebreak: str | None = None) -> DataFrame:
     """The last sample of each metric, snapshot and model."""
-    last = F.max(F.struct("logged_at", tiebreak, "value"))
+    last = F.max(F.struct("logged_at", *([tiebreak] if tiebreak else []), "value"))
     return (
         df.groupBy("metric", "snapshot_date", "model_id").agg(last.alias("last"))
         .select("metric", "snapshot_date", "model_id", "last.value", "last.logged_at")
