@@ -32,8 +32,8 @@ def lookup(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFra
     keys = list(keys)
     added = [c for c in small.columns if c not in keys]
     if not keys:
-        one = small.select(F.struct(*added)).scalar()
-        return df.select("*", *[one[c].alias(c) for c in added])
+        one = df.select("*", small.select(F.struct(*added)).scalar().alias("__one"))
+        return one.select(*df.columns, *[F.col(f"__one.{c}").alias(c) for c in added])
     other = small.withColumnsRenamed({k: f"__{k}" for k in keys})
     match = reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[f"__{k}"]) for k in keys])
     return df.join(other, match, how).drop(*[f"__{k}" for k in keys])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_quarter_month, month_start
 from tidemark.functions.text import all_digits, model_id_of_file, model_id_of_uri, uri_part
-from tidemark.operators.bounded import lookup
+from tidemark.operators.bounded import checked_small, lookup
 
 PSI_LIMIT = 0.25
 CSI_LIMIT = 0.25
@@ -146,17 +146,18 @@ def newest_predictions(predictions: DataFrame, written_at: str = "written_at") -
     """The prediction rows of the last-written model of each snapshot."""
     written = predictions.groupBy("snapshot_date", "model_id").agg(F.max(written_at).alias("at"))
     pick = latest_by(written, ["snapshot_date"], ["at", "model_id"]).select("snapshot_date", "model_id")
-    return predictions.join(pick, ["snapshot_date", "model_id"], "left_semi")
+    return predictions.join(checked_small(pick), ["snapshot_date", "model_id"], "left_semi")
 
 
 def missing_snapshots(expected: DataFrame, present: DataFrame, column: str = "snapshot_date") -> DataFrame:
     """Expected dates that have no output yet."""
-    return expected.select(column).join(present.select(F.col(column).cast("date").alias(column)), column, "left_anti")
+    dates = present.select(F.col(column).cast("date").alias(column)).distinct()
+    return expected.select(column).join(dates, column, "left_anti")
 
 
 def not_yet_run(runs: DataFrame, done: DataFrame, column: str = "run_date") -> DataFrame:
     """Run dates without a marker in the table of finished runs."""
-    return runs.join(done.select(column), column, "left_anti")
+    return runs.join(done.select(column).distinct(), column, "left_anti")
 
 
 def any_known(df: DataFrame, column: str) -> DataFrame:

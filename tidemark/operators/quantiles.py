@@ -99,11 +99,16 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
 
 
 def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_date",),
-                    accuracy: int = SKETCH_ACCURACY) -> DataFrame:
-    """Limit each column to its quantile within the snapshot; capped columns become doubles."""
+                    accuracy: int = SKETCH_ACCURACY, measured: DataFrame | None = None) -> DataFrame:
+    """Limit each column to its quantile within the snapshot; capped columns become doubles.
+
+    The quantiles take several passes; `measured` may hold the same columns in a
+    table that is cheaper to scan again than `df`.
+    """
     by = list(by)
     cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
-    caps = checked_small(exact_quantiles(df, columns, [prob], by, "disc", accuracy).groupBy(*by).agg(cap))
+    source = df if measured is None else measured
+    caps = checked_small(exact_quantiles(source, columns, [prob], by, "disc", accuracy).groupBy(*by).agg(cap))
     return lookup(df, caps, by, "left").withColumns(
         {c: capped(F.col(c), F.element_at("__caps", F.lit(c))) for c in columns}
     ).drop("__caps")

@@ -81,6 +81,37 @@ def even_histogram(df: DataFrame, columns, bins: int = 30) -> DataFrame:
         "feature", "at + 1 as bin", "edges[at] as bin_low", "edges[at + 1] as bin_high", "rows")
 
 
+def _psi_rows(spine: DataFrame, edges: DataFrame, sides: DataFrame, on, flat: str) -> DataFrame:
+    """Add edges and psi to the spine; every table has one row per sample and listed column."""
+    wide = spine.join(edges.select("feature", "edges"), "feature", "left").join(sides, on, "left").withColumns({
+        "expected": shares("base", "size(edges) - 1"), "actual": shares("target", "size(edges) - 1")})
+    known = F.expr("base is not null and target is not null")
+    psi = F.when(known & F.expr(flat), 0.0).when(known, stability_index("expected", "actual"))
+    return wide.select(*spine.columns, "edges", psi.alias("psi"))
+
+
+def psi_by_sample(df: DataFrame, columns, sample: str, base: str, others, bins: int = 10,
+                  edges: DataFrame | None = None) -> DataFrame:
+    """(sample, feature, edges, psi) of each other sample of a table against its base sample.
+
+    Edges are the distinct quantiles of the base unless given. NULL where a
+    sample has no values; 0 where the base has a single value.
+    """
+    columns, spark = list(columns), df.sparkSession
+    rows = df.select(F.col(sample).alias("sample"), *columns).filter(F.col("sample").isin(base, *others))
+    if edges is None:
+        edges = checked_small(quantile_edges(rows.filter(F.col("sample") == base), columns, bins).drop("n"))
+    long = known_values(to_long(rows, ["sample"], columns))
+    binned = lookup(long, _edge_side(edges, ["feature"], bins + 1), ["feature"]).select(
+        "sample", "feature", histogram_bin("value", "bins", bins + 1).alias("bin"))
+    counts = checked_small(bin_counts(binned, ["sample", "feature"]))
+    is_base = F.col("sample") == base
+    sides = counts.filter(~is_base).withColumnRenamed("filled", "target").join(
+        counts.filter(is_base).select("feature", F.col("filled").alias("base")), "feature")
+    spine = spark.createDataFrame([(o, c) for o in others for c in columns], "sample string, feature string")
+    return _psi_rows(spine, edges, sides, ["sample", "feature"], "size(edges) < 2")
+
+
 def psi_two_sample(df: DataFrame, columns, is_base: Column, bins: int = 10, use_quantiles: bool = True) -> DataFrame:
     """(feature, edges, psi) of target rows against base rows of one table.
 
@@ -89,28 +120,20 @@ def psi_two_sample(df: DataFrame, columns, is_base: Column, bins: int = 10, use_
     samples. NULL where a sample has no values; 0 where there is a single value.
     """
     columns = list(columns)
-    rows = df.select(*columns, is_base.alias("is_base")).filter("is_base is not null")
-    long = known_values(to_long(rows, ["is_base"], columns))
     if use_quantiles:
-        edges = checked_small(quantile_edges(rows.filter("is_base"), columns, bins).drop("n"))
-        flat, side = "size(edges) < 2", _edge_side(edges, ["feature"], bins + 1)
-        bin_ = histogram_bin("value", "bins", bins + 1)
-    else:
-        edges = checked_small(even_ranges(rows, columns, bins))
-        flat, side = f"edges[0] = edges[{bins}]", edges.drop("edges")
-        bin_ = even_bin("value", "low", "high", bins)
-    binned = lookup(long, side, ["feature"]).select("is_base", "feature", bin_.alias("bin"))
+        side = F.when(is_base, "base").when(~is_base, "target")
+        rows = df.select(*columns, side.alias("__side"))
+        return psi_by_sample(rows, columns, "__side", "base", ["target"], bins).drop("sample")
+    rows = df.select(*columns, is_base.alias("is_base")).filter("is_base is not null")
+    edges = checked_small(even_ranges(rows, columns, bins))
+    binned = lookup(known_values(to_long(rows, ["is_base"], columns)), edges.drop("edges"), ["feature"]).select(
+        "is_base", "feature", even_bin("value", "low", "high", bins).alias("bin"))
     sides = bin_counts(binned, ["is_base", "feature"]).groupBy("feature").agg(
         F.expr("any_value(if(is_base, filled, null), true)").alias("base"),
         F.expr("any_value(if(is_base, null, filled), true)").alias("target"),
     )
-    # One row per listed column from here on.
-    wide = feature_spine(df.sparkSession, columns).join(edges.select("feature", "edges"), "feature", "left")
-    wide = wide.join(sides, "feature", "left").withColumns({
-        "expected": shares("base", "size(edges) - 1"), "actual": shares("target", "size(edges) - 1")})
-    known = F.expr("base is not null and target is not null")
-    psi = F.when(known & F.expr(flat), 0.0).when(known, stability_index("expected", "actual"))
-    return wide.select("feature", "edges", psi.alias("psi"))
+    spine = feature_spine(df.sparkSession, columns)
+    return _psi_rows(spine, edges, sides, ["feature"], f"edges[0] = edges[{bins}]")
 
 
 def csi_summary(psi: DataFrame, by=()) -> DataFrame:
@@ -119,12 +142,6 @@ def csi_summary(psi: DataFrame, by=()) -> DataFrame:
     return known.groupBy(*by).agg(F.avg("psi").alias("csi_mean"), F.max("psi").alias("csi_max"))
 
 
-def distinct_edge_bins(df: DataFrame, column: str, bins: int = 10) -> int:
-    """Number of bins left when tied quantiles collapse; reads one row to the driver."""
-    row = quantile_edges(df, [column], bins).select(F.size("edges").alias("k")).first()
-    return max(row["k"] - 1, 1) if row else bins
-
-
 def monitoring_baseline(df: DataFrame, features, score: str | None = "score", bins: int = 10, by=()) -> DataFrame:
     """(by..., metric_kind, feature, edges, expected): decile edges and training shares.
 

@@ -21,9 +21,10 @@ def _sections(df: DataFrame, label: str, keys, seed: int, limits: list[str]) ->
 
     `limits` are SQL expressions of n, the rows of the label. Rows of a label
     are ranked by key hash. Counting rows per hash prefix (16^3 per label) tells
-    which prefix holds each limit; only those prefixes are ranked row by row.
-    Their last rows become per-label limits every row is compared with in place,
-    so the rows themselves are never shuffled. The key must be unique.
+    which prefix holds each limit; only those prefixes are ranked key by key.
+    The keys at the limits then stand for the ranks: every row is compared with
+    them in place, so the rows themselves are never shuffled. Rows that share a
+    key stay in one section, so sizes are exact where the key is unique.
     """
     marked = df.withColumn("__at", _key_order(keys, seed))
     prefix = F.substring("__at.hash", 1, PREFIX).alias("prefix")
@@ -36,11 +37,16 @@ def _sections(df: DataFrame, label: str, keys, seed: int, limits: list[str]) ->
                 F.expr(f"filter(array({wanted}), w -> w.rank > upto - rows and w.rank <= upto) as wanted"))
         .filter("size(wanted) > 0")
     )
-    order = Window.partitionBy(label, "prefix").orderBy("__at")
+    inside = checked_small(inside)
+    # Counting per key first keeps any number of copies of one key to one row.
+    upto = F.sum("rows").over(Window.partitionBy(label, "prefix").orderBy("__at"))
+    keyed = (
+        lookup(marked.select(label, "__at", prefix), inside, [label, "prefix"], "left_semi")
+        .groupBy(label, "prefix", "__at").agg(F.count("*").alias("rows")).withColumn("upto", upto)
+    )
     ends = (
-        lookup(marked.select(label, "__at", prefix), checked_small(inside), [label, "prefix"])
-        .withColumn("rank", F.row_number().over(order) + F.col("below"))
-        .select(label, "__at", F.expr("inline(filter(wanted, w -> w.rank = rank))"))
+        lookup(keyed, inside, [label, "prefix"]).withColumn("upto", F.expr("upto + below"))
+        .select(label, "__at", F.expr("inline(filter(wanted, w -> w.rank > upto - rows and w.rank <= upto))"))
         .groupBy(label).agg(F.expr("map_from_entries(collect_list(struct(i, __at)))").alias("__ends"))
     )
     beyond = " + ".join(f"int(coalesce(__at > try_element_at(__ends, {i}), true))" for i in range(len(limits)))

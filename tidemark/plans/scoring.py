@@ -14,8 +14,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.bounded import checked_small
 from tidemark.operators.ranking import auc_and_gini, balanced_accuracy, positive_rate
-from tidemark.operators.stability import csi_summary, distinct_edge_bins, psi_two_sample
+from tidemark.operators.stability import psi_by_sample, quantile_edges
 from tidemark.operators.summary import scaling_moments
 
 # The search space.
@@ -130,16 +131,23 @@ def split_performance(scored: DataFrame, score_col: str = "model_predictions", l
     return positive_rate(scored, label, [split]).join(ranked, split, "left")
 
 
-def split_stability(scored: DataFrame, features, other: str, score_col: str = "model_predictions",
-                    split: str = "split") -> DataFrame:
-    """One row (psi_score, csi_mean, csi_max) of the `other` rows against the train rows.
+def split_stability(scored: DataFrame, features, others=("test", "oot"), score_col: str = "model_predictions",
+                    split: str = "split", bins: int = 10) -> DataFrame:
+    """(compared, psi_score, csi_mean, csi_max) of each other split against the train rows.
 
-    The score index takes as many quantile bins as distinct deciles are left.
+    Where deciles of the score tie, its edges are taken again for as many bins
+    as were left. Reads `scored` several times: hand in a stored table.
     """
-    is_base = F.when(F.col(split) == "train", True).when(F.col(split) == other, False)
-    bins = distinct_edge_bins(scored.filter(F.col(split) == "train"), score_col)
-    psi = psi_two_sample(scored, [score_col], is_base, bins).select("psi")
-    csi = csi_summary(psi_two_sample(scored, features, is_base))
-    return scored.sparkSession.range(1).select(
-        F.lit(other).alias("compared"), psi.scalar().alias("psi_score"),
-        csi.select("csi_mean").scalar().alias("csi_mean"), csi.select("csi_max").scalar().alias("csi_max"))
+    columns, train = [score_col, *features], scored.filter(F.col(split) == "train")
+    edges = checked_small(quantile_edges(train, columns, bins).drop("n"))
+    is_score = F.col("feature") == score_col
+    found = edges.filter(is_score).select(F.size("edges") - 1).first()
+    if found and 0 < found[0] < bins:
+        again = checked_small(quantile_edges(train, [score_col], found[0]).drop("n"))
+        edges = edges.filter(~is_score).unionByName(again)
+    psi = psi_by_sample(scored, columns, split, "train", list(others), bins, edges)
+    known = F.when(~F.isnan("psi"), F.col("psi"))
+    return psi.groupBy(F.col("sample").alias("compared")).agg(
+        F.max(F.when(is_score, known)).alias("psi_score"),
+        F.avg(F.when(~is_score, known)).alias("csi_mean"),
+        F.max(F.when(~is_score, known)).alias("csi_max"))

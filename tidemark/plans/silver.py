@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import encode, numeric, text
 from tidemark.functions.dates import months_before
 from tidemark.operators.quantiles import cap_at_quantile
+from tidemark.session import write_and_reread
 from tidemark.sources.schemas import (
     CAPPED_COLUMNS, CLICK_TYPES, COUNT_COLUMNS, FRACTION_COLUMNS, LOAN_TYPES, MONEY_COLUMNS,
 )
@@ -81,7 +82,13 @@ def risk_ratios() -> dict[str, Column]:
 
 
 def financials(raw: DataFrame, sign: str = "abs", cap_prob: float = 0.97) -> DataFrame:
-    """Cleaned financial rows, count columns capped per snapshot, and the three ratios."""
-    capped = cap_at_quantile(financial_values(raw, sign), CAPPED_COLUMNS, cap_prob, by=["snapshot_date"])
+    """Cleaned financial rows, count columns capped per snapshot, and the three ratios.
+
+    The cleaned counts are written once, so the passes of the quantiles read
+    integers instead of cleaning the text again.
+    """
+    values = financial_values(raw, sign)
+    counts = write_and_reread(values.select("snapshot_date", *CAPPED_COLUMNS), "counts")
+    capped = cap_at_quantile(values, CAPPED_COLUMNS, cap_prob, ["snapshot_date"], measured=counts)
     extent = F.col("Delay_from_due_date") * F.col("Num_of_Loan")
     return capped.withColumns({**risk_ratios(), "Loan_Extent": extent})

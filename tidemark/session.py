@@ -13,7 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Wide projections outgrow what the JIT compiles as one method (8000 bytes) and would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -12,7 +12,7 @@ from tidemark.functions import dates, encode, text
 from tidemark.operators import decisions, ranking, stability, stratify, summary
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, write_and_reread
 from tidemark.sources import sinks, tables
 from tidemark.sources.schemas import (
     CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, MODEL_FEATURES, MONEY_COLUMNS,
@@ -59,6 +59,11 @@ def risk_store_(spark, folder):
         silver.financials(s.raw_financials(spark, folder)), silver.attributes(s.raw_attributes(spark, folder)))
 
 
+def stored_risk_store(spark, folder):
+    """The risk store as training and scoring meet it: a written table."""
+    return write_and_reread(risk_store_(spark, folder), "risk-store")
+
+
 def lineitem(spark, folder):
     return s.table(spark, folder, "lineitem")
 
@@ -262,13 +267,13 @@ def model_addresses(spark, folder):
 
 @query
 def training_set(spark, folder):
-    rows = dataset.training_set(label_store_(spark, folder), risk_store_(spark, folder), TRAIN_DATE)
+    rows = dataset.training_set(label_store_(spark, folder), stored_risk_store(spark, folder), TRAIN_DATE)
     return rounded(rows, "Loans_per_Credit_Item", "Debt_to_Salary")
 
 
 @query
 def scoring_cohort(spark, folder):
-    cohort = dataset.scoring_cohort(label_store_(spark, folder), risk_store_(spark, folder), SNAPSHOT)
+    cohort = dataset.scoring_cohort(label_store_(spark, folder), stored_risk_store(spark, folder), SNAPSHOT)
     return rounded(cohort, "Loans_per_Credit_Item", "Debt_to_Salary")
 
 
@@ -399,8 +404,9 @@ def csi_summary(spark, folder):
 @query
 def psi_train_oot(spark, folder):
     rows = dataset.with_split(labelled_orders(spark, folder), ["o_orderkey"], TRAIN_DATE)
-    parts = [scoring.split_stability(rows, ["o_custkey"], other, "o_totalprice") for other in ("test", "oot")]
-    return rounded(parts[0].unionByName(parts[1]), "psi_score", "csi_mean", "csi_max", places=8)
+    stored = write_and_reread(rows.select("split", "o_totalprice", "o_custkey"), "scored")
+    out = scoring.split_stability(stored, ["o_custkey"], score_col="o_totalprice")
+    return rounded(out, "psi_score", "csi_mean", "csi_max", places=8)
 
 
 def _baseline(spark, folder):
@@ -592,13 +598,29 @@ def profile_first_date(spark, folder):
 # --- models (no SQL: boosted trees) --------------------------------------------------------------------
 
 def _model_rows(spark, folder):
-    rows = dataset.training_set(label_store_(spark, folder), risk_store_(spark, folder), TRAIN_DATE)
-    return rows.withColumn("row_key", F.sha2(F.to_json(F.struct("*")), 256)).dropDuplicates(["row_key"])
+    """Training rows keyed by their content, stored, as fitting passes over them many times."""
+    rows = dataset.training_set(label_store_(spark, folder), stored_risk_store(spark, folder), TRAIN_DATE)
+    keyed = rows.withColumn("row_key", F.sha2(F.to_json(F.struct("*")), 256))
+    return write_and_reread(dataset.with_split(keyed, ["row_key"], TRAIN_DATE), "training")
 
 
 @query
 def ml_scores(spark, folder):
-    rows = dataset.with_split(_model_rows(spark, folder), ["row_key"], TRAIN_DATE)
-    train = rows.filter("split = 'train'")
-    model = scoring.fit(train, MODEL_FEATURES, maxIter=5, maxDepth=3)
-    return scoring.split_performance(scoring.score(model, rows))
+    rows = _model_rows(spark, folder)
+    model = scoring.fit(rows.filter("split = 'train'"), MODEL_FEATURES, maxIter=5, maxDepth=3)
+    scored = scoring.score(model, rows).select("split", "label", "model_predictions", *MODEL_FEATURES)
+    scored = write_and_reread(scored, "scored")
+    performance = scoring.split_performance(scored)
+    stability_ = scoring.split_stability(scored, MODEL_FEATURES)
+    return performance.join(stability_, performance["split"] == stability_["compared"], "left").drop("compared")
+
+
+@query
+def model_search(spark, folder):
+    rows = _model_rows(spark, folder)
+    train = dataset.with_folds(rows.filter("split = 'train'"), ["row_key"])
+    space = {"maxIter": [2, 4], "maxDepth": [2, 3], "stepSize": [0.1, 1.0]}
+    model, _, _ = scoring.search(train, MODEL_FEATURES, draws=2, space=space)
+    test = scoring.score(model, rows.filter("split = 'test'"))
+    hard = test.withColumn("prediction", (F.col("model_predictions") > 0.5).cast("int"))
+    return ranking.balanced_accuracy(hard, "prediction", "label")
