@@ -42,6 +42,12 @@ def test_quantiles_equal_numpy(wide, accuracy):
         assert r.quantiles == pytest.approx(np.quantile(SAMPLES[r.feature], np.linspace(0, 1, 11)), rel=1e-12, abs=1e-12)
 
 
+def test_wide_intervals_get_finer_fences(wide, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.quantiles.SORTED_VALUES", 60)
+    r = exact_quantiles(wide, ["spread"], [0.5], accuracy=20).first()
+    assert r.quantiles == pytest.approx([np.quantile(SAMPLES["spread"], 0.5)])
+
+
 def test_discrete_quantile_per_group(wide):
     pdf = wide.select("g", "ties").toPandas()
     for r in exact_quantiles(wide, ["ties"], [0.0, 0.5, 0.97, 1.0], ["g"], "disc").collect():
@@ -63,9 +69,15 @@ def test_cap(spark):
     assert tuple(out.first()) == (97.0, 4, float(sum(range(1, 98)) + 3 * 97), 0)
 
 
+def test_approximate_cap(wide):
+    cap = cap_at_quantile(wide, ["spread"], 0.97, [], accuracy=1000, approximate=True).agg(F.max("spread")).first()[0]
+    low, high = np.quantile(SAMPLES["spread"], [0.968, 0.972])
+    assert low <= cap <= high
+
+
 def test_a_longer_summary_is_joined_by_shuffle(wide, monkeypatch):
     many = exact_quantiles(wide, ["spread"], [0.5], ["g"]).collect()
-    monkeypatch.setattr("tidemark.operators.quantiles.checked_small", lambda df: bounded.checked_small(df, 0))
+    monkeypatch.setattr(bounded, "SMALL_ROWS", 0)
     assert sorted(exact_quantiles(wide, ["spread"], [0.5], ["g"]).collect()) == sorted(many)
 
 

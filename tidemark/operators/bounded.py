@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 20_000
 
 
-def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+def read_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, pa.Table | None]:
+    """`checked_small` with the rows that were read, or None where there are too many."""
+    most = SMALL_ROWS if max_rows is None else max_rows
+    head = df.limit(most + 1).toArrow()
+    if head.num_rows > most:
+        return df, None
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema)), head
+
+
+def checked_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """A per-group summary as a local table to broadcast, once it is seen to hold few rows.
 
     The summary runs here and now, and at most `max_rows` + 1 of its rows reach
@@ -18,10 +28,7 @@ def checked_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     longer one comes back as it is: Spark then joins it by shuffle, with its own
     skew handling.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+    return read_small(df, max_rows)[0]
 
 
 def lookup(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:

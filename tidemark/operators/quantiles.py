@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.bins import edge_columns, edges_reached
 from tidemark.functions.numeric import capped
-from tidemark.operators.bounded import checked_small, known_values, lookup, to_long
+from tidemark.operators.bounded import checked_small, known_values, lookup, read_small, to_long
 
 SKETCH_ACCURACY = 2_000
+FINEST_ACCURACY = 200_000
+SORTED_VALUES = 10_000_000
 
 
 def even_probabilities(bins: int) -> list[float]:
@@ -50,6 +53,8 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     the rows between the fences, a third sorts only the values inside the few
     intervals that hold a wanted rank. Ranks come from the counts, so the result
     is exact whatever the sketch says; the sketch only keeps the last pass small.
+    Where an interval would leave more than SORTED_VALUES different values to one
+    task, the fences are set again with a finer sketch.
     `by` is meant for calendar or model keys: the per-group tables have one row
     per group and column.
     """
@@ -68,8 +73,11 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
         return lookup(long, wide, keys).withColumn("slot", edges_reached("value", len(fence_at)))
 
     counts = (
-        slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot").agg(F.count("*").alias("rows"))
-        .groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"))
+        slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot")
+        .agg(F.count("*").alias("rows"), F.approx_count_distinct("value").alias("values"))
+        .groupBy(*keys).agg(
+            F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"),
+            F.expr("map_from_entries(collect_list(struct(slot, values)))").alias("different"))
     )
     # Rank r lies in the interval that starts at the last fence with fewer than r rows below it.
     groups = (
@@ -79,8 +87,12 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
         .withColumn("places", F.expr(_positions(probs, method)))
         .withColumn("ranks", F.expr("array_distinct(concat(places.low, places.high))"))
         .withColumn("slots", F.expr("array_distinct(transform(ranks, r -> size(filter(below, b -> b < r))))"))
+        .withColumn("widest", F.expr("array_max(transform(slots, s -> different[s]))"))
+        .drop("filled", "different")
     )
-    groups = checked_small(groups)
+    groups, read = read_small(groups)
+    if read is not None and read.num_rows and accuracy < FINEST_ACCURACY and pc.max(read["widest"]).as_py() > SORTED_VALUES:
+        return exact_quantiles(df, columns, probs, by, method, min(accuracy * 10, FINEST_ACCURACY))
 
     inside = slotted(groups.select(*keys, "fences", "slots")).filter("array_contains(slots, slot)")
     distinct = inside.groupBy(*keys, "slot", "value").agg(F.count("*").alias("rows"))
@@ -99,16 +111,24 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
 
 
 def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_date",),
-                    accuracy: int = SKETCH_ACCURACY, measured: DataFrame | None = None) -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY, measured: DataFrame | None = None,
+                    approximate: bool = False) -> DataFrame:
     """Limit each column to its quantile within the snapshot; capped columns become doubles.
 
-    The quantiles take several passes; `measured` may hold the same columns in a
-    table that is cheaper to scan again than `df`.
+    Exact quantiles take several passes; `measured` may hold the same columns in
+    a table that is cheaper to scan again than `df`. With `approximate` one pass
+    of a sketch gives caps whose rank is off by n / accuracy at most.
     """
     by = list(by)
-    cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
     source = df if measured is None else measured
-    caps = checked_small(exact_quantiles(source, columns, [prob], by, "disc", accuracy).groupBy(*by).agg(cap))
+    if approximate:
+        long = known_values(to_long(source, by, columns))
+        quantile = F.expr(f"percentile_approx(value, {_doubles([prob])}, {accuracy})").alias("quantiles")
+        found = long.groupBy(*by, "feature").agg(quantile)
+    else:
+        found = exact_quantiles(source, columns, [prob], by, "disc", accuracy)
+    cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
+    caps = checked_small(found.groupBy(*by).agg(cap))
     return lookup(df, caps, by, "left").withColumns(
         {c: capped(F.col(c), F.element_at("__caps", F.lit(c))) for c in columns}
     ).drop("__caps")

@@ -11,8 +11,7 @@ from tidemark.operators.bounded import checked_small, lookup
 from tidemark.operators.quantiles import SKETCH_ACCURACY
 
 
-def roc_auc(df: DataFrame, score: str, label: str, by=(), parts: int = 256,
-            accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, by=(), parts: int | None = None) -> DataFrame:
     """(by..., n_pos, n_neg, auc) with ties counted half; NULL when a class is absent.
 
     Rows are first counted per distinct score. A sketch cuts the score range
@@ -20,6 +19,8 @@ def roc_auc(df: DataFrame, score: str, label: str, by=(), parts: int = 256,
     slots plus a running count inside the slot, so no task sorts a whole group.
     """
     by = list(by)
+    parts = parts or (256 if by else 2048)
+    accuracy = max(SKETCH_ACCURACY, 4 * parts)
     rows = df.select(*by, drop_nan(F.col(score)).alias("score"), F.col(label).cast("int").alias("label"))
     rows = rows.dropna(subset=["score", "label"])
     at = ", ".join(f"{i / parts!r}D" for i in range(1, parts))

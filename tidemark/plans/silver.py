@@ -81,7 +81,7 @@ def risk_ratios() -> dict[str, Column]:
     }
 
 
-def financials(raw: DataFrame, sign: str = "abs", cap_prob: float = 0.97) -> DataFrame:
+def financials(raw: DataFrame, sign: str = "abs", cap_prob: float = 0.97, approximate: bool = False) -> DataFrame:
     """Cleaned financial rows, count columns capped per snapshot, and the three ratios.
 
     The cleaned counts are written once, so the passes of the quantiles read
@@ -89,6 +89,6 @@ def financials(raw: DataFrame, sign: str = "abs", cap_prob: float = 0.97) -> Dat
     """
     values = financial_values(raw, sign)
     counts = write_and_reread(values.select("snapshot_date", *CAPPED_COLUMNS), "counts")
-    capped = cap_at_quantile(values, CAPPED_COLUMNS, cap_prob, ["snapshot_date"], measured=counts)
+    capped = cap_at_quantile(values, CAPPED_COLUMNS, cap_prob, ["snapshot_date"], measured=counts, approximate=approximate)
     extent = F.col("Delay_from_due_date") * F.col("Num_of_Loan")
     return capped.withColumns({**risk_ratios(), "Loan_Extent": extent})

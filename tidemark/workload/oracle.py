@@ -34,6 +34,12 @@ sql("bronze_range", """
 SELECT CAST(snapshot_date AS DATE) AS snapshot_date, count(*) AS rows FROM raw_loans
 WHERE snapshot_date BETWEEN '2000-06-01' AND '2000-06-30' GROUP BY 1""", s.RAW_LOANS)
 
+sql("bronze_sources", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS source, count(*) AS rows, count(DISTINCT CAST(snapshot_date AS DATE)) AS snapshots "
+    f"FROM raw_{name if name != 'clickstream' else 'clicks'} WHERE year(CAST(snapshot_date AS DATE)) = 1998"
+    for name in ("loans", "clickstream", "attributes", "financials")),
+    s.RAW_LOANS, s.RAW_CLICKS, s.RAW_ATTRIBUTES, s.RAW_FINANCIALS)
+
 sql("raw_csv", """SELECT * REPLACE (CAST(snapshot_date AS DATE) AS snapshot_date) FROM silver_attributes""",
     s.SILVER_ATTRIBUTES)
 
@@ -431,6 +437,12 @@ SELECT metric, snapshot_date, model_id, round(value, 6) + 0.0 AS value FROM (
   UNION ALL SELECT 'ml_auc_threshold', snapshot_date, model_id, 0.7 FROM perf
   UNION ALL SELECT 'ml_gini_threshold', snapshot_date, model_id, 0.3 FROM perf) WHERE value IS NOT NULL""", _PERF)
 
+sql("prediction_store", """
+SELECT "Customer_ID", snapshot_date, model_id, written_at FROM predictions
+WHERE year(snapshot_date) = 1999 AND model_id = 'model_1' AND model_predictions IS NOT NULL""", s.PREDICTIONS)
+
+sql("any_known", "SELECT count(label) > 0 AS found FROM order_labels", s.ORDER_LABELS)
+
 sql("metric_json", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, CAST(0.25 AS DOUBLE) AS threshold,
   '{"id":' || CAST(event_id AS VARCHAR) || ',"type":"' || event_type || '"}' AS record FROM events""")

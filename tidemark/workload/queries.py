@@ -85,6 +85,19 @@ def bronze_range(spark, folder):
         F.count("*").alias("rows"))
 
 
+@query
+def bronze_sources(spark, folder):
+    raw = {"loans": s.raw_loans, "clickstream": s.raw_clicks, "attributes": s.raw_attributes,
+           "financials": s.raw_financials}
+    parts = [
+        bronze.bronze(build(spark, folder), "1998-01-01", "1998-12-31")
+        .groupBy(F.lit(name).alias("source")).agg(F.count("*").alias("rows"),
+                                                  F.count_distinct("snapshot_date").alias("snapshots"))
+        for name, build in raw.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query
 def raw_csv(spark, folder):
     path = scratch_path(spark, "raw-csv")
@@ -476,6 +489,19 @@ def perf_breach(spark, folder):
     return rounded(records, "auc", "gini")
 
 
+@query
+def prediction_store(spark, folder):
+    path = scratch_path(spark, "predictions")
+    sinks.write_predictions(s.predictions(spark, folder), path)
+    stored = tables.read_snapshots(spark, path, "1999-01-01", "1999-12-01").filter("model_id = 'model_1'")
+    return stored.dropna(subset=["model_predictions"]).select("Customer_ID", "snapshot_date", "model_id", "written_at")
+
+
+@query
+def any_known(spark, folder):
+    return decisions.any_known(s.order_labels(spark, folder), "label")
+
+
 @query
 def metric_json(spark, folder):
     events = s.table(spark, folder, "events")

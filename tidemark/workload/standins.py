@@ -1,4 +1,4 @@
-"""Raw tables of the reference's shape, derived from the test tables.
+"""Raw loan, clickstream, attribute and financial tables derived from the test tables.
 
 Each stand-in comes twice: as a DataFrame and as the body of a SQL common table
 expression. Both make the same dirty text from the same clean columns.
