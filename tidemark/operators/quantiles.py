@@ -35,6 +35,11 @@ def _positions(probs, method: str) -> str:
     return f"transform({_doubles(probs)}, p -> {one})"
 
 
+def _highest(read, column: str) -> int:
+    """Maximum of a column that was read; 0 without rows, or where there were too many to read."""
+    return (pc.max(read[column]).as_py() or 0) if read is not None else 0
+
+
 # Between two neighbours, from the nearer one.
 _INTERPOLATED = """transform(places, x -> if(x.weight >= 0.5D,
     at[x.high] - (at[x.high] - at[x.low]) * (1 - x.weight),
@@ -64,17 +69,21 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     fence_at = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     long = known_values(to_long(df, by, columns))
 
-    fences = checked_small(long.groupBy(*keys).agg(
+    fences, read = read_small(long.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.expr(f"percentile_approx(value, {_doubles(fence_at)}, {accuracy})").alias("fences"),
     ))
+    # Intervals hold about 2 * margin of the rows, so only a very long column can have one that is too wide.
+    watch = accuracy < FINEST_ACCURACY and _highest(read, "n") * 2 * margin > SORTED_VALUES
+
     def slotted(side):
         wide = edge_columns(side, "fences", len(fence_at))
         return lookup(long, wide, keys).withColumn("slot", edges_reached("value", len(fence_at)))
 
     counts = (
         slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot")
-        .agg(F.count("*").alias("rows"), F.approx_count_distinct("value").alias("values"))
+        .agg(F.count("*").alias("rows"),
+             (F.approx_count_distinct("value") if watch else F.lit(0).cast("long")).alias("values"))
         .groupBy(*keys).agg(
             F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"),
             F.expr("map_from_entries(collect_list(struct(slot, values)))").alias("different"))
@@ -91,7 +100,7 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
         .drop("filled", "different")
     )
     groups, read = read_small(groups)
-    if read is not None and read.num_rows and accuracy < FINEST_ACCURACY and pc.max(read["widest"]).as_py() > SORTED_VALUES:
+    if watch and _highest(read, "widest") > SORTED_VALUES:
         return exact_quantiles(df, columns, probs, by, method, min(accuracy * 10, FINEST_ACCURACY))
 
     inside = slotted(groups.select(*keys, "fences", "slots")).filter("array_contains(slots, slot)")
