@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 from compare import connect, differences
+from tidemark.workload.oracle import SQL
+from tidemark.workload.queries import QUERIES
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
 UNCHECKED = {"q_ml_scores", "q_model_search"}
 
 
@@ -16,6 +16,8 @@ def con(folder):
 
 
 def test_every_query_has_sql():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert {k: v for k, v in SQL.items() if k in QUERIES}.items() <= entry_point.oracle_sql().items()
     assert set(QUERIES) - set(SQL) == UNCHECKED
     assert set(SQL) <= set(QUERIES)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -26,6 +28,19 @@ def get_session(app: str = "tidemark", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose machines do not share that folder, submit the package
+    with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
 @lru_cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tidemark-")
@@ -39,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         return _local_folder()
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
