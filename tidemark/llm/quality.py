@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import as_bytes
@@ -129,8 +129,22 @@ def _estimates(sums: DataFrame, columns, floors, scale: float) -> DataFrame:
     return sums.mapInPandas(run, "grp string, size long, centre array<double>, inverse array<double>")
 
 
-def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75, steps: int = 3,
-                           accuracy: int = 10_000) -> DataFrame:
+def _cut_points(rows: DataFrame, share: float, bin_of: str, edge_of: str, by=("grp",)) -> DataFrame:
+    """(by..., n, cut): the upper edge of the bin in which the share of each group's values is reached.
+
+    Bins are fixed, so the result does not depend on how rows are dealt out.
+    Rows are counted per bin before they are shuffled, and bins of one group go
+    to many tasks; the window has one row per bin of a group.
+    """
+    whole = Window.partitionBy(*by)
+    filled = rows.groupBy(*by, F.expr(bin_of).alias("bin")).agg(F.count("*").alias("rows")).withColumns({
+        "upto": F.sum("rows").over(whole.orderBy("bin")), "n": F.sum("rows").over(whole)})
+    reached = filled.filter(F.col("upto") >= share * F.col("n")).groupBy(*by).agg(
+        F.min("bin").alias("bin"), F.first("n").alias("n"))
+    return reached.select(*by, "n", F.expr(edge_of).alias("cut"))
+
+
+def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75, steps: int = 3) -> DataFrame:
     """(grp, size, centre, inverse) per group: minimum-covariance-determinant centre and inverse scatter.
 
     `rows` has the column grp and the statistics, and should be a written table.
@@ -138,29 +152,35 @@ def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75
     concentration step takes the `share` of a group's rows with the smallest
     distance and sets centre and scatter from them, which never raises the
     determinant. All rows of all groups go through each step together; groups
-    meet only in partial sums and sketches, so a group of any size is no task of
-    its own. The sketch places the limit of a step within 1 / accuracy of its
-    rank. The scatter is scaled to a normal sample, and the squares of `floors`
-    are added to its diagonal, so that a statistic that is constant in a group
-    does not reject the first row that differs.
+    meet only in partial sums and bin counts, so a group of any size is no task
+    of its own. Medians are found to 1/1024, the limit of a step to a fiftieth
+    of its value. The scatter is scaled to a normal sample, and the squares of
+    `floors` are added to its diagonal, so that a statistic that is constant in
+    a group does not reject the first row that differs.
     """
     p = len(columns)
     limit = chi2_limit(share, p)
     scale = share / chi2_share(limit, p + 2)
-    middle = F.expr("array(" + ", ".join(f"percentile_approx({c}, 0.5D, {accuracy})" for c in columns) + ")")
-    start = write_and_reread(rows.groupBy("grp").agg(F.count("*").alias("size"), middle.alias("centre")), "medians")
-    off = F.expr("array(" + ", ".join(
-        f"percentile_approx(abs({c} - centre[{i}]), 0.5D, {accuracy})" for i, c in enumerate(columns)) + ")")
-    spread = rows.join(start, "grp").groupBy("grp").agg(
-        F.first("size").alias("size"), F.first("centre").alias("centre"), off.alias("off"))
+
+    def medians(values: DataFrame, name: str) -> DataFrame:
+        long = values.unpivot(["grp"], list(columns), "statistic", "value")
+        cuts = _cut_points(long, 0.5, "bigint(floor(value * 1024))", "(bin + 0.5D) / 1024", ("grp", "statistic"))
+        wide = ", ".join(f"max(if(statistic = '{c}', cut, null))" for c in columns)
+        return write_and_reread(cuts.groupBy("grp").agg(
+            F.first("n").alias("size"), F.expr(f"array({wide}) as middle")), name)
+
+    centre = medians(rows.select("grp", *columns), "medians").withColumnRenamed("middle", "centre")
+    off = [F.expr(f"abs({c} - centre[{i}])").alias(c) for i, c in enumerate(columns)]
+    spread = medians(rows.join(centre, "grp").select("grp", *off), "spreads").drop("size")
     inverse = ", ".join(
-        f"1 / (pow(1.4826D * off[{i}], 2) + {float(floors[i]) ** 2!r}D)" if i == j else "0D"
+        f"1 / (pow(1.4826D * middle[{i}], 2) + {float(floors[i]) ** 2!r}D)" if i == j else "0D"
         for i in range(p) for j in range(p))
-    now = write_and_reread(spread.select("grp", "size", "centre", F.expr(f"array({inverse}) as inverse")), "estimates")
+    now = write_and_reread(
+        centre.join(spread, "grp").select("grp", "size", "centre", F.expr(f"array({inverse}) as inverse")), "estimates")
     for _ in range(steps):
         far = rows.join(now, "grp").withColumn("far", F.expr(_distance(columns)))
-        limits = far.groupBy("grp").agg(F.expr(f"percentile_approx(far, {share}D, {accuracy}) as upto"))
-        inside = far.join(write_and_reread(limits, "limits"), "grp").filter("far <= upto")
+        limits = _cut_points(far, share, "bigint(floor(ln(greatest(far, 1e-12D)) * 50))", "exp((bin + 1) / 50D)")
+        inside = far.join(write_and_reread(limits.select("grp", "cut"), "limits"), "grp").filter("far <= cut")
         first = ", ".join(f"sum({c})" for c in columns)
         second = ", ".join(f"sum({a} * {b})" for a in columns for b in columns)
         sums = inside.groupBy("grp").agg(
