@@ -56,7 +56,7 @@ def position(demand: Column, shape: Column) -> Column:
     return 2 * demand / (shape + F.sqrt(F.greatest(shape * shape + 4 * (1 - shape) * demand, F.lit(0.0))))
 
 
-def plan(sized: DataFrame, key: str = "doc_id", rows_per_bucket: int = 50_000, seed: int = 42, **mix) -> DataFrame:
+def plan(sized: DataFrame, key: str = "doc_id", rows_per_bucket: int = 10_000, seed: int = 42, **mix) -> DataFrame:
     """Add source_size, target, copies, __start and shape to rows with `source` and `size`.
 
     `sized` should be a written table. Documents of a source lie in the order of
