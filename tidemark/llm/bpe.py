@@ -11,6 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tidemark.llm.common import as_bytes, gather_runs, slices
 
@@ -29,6 +30,7 @@ LETTER, NUMBER = rf"[\p{{L}}--[{NEWER}]]", rf"[\p{{N}}--[{NEWER}]]"
 PIECE = rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{LETTER}+|{NUMBER}|(?:[^{SPACE}\p{{L}}\p{{N}}]|[{NEWER}])+"
 NONE = np.int32(2**31 - 1)
 KNOWN_WORDS = 400_000
+IDS = ArrayType(IntegerType())
 
 
 def byte_symbols() -> list[str]:
@@ -257,7 +259,7 @@ def encode(docs: DataFrame, vocabulary: str, keep=("doc_id",), text: str = "text
                     [*[part.column(c) for c in keep], pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))],
                     [*keep, "ids"])
 
-    schema = rows.select(*keep).schema.add("ids", "array<int>")
+    schema = rows.select(*keep).schema.add("ids", IDS)
     return rows.mapInArrow(run, schema)
 
 
@@ -302,4 +304,4 @@ def digests(docs: DataFrame, vocabulary: str, keep=("doc_id",), text: str = "tex
                     columns, [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
 
     schema = rows.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    return rows.mapInArrow(run, schema.add("ids", "array<int>") if with_ids else schema)
+    return rows.mapInArrow(run, schema.add("ids", IDS) if with_ids else schema)
