@@ -69,7 +69,7 @@ class Block:
         return at[np.bitwise_count(self.codes[at] ^ code).sum(axis=1) <= radius]
 
 
-def nearest(embeddings: DataFrame, is_query, k: int = 20, radius: int = 28, bits: int = 64, width: int = 8,
+def nearest(embeddings: DataFrame, is_query, k: int = 20, radius: int = 31, bits: int = 64, width: int = 8,
             sample: int = 20_000, rows_per_block: int = 8_192, queries_per_lot: int = 1_024, key: str = "vec_id",
             vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product found for each query.
