@@ -190,35 +190,45 @@ def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75
     return now
 
 
-def judge(counted: DataFrame, lang: str = "lang", source: str = "source", floors=(0.08, 0.08, 0.15, 0.15),
-          share: float = 0.75, reject: float = 1e-9, least: int = 100, steps: int = 3) -> DataFrame:
-    """Add base_failed, distance and kept to rows with `counts`, which should be a written table.
+def _marked(counted: DataFrame, lang: str, source: str) -> DataFrame:
+    """Rows with `counts`, and with base_failed, the transformed statistics and the three groups they may be judged by."""
+    level = lambda n, *of: F.to_json(F.struct(F.lit(n).alias("level"), *of))
+    return counted.withColumns({
+        "base_failed": F.expr("counts.n_words < 10 or 100 * counts.n_repeat_words > 20 * counts.n_words"),
+        "__stats": F.struct(*[v.alias(k) for k, v in statistics().items()]),
+        "__groups": F.array(level(2, F.col(lang).alias("lang"), F.col(source).alias("source")),
+                            level(1, F.col(lang).alias("lang")), level(0))})
+
+
+def fit(counted: DataFrame, lang: str = "lang", source: str = "source", floors=(0.08, 0.08, 0.15, 0.15),
+        share: float = 0.75, least: int = 100, steps: int = 3) -> DataFrame:
+    """(grp, size, centre, inverse) of every language and source, language, and the whole, with `least` rows or more.
+
+    Estimates come from all rows that pass the plain limits; NULL is a language
+    and a source of its own.
+    """
+    passed = _marked(counted, lang, source).filter(~F.col("base_failed"))
+    rows = write_and_reread(passed.select("__groups", "__stats.*"), "statistics")
+    found = covariance_determinant(
+        rows.select(F.explode("__groups").alias("grp"), *STATISTICS), STATISTICS, floors, share, steps)
+    return found.filter(F.col("size") >= least)
+
+
+def verdicts(counted: DataFrame, fitted: DataFrame, lang: str = "lang", source: str = "source",
+             reject: float = 1e-9) -> DataFrame:
+    """Add base_failed, distance and kept to rows with `counts`.
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated
     windows. kept: not base_failed, and the squared Mahalanobis distance from
     the centre of the row's group is no more than a normal row exceeds with
-    probability `reject`. A group is a language and source (NULL is a value of
-    its own); one with fewer than `least` rows is judged by its language, and
-    that by the whole table. Tables of fewer than `least` rows reject none by
-    distance. Estimates come from all rows that pass the plain limits.
+    probability `reject`. A row is judged by its language and source where that
+    group was fitted, else by its language, else by the whole; with none of
+    them, as in a very small table, no row is rejected by distance.
     """
-    base = F.expr("counts.n_words < 10 or 100 * counts.n_repeat_words > 20 * counts.n_words")
-    marked = counted.withColumns({
-        "base_failed": base,
-        "__stats": F.struct(*[v.alias(k) for k, v in statistics().items()]),
-        "__groups": F.array(
-            F.to_json(F.struct(F.lit(2).alias("level"), F.col(lang).alias("lang"), F.col(source).alias("source"))),
-            F.to_json(F.struct(F.lit(1).alias("level"), F.col(lang).alias("lang"))),
-            F.lit('{"level":0}'))})
-    rows = write_and_reread(
-        marked.filter(~F.col("base_failed")).select("__groups", "__stats.*"), "statistics")
-    found = covariance_determinant(
-        rows.select(F.explode("__groups").alias("grp"), *STATISTICS), STATISTICS, floors, share, steps)
-    found = found.filter(F.col("size") >= least)
-    out = marked
+    out = _marked(counted, lang, source)
     for i in range(3):
         out = out.withColumn(f"__g{i}", F.col("__groups")[i]).join(
-            found.select(F.col("grp").alias(f"__g{i}"), F.struct("centre", "inverse").alias(f"__fit{i}")), f"__g{i}", "left")
+            fitted.select(F.col("grp").alias(f"__g{i}"), F.struct("centre", "inverse").alias(f"__fit{i}")), f"__g{i}", "left")
     out = out.withColumn("__fit", F.coalesce("__fit0", "__fit1", "__fit2"))
     terms = _distance([f"__stats.{c}" for c in STATISTICS]).replace("centre[", "__fit.centre[").replace("inverse[", "__fit.inverse[")
     near = F.coalesce(F.col("distance") <= chi2_limit(1 - reject, len(STATISTICS)), F.lit(True))
@@ -228,9 +238,20 @@ def judge(counted: DataFrame, lang: str = "lang", source: str = "source", floors
     )
 
 
-def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", **limits) -> DataFrame:
-    """The rows of `docs` that the rules keep, with their columns; counted once in a written table."""
+def judge(counted: DataFrame, lang: str = "lang", source: str = "source", reject: float = 1e-9, **how) -> DataFrame:
+    """`verdicts` on the rows that were fitted, which should be a written table."""
+    return verdicts(counted, fit(counted, lang, source, **how), lang, source, reject)
+
+
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", reject: float = 1e-9,
+              **how) -> DataFrame:
+    """The rows of `docs` that the rules keep, with their columns.
+
+    Texts are counted twice, once to fit and once to judge, as a table of all
+    texts with their counts would cost as much disk as the corpus.
+    """
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs[lang].alias("lang"),
                         docs[source].alias("source"), docs[text].alias("text"))
-    counted = write_and_reread(with_counts(whole).drop("text"), "counted")
-    return judge(counted, **limits).filter("kept").select("doc.*")
+    counted = write_and_reread(with_counts(whole.select("lang", "source", "text")).drop("text"), "counted")
+    fitted = fit(counted, **how)
+    return verdicts(with_counts(whole).drop("text"), fitted, reject=reject).filter("kept").select("doc.*")
