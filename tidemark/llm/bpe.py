@@ -29,7 +29,8 @@ NEWER = (
 LETTER, NUMBER = rf"[\p{{L}}--[{NEWER}]]", rf"[\p{{N}}--[{NEWER}]]"
 PIECE = rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{LETTER}+|{NUMBER}|(?:[^{SPACE}\p{{L}}\p{{N}}]|[{NEWER}])+"
 NONE = np.int32(2**31 - 1)
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
+SLICE = 4 << 20
 IDS = ArrayType(IntegerType())
 
 
@@ -252,12 +253,13 @@ def encode(docs: DataFrame, vocabulary: str, keep=("doc_id",), text: str = "text
     def run(batches):
         coder = encoder(shared.value)
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SLICE):
                 ids, n = coder.encode_batch(as_bytes(part.column("__text")))
                 offsets = pa.array(np.append(0, np.cumsum(n)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep], pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))],
                     [*keep, "ids"])
+        coder.forget()
 
     schema = rows.select(*keep).schema.add("ids", IDS)
     return rows.mapInArrow(run, schema)
@@ -288,7 +290,7 @@ def digests(docs: DataFrame, vocabulary: str, keep=("doc_id",), text: str = "tex
     def run(batches):
         coder = encoder(shared.value)
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SLICE):
                 ids, n = coder.encode_batch(as_bytes(part.column("__text")))
                 offsets = np.append(0, np.cumsum(n))
                 wide = ids.astype("<u4")
@@ -302,6 +304,7 @@ def digests(docs: DataFrame, vocabulary: str, keep=("doc_id",), text: str = "tex
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())))
                 yield pa.RecordBatch.from_arrays(
                     columns, [*keep, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids])
+        coder.forget()  # the worker goes on to other tasks
 
     schema = rows.select(*keep).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     return rows.mapInArrow(run, schema.add("ids", IDS) if with_ids else schema)

@@ -62,7 +62,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         found = np.array([counts(t) for t in as_bytes(column)], dtype=np.int64).reshape(-1, len(COUNTS))
         return pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(COUNTS))], COUNTS)
 
-    return docs.withColumn("counts", of(text))
+    # Told as not repeatable, so that a filter on the counts is not moved below and the texts are counted once.
+    return docs.withColumn("counts", of.asNondeterministic()(text))
 
 
 def chi2_share(x: float, freedom: int) -> float:

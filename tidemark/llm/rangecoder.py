@@ -10,7 +10,7 @@ import numpy as np
 # Fixed values of the block format: magic; then ids, alphabet and checksum of the ids as unsigned 32-bit integers.
 MAGIC = b"CMR1"
 HEADER = struct.Struct("<4sIII")
-LANES = 384
+LANES = 192
 SLOTS_1, SLOTS_2 = 1 << 12, 1 << 13
 SURE = 7
 STATES = 2 * (SURE + 1) ** 2

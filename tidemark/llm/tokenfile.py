@@ -112,13 +112,14 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
                 piece = pa.struct([("ordinal", pa.int64()), ("key", batch.schema.field("key").type), ("n", pa.int32())])
                 arrow = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()),
                                    ("payload", pa.binary()), ("pieces", pa.list_(piece))])
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", bpe.SLICE):
                 ids, n = coder.encode_batch(as_bytes(some.column("text")))
                 cuts = np.cumsum(n)
                 for k, own in zip(some.column("key").to_pylist(), np.split(ids, cuts[:-1])):
                     cutter.add(k, np.append(own, np.int32(end_id)))
                 if cutter.held >= rangecoder.LANES * BLOCK:
                     yield coded(cutter.take(False))
+        coder.forget()
         if cutter.held:
             yield coded(cutter.take(True))
 
