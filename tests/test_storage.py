@@ -93,3 +93,58 @@ def test_predictions_by_model_and_snapshot(spark, tmp_path):
     sinks.write_predictions(df, out)
     assert (tmp_path / "pred" / "model_id=m1" / "snapshot_date=2024-01-01").is_dir()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_drift_records_several_in_a_file(spark, tmp_path):
+    lines = "\n".join('{"snapshot_date": "2024-01-01", "model_id": "00%d", "psi_score": 0.%d}' % (i, i) for i in range(1, 4))
+    (tmp_path / "lines.json").write_text(lines + "\n")
+    (tmp_path / "whole.json").write_text('{\n "snapshot_date": "2024-02-01",\n "model_id": "7"\n}\n')
+    rows = tables.read_drift(spark, f"file://{tmp_path}/lines.json").collect()
+    assert sorted(r["model_id"] for r in rows) == ["001", "002", "003"]
+    row, = tables.read_drift(spark, f"file://{tmp_path}/whole.json", whole_files=True).collect()
+    assert (row["snapshot_date"], row["model_id"]) == ("2024-02-01", "7")
+    assert tables.read_drift(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_drift_of_one_snapshot(spark, tmp_path):
+    out = f"file://{tmp_path}/drift"
+    scores = spark.createDataFrame(
+        [(f"2024-0{m}-01", f"00{i}", 0.1, 0.2) for m in (1, 2) for i in range(3)] + [("2024-01-01", "000", 0.3, 0.1)],
+        "snapshot_date string, model_id string, psi_score double, csi_max double")
+    sinks.write_drift(decisions.drift_flags(scores), out)
+    assert tables.read_drift(spark, out).count() == 7
+    assert tables.read_drift(spark, out, snapshot="2024-01-01").count() == 4
+
+
+def test_rewriting_empties_a_snapshot(spark, tmp_path):
+    out = f"file://{tmp_path}/store"
+    rows = spark.createDataFrame([(i, f"2024-0{m}-01") for m in range(1, 6) for i in range(3)], "id int, day string").selectExpr(
+        "id", "date(day) as snapshot_date")
+    sinks.write_snapshots(rows, out, start="2024-01-01", end="2024-05-01")
+    sinks.write_snapshots(rows.filter("snapshot_date = '2024-02-01'").limit(1), out, start="2024-02-01", end="2024-04-01")
+    left = {str(r[0]): r[1] for r in tables.read_snapshots(spark, out).groupBy("snapshot_date").count().collect()}
+    assert left == {"2024-01-01": 3, "2024-02-01": 1, "2024-05-01": 3}
+
+
+def test_model_ids_stay_text(spark, tmp_path):
+    out = f"file://{tmp_path}/predictions"
+    rows = spark.createDataFrame([("c", "007", "2024-01-01")], "Customer_ID string, model_id string, day string").selectExpr(
+        "Customer_ID", "model_id", "date(day) as snapshot_date")
+    sinks.write_predictions(rows, out)
+    row, = tables.read_snapshots(spark, out, "2024-01-01", "2024-01-01").collect()
+    assert row["model_id"] == "007" and str(row["snapshot_date"]) == "2024-01-01"
+
+
+def test_monitoring_before_any_scoring(spark, tmp_path):
+    from tidemark import job
+
+    assert job.run_monitoring(job.Store(spark, f"file://{tmp_path}/mart"), "2024-01-01") == {"drift": "pass", "performance": "pass"}
+
+
+def test_split_sizes_with_keys_that_look_alike(spark):
+    from tidemark.operators.stratify import stratified_split
+
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("a\\", "|b"), ("a\\|", "b"), ("\\N", "x"), ("", "x"), ("x", ""), (None, None)]
+    df = spark.createDataFrame([(a, b, 1) for a, b in keys], "a string, b string, label int")
+    found = stratified_split(df, "label", ["a", "b"], 0.7)
+    assert sorted(r["split"] for r in found.collect()) == ["test"] * 3 + ["train"] * 7

@@ -19,7 +19,7 @@ from tidemark.operators.summary import feature_columns, numeric_columns, score_s
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
 from tidemark.sources import sinks, tables
-from tidemark.sources.schemas import ID_COLUMNS
+from tidemark.sources.schemas import ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 
 MODEL = "credit_model"
 SOURCES = ["loans", "clickstream", "attributes", "financials"]
@@ -35,9 +35,15 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str, start=None, end=None) -> DataFrame:
+    def read(self, name: str, start=None, end=None, schema=None) -> DataFrame:
+        """A table; with `schema` it may be absent and then has no rows."""
+        if schema is not None:
+            return tables.read_or_empty(self.spark, self.path(name), schema, start, end)
         return tables.read_snapshots(self.spark, self.path(name), start, end)
 
+    def write(self, df: DataFrame, name: str, start, end) -> None:
+        sinks.write_snapshots(df, self.path(name), start=start, end=end)
+
 
 def run_bronze(store: Store, raw: str, start, end, sources=SOURCES) -> None:
     for source in sources:
@@ -49,17 +55,17 @@ def run_silver(store: Store, start, end, sources=SOURCES) -> None:
              "attributes": silver.attributes, "financials": silver.financials}
     for source in sources:
         rows = store.read(f"bronze/{source}", start, end)
-        sinks.write_snapshots(clean[source](rows), store.path(f"silver/{source}"))
+        store.write(clean[source](rows), f"silver/{source}", start, end)
 
 
 def run_gold(store: Store, start, end) -> None:
     labels = gold.label_store(store.read("silver/loans", start, end))
-    sinks.write_snapshots(labels, store.path("gold/labels"))
+    store.write(labels, "gold/labels", start, end)
     clicks = store.read("silver/clickstream").filter(
         F.col("snapshot_date").between(months_before(as_date(start), gold.LOOK_BACK), as_date(end)))
-    sinks.write_snapshots(gold.engagement_store(clicks, start, end), store.path("gold/engagement"))
+    store.write(gold.engagement_store(clicks, start, end), "gold/engagement", start, end)
     risk = gold.risk_store(store.read("silver/financials", start, end), store.read("silver/attributes"))
-    sinks.write_snapshots(risk, store.path("gold/risk"))
+    store.write(risk, "gold/risk", start, end)
 
 
 def log_metrics(store: Store, df: DataFrame) -> None:
@@ -140,17 +146,20 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None) -> s
 
 
 def run_monitoring(store: Store, snapshot: str) -> dict[str, str]:
-    """Retrain decisions of a snapshot: from drift, then from performance where labels exist."""
+    """Retrain decisions of a snapshot: from drift, then from performance where labels exist.
+
+    Without predictions, drift records or labels both decisions are to pass.
+    """
     spark = store.spark
-    drift = tables.read_drift(spark, store.path("gold/drift"))
-    written = store.read("gold/predictions", snapshot, snapshot)
+    drift = tables.read_drift(spark, store.path("gold/drift"), snapshot=snapshot)
+    written = store.read("gold/predictions", snapshot, snapshot, PREDICTION_SCHEMA)
     dated = drift.withColumn("snapshot_date", F.col("snapshot_date").cast("date")).join(
         written.groupBy("snapshot_date", "model_id").agg(F.max("written_at").alias("written_at")),
         ["snapshot_date", "model_id"])
     wanted = spark.range(1).select(as_date(snapshot).alias("snapshot_date"))
     by_drift = drift_decision(dated, wanted).first()["decision"]
     records = write_and_reread(
-        monitoring.performance_records(written, store.read("gold/labels", snapshot, snapshot)), "performance")
+        monitoring.performance_records(written, store.read("gold/labels", snapshot, snapshot, LABEL_SCHEMA)), "performance")
     log_metrics(store, monitoring.performance_metrics(records))
     row = records.first()
     return {"drift": by_drift, "performance": row["decision"] if row else "pass"}

@@ -11,8 +11,13 @@ PREFIX = 3
 
 
 def _key_order(keys, seed: int) -> Column:
-    """Pseudo-random order of the rows: the hash of the key, then the key."""
-    text = "concat_ws('|', " + ", ".join(f"string(`{k}`)" for k in keys) + ")"
+    """Pseudo-random order of the rows: the hash of the key, then the key.
+
+    Parts of a key are set apart by bars; bars and backslashes inside a part are
+    escaped and NULL is written as \\N, so different keys never read the same.
+    """
+    part = r"coalesce(replace(replace(string(`{}`), r'\', r'\\'), '|', r'\|'), r'\N')"
+    text = "concat_ws('|', " + ", ".join(part.format(k) for k in keys) + ")"
     return F.expr(f"struct(md5(concat('{seed}|', {text})) as hash, {text} as key)")
 
 

@@ -59,4 +59,9 @@ BASELINE_JSON_SCHEMA = (
     "score_expected array<double>, feature_bins map<string,array<double>>, "
     "feature_expected map<string,array<double>>"
 )
+PREDICTION_SCHEMA = (
+    "Customer_ID string, model_predictions double, model_name string, model_id string, snapshot_date date, "
+    "written_at timestamp"
+)
+LABEL_SCHEMA = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
 METRIC_SCHEMA = "metric string, snapshot_date date, model_id string, value double, logged_at timestamp"

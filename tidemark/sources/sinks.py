@@ -2,22 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.sources.schemas import DRIFT_SCHEMA, METRIC_SCHEMA
 
 
-def write_snapshots(df: DataFrame, root: str, by=("snapshot_date",)) -> None:
-    """Overwrite the partitions present in `df`.
+def write_snapshots(df: DataFrame, root: str, by=("snapshot_date",), start=None, end=None) -> None:
+    """Overwrite the partitions present in `df`, and with `start` and `end` all snapshots between them.
 
     The rebalance brings the rows of one partition together for few output
-    files and still splits a partition that is larger than the others.
+    files and still splits a partition that is larger than the others. A stored
+    snapshot from `start` to `end` that got no row is overwritten with an empty
+    table; which ones got rows is observed during the write.
     """
+    spark, ranged = df.sparkSession, start is not None and end is not None
+    seen = Observation()
+    rows = df.observe(seen, F.collect_set(F.col("snapshot_date").cast("string")).alias("dates")) if ranged else df
     (
-        df.hint("rebalance", *by).write.partitionBy(*by)
+        rows.hint("rebalance", *by).write.partitionBy(*by)
         .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
     )
+    if ranged:
+        # Partition values only: at most one row per snapshot.
+        try:
+            stored = spark.read.parquet(root)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return
+        kept = stored.filter(F.col("snapshot_date").between(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")))
+        body = StructType([f for f in stored.schema if f.name not in by])
+        for row in kept.select(*by).distinct().collect():
+            if str(row["snapshot_date"]) not in seen.get["dates"]:
+                folder = "/".join(f"{c}={row[c]}" for c in by)
+                spark.createDataFrame([], body).write.mode("overwrite").parquet(f"{root}/{folder}")
 
 
 def write_predictions(df: DataFrame, root: str) -> None:
@@ -25,11 +46,11 @@ def write_predictions(df: DataFrame, root: str) -> None:
 
 
 def write_drift(df: DataFrame, root: str) -> None:
-    """Drift records as JSON lines, one folder per model and snapshot."""
+    """Drift records as JSON lines, one folder per snapshot; rewriting a snapshot replaces the records of all its models."""
     fields = [c.split()[0] for c in DRIFT_SCHEMA.split(", ")]
     (
-        df.select(*fields, F.col("model_id").alias("model"), F.col("snapshot_date").alias("snapshot"))
-        .write.partitionBy("model", "snapshot")
+        df.select(*fields, F.col("snapshot_date").alias("snapshot"))
+        .hint("rebalance", "snapshot").write.partitionBy("snapshot")
         .option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False)
         .mode("overwrite").json(root)
     )

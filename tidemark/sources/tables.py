@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.dates import as_date, month_start
 from tidemark.sources.schemas import BASELINE_JSON_SCHEMA, DRIFT_SCHEMA
@@ -29,8 +30,14 @@ def between_dates(df: DataFrame, start, end, column: str = "snapshot_date") -> D
 
 
 def read_snapshots(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
-    """A snapshot table, or the partitions from `start` to `end`; absent months give no rows."""
+    """A snapshot table, or the partitions from `start` to `end`; absent months give no rows.
+
+    A partition column model_id is text, also where all ids look like numbers.
+    """
     df = spark.read.parquet(root)
+    if "model_id" in df.columns and df.schema["model_id"].dataType != StringType():
+        df = spark.read.schema(StructType(
+            [StructField(f.name, StringType()) if f.name == "model_id" else f for f in df.schema])).parquet(root)
     if start is not None:
         df = df.filter(F.col("snapshot_date") >= as_date(start))
     if end is not None:
@@ -42,20 +49,32 @@ def empty_table(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_or_empty(spark: SparkSession, root: str, schema) -> DataFrame:
-    """A snapshot table, or no rows where the table was never written."""
+def read_or_empty(spark: SparkSession, root: str, schema, start=None, end=None) -> DataFrame:
+    """`read_snapshots`, or no rows where the table was never written."""
     try:
-        return read_snapshots(spark, root)
+        return read_snapshots(spark, root, start, end)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_table(spark, schema)
 
 
-def read_drift(spark: SparkSession, *paths: str) -> DataFrame:
-    """Drift records: one flat JSON object per file or per line."""
-    records = spark.read.schema(DRIFT_SCHEMA).option("multiLine", True).json(list(paths))
-    return records.select(*[field.split()[0] for field in DRIFT_SCHEMA.split(", ")])
+def read_drift(spark: SparkSession, *paths: str, snapshot=None, whole_files: bool = False) -> DataFrame:
+    """Drift records, one JSON object per line; with `whole_files` each file is one object over any number of lines.
+
+    With `snapshot` only the folder of that snapshot is read. Paths that do not
+    exist hold no records.
+    """
+    fields = [field.split()[0] for field in DRIFT_SCHEMA.split(", ")]
+    try:
+        records = spark.read.schema(DRIFT_SCHEMA + ", snapshot string").option("multiLine", whole_files).json(list(paths))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_table(spark, DRIFT_SCHEMA)
+    if snapshot is not None:
+        records = records.filter(F.col("snapshot") == F.lit(str(snapshot)))
+    return records.select(*fields)
 
 
 def read_baseline_json(spark: SparkSession, *paths: str) -> DataFrame:
