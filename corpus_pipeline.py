@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, langid, mixing, quality, simhash
-from tidemark.session import workers_import, write_and_reread
+from tidemark.llm.common import prepare
+from tidemark.session import write_and_reread
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 SHINGLE, DISTANCE = 3, 2
@@ -21,31 +22,31 @@ SHINGLE, DISTANCE = 3, 2
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the plain limits and are no outliers of their language and source."""
-    workers_import(spark)
+    prepare(spark)
     return quality.keep_good(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
-    workers_import(spark)
+    prepare(spark)
     return langid.keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document, by doc_id, of each group of near-duplicates."""
-    workers_import(spark)
+    prepare(spark)
     return simhash.keep_first(docs, SHINGLE, DISTANCE)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per copy that the curriculum takes, in training order."""
-    workers_import(spark)
+    prepare(spark)
     return mixing.training_order(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, with their count and checksums of ids and decoded text."""
-    workers_import(spark)
+    prepare(spark)
     return bpe.digests(docs, VOCABULARY, with_ids=True)
 
 

@@ -8,11 +8,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import write_and_reread
+from tidemark.session import workers_import, write_and_reread
 
 # Fixed value: a word is a run of anything but the six ASCII white-space characters, as bytes.split() cuts.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 8 << 20
+BATCH_BYTES = "16m"
+
+
+def prepare(spark) -> None:
+    """Let Python workers import the package, and hand them texts in batches of 16 MB, as they hold a batch several times over."""
+    workers_import(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def word_count(text) -> Column:
@@ -34,6 +41,12 @@ def slices(batch, column: str, most: int = SLICE_BYTES):
         yield batch.slice(a, b - a)
 
 
+def each_text(array, most: int = SLICE_BYTES):
+    """Texts of an Arrow column one by one, as UTF-8 bytes or None, copied from the column a slice at a time."""
+    for part in slices(pa.RecordBatch.from_arrays([array], ["text"]), "text", most):
+        yield from as_bytes(part.column("text"))
+
+
 def gather_runs(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """flat[starts[i] : starts[i] + lengths[i]] of all i in one array."""
     before = np.cumsum(lengths) - lengths

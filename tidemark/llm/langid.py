@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import each_text
+
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -95,8 +97,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     def run(batches):
         sums: dict = {}
         for batch in batches:
-            for t, name in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                found = gram_counts(t, bits=bits)
+            for t, name in zip(each_text(batch.column("text")), batch.column("lang").to_pylist()):
+                found = gram_counts(t.decode(), bits=bits)
                 if found is not None:
                     sums[name] = found if name not in sums else sums[name] + found
         for name, found in sums.items():
@@ -122,7 +124,7 @@ def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def of(column: pa.Array) -> pa.Array:
-        found = [shared.value.predict(t) for t in column.to_pylist()]
+        found = [shared.value.predict(None if t is None else t.decode()) for t in each_text(column)]
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
             ["lang_pred", "score"])

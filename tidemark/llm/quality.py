@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import as_bytes
+from tidemark.llm.common import each_text
 from tidemark.session import write_and_reread
 
 # The characters that count as symbols, and the words in a window.
@@ -59,7 +59,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     @F.arrow_udf(schema)
     def of(column: pa.Array) -> pa.Array:
-        found = np.array([counts(t) for t in as_bytes(column)], dtype=np.int64).reshape(-1, len(COUNTS))
+        found = np.array([counts(t) for t in each_text(column)], dtype=np.int64).reshape(-1, len(COUNTS))
         return pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(COUNTS))], COUNTS)
 
     # Told as not repeatable, so that a filter on the counts is not moved below and the texts are counted once.

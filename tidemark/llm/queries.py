@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tidemark.llm import ann, bpe, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
-from tidemark.session import workers_import, write_and_reread
+from tidemark.llm.common import prepare
+from tidemark.session import write_and_reread
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark, folder, table):
-    workers_import(spark)
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from tidemark.llm.common import as_bytes
+from tidemark.llm.common import each_text
 from tidemark.session import write_and_reread
 
 BITS = 64
@@ -46,7 +46,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = 3, text: str = "text", name
 
     @F.arrow_udf("long")
     def of(column: pa.Array) -> pa.Array:
-        return pa.array([fingerprint(t, shingle) for t in as_bytes(column)], pa.int64())
+        return pa.array([fingerprint(t, shingle) for t in each_text(column)], pa.int64())
 
     return docs.withColumn(name, of(text))
 
