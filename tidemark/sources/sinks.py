@@ -20,11 +20,10 @@ def write_snapshots(df: DataFrame, root: str, by=("snapshot_date",), start=None,
     """
     spark, ranged = df.sparkSession, start is not None and end is not None
     seen = Observation()
-    rows = df.observe(seen, F.collect_set(F.col("snapshot_date").cast("string")).alias("dates")) if ranged else df
-    (
-        rows.hint("rebalance", *by).write.partitionBy(*by)
-        .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
-    )
+    rows = df.hint("rebalance", *by)
+    if ranged:  # above the rebalance, as what lies below is taken out of the plan where there are no rows at all
+        rows = rows.observe(seen, F.collect_set(F.col("snapshot_date").cast("string")).alias("dates"))
+    rows.write.partitionBy(*by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root)
     if ranged:
         # Partition values only: at most one row per snapshot.
         try:
