@@ -5,48 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounded import checked_small
 
-HOT_ROWS = 2_000_000
-SALTS = 32
-TRACKED = 8_192
-MOST_HOT = 1_000
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that fill at least `hot_rows` rows, at most MOST_HOT of them.
-
-    A frequent-items sketch finds them in one pass without shuffling the keys.
-    A key it leaves out is joined the usual way, so the sketch only decides the
-    route of a key, never the result.
-    """
-    top = F.expr(f"approx_top_k(`{key}`, {MOST_HOT}, {TRACKED})")
-    return (
-        df.filter(F.col(key).isNotNull()).agg(F.explode(top).alias("item"))
-        .filter(F.col("item.count") >= hot_rows)
-        .select(F.col("item.item").alias(key))
-    )
-
-
-def left_join(left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """`left` with all matches of `right`, NULLs where there is none.
 
-    Adaptive execution splits a key that is hot on the left of an outer join,
-    but not one that is hot on the right. Keys hot on the right have a match by
-    definition, so their rows take a salted inner join that many tasks share;
-    identical copies get one salt, and adaptive execution may split those.
+    Adaptive execution splits a key of an outer join only on its left, but a key
+    of an inner join on either side. So matches come from an inner join, and
+    rows without one from an anti join against the distinct keys, whatever the
+    sizes are.
     """
-    hot = checked_small(hot_keys(right, key, hot_rows), MOST_HOT)
-    if hot.isEmpty():
-        return left.join(right, key, "left")
-    plain = left.join(hot, key, "left_anti").join(right.join(hot, key, "left_anti"), key, "left")
-
-    salted_left = left.join(hot, key, "left_semi").withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    others = [c for c in right.columns if c != key]
-    salted_right = right.join(hot, key, "left_semi").withColumn(
-        "__salt", F.pmod(F.xxhash64(*(others or [key])), F.lit(SALTS)).cast("int")
-    )
-    salted = salted_left.join(salted_right, [key, "__salt"]).drop("__salt")
-    return plain.unionByName(salted.select(*plain.columns))
+    matched = left.join(right, key)
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
+    return matched.unionByName(alone.select("*", *empty))

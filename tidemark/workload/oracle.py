@@ -35,8 +35,8 @@ SELECT CAST(snapshot_date AS DATE) AS snapshot_date, count(*) AS rows FROM raw_l
 WHERE snapshot_date BETWEEN '2000-06-01' AND '2000-06-30' GROUP BY 1""", s.RAW_LOANS)
 
 sql("bronze_sources", "\nUNION ALL\n".join(
-    f"SELECT '{name}' AS source, count(*) AS rows, count(DISTINCT CAST(snapshot_date AS DATE)) AS snapshots "
-    f"FROM raw_{name if name != 'clickstream' else 'clicks'} WHERE year(CAST(snapshot_date AS DATE)) = 1998"
+    f"SELECT '{name}' AS source, CAST(snapshot_date AS DATE) AS snapshot_date, count(*) AS rows "
+    f"FROM raw_{name if name != 'clickstream' else 'clicks'} GROUP BY 2"
     for name in ("loans", "clickstream", "attributes", "financials")),
     s.RAW_LOANS, s.RAW_CLICKS, s.RAW_ATTRIBUTES, s.RAW_FINANCIALS)
 
@@ -45,7 +45,7 @@ sql("raw_csv", """SELECT * REPLACE (CAST(snapshot_date AS DATE) AS snapshot_date
 
 sql("snapshot_rewrite", """
 SELECT event_id, "Customer_ID", CASE WHEN snapshot_date = DATE '1999-03-01' THEN -1 ELSE fe_1 END AS fe_1, snapshot_date
-FROM silver_clicks WHERE snapshot_date BETWEEN DATE '1999-02-01' AND DATE '1999-04-01'""", s.SILVER_CLICKS)
+FROM silver_clicks WHERE snapshot_date <> DATE '1999-05-01'""", s.SILVER_CLICKS)
 
 sql("snapshot_catalogue", """
 SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
@@ -129,11 +129,7 @@ scaffold AS (
 
 sql("engagement_pivot", "SELECT * FROM panel", _PANEL)
 sql("engagement_scaffold", "SELECT * FROM scaffold", s.SILVER_CLICKS, _SCAFFOLD)
-_STORE_COLUMNS = ["Customer_ID", "snapshot_date", *[f"click_{i}m" for i in range(1, 7)]]
-sql("engagement_store", " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count(*) AS n_rows, count("{c}") AS n_known, count(*) - count("{c}") AS n_missing
-FROM store""" for c in _STORE_COLUMNS), _PANEL, _SCAFFOLD,
-    "store AS (SELECT * FROM panel UNION ALL SELECT * FROM scaffold)")
+sql("engagement_store", "SELECT * FROM panel UNION ALL BY NAME SELECT * FROM scaffold", _PANEL, _SCAFFOLD)
 
 sql("daily_panel", """
 SELECT user_id, CAST(day + to_days(CAST(i AS INTEGER)) AS DATE) AS day,
@@ -305,8 +301,7 @@ def even_edges(source: str, bins: int) -> str:
 
 _PRICES = """SELECT feature, year(o_orderdate) < 1999 AS is_base, value FROM (
   SELECT 'o_totalprice' AS feature, o_orderdate, o_totalprice AS value FROM orders
-  UNION ALL SELECT 'o_custkey', o_orderdate, CAST(o_custkey AS DOUBLE) FROM orders)
-  WHERE year(o_orderdate) <> 1999"""
+  UNION ALL SELECT 'o_custkey', o_orderdate, CAST(o_custkey AS DOUBLE) FROM orders)"""
 
 sql("psi_two_sample", f"""
 SELECT feature, {fixed('edges', 4)} AS edges, round(psi, 8) + 0.0 AS psi
@@ -317,7 +312,7 @@ sql("psi_equal_width", "SELECT feature, round(psi, 8) + 0.0 AS psi FROM psi",
 
 _PERIODS = "SELECT feature, is_base, value FROM (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, year(l_shipdate) < 1998 AS is_base, {c} AS value, l_shipdate FROM lineitem"
-    for c in MEASURES) + ") WHERE year(l_shipdate) NOT IN (1998, 1999)"
+    for c in MEASURES) + ")"
 
 sql("csi_features", "SELECT feature, round(psi, 8) + 0.0 AS psi FROM psi",
     binned_psi(_PERIODS, quantile_edges("samples")))
@@ -438,8 +433,11 @@ SELECT metric, snapshot_date, model_id, round(value, 6) + 0.0 AS value FROM (
   UNION ALL SELECT 'ml_gini_threshold', snapshot_date, model_id, 0.3 FROM perf) WHERE value IS NOT NULL""", _PERF)
 
 sql("prediction_store", """
-SELECT "Customer_ID", snapshot_date, model_id, written_at FROM predictions
-WHERE year(snapshot_date) = 1999 AND model_id = 'model_1' AND model_predictions IS NOT NULL""", s.PREDICTIONS)
+SELECT "Customer_ID", snapshot_date, replace(model_id, 'model_', '00') AS model_id,
+  round(model_predictions, 6) + 0.0 AS model_predictions, written_at FROM predictions""", s.PREDICTIONS)
+
+sql("hot_key_join", """
+SELECT o_orderstatus, o_orderkey FROM orders UNION ALL SELECT 'none', NULL""")
 
 sql("any_known", "SELECT count(label) > 0 AS found FROM order_labels", s.ORDER_LABELS)
 

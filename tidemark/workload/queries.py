@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, encode, text
 from tidemark.operators import decisions, ranking, stability, stratify, summary
+from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import scratch_path, write_and_reread
@@ -90,9 +91,7 @@ def bronze_sources(spark, folder):
     raw = {"loans": s.raw_loans, "clickstream": s.raw_clicks, "attributes": s.raw_attributes,
            "financials": s.raw_financials}
     parts = [
-        bronze.bronze(build(spark, folder), "1998-01-01", "1998-12-31")
-        .groupBy(F.lit(name).alias("source")).agg(F.count("*").alias("rows"),
-                                                  F.count_distinct("snapshot_date").alias("snapshots"))
+        bronze.bronze(build(spark, folder)).groupBy(F.lit(name).alias("source"), "snapshot_date").agg(F.count("*").alias("rows"))
         for name, build in raw.items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
@@ -113,7 +112,9 @@ def snapshot_rewrite(spark, folder):
     sinks.write_snapshots(rows, path)
     again = tables.one_snapshot(rows, "1999-03-01").withColumn("fe_1", F.lit(-1))
     sinks.write_snapshots(again, path)
-    return tables.read_snapshots(spark, path, "1999-02-01", "1999-04-01")
+    none = tables.one_snapshot(rows, "1999-05-01").filter("event_id < 0")
+    sinks.write_snapshots(none, path, start="1999-05-01", end="1999-05-01")
+    return tables.read_snapshots(spark, path)
 
 
 @query
@@ -227,8 +228,7 @@ def engagement_scaffold(spark, folder):
 
 @query
 def engagement_store(spark, folder):
-    store = gold.engagement_store(silver.clickstream(s.raw_clicks(spark, folder)), *PANEL, order="event_id")
-    return summary.column_counts(store)
+    return gold.engagement_store(silver.clickstream(s.raw_clicks(spark, folder)), *PANEL, order="event_id")
 
 
 @query
@@ -251,9 +251,8 @@ def risk_store(spark, folder):
 
 @query
 def month_calendar(spark, folder):
-    span = orders(spark, folder).agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-    months = F.sequence(F.trunc("a", "MM"), F.to_date("b"), F.expr("interval 1 month"))
-    return span.select(F.explode(months).alias("snapshot_date")).select(
+    first, last = orders(spark, folder).agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    return dates.month_calendar(spark, first, last).select(
         "snapshot_date", dates.is_quarter_month(F.col("snapshot_date")).alias("quarter"),
         dates.path_suffix(F.col("snapshot_date")).alias("suffix"))
 
@@ -326,6 +325,14 @@ def standardise(spark, folder):
     return rounded(summary.standardise(measures, MEASURES, summary.scaling_moments(measures, MEASURES)), *MEASURES)
 
 
+@query
+def hot_key_join(spark, folder):
+    """Few keys on the left, each with a large part of the rows on the right, and one without a match."""
+    right = orders(spark, folder).select("o_orderstatus", "o_orderkey")
+    left = right.select("o_orderstatus").distinct().unionByName(spark.range(1).select(F.lit("none").alias("o_orderstatus")))
+    return left_join(left, right, "o_orderstatus")
+
+
 # --- statistics ----------------------------------------------------------------------------------------
 
 @query
@@ -378,9 +385,7 @@ def balanced_accuracy(spark, folder):
 
 
 def _price_periods(spark, folder):
-    year = F.year("o_orderdate")
-    is_base = F.when(year < 1999, True).when(year >= 2000, False)
-    return orders(spark, folder), is_base
+    return orders(spark, folder), F.year("o_orderdate") < 1999
 
 
 @query
@@ -398,8 +403,7 @@ def psi_equal_width(spark, folder):
 
 
 def _measure_periods():
-    year = F.year("l_shipdate")
-    return F.when(year < 1998, True).when(year >= 2000, False)
+    return F.year("l_shipdate") < 1998
 
 
 @query
@@ -492,9 +496,9 @@ def perf_breach(spark, folder):
 @query
 def prediction_store(spark, folder):
     path = scratch_path(spark, "predictions")
-    sinks.write_predictions(s.predictions(spark, folder), path)
-    stored = tables.read_snapshots(spark, path, "1999-01-01", "1999-12-01").filter("model_id = 'model_1'")
-    return stored.dropna(subset=["model_predictions"]).select("Customer_ID", "snapshot_date", "model_id", "written_at")
+    digits = F.replace("model_id", F.lit("model_"), F.lit("00"))
+    sinks.write_predictions(s.predictions(spark, folder).withColumn("model_id", digits), path)
+    return rounded(tables.read_snapshots(spark, path), "model_predictions")
 
 
 @query
