@@ -42,12 +42,6 @@ def test_quantiles_equal_numpy(wide, accuracy):
         assert r.quantiles == pytest.approx(np.quantile(SAMPLES[r.feature], np.linspace(0, 1, 11)), rel=1e-12, abs=1e-12)
 
 
-def test_wide_intervals_get_finer_fences(wide, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.quantiles.SORTED_VALUES", 60)
-    r = exact_quantiles(wide, ["spread"], [0.5], accuracy=20).first()
-    assert r.quantiles == pytest.approx([np.quantile(SAMPLES["spread"], 0.5)])
-
-
 def test_discrete_quantile_per_group(wide):
     pdf = wide.select("g", "ties").toPandas()
     for r in exact_quantiles(wide, ["ties"], [0.0, 0.5, 0.97, 1.0], ["g"], "disc").collect():
@@ -75,10 +69,36 @@ def test_approximate_cap(wide):
     assert low <= cap <= high
 
 
-def test_a_longer_summary_is_joined_by_shuffle(wide, monkeypatch):
-    many = exact_quantiles(wide, ["spread"], [0.5], ["g"]).collect()
-    monkeypatch.setattr(bounded, "SMALL_ROWS", 0)
-    assert sorted(exact_quantiles(wide, ["spread"], [0.5], ["g"]).collect()) == sorted(many)
+@pytest.fixture
+def many_parts(spark):
+    """Shuffles keep all their partitions, and no summary is broadcast."""
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_quantiles_over_many_parts(wide, many_parts):
+    r = exact_quantiles(wide, ["spread"], [0.1, 0.5], accuracy=10).first()
+    assert r.quantiles == pytest.approx(np.quantile(SAMPLES["spread"], [0.1, 0.5]))
+
+
+def test_running_total(spark, many_parts):
+    rows = [(g, i, int(n)) for g in ("a", "b", None) for i, n in enumerate(RNG.integers(0, 9, 200))]
+    df = spark.createDataFrame(rows, "g string, i int, n long").repartition(5)
+    for by, order in ((["g"], "i"), ([], "at")):
+        found = bounded.running_total(df.withColumn("at", F.struct("g", "i")), by, order, "n", "upto").collect()
+        seen = {}
+        for r in sorted(found, key=lambda r: (r.g is not None, r.g or "", r.i)):
+            key = r.g if by else 0
+            seen[key] = seen.get(key, 0) + r.n
+            assert r.upto == seen[key]
+        assert len(found) == len(rows)
+    assert bounded.running_total(df.filter("n < 0"), ["g"], "i", "n", "upto").collect() == []
 
 
 def numpy_psi(base, target, bins=10, quantiles=True):
@@ -163,12 +183,11 @@ def test_auc(spark):
     assert rounded.gini == pytest.approx(0.167)
 
 
-@pytest.mark.parametrize("parts", [2, 4, 64])
-def test_auc_equals_pairs(spark, parts):
+def test_auc_equals_pairs(spark, many_parts):
     for scores in (np.round(RNG.random(300), 2), RNG.random(300), np.where(RNG.random(300) < 0.4, 0.5, RNG.random(300))):
         labels = (RNG.random(300) < scores * 0.7 + 0.1).astype(int)
         df = spark.createDataFrame([(float(s), int(y)) for s, y in zip(scores, labels)], "s double, y int")
-        assert ranking.roc_auc(df, "s", "y", parts=parts).first().auc == pytest.approx(pair_auc(scores, labels))
+        assert ranking.roc_auc(df, "s", "y").first().auc == pytest.approx(pair_auc(scores, labels))
 
 
 def test_auc_of_one_class(spark):

@@ -34,14 +34,6 @@ def histogram_bin(value: str, bins: str, max_edges: int) -> Column:
     return F.expr(f"if({inside}, least({reached_sql(value, max_edges)}, {bins}), null)")
 
 
-def searched(value: str, edges: str, max_edges: int) -> Column:
-    """How many elements of a long sorted array are <= value, by halving step widths."""
-    widths = ", ".join(str(1 << k) for k in reversed(range(max_edges.bit_length())))
-    return F.expr(
-        f"aggregate(array({widths}), 0, "
-        f"(at, w) -> if(coalesce(get({edges}, at + w - 1) <= {value}, false), at + w, at))")
-
-
 def even_edges(low: str, high: str, bins: int) -> Column:
     """Edges of `bins` bins of one width between low and high."""
     return F.expr(

@@ -1,34 +1,23 @@
-"""Joins against small lookup tables."""
+"""Per-group summaries, joins against them, and running totals."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 20_000
+from tidemark.session import write_and_reread
 
 
-def read_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, pa.Table | None]:
-    """`checked_small` with the rows that were read, or None where there are too many."""
-    most = SMALL_ROWS if max_rows is None else max_rows
-    head = df.limit(most + 1).toArrow()
-    if head.num_rows > most:
-        return df, None
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema)), head
+def stored(df: DataFrame) -> DataFrame:
+    """A per-group summary, written once.
 
-
-def checked_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """A per-group summary as a local table to broadcast, once it is seen to hold few rows.
-
-    The summary runs here and now, and at most `max_rows` + 1 of its rows reach
-    the driver; later steps read the local rows instead of running it again. A
-    longer one comes back as it is: Spark then joins it by shuffle, with its own
-    skew handling.
+    Later steps read the written table instead of running the summary again. Its
+    size on disk is known to Spark, which broadcasts it in a join only below
+    spark.sql.autoBroadcastJoinThreshold.
     """
-    return read_small(df, max_rows)[0]
+    return write_and_reread(df, "summary")
 
 
 def lookup(df: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
@@ -60,3 +49,24 @@ def known_values(long: DataFrame) -> DataFrame:
 def feature_spine(spark, columns) -> DataFrame:
     """One row per listed column, for features that have no data at all."""
     return spark.createDataFrame([(c,) for c in columns], "feature string")
+
+
+def running_total(df: DataFrame, by, order: str, amount: str, name: str) -> DataFrame:
+    """Add `name`: the sum of `amount` over the rows of the group up to this one, in ascending order.
+
+    A range exchange cuts groups and order into parts of like size, so a large
+    group is ranked by many tasks; totals of the earlier parts, a row per group
+    and part, give the rest. The written table fixes the parts: a task that runs
+    again after an executor is lost meets the same ones. Rows are meant to be
+    distinct in group and order.
+    """
+    by = list(by)
+    placed = write_and_reread(
+        df.repartitionByRange(*by, order).withColumn("__part", F.spark_partition_id()), "placed")
+    earlier = Window.partitionBy(*by).orderBy("__part")
+    before = stored(
+        placed.groupBy(*by, "__part").agg(F.sum(amount).alias("__sum"))
+        .select(*by, "__part", (F.sum("__sum").over(earlier) - F.col("__sum")).alias("__before")))
+    upto = Window.partitionBy(*by, "__part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = placed.withColumn(name, F.sum(amount).over(upto))
+    return lookup(here, before, [*by, "__part"]).withColumn(name, F.col(name) + F.col("__before")).drop("__part", "__before")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import is_quarter_month, month_start
 from tidemark.functions.text import all_digits, model_id_of_file, model_id_of_uri, uri_part
-from tidemark.operators.bounded import checked_small, lookup
+from tidemark.operators.bounded import lookup, stored
 
 PSI_LIMIT = 0.25
 CSI_LIMIT = 0.25
@@ -146,7 +146,7 @@ def newest_predictions(predictions: DataFrame, written_at: str = "written_at") -
     """The prediction rows of the last-written model of each snapshot."""
     written = predictions.groupBy("snapshot_date", "model_id").agg(F.max(written_at).alias("at"))
     pick = latest_by(written, ["snapshot_date"], ["at", "model_id"]).select("snapshot_date", "model_id")
-    return predictions.join(checked_small(pick), ["snapshot_date", "model_id"], "left_semi")
+    return predictions.join(stored(pick), ["snapshot_date", "model_id"], "left_semi")
 
 
 def missing_snapshots(expected: DataFrame, present: DataFrame, column: str = "snapshot_date") -> DataFrame:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.bins import edge_columns, edges_reached
 from tidemark.functions.numeric import capped
-from tidemark.operators.bounded import checked_small, known_values, lookup, read_small, to_long
+from tidemark.operators.bounded import known_values, lookup, running_total, stored, to_long
 
 SKETCH_ACCURACY = 2_000
-FINEST_ACCURACY = 200_000
-SORTED_VALUES = 10_000_000
 
 
 def even_probabilities(bins: int) -> list[float]:
@@ -35,11 +32,6 @@ def _positions(probs, method: str) -> str:
     return f"transform({_doubles(probs)}, p -> {one})"
 
 
-def _highest(read, column: str) -> int:
-    """Maximum of a column that was read; 0 without rows, or where there were too many to read."""
-    return (pc.max(read[column]).as_py() or 0) if read is not None else 0
-
-
 # Between two neighbours, from the nearer one.
 _INTERPOLATED = """transform(places, x -> if(x.weight >= 0.5D,
     at[x.high] - (at[x.high] - at[x.low]) * (1 - x.weight),
@@ -55,11 +47,10 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     column without values has no row.
 
     One pass sketches a narrow fence around each probability, a second counts
-    the rows between the fences, a third sorts only the values inside the few
-    intervals that hold a wanted rank. Ranks come from the counts, so the result
-    is exact whatever the sketch says; the sketch only keeps the last pass small.
-    Where an interval would leave more than SORTED_VALUES different values to one
-    task, the fences are set again with a finer sketch.
+    the rows between the fences, a third ranks only the values inside the few
+    intervals that hold a wanted rank, over as many tasks as their size asks
+    for. Ranks come from the counts, so the result is exact whatever the sketch
+    says; the sketch only keeps the last pass small. All passes read `df`.
     `by` is meant for calendar or model keys: the per-group tables have one row
     per group and column.
     """
@@ -69,45 +60,33 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     fence_at = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     long = known_values(to_long(df, by, columns))
 
-    fences, read = read_small(long.groupBy(*keys).agg(
+    fences = stored(long.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.expr(f"percentile_approx(value, {_doubles(fence_at)}, {accuracy})").alias("fences"),
     ))
-    # Intervals hold about 2 * margin of the rows, so only a very long column can have one that is too wide.
-    watch = accuracy < FINEST_ACCURACY and _highest(read, "n") * 2 * margin > SORTED_VALUES
 
     def slotted(side):
         wide = edge_columns(side, "fences", len(fence_at))
         return lookup(long, wide, keys).withColumn("slot", edges_reached("value", len(fence_at)))
 
     counts = (
-        slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot")
-        .agg(F.count("*").alias("rows"),
-             (F.approx_count_distinct("value") if watch else F.lit(0).cast("long")).alias("values"))
-        .groupBy(*keys).agg(
-            F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"),
-            F.expr("map_from_entries(collect_list(struct(slot, values)))").alias("different"))
+        slotted(fences.select(*keys, "fences")).groupBy(*keys, "slot").agg(F.count("*").alias("rows"))
+        .groupBy(*keys).agg(F.expr("map_from_entries(collect_list(struct(slot, rows)))").alias("filled"))
     )
     # Rank r lies in the interval that starts at the last fence with fewer than r rows below it.
-    groups = (
+    groups = stored(
         lookup(counts, fences, keys)
         .withColumn("below", F.expr("""transform(fences, (f, i) ->
             aggregate(sequence(0, i), 0L, (sum, s) -> sum + coalesce(try_element_at(filled, s), 0L)))"""))
         .withColumn("places", F.expr(_positions(probs, method)))
         .withColumn("ranks", F.expr("array_distinct(concat(places.low, places.high))"))
         .withColumn("slots", F.expr("array_distinct(transform(ranks, r -> size(filter(below, b -> b < r))))"))
-        .withColumn("widest", F.expr("array_max(transform(slots, s -> different[s]))"))
-        .drop("filled", "different")
+        .drop("filled")
     )
-    groups, read = read_small(groups)
-    if watch and _highest(read, "widest") > SORTED_VALUES:
-        return exact_quantiles(df, columns, probs, by, method, min(accuracy * 10, FINEST_ACCURACY))
 
     inside = slotted(groups.select(*keys, "fences", "slots")).filter("array_contains(slots, slot)")
     distinct = inside.groupBy(*keys, "slot", "value").agg(F.count("*").alias("rows"))
-    running = Window.partitionBy(*keys, "slot").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = distinct.withColumn("upto", F.sum("rows").over(running))
+    ranked = running_total(distinct, [*keys, "slot"], "value", "rows", "upto")
     found = lookup(ranked, groups.select(*keys, "n", "below", "ranks", "places"), keys).withColumn(
         "upto", F.expr("upto + if(slot = 0, 0L, below[slot - 1])"))
     return (
@@ -137,7 +116,7 @@ def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_da
     else:
         found = exact_quantiles(source, columns, [prob], by, "disc", accuracy)
     cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
-    caps = checked_small(found.groupBy(*by).agg(cap))
+    caps = stored(found.groupBy(*by).agg(cap))
     return lookup(df, caps, by, "left").withColumns(
         {c: capped(F.col(c), F.element_at("__caps", F.lit(c))) for c in columns}
     ).drop("__caps")

@@ -2,45 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.bins import searched
 from tidemark.functions.numeric import drop_nan, gini
-from tidemark.operators.bounded import checked_small, lookup
-from tidemark.operators.quantiles import SKETCH_ACCURACY
+from tidemark.operators.bounded import running_total
 
 
-def roc_auc(df: DataFrame, score: str, label: str, by=(), parts: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, by=()) -> DataFrame:
     """(by..., n_pos, n_neg, auc) with ties counted half; NULL when a class is absent.
 
-    Rows are first counted per distinct score. A sketch cuts the score range
-    into `parts` slots; negatives below a score are the negatives of the lower
-    slots plus a running count inside the slot, so no task sorts a whole group.
+    Rows are first counted per distinct score; a running total of the negatives
+    over the ascending scores then tells how many each positive beats.
     """
     by = list(by)
-    parts = parts or (256 if by else 2048)
-    accuracy = max(SKETCH_ACCURACY, 4 * parts)
     rows = df.select(*by, drop_nan(F.col(score)).alias("score"), F.col(label).cast("int").alias("label"))
     rows = rows.dropna(subset=["score", "label"])
-    at = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
-    cuts = rows.groupBy(*by).agg(F.expr(f"percentile_approx(score, array({at}), {accuracy})").alias("cuts"))
     counted = rows.groupBy(*by, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    counted = lookup(counted, checked_small(cuts) if by else cuts, by).select(
-        *by, "score", "pos", "neg", searched("score", "cuts", parts - 1).alias("slot"))
-    lower = Window.partitionBy(*by, "slot").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    beaten = F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") / 2
-    per_slot = (
-        counted.withColumn("won", F.col("pos") * beaten)
-        .groupBy(*by, "slot").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "won")])
-    )
-    # At most `parts` rows per group from here on.
-    below = Window.partitionBy(*by).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))
-    won = F.col("won") + F.col("pos").cast("double") * neg_below
+    ranked = running_total(counted, by, "score", "neg", "upto")
+    won = F.col("pos") * (F.col("upto") - F.col("neg") / 2)
     return (
-        per_slot.withColumn("won", won).groupBy(*by)
-        .agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum("won").alias("won"))
+        ranked.groupBy(*by)
+        .agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(won).alias("won"))
         .withColumn("auc", F.try_divide("won", F.col("n_pos").cast("double") * F.col("n_neg")))
         .drop("won")
     )

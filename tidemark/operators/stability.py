@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.bins import edge_columns, even_bin, even_edges, histogram_bin
 from tidemark.functions.numeric import SHARE_FLOOR
-from tidemark.operators.bounded import checked_small, feature_spine, known_values, lookup, to_long
+from tidemark.operators.bounded import feature_spine, known_values, lookup, stored, to_long
 from tidemark.operators.quantiles import even_probabilities, exact_quantiles
 
 
@@ -73,7 +73,7 @@ def even_ranges(df: DataFrame, columns, bins: int, by=()) -> DataFrame:
 
 def even_histogram(df: DataFrame, columns, bins: int = 30) -> DataFrame:
     """(feature, bin, bin_low, bin_high, rows) with every bin, empty ones too."""
-    span = checked_small(even_ranges(df, columns, bins))
+    span = stored(even_ranges(df, columns, bins))
     binned = lookup(known_values(to_long(df, (), columns)), span.select("feature", "low", "high"), ["feature"])
     counts = bin_counts(binned.select("feature", even_bin("value", "low", "high", bins).alias("bin")), ["feature"])
     wide = lookup(counts, span, ["feature"]).withColumn("counts", counts_array("filled", str(bins)))
@@ -100,11 +100,11 @@ def psi_by_sample(df: DataFrame, columns, sample: str, base: str, others, bins:
     columns, spark = list(columns), df.sparkSession
     rows = df.select(F.col(sample).alias("sample"), *columns).filter(F.col("sample").isin(base, *others))
     if edges is None:
-        edges = checked_small(quantile_edges(rows.filter(F.col("sample") == base), columns, bins).drop("n"))
+        edges = stored(quantile_edges(rows.filter(F.col("sample") == base), columns, bins).drop("n"))
     long = known_values(to_long(rows, ["sample"], columns))
     binned = lookup(long, _edge_side(edges, ["feature"], bins + 1), ["feature"]).select(
         "sample", "feature", histogram_bin("value", "bins", bins + 1).alias("bin"))
-    counts = checked_small(bin_counts(binned, ["sample", "feature"]))
+    counts = stored(bin_counts(binned, ["sample", "feature"]))
     is_base = F.col("sample") == base
     sides = counts.filter(~is_base).withColumnRenamed("filled", "target").join(
         counts.filter(is_base).select("feature", F.col("filled").alias("base")), "feature")
@@ -125,7 +125,7 @@ def psi_two_sample(df: DataFrame, columns, is_base: Column, bins: int = 10, use_
         rows = df.select(*columns, side.alias("__side"))
         return psi_by_sample(rows, columns, "__side", "base", ["target"], bins).drop("sample")
     rows = df.select(*columns, is_base.alias("is_base")).filter("is_base is not null")
-    edges = checked_small(even_ranges(rows, columns, bins))
+    edges = stored(even_ranges(rows, columns, bins))
     binned = lookup(known_values(to_long(rows, ["is_base"], columns)), edges.drop("edges"), ["feature"]).select(
         "is_base", "feature", even_bin("value", "low", "high", bins).alias("bin"))
     sides = bin_counts(binned, ["is_base", "feature"]).groupBy("feature").agg(
@@ -150,15 +150,15 @@ def monitoring_baseline(df: DataFrame, features, score: str | None = "score", bi
     """
     columns, by = [*features, *([score] if score else [])], list(by)
     keys = [*by, "feature"]
-    found = checked_small(quantile_edges(df, columns, bins, by).drop("n"))
+    found = quantile_edges(df, columns, bins, by).drop("n")
     spine = feature_spine(df.sparkSession, columns)
     if by:
-        groups = checked_small(df.select(*by).distinct())
+        groups = df.select(*by).distinct()
         spine = groups.select("*", F.explode(F.array(*[F.lit(c) for c in columns])).alias("feature"))
     edges = lookup(spine, found, keys, "left").withColumn("edges", F.expr("""
         case when edges is null then array(0.0D, 1.0D) when size(edges) < 2 then array(edges[0], edges[0])
              else edges end"""))
-    edges = checked_small(edges)
+    edges = stored(edges)
     counts = edge_histogram(df, columns, edges, by=by, edges_by=by, max_edges=bins + 1)
     kind = F.when(F.col("feature") == F.lit(score or ""), "score").otherwise("feature")
     return lookup(edges, counts, keys, "left").withColumn("filled", F.coalesce("filled", F.expr("map()"))).select(
@@ -172,8 +172,8 @@ def psi_against_baseline(df: DataFrame, columns, baseline: DataFrame, by=(), bas
     Only columns found in the baseline take part. A group without any value
     counts as evenly spread, as does one whose values all lie off the edges.
     """
-    stored = checked_small(baseline.select(*baseline_by, "metric_kind", "feature", "edges", "expected"))
-    counts = edge_histogram(df, columns, stored, by, baseline_by, max_edges)
-    joined = lookup(counts, stored, [*baseline_by, "feature"]).withColumn(
+    known = stored(baseline.select(*baseline_by, "metric_kind", "feature", "edges", "expected"))
+    counts = edge_histogram(df, columns, known, by, baseline_by, max_edges)
+    joined = lookup(counts, known, [*baseline_by, "feature"]).withColumn(
         "actual", shares("filled", "size(edges) - 1"))
     return joined.select(*by, "metric_kind", "feature", stability_index("expected", "actual").alias("psi"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounded import checked_small, lookup
+from tidemark.operators.bounded import lookup, running_total, stored
 
 PREFIX = 3
 
@@ -26,7 +26,7 @@ def _sections(df: DataFrame, label: str, keys, seed: int, limits: list[str]) ->
 
     `limits` are SQL expressions of n, the rows of the label. Rows of a label
     are ranked by key hash. Counting rows per hash prefix (16^3 per label) tells
-    which prefix holds each limit; only those prefixes are ranked key by key.
+    which prefix holds each limit; only those are ranked key by key, by many tasks.
     The keys at the limits then stand for the ranks: every row is compared with
     them in place, so the rows themselves are never shuffled. Rows that share a
     key stay in one section, so sizes are exact where the key is unique.
@@ -42,21 +42,20 @@ def _sections(df: DataFrame, label: str, keys, seed: int, limits: list[str]) ->
                 F.expr(f"filter(array({wanted}), w -> w.rank > upto - rows and w.rank <= upto) as wanted"))
         .filter("size(wanted) > 0")
     )
-    inside = checked_small(inside)
+    inside = stored(inside)
     # Counting per key first keeps any number of copies of one key to one row.
-    upto = F.sum("rows").over(Window.partitionBy(label, "prefix").orderBy("__at"))
     keyed = (
         lookup(marked.select(label, "__at", prefix), inside, [label, "prefix"], "left_semi")
-        .groupBy(label, "prefix", "__at").agg(F.count("*").alias("rows")).withColumn("upto", upto)
+        .groupBy(label, "prefix", "__at").agg(F.count("*").alias("rows"))
     )
     ends = (
-        lookup(keyed, inside, [label, "prefix"]).withColumn("upto", F.expr("upto + below"))
+        lookup(running_total(keyed, [label, "prefix"], "__at", "rows", "upto"), inside, [label, "prefix"]).withColumn("upto", F.expr("upto + below"))
         .select(label, "__at", F.expr("inline(filter(wanted, w -> w.rank > upto - rows and w.rank <= upto))"))
         .groupBy(label).agg(F.expr("map_from_entries(collect_list(struct(i, __at)))").alias("__ends"))
     )
     beyond = " + ".join(f"int(coalesce(__at > try_element_at(__ends, {i}), true))" for i in range(len(limits)))
     return (
-        lookup(marked, checked_small(ends), [label], "left")
+        lookup(marked, stored(ends), [label], "left")
         .withColumn("section", F.expr(beyond)).drop("__at", "__ends")
     )
 

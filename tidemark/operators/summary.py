@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.functions.numeric import drop_nan
-from tidemark.operators.bounded import checked_small, lookup
+from tidemark.operators.bounded import lookup
 from tidemark.operators.quantiles import exact_quantiles
 
 SCORE_PERCENTILES = (1, 5, 10, 50, 90, 95, 99)
@@ -51,7 +51,7 @@ def score_summary(df: DataFrame, score: str, by=()) -> DataFrame:
         F.min(value).alias("min"), F.max(value).alias("max"))
     q = exact_quantiles(df, [score], [p / 100 for p in SCORE_PERCENTILES], by)
     q = q.select(*by, *[F.get("quantiles", F.lit(i)).alias(f"p{p:02d}") for i, p in enumerate(SCORE_PERCENTILES)])
-    joined = lookup(plain, checked_small(q) if by else q, by, "left")
+    joined = lookup(plain, q, by, "left")
     names = ["mean", "std", "min", *[f"p{p:02d}" for p in SCORE_PERCENTILES], "max"]
     return joined.select(*by, "n", *names)
 

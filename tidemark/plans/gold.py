@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import as_date, months_before
 from tidemark.functions.encode import at_least
 from tidemark.functions.text import label_definition
-from tidemark.operators.bounded import checked_small
+from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.sources.schemas import RISK_FEATURES
 
@@ -62,7 +62,7 @@ def engagement_scaffold(clicks: DataFrame, start, end) -> DataFrame:
     ).select("snapshot_date").distinct()
     served = months.select(F.explode(F.transform(
         F.sequence(F.lit(1), F.lit(LOOK_BACK)), lambda i: F.add_months("snapshot_date", i))).alias("snapshot_date"))
-    without = checked_small(
+    without = stored(
         months.filter(F.col("snapshot_date") >= as_date(start)).join(served.distinct(), "snapshot_date", "left_anti"))
     customers = clicks.join(without, "snapshot_date", "left_semi").select("Customer_ID", "snapshot_date").distinct()
     return customers.select("*", *[F.lit(None).cast("int").alias(c) for c in CLICK_COLUMNS])

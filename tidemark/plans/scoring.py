@@ -14,7 +14,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.bounded import checked_small
+from tidemark.operators.bounded import stored
 from tidemark.operators.ranking import auc_and_gini, balanced_accuracy, positive_rate
 from tidemark.operators.stability import psi_by_sample, quantile_edges
 from tidemark.operators.summary import scaling_moments
@@ -139,11 +139,11 @@ def split_stability(scored: DataFrame, features, others=("test", "oot"), score_c
     as were left. Reads `scored` several times: hand in a stored table.
     """
     columns, train = [score_col, *features], scored.filter(F.col(split) == "train")
-    edges = checked_small(quantile_edges(train, columns, bins).drop("n"))
+    edges = stored(quantile_edges(train, columns, bins).drop("n"))
     is_score = F.col("feature") == score_col
     found = edges.filter(is_score).select(F.size("edges") - 1).first()
     if found and 0 < found[0] < bins:
-        again = checked_small(quantile_edges(train, [score_col], found[0]).drop("n"))
+        again = stored(quantile_edges(train, [score_col], found[0]).drop("n"))
         edges = edges.filter(~is_score).unionByName(again)
     psi = psi_by_sample(scored, columns, split, "train", list(others), bins, edges)
     known = F.when(~F.isnan("psi"), F.col("psi"))
