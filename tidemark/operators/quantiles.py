@@ -99,22 +99,19 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
 
 
 def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_date",),
-                    accuracy: int = SKETCH_ACCURACY, measured: DataFrame | None = None,
-                    approximate: bool = False) -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY, approximate: bool = False) -> DataFrame:
     """Limit each column to its quantile within the snapshot; capped columns become doubles.
 
-    Exact quantiles take several passes; `measured` may hold the same columns in
-    a table that is cheaper to scan again than `df`. With `approximate` one pass
+    Exact quantiles read `df` several times: hand in a stored table. With `approximate` one pass
     of a sketch gives caps whose rank is off by n / accuracy at most.
     """
     by = list(by)
-    source = df if measured is None else measured
     if approximate:
-        long = known_values(to_long(source, by, columns))
+        long = known_values(to_long(df, by, columns))
         quantile = F.expr(f"percentile_approx(value, {_doubles([prob])}, {accuracy})").alias("quantiles")
         found = long.groupBy(*by, "feature").agg(quantile)
     else:
-        found = exact_quantiles(source, columns, [prob], by, "disc", accuracy)
+        found = exact_quantiles(df, columns, [prob], by, "disc", accuracy)
     cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")
     caps = stored(found.groupBy(*by).agg(cap))
     return lookup(df, caps, by, "left").withColumns(

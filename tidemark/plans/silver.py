@@ -81,14 +81,21 @@ def risk_ratios() -> dict[str, Column]:
     }
 
 
+def with_ratios(capped: DataFrame) -> DataFrame:
+    return capped.withColumns({**risk_ratios(), "Loan_Extent": F.col("Delay_from_due_date") * F.col("Num_of_Loan")})
+
+
+def financial_columns(raw: DataFrame) -> DataFrame:
+    """The columns and types of `financials`, with nothing capped."""
+    values = financial_values(raw)
+    return with_ratios(values.withColumns({c: F.col(c).cast("double") for c in CAPPED_COLUMNS}))
+
+
 def financials(raw: DataFrame, sign: str = "abs", cap_prob: float = 0.97, approximate: bool = False) -> DataFrame:
     """Cleaned financial rows, count columns capped per snapshot, and the three ratios.
 
-    The cleaned counts are written once, so the passes of the quantiles read
-    integers instead of cleaning the text again.
+    The text is cleaned once: the cleaned rows are written, and both the passes
+    of the quantiles and the capping read them.
     """
-    values = financial_values(raw, sign)
-    counts = write_and_reread(values.select("snapshot_date", *CAPPED_COLUMNS), "counts")
-    capped = cap_at_quantile(values, CAPPED_COLUMNS, cap_prob, ["snapshot_date"], measured=counts, approximate=approximate)
-    extent = F.col("Delay_from_due_date") * F.col("Num_of_Loan")
-    return capped.withColumns({**risk_ratios(), "Loan_Extent": extent})
+    values = write_and_reread(financial_values(raw, sign), "cleaned")
+    return with_ratios(cap_at_quantile(values, CAPPED_COLUMNS, cap_prob, ["snapshot_date"], approximate=approximate))

@@ -43,6 +43,13 @@ sql("bronze_sources", "\nUNION ALL\n".join(
 sql("raw_csv", """SELECT * REPLACE (CAST(snapshot_date AS DATE) AS snapshot_date) FROM silver_attributes""",
     s.SILVER_ATTRIBUTES)
 
+# A raw file holds text alone, and an empty text comes back as a missing one.
+for _source, _raw in (
+        ("loans", s.RAW_LOANS), ("clickstream", s.RAW_CLICKS), ("attributes", s.RAW_ATTRIBUTES), ("financials", s.RAW_FINANCIALS)):
+    _table = f"raw_{_source if _source != 'clickstream' else 'clicks'}"
+    sql(f"bronze_{_source}_csv", f"""
+SELECT nullif(CAST(COLUMNS(* EXCLUDE (snapshot_date)) AS VARCHAR), ''), CAST(snapshot_date AS DATE) AS snapshot_date FROM {_table}""", _raw)
+
 sql("snapshot_rewrite", """
 SELECT event_id, "Customer_ID", CASE WHEN snapshot_date = DATE '1999-03-01' THEN -1 ELSE fe_1 END AS fe_1, snapshot_date
 FROM silver_clicks WHERE snapshot_date <> DATE '1999-05-01'""", s.SILVER_CLICKS)
@@ -532,3 +539,52 @@ SELECT "Customer_ID", record_id, "Credit_Mix" FROM clean_financials ORDER BY "Cu
 sql("profile_missing", """
 SELECT * FROM silver_attributes WHERE "Age" IS NULL ORDER BY "Customer_ID" LIMIT 20""", s.SILVER_ATTRIBUTES)
 sql("profile_first_date", "SELECT min(snapshot_date) AS first_date, count(*) AS rows FROM label_store", s.LABEL_STORE)
+
+
+# --- models ---------------------------------------------------------------------------------------------
+
+STUMP_ROWS = """
+lines AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, CAST(l_quantity AS DOUBLE) AS x1,
+         coalesce(nullif(l_discount, 0.05), -1e6) AS x0, CAST(l_orderkey % 3 AS INTEGER) AS fold,
+         CASE WHEN l_extendedprice > 40000 THEN 1 ELSE 0 END AS label
+  FROM lineitem)"""
+
+# The split of each training sample k with the greatest fall of the variance of labels -1 and 1, and the means beside it.
+STUMP_FIT = """
+points AS (SELECT k, 0 AS f, x0 AS x, 2 * label - 1 AS y FROM train UNION ALL SELECT k, 1, x1, 2 * label - 1 FROM train),
+at_value AS (SELECT k, f, x, count(*) AS n, sum(y) AS y FROM points GROUP BY ALL),
+upto AS (
+  SELECT k, f, x, CAST(sum(n) OVER upto AS DOUBLE) AS nl, CAST(sum(y) OVER upto AS DOUBLE) AS yl,
+         CAST(sum(n) OVER whole AS DOUBLE) AS n, CAST(sum(y) OVER whole AS DOUBLE) AS y
+  FROM at_value WINDOW upto AS (PARTITION BY k, f ORDER BY x), whole AS (PARTITION BY k, f)),
+splits AS (
+  SELECT k, f, x, yl / nl AS mean_left, (y - yl) / (n - nl) AS mean_right, y / n AS mean_all,
+         yl * yl / nl / n + (y - yl) * (y - yl) / (n - nl) / n - y * y / n / n AS gain
+  FROM upto WHERE nl < n),
+stump AS (
+  SELECT * FROM splits QUALIFY row_number() OVER (PARTITION BY k ORDER BY gain DESC, f, x) = 1)"""
+
+_MARGIN = "CASE WHEN CASE WHEN f = 0 THEN x0 ELSE x1 END <= x THEN mean_left ELSE mean_right END"
+
+sql("ml_stump", f"""
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-2 * {_MARGIN})), 6) + 0.0 AS model_predictions
+FROM lines, stump""", STUMP_ROWS, "train AS (SELECT 0 AS k, * FROM lines WHERE day < DATE '1999-01-01')", STUMP_FIT)
+
+# Fold 3 stands for all rows.
+sql("stump_search", f"""
+SELECT round(1 / (1 + exp(-2 * margin)), 6) + 0.0 AS model_predictions, count(*) AS rows,
+  any_value(best.setting) AS min_info_gain, any_value(round(best.accuracy, 6)) AS balanced_accuracy
+FROM margins, best WHERE margins.k = 3 AND margins.setting = best.setting GROUP BY 1""",
+    STUMP_ROWS, "train AS (SELECT g.k, lines.* FROM lines, (SELECT unnest([0, 1, 2, 3]) AS k) g WHERE fold <> g.k)",
+    STUMP_FIT, f"""
+settings AS (SELECT unnest([0.0::DOUBLE, 0.9::DOUBLE]) AS setting),
+margins AS (
+  SELECT stump.k, setting, lines.fold, label, CASE WHEN gain >= setting THEN {_MARGIN} ELSE mean_all END AS margin
+  FROM lines, stump, settings)""", """
+per_fold AS (
+  SELECT k, setting, (avg(CASE WHEN label = 1 THEN CASE WHEN margin > 0 THEN 1.0 ELSE 0.0 END END)
+                    + avg(CASE WHEN label = 0 THEN CASE WHEN margin > 0 THEN 0.0 ELSE 1.0 END END)) / 2 AS accuracy
+  FROM margins WHERE k = fold GROUP BY ALL),
+per_setting AS (SELECT setting, avg(accuracy) AS accuracy FROM per_fold GROUP BY 1),
+best AS (SELECT * FROM per_setting ORDER BY accuracy DESC LIMIT 1)""")

@@ -17,7 +17,7 @@ from tidemark.session import scratch_path, write_and_reread
 from tidemark.sources import sinks, tables
 from tidemark.sources.schemas import (
     CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, MODEL_FEATURES, MONEY_COLUMNS,
-    RISK_FEATURES,
+    RAW_FILES, RISK_FEATURES,
 )
 from tidemark.workload import standins as s
 
@@ -105,6 +105,36 @@ def raw_csv(spark, folder):
     return silver.attributes(bronze.bronze(tables.read_raw(spark, path)))
 
 
+def _ingested(spark, folder, source, build):
+    """The whole raw table as a CSV file, ingested as the job does, and read back from its snapshots."""
+    raw = scratch_path(spark, "raw")
+    build(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(f"{raw}/{RAW_FILES[source]}")
+    out = scratch_path(spark, "bronze")
+    bronze.ingest(spark, raw, source, out, *s.ALL_DATES)
+    return tables.read_snapshots(spark, out, *s.ALL_DATES)
+
+
+@query
+def bronze_loans_csv(spark, folder):
+    return _ingested(spark, folder, "loans", s.raw_loans)
+
+
+@query
+def bronze_clickstream_csv(spark, folder):
+    return _ingested(spark, folder, "clickstream", s.raw_clicks)
+
+
+@query
+def bronze_attributes_csv(spark, folder):
+    return _ingested(spark, folder, "attributes", s.raw_attributes)
+
+
+@query
+def bronze_financials_csv(spark, folder):
+    return _ingested(spark, folder, "financials", s.raw_financials)
+
+
 @query
 def snapshot_rewrite(spark, folder):
     path = scratch_path(spark, "snapshots")
@@ -291,7 +321,9 @@ def scoring_cohort(spark, folder):
 
 @query
 def feature_snapshot(spark, folder):
-    out = dataset.feature_snapshot(risk_store_(spark, folder), "2000-06-01").select("Customer_ID", *MODEL_FEATURES)
+    raw = tables.one_snapshot(s.raw_financials(spark, folder), "2000-06-01")  # caps are taken per snapshot
+    store = gold.risk_store(silver.financials(raw), silver.attributes(s.raw_attributes(spark, folder)))
+    out = dataset.feature_snapshot(store, "2000-06-01").select("Customer_ID", *MODEL_FEATURES)
     return rounded(out, "Loans_per_Credit_Item", "Debt_to_Salary")
 
 
@@ -625,7 +657,40 @@ def profile_first_date(spark, folder):
     return label_store_(spark, folder).agg(F.min("snapshot_date").alias("first_date"), F.count("*").alias("rows"))
 
 
-# --- models (no SQL: boosted trees) --------------------------------------------------------------------
+# --- models ---------------------------------------------------------------------------------------------
+
+def _stump_rows(spark, folder):
+    """Line items with a label and two features of few values, one of them with missing values."""
+    return write_and_reread(lineitem(spark, folder).select(
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), "l_quantity",
+        F.nullif("l_discount", F.lit(0.05)).alias("l_discount"), (F.col("l_orderkey") % 3).cast("int").alias("fold"),
+        (F.col("l_extendedprice") > 40000).cast("int").alias("label")), "stump")
+
+
+STUMP = {"maxIter": 1, "maxDepth": 1, "maxBins": 64}
+STUMP_FEATURES = ["l_discount", "l_quantity"]
+
+
+@query
+def ml_stump(spark, folder):
+    """A single split fitted on the lines before a date; every line is scored."""
+    rows = _stump_rows(spark, folder)
+    model = scoring.fit(rows.filter(F.col("day") < "1999-01-01"), STUMP_FEATURES, **STUMP)
+    return rounded(scoring.score(model, rows).select("l_orderkey", "l_linenumber", "model_predictions"), "model_predictions")
+
+
+@query
+def stump_search(spark, folder):
+    """Two settings over three folds: one that splits and one that asks for more than a split can gain."""
+    rows = _stump_rows(spark, folder)
+    space = {**{k: [v] for k, v in STUMP.items()}, "minInfoGain": [0.0, 0.9]}
+    model, found, accuracy = scoring.search(rows, STUMP_FEATURES, draws=2, space=space)
+    scores = rounded(scoring.score(model, rows), "model_predictions").groupBy("model_predictions").agg(F.count("*").alias("rows"))
+    return scores.withColumns({
+        "min_info_gain": F.lit(float(found["minInfoGain"])), "balanced_accuracy": F.round(F.lit(float(accuracy)), 6)})
+
+
+# --- models of many trees (no SQL) --------------------------------------------------------------------
 
 def _model_rows(spark, folder):
     """Training rows keyed by their content, stored, as fitting passes over them many times."""

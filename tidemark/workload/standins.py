@@ -14,6 +14,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Covers every snapshot of the tables.
+ALL_DATES = ("1990-01-01", "2010-12-31")
+
+
 def _text(c):
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
