@@ -40,12 +40,40 @@ def test_gold_tables(mart):
         assert df.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()[0] >= dt.date(1998, 1, 1)
 
 
+def test_gates_and_missing_snapshots(spark, mart, capsys):
+    def said(*args):
+        job.main([*args[:1], "--root", mart.root, "--start", *args[1:]])
+        return capsys.readouterr().out
+
+    assert "no quarter month" in said("train", "2000-10-01") and "fewer than 20" in said("train", "1998-03-01")
+    assert "no model" in said("score", "2000-10-01")
+    assert job.why_not(mart, "train", TRAIN) is None
+    job.mark_run(job.Store(spark, f"{mart.root}/other"), "score", TRAIN)
+    assert not (spark.read.parquet(f"{mart.root}/other/runs").filter("step = 'train'").count())
+    held = [r[0] for r in mart.read("gold/labels").select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    assert job.missing_spans(mart, ["gold/labels"], str(held[0]), str(held[-1])) == []
+    later = [("2001-01-01", "2001-03-01")]
+    assert job.missing_spans(mart, ["gold/labels", "gold/risk"], str(held[0]), "2001-03-01")[-1:] == later
+    assert job.missing_spans(mart, ["nowhere"], "2001-01-01", "2001-03-01") == later
+
+
+def test_layers_without_any_source(spark, tmp_path):
+    store = job.Store(spark, str(tmp_path / "empty"))
+    job.run_gold(store, "2000-01-01", "2000-02-01")
+    job.run_silver(store, "2000-01-01", "2000-02-01")
+    job.run_gold(store, "2000-01-01", "2000-02-01")
+    assert store.read("gold/labels", schema=job.LABEL_SCHEMA).count() == 0
+    assert job.why_not(store, "train", TRAIN).endswith(": 0") and job.why_not(store, "score", TRAIN).startswith("no model")
+
+
 def test_cycle(spark, mart):
     space = {"maxIter": [2, 3], "maxDepth": [2], "stepSize": [0.1, 1.0]}
     with pytest.raises(ValueError):
         job.run_scoring(mart, "2000-10-01")
     assert job.run_training(mart, TRAIN, draws=2, space=space) == "credit_model_1"
     assert job.run_scoring(mart, "2000-10-01") == "credit_model_1"
+    assert job.why_not(mart, "train", TRAIN) == "this date was trained before"
+    assert job.why_not(mart, "score", "2000-10-01") is None and job.why_not(mart, "score", "2000-10-01", 999)
     decisions = job.run_monitoring(mart, "2000-10-01")
     assert decisions["drift"] in ("pass", "retrain") and decisions["performance"] in ("done", "retrain")
 

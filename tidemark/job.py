@@ -1,7 +1,8 @@
 """One job entry for all layers: python -m tidemark.job STEP --root ROOT --start DATE [--end DATE] ...
 
 A step covers every snapshot from --start to --end in one Spark application and
-rewrites just those partitions.
+rewrites just those partitions; with --missing only monthly snapshots that have
+no output yet. Training and scoring first ask whether they are due.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_date, months_before
-from tidemark.operators.decisions import drift_decision, resolve_model
+from tidemark.functions.dates import as_date, month_calendar, months_before
+from tidemark.operators.decisions import (
+    AUC_FLOOR, CSI_LIMIT, GINI_FLOOR, PSI_LIMIT, drift_decision, inference_gate, missing_snapshots, not_yet_run,
+    resolve_model, training_gate,
+)
 from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
@@ -24,6 +28,9 @@ from tidemark.sources.schemas import ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 MODEL = "credit_model"
 SOURCES = ["loans", "clickstream", "attributes", "financials"]
 REGISTRY_SCHEMA = "name string, version int, last_updated timestamp, path string, train_date date"
+RUN_SCHEMA = "step string, run_date date, finished_at timestamp"
+DATED = "snapshot_date date"
+MIN_MONTHS = 20
 
 
 class Store:
@@ -50,30 +57,83 @@ def run_bronze(store: Store, raw: str, start, end, sources=SOURCES) -> None:
         bronze.ingest(store.spark, raw, source, store.path(f"bronze/{source}"), start, end)
 
 
+CLEAN = {"loans": silver.loans, "clickstream": silver.clickstream,
+         "attributes": silver.attributes, "financials": silver.financials}
+
+
 def run_silver(store: Store, start, end, sources=SOURCES) -> None:
-    clean = {"loans": silver.loans, "clickstream": silver.clickstream,
-             "attributes": silver.attributes, "financials": silver.financials}
+    """Cleaned tables; a source that was never ingested gives none."""
     for source in sources:
-        rows = store.read(f"bronze/{source}", start, end)
-        store.write(clean[source](rows), f"silver/{source}", start, end)
+        rows = store.read(f"bronze/{source}", start, end, tables.empty_bronze(store.spark, source).schema)
+        store.write(CLEAN[source](rows), f"silver/{source}", start, end)
 
 
 def run_gold(store: Store, start, end) -> None:
-    labels = gold.label_store(store.read("silver/loans", start, end))
+    """Label and feature stores; a source without a cleaned table counts as one without rows."""
+    def cleaned(source, *dates):
+        clean = silver.financial_columns if source == "financials" else CLEAN[source]
+        return store.read(f"silver/{source}", *dates, schema=clean(tables.empty_bronze(store.spark, source)).schema)
+
+    labels = gold.label_store(cleaned("loans", start, end))
     store.write(labels, "gold/labels", start, end)
-    clicks = store.read("silver/clickstream").filter(
+    clicks = cleaned("clickstream").filter(
         F.col("snapshot_date").between(months_before(as_date(start), gold.LOOK_BACK), as_date(end)))
     store.write(gold.engagement_store(clicks, start, end), "gold/engagement", start, end)
-    risk = gold.risk_store(store.read("silver/financials", start, end), store.read("silver/attributes"))
+    risk = gold.risk_store(cleaned("financials", start, end), cleaned("attributes"))
     store.write(risk, "gold/risk", start, end)
 
 
+def missing_spans(store: Store, names, start, end) -> list[tuple]:
+    """(first, last) of each run of months from `start` to `end` for which one of the tables has no snapshot.
+
+    The months are a calendar, so their list is short whatever the tables hold.
+    """
+    months = write_and_reread(month_calendar(store.spark, start, end), "months")
+    lacking = None
+    for name in names:
+        one = missing_snapshots(months, store.read(name, start, end, DATED))
+        lacking = one if lacking is None else lacking.union(one)
+    wanted = {r[0] for r in lacking.distinct().collect()}
+    spans, last = [], None
+    for month in (r[0] for r in months.orderBy("snapshot_date").collect()):
+        if month in wanted:
+            spans = [*spans[:-1], (spans[-1][0], month)] if last in wanted else [*spans, (month, month)]
+        last = month
+    return [(str(a), str(b)) for a, b in spans]
+
+
+def why_not(store: Store, step: str, date: str, min_months: int = MIN_MONTHS, name: str = MODEL) -> str | None:
+    """Why "train" or "score" is not due on a date; None where it is.
+
+    Training asks for a quarter month, enough months of labels and no finished
+    run of the date; scoring for more than `min_months` months of features and a model.
+    """
+    run = store.spark.range(1).select(as_date(date).alias("run_date"))
+    if step == "score":
+        gate = inference_gate(run, store.read("gold/risk", schema=DATED), resolved_model(store, name), min_months).first()
+        return None if gate["infer"] else f"no model, or not more than {min_months} months of features: {gate['n_months']}"
+    done = store.read("runs", schema=RUN_SCHEMA).filter(F.col("step") == step)
+    if not_yet_run(run, done).isEmpty():
+        return "this date was trained before"
+    gate = training_gate(run, store.read("gold/labels", schema=DATED), min_months).first()
+    return None if gate["train"] else f"no quarter month, or fewer than {min_months} months of labels: {gate['n_months']}"
+
+
+def mark_run(store: Store, step: str, date: str) -> None:
+    store.spark.range(1).select(
+        F.lit(step).alias("step"), as_date(date).alias("run_date"), F.current_timestamp().alias("finished_at"),
+    ).write.mode("append").parquet(store.path("runs"))
+
+
 def log_metrics(store: Store, df: DataFrame) -> None:
     sinks.append_metrics(df, store.path("gold/metrics"))
 
 
 def run_training(store: Store, train_date: str, draws: int = 100, space=None, name: str = MODEL) -> str:
-    """Fit, evaluate and register a model; returns its id."""
+    """Fit, evaluate and register a model; returns its id.
+
+    Where another run has taken the same version, writing the model fails.
+    """
     spark = store.spark
     rows = dataset.training_set(store.read("gold/labels"), store.read("gold/risk"), train_date)
     features = feature_columns(rows, [*ID_COLUMNS, "period"])
@@ -86,7 +146,7 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
     last = registry.filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
     model_id = f"{name}_{last + 1}"
     path = store.path(f"models/{model_id}")
-    model.write().overwrite().save(path)
+    model.write().save(path)
 
     numeric = numeric_columns(rows.select(*features))
     scored = scoring.score(model, rows, "score").select("split", "label", "score", *numeric)
@@ -111,16 +171,22 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
         F.lit(name).alias("name"), F.lit(last + 1).alias("version"), F.current_timestamp().alias("last_updated"),
         F.lit(path).alias("path"), as_date(train_date).alias("train_date"),
     ).write.mode("append").parquet(store.path("registry"))
+    mark_run(store, "train", train_date)
     return model_id
 
 
-def current_model(store: Store, name: str = MODEL, as_of=None) -> str | None:
+def resolved_model(store: Store, name: str = MODEL, as_of=None) -> DataFrame:
     registry = tables.read_or_empty(store.spark, store.path("registry"), REGISTRY_SCHEMA)
     files = tables.empty_table(store.spark, "file string, modified timestamp")
-    return resolve_model(registry, files, name, as_of).first()["model_id"]
+    return resolve_model(registry, files, name, as_of)
+
+
+def current_model(store: Store, name: str = MODEL, as_of=None) -> str | None:
+    return resolved_model(store, name, as_of).first()["model_id"]
 
 
-def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None) -> str:
+def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_limit: float = PSI_LIMIT,
+                csi_limit: float = CSI_LIMIT) -> str:
     """Score the cohort of a snapshot with the newest model and record its drift."""
     spark = store.spark
     model_id = current_model(store, name, as_of)
@@ -136,7 +202,8 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None) -> s
     baseline = spark.read.parquet(store.path("baseline")).filter(F.col("model_id") == model_id).drop("model_id")
     rows = scored.withColumnRenamed("model_predictions", "score").withColumn("model_id", F.lit(model_id))
     numeric = numeric_columns(rows, exclude=["score"])
-    records = write_and_reread(monitoring.drift_records(rows, numeric, baseline), "drift")
+    records = write_and_reread(monitoring.drift_records(
+        rows, numeric, baseline, psi_limit=psi_limit, csi_limit=csi_limit), "drift")
     sinks.write_drift(records, store.path("gold/drift"))
     log_metrics(store, monitoring.drift_metrics(records))
     summary = score_summary(rows, "score", monitoring.KEYS)
@@ -145,7 +212,7 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None) -> s
     return model_id
 
 
-def run_monitoring(store: Store, snapshot: str) -> dict[str, str]:
+def run_monitoring(store: Store, snapshot: str, auc_floor: float = AUC_FLOOR, gini_floor: float = GINI_FLOOR) -> dict[str, str]:
     """Retrain decisions of a snapshot: from drift, then from performance where labels exist.
 
     Without predictions, drift records or labels both decisions are to pass.
@@ -158,9 +225,9 @@ def run_monitoring(store: Store, snapshot: str) -> dict[str, str]:
         ["snapshot_date", "model_id"])
     wanted = spark.range(1).select(as_date(snapshot).alias("snapshot_date"))
     by_drift = drift_decision(dated, wanted).first()["decision"]
-    records = write_and_reread(
-        monitoring.performance_records(written, store.read("gold/labels", snapshot, snapshot, LABEL_SCHEMA)), "performance")
-    log_metrics(store, monitoring.performance_metrics(records))
+    labels = store.read("gold/labels", snapshot, snapshot, LABEL_SCHEMA)
+    records = write_and_reread(monitoring.performance_records(written, labels, auc_floor, gini_floor), "performance")
+    log_metrics(store, monitoring.performance_metrics(records, auc_floor=auc_floor, gini_floor=gini_floor))
     row = records.first()
     return {"drift": by_drift, "performance": row["decision"] if row else "pass"}
 
@@ -174,20 +241,32 @@ def main(argv=None) -> None:
     parser.add_argument("--end", help="last snapshot, the first by default")
     parser.add_argument("--source", choices=SOURCES, action="append", help="only these sources (bronze, silver)")
     parser.add_argument("--draws", type=int, default=100, help="parameter sets to try (train)")
+    parser.add_argument("--missing", action="store_true", help="only monthly snapshots without output (bronze, silver, gold)")
+    parser.add_argument("--force", action="store_true", help="train or score even where it is not due")
+    parser.add_argument("--min-months", type=int, default=MIN_MONTHS, help="months of history (train, score)")
+    parser.add_argument("--psi-limit", type=float, default=PSI_LIMIT, help="drift from here on (score)")
+    parser.add_argument("--csi-limit", type=float, default=CSI_LIMIT, help="drift from here on (score)")
+    parser.add_argument("--auc-floor", type=float, default=AUC_FLOOR, help="too weak below this (monitor)")
+    parser.add_argument("--gini-floor", type=float, default=GINI_FLOOR, help="too weak below this (monitor)")
     args = parser.parse_args(argv)
-    store, end = Store(get_session(), args.root), args.end or args.start
-    if args.step == "bronze":
-        run_bronze(store, args.raw, args.start, end, args.source or SOURCES)
-    elif args.step == "silver":
-        run_silver(store, args.start, end, args.source or SOURCES)
-    elif args.step == "gold":
-        run_gold(store, args.start, end)
+    store, end, sources = Store(get_session(), args.root), args.end or args.start, args.source or SOURCES
+    if args.step in ("bronze", "silver", "gold"):
+        outputs = ["gold/labels", "gold/risk"] if args.step == "gold" else [f"{args.step}/{s}" for s in sources]
+        for start, last in missing_spans(store, outputs, args.start, end) if args.missing else [(args.start, end)]:
+            if args.step == "bronze":
+                run_bronze(store, args.raw, start, last, sources)
+            elif args.step == "silver":
+                run_silver(store, start, last, sources)
+            else:
+                run_gold(store, start, last)
+    elif args.step == "monitor":
+        print(run_monitoring(store, args.start, args.auc_floor, args.gini_floor))
+    elif not args.force and (reason := why_not(store, args.step, args.start, args.min_months)):
+        print(f"not due: {reason}")
     elif args.step == "train":
         print(run_training(store, args.start, args.draws))
-    elif args.step == "score":
-        print(run_scoring(store, args.start))
     else:
-        print(run_monitoring(store, args.start))
+        print(run_scoring(store, args.start, psi_limit=args.psi_limit, csi_limit=args.csi_limit))
 
 
 if __name__ == "__main__":

@@ -40,6 +40,17 @@ CAPPED_COLUMNS = [
 ]
 FRACTION_COLUMNS = ["Changed_Credit_Limit", "Credit_Utilization_Ratio"]
 
+# Raw columns that the layers read; the snapshot date alone is typed.
+RAW_COLUMNS = {
+    "loans": list(LOAN_TYPES),
+    "clickstream": list(CLICK_TYPES),
+    "attributes": ["Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date"],
+    "financials": [
+        "Customer_ID", *MONEY_COLUMNS, *COUNT_COLUMNS, *FRACTION_COLUMNS, "Credit_History_Age", "Credit_Mix",
+        "Payment_of_Min_Amount", "Payment_Behaviour", "snapshot_date",
+    ],
+}
+
 RISK_FEATURES = [
     "Credit_History_Age", "Loans_per_Credit_Item", "Debt_to_Salary", "Loan_Extent", "Outstanding_Debt",
     "Interest_Rate", "Delay_from_due_date", "Changed_Credit_Limit", "Payment_Behaviour",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.dates import as_date, month_start
-from tidemark.sources.schemas import BASELINE_JSON_SCHEMA, DRIFT_SCHEMA
+from tidemark.sources.schemas import BASELINE_JSON_SCHEMA, DRIFT_SCHEMA, RAW_COLUMNS
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -50,15 +50,21 @@ def empty_table(spark: SparkSession, schema) -> DataFrame:
 
 
 def read_or_empty(spark: SparkSession, root: str, schema, start=None, end=None) -> DataFrame:
-    """`read_snapshots`, or no rows where the table was never written."""
+    """`read_snapshots`, or no rows where the table was never written or has no file yet."""
     try:
         return read_snapshots(spark, root, start, end)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return empty_table(spark, schema)
 
 
+def empty_bronze(spark: SparkSession, source: str) -> DataFrame:
+    """The bronze table of a source without rows."""
+    return empty_table(spark, ", ".join(
+        f"`{c}` {'date' if c == 'snapshot_date' else 'string'}" for c in RAW_COLUMNS[source]))
+
+
 def read_drift(spark: SparkSession, *paths: str, snapshot=None, whole_files: bool = False) -> DataFrame:
     """Drift records, one JSON object per line; with `whole_files` each file is one object over any number of lines.
 
