@@ -43,12 +43,13 @@ sql("bronze_sources", "\nUNION ALL\n".join(
 sql("raw_csv", """SELECT * REPLACE (CAST(snapshot_date AS DATE) AS snapshot_date) FROM silver_attributes""",
     s.SILVER_ATTRIBUTES)
 
-# A raw file holds text alone, and an empty text comes back as a missing one.
+# A raw file holds text alone, and an empty text comes back as a missing one. Loans go by month.
 for _source, _raw in (
         ("loans", s.RAW_LOANS), ("clickstream", s.RAW_CLICKS), ("attributes", s.RAW_ATTRIBUTES), ("financials", s.RAW_FINANCIALS)):
     _table = f"raw_{_source if _source != 'clickstream' else 'clicks'}"
+    _date = "date_trunc('month', CAST(snapshot_date AS DATE))" if _source == "loans" else "snapshot_date"
     sql(f"bronze_{_source}_csv", f"""
-SELECT nullif(CAST(COLUMNS(* EXCLUDE (snapshot_date)) AS VARCHAR), ''), CAST(snapshot_date AS DATE) AS snapshot_date FROM {_table}""", _raw)
+SELECT nullif(CAST(COLUMNS(* EXCLUDE (snapshot_date)) AS VARCHAR), ''), CAST({_date} AS DATE) AS snapshot_date FROM {_table}""", _raw)
 
 sql("snapshot_rewrite", """
 SELECT event_id, "Customer_ID", CASE WHEN snapshot_date = DATE '1999-03-01' THEN -1 ELSE fe_1 END AS fe_1, snapshot_date

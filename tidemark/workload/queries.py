@@ -117,7 +117,12 @@ def _ingested(spark, folder, source, build):
 
 @query
 def bronze_loans_csv(spark, folder):
-    return _ingested(spark, folder, "loans", s.raw_loans)
+    """Loans by month, as the layers take them; a table of daily snapshots has some 2,500 folders."""
+    def monthly(spark, folder):
+        return s.raw_loans(spark, folder).withColumn(
+            "snapshot_date", F.trunc(F.col("snapshot_date").cast("date"), "MM").cast("string"))
+
+    return _ingested(spark, folder, "loans", monthly)
 
 
 @query
