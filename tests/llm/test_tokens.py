@@ -149,6 +149,56 @@ def test_op8(spark, odd_docs, odd_rows, no_docs):
     assert Counter(map(tuple, licenses.scan(docs, threshold=0.4).collect())) == low
 
 
+def plain_passages(text, templates, told, threshold=0.8):
+    """Windows of whole texts by trying each start with each template, without those that the lines told have."""
+    placed = [(w, i) for i, line in enumerate((text or "").split("\n")) for w in re.split(r"[\W_]+", line.lower()) if w]
+    words, found, chosen = [p[0] for p in placed], [], []
+    for place, (name, template) in enumerate(sorted(templates)):
+        want = licenses.template_words(template)
+        other = set(zip(want, want[1:]))
+        for at in range(max(len(words) - len(want), 0) + 1):
+            run = words[at:at + len(want)]
+            pairs = set(zip(run, run[1:]))
+            shared = len(pairs & other)
+            if pairs and 2 * shared / (len(pairs) + len(other)) >= threshold:
+                found.append((-shared, -2 * shared / (len(pairs) + len(other)), place, at, at + len(run) - 1, name, len(pairs)))
+    for w in sorted(found):
+        if all(w[4] < c[3] or c[4] < w[3] for c in chosen):
+            chosen.append(w)
+    grams = dict((n, set(licenses.template_bigrams(t))) for n, t in licenses.TEMPLATES.items())
+    lines = [set(licenses.template_bigrams(x)) for x in (text or "").split("\n")]
+    return [(placed[a][1], name, -dice, n) for shared, dice, _, a, b, name, n in chosen
+            if not any(m[1] == name and placed[a][1] <= m[0] <= placed[b][1] and len(grams[name] & lines[m[0]]) >= -shared for m in told)]
+
+
+def test_op8_whole_texts(spark):
+    """Notices that are wrapped, share a line with other words, or are headers and bodies of many lines."""
+    rnd = random.Random(5)
+    every = [*licenses.TEMPLATES.items(), *licenses.PASSAGES]
+
+    def wrapped(text, width):
+        words = text.split(" ")
+        return "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+    texts = ["Licensed under the Apache License,\nVersion 2.0.", "Copyright 2020 Foo. All rights reserved.", "x All rights\nreserved. All\n\nrights reserved y",
+             "# Licensed under the\n# Apache License Version 2", "Licensed under CC BY-SA 4.0", "All rights reserved. " * 30, "software license warranty " * 200]
+    for name, template in every:
+        texts += [template, wrapped(template, 3), f"{prose(rnd, 30)} {template} {prose(rnd, 30)}", f"{prose(rnd, 9)}\n{wrapped(template, 9)}\n{prose(rnd, 9)}",
+                  f"{wrapped(template, 5)} {rnd.choice(every)[1]}", " ".join(w for w in template.split(" ") if rnd.random() > 0.05)]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    found = Counter(map(tuple, licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()))
+    want = Counter()
+    for i, text, *_ in rows:
+        told = plain_licenses(text)
+        want.update((i, *m) for m in told + plain_passages(text, every, told))
+    assert found == want
+    names = {(i, name) for i, _, name, *_ in found}
+    assert {(0, "Apache-2.0"), (1, "all-rights-reserved"), (2, "all-rights-reserved"), (3, "Apache-2.0"), (4, "CC-BY-SA-4.0")} <= names
+    assert (0, 0, "Apache-2.0", 1.0, 7) in found and sum(n for k, n in found.items() if k[0] == 2) == 2
+    for i, (name, _) in enumerate(every):  # as it is, wrapped, in a line with others, and as a passage between others
+        assert all((7 + 6 * i + form, name) in names for form in range(4)), name
+
+
 URLS = [
     None, "", "no scheme", "http://", "https://WWW.Example.ORG", "http://example.org/", "http://example.org/es/a", "http://a.b.example.org/en/12?x#y",
     "http://badexample.org/es/a", "http://x.com/fr/1", "http://x.com/de/1#top", "http://com/de/", "http://x.com?/de/", "a://b://c/d",
