@@ -11,7 +11,7 @@ import xxhash
 import zlib
 from pyspark.sql import functions as F
 
-from llm_rows import CLASHING, SCHEMA, prose
+from llm_rows import CLASHING, SCHEMA, WORDS, prose
 from tidemark.llm import langid, mixing, quality, sharding, simhash
 from tidemark.session import write_and_reread
 
@@ -83,6 +83,31 @@ def test_quality_keeps_ordinary_documents(spark):
     assert kept == {r[0] for r in rows if r[0] < 1000 or r[0] >= 2000}
 
 
+def unlike(rnd, n, kind=None):
+    """n words or so in lines of eight, clean or unlike other texts in one statistic."""
+    words = [rnd.choice(WORDS) + rnd.choice(WORDS)[:2] + rnd.choice(WORDS) for _ in range(n)]
+    if kind == "symbols":
+        words[::10] = [w + "#" for w in words[::10]]
+    if kind == "long words":
+        words = [w * 2 for w in words]
+    if kind == "repeats":  # somewhat under a fifth of the words
+        for i in range(0, n - 31, 32):
+            words[i:i + 6] = ["ka", "lofilden", "migosping", "nehumra", "tu", "sorafilhumt"]
+    lines = [" ".join(words[i:i + 8]) for i in range(0, n, 8)]
+    return ("\nyes\n" if kind == "lines" else "\n").join(lines)
+
+
+def test_quality_each_statistic_rejects_alone(spark):
+    rnd = random.Random(2)
+    rows = [(i, unlike(rnd, rnd.randrange(40, 2000)), "en", "a") for i in range(300)]
+    odd = [(kind, n) for kind in ("symbols", "lines", "repeats", "long words") for n in (300, 600, 3000)]
+    rows += [(1000 + i, unlike(rnd, n, kind), "en", "a") for i, (kind, n) in enumerate(odd)]
+    found = {r["doc_id"]: r for r in quality.judge(write_and_reread(quality.with_counts(
+        spark.createDataFrame(rows, SCHEMA)).drop("text"), "t")).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert {i for i, r in found.items() if not r["kept"]} == {1000 + i for i in range(len(odd))}
+
+
 def test_stages_keep_columns(odd_docs):
     for stage in (lambda d: quality.keep_good(d, least=30), langid.keep_identified, simhash.keep_first, mixing.training_order):
         out = stage(odd_docs)
