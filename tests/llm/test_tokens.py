@@ -284,6 +284,23 @@ def test_op9(spark):
     assert [tuple(r) for r in ann.nearest(few, ask).collect()] == [(0, 1, 1, 3.0)]
 
 
+def test_op9_repeated_keys(spark):
+    """A key of several vectors is asked with the smallest in all blocks, and none of its rows is a candidate."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(20 * i, rng.normal(size=8).tolist()) for i in range(15) for _ in range(2)]
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    want = {}
+    for one in range(0, 300, 20):
+        score = (vectors * min(v for i, v in rows if i == one)).sum(axis=1)
+        want[one] = [(int(ids[j]), float(score[j])) for j in np.lexsort((ids, -score)) if ids[j] != one][:20]
+    for parts in (1, 5):
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+        found = {}
+        for r in ann.nearest(table, lambda key: key % 20 == 0, radius=8, rows_per_block=100, queries_per_lot=6).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert found == want
+
+
 def test_op9_probes_reach_the_whole_radius():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 256, (2000, 8))

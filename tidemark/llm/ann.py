@@ -87,8 +87,8 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, radius: int = 31, bits
 
     Vectors that are NULL, all zero, or hold NULL or non-finite components, rows
     without a key, and vectors whose length is not the commonest (the longer of
-    two) take no part. Rows with the query's own key are no candidates; a key
-    that repeats is asked once for each of its rows, and answered once.
+    two) take no part. A key that repeats is asked once, with the smallest of its
+    vectors by array order, in every block; none of its rows is a candidate.
     """
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = embeddings.filter(F.col(key).isNotNull() & sound & F.exists(vector, lambda x: x != 0)).select(
@@ -107,14 +107,13 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, radius: int = 31, bits
     if len(learnt) < 2:
         learnt = np.array([rows.select("vector").first()[0]] * 2, float)
     rotation = learn_rotation(learnt, bits)
-    queries = rows.filter(is_query(F.col("id"))).select("id", "vector")
+    queries = rows.filter(is_query(F.col("id"))).groupBy("id").agg(F.min("vector").alias("vector"))
     lots = max(1, -(-queries.count() // queries_per_lot))
     dealt = queries.withColumn("lot", F.pmod(F.xxhash64(F.lit("lot"), "id"), F.lit(lots)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     spread = rows.withColumn("lot", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))))
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        asked = asked.drop_duplicates("id")
         out = []
         if len(asked) and len(held):
             vectors = np.array(held["vector"].tolist())
