@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
+from tidemark.llm import ann, bpe, fim, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
 from tidemark.llm.common import prepare
 from tidemark.session import write_and_reread
 
@@ -70,9 +70,22 @@ def op10_urls(spark, folder):
     return urls.judge(pages, listed).drop("canonical")
 
 
+def op13_fill_in_middle(spark, folder):
+    cut = fim.transform(_read(spark, folder, "documents").select("doc_id", "text"))
+    made = F.col("fim")
+
+    def digest(text):
+        return F.sha2(text.cast("binary"), 256)
+
+    return cut.select(
+        "doc_id", *[made[c].alias(c) for c in ("n", "form", "prefix_chars", "middle_chars")],
+        digest(made["output"]).alias("output_sha256"),
+        digest(fim.restored(made["output"], made["form"])).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_curriculum, op2_language, op3_quality, op4_token_file, op5_bpe, op6_simhash, op7_hilbert, op8_licenses,
-    op9_nearest, op10_urls)}
+    op9_nearest, op10_urls, op13_fill_in_middle)}
 
 _TEMPLATES = ", ".join(
     f"({i}, '{k}', [{', '.join(repr(w) for w in licenses.template_bigrams(v))}])"
@@ -121,4 +134,26 @@ SQL = {
         select a.page_id, a.host, a.path, f.rule,
             coalesce(f.v, case when a.canonical in (select canonical from listed) then 'block' end, 'allow') as verdict
         from address a left join fits f using (page_id)""",
+    "op13_fill_in_middle": r"""
+        with drawn as (
+            select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+                sha256('1:' || coalesce(doc_id::varchar, '')) as hex
+            from documents),
+        numbers as (
+            select doc_id, text, n, ('0x' || substr(hex, 1, 8))::bigint % (n + 1) as x, ('0x' || substr(hex, 9, 8))::bigint % (n + 1) as y,
+                ('0x' || substr(hex, 17, 8))::bigint % 100 as h3, ('0x' || substr(hex, 25, 8))::bigint % 100 as h4
+            from drawn),
+        formed as (
+            select doc_id, text, n, least(x, y) as a, greatest(x, y) as b,
+                case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 >= 90 then 'plain'
+                     when h4 < 20 then 'spm' else 'psm' end as form
+            from numbers),
+        parts as (
+            select *, substr(text, 1, a) as p, substr(text, a + 1, b - a) as m, substr(text, b + 1) as s from formed)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+            case when form <> 'plain' then b - a end as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+            sha256(text) as restored_sha256
+        from parts""",
 }
