@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from compare import connect, differences
 from llm_rows import CLASHING, SCHEMA, WORDS, prose
-from tidemark.llm import fim, queries
+from tidemark.llm import divergence, fim, queries
 
 
-@pytest.mark.parametrize("name", ["op13_fill_in_middle"])
+@pytest.mark.parametrize("name", ["op12_divergence", "op13_fill_in_middle"])
 def test_queries_against_sql(spark, folder, name):
     assert differences(queries.QUERIES[name](spark, folder), connect(folder), queries.SQL[name]) == []
 
@@ -92,3 +92,84 @@ def test_fim_of_slices_and_other_markers(spark):
     numbers = pa.array(range(60), pa.int64())
     assert fim.cut_texts(whole, numbers, numbers, "words").slice(20).equals(
         fim.cut_texts(whole.slice(20), numbers.slice(20), numbers.slice(20), "words"))
+
+
+# --- divergence of sources ------------------------------------------------------------------------------
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_divergence(rows, least=10, top=10):
+    counts, seen, langs = defaultdict(Counter), Counter(), defaultdict(Counter)
+    for _, text, lang, source in rows:
+        found = Counter(TERM.findall((text or "").translate(LOWER)))
+        counts[lang or "", source or ""].update(found)
+        seen.update((lang or "", t) for t in found)
+    for (lang, _), found in counts.items():
+        langs[lang].update({t: n for t, n in found.items() if seen[lang, t] >= least})
+    out = []
+    for (lang, source), own in counts.items():
+        kept = list(langs[lang])
+
+        def shares(found):
+            whole = sum(found[t] for t in kept) + 2 * len(kept)
+            return {t: 1 + 10**9 * (found[t] + 2) // whole for t in kept}
+
+        def gap(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        p, q = shares(own), shares(langs[lang])
+        pair = [(s, sum(gap(p[t], r[t]) for t in kept)) for (x, s), found in counts.items() if x == lang and s != source
+                for r in [shares(found)]]
+        term = [(t, gap(p[t], q[t])) for t in kept if own[t] and p[t] > q[t]]
+        for part, items, most in (("pair", pair, None), ("term", term, top)):
+            items.sort(key=lambda x: (-x[1], x[0].encode()))
+            out += [(lang, source, part, t, v, i + 1) for i, (t, v) in enumerate(items[:most])]
+    return Counter(out)
+
+
+def told(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_divergence_of_odd_texts(spark, odd_docs, odd_rows):
+    for least in (1, 3, 10):
+        assert told(divergence.divergences(odd_docs, least_docs=least)) == plain_divergence(odd_rows, least)
+
+
+def test_divergence_in_many_blocks_and_steps(spark, monkeypatch):
+    rnd = random.Random(11)
+    words = [a + b for a in WORDS for b in WORDS[:9]] + ["Éa", "É", "zz\u00a0y"]
+    rows = [(i, " ".join(rnd.choices(words[:rnd.randrange(3, len(words))], k=rnd.randrange(0, 200))), rnd.choice("xy"),
+             "hot" if i % 3 == 0 else f"s{rnd.randrange(30)}") for i in range(400)]
+    rows += [(1000, None, "x", "silent"), (1001, "1 2 3", "z", "alone"), (1002, "", "z", None)]
+    for name, value in (("BLOCK", 500), ("STEP", 50), ("HELD", 100)):
+        monkeypatch.setattr(divergence, name, value)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert told(divergence.divergences(docs, least_docs=4)) == plain_divergence(rows, 4)
+
+
+def test_divergence_of_an_empty_table(no_docs):
+    assert divergence.divergences(no_docs).collect() == []
+
+
+def test_scatter_and_baseline_steps():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    n, v = 7, 40
+    counts = rng.integers(0, 4, (n, v)) * rng.integers(0, 2, (n, v))
+    whole = counts.sum(axis=1) + 2 * v
+    p = 1 + 10**9 * (counts + 2) // whole[:, None]
+    zero = 1 + 10**9 * 2 // whole
+    g, t = np.nonzero(counts)
+    table = pa.table([pa.array(["x"] * len(g)), pa.array(g.astype(np.int32)), pa.array([str(i) for i in t]), pa.array(zero[g]), pa.array(p[g, t])],
+                     ["lang", "g", "term", "zero", "p"])
+    found = {(r["low"], r["high"]): r["value"] for r in divergence._scatter(table).to_pylist()}
+    for a in range(n):
+        for b in range(a + 1, n):
+            both = (counts[a] > 0) & (counts[b] > 0)
+            want = sum(divergence._gap(p[a, i], p[b, i]) - divergence._gap(p[a, i], zero[b]) - divergence._gap(zero[a], p[b, i])
+                       + divergence._gap(zero[a], zero[b]) for i in np.flatnonzero(both))
+            assert found.get((a, b), 0) == want

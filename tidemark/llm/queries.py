@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, fim, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
+from tidemark.llm import ann, bpe, divergence, fim, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
 from tidemark.llm.common import prepare
 from tidemark.session import write_and_reread
 
@@ -70,6 +70,10 @@ def op10_urls(spark, folder):
     return urls.judge(pages, listed).drop("canonical")
 
 
+def op12_divergence(spark, folder):
+    return divergence.divergences(_read(spark, folder, "documents"))
+
+
 def op13_fill_in_middle(spark, folder):
     cut = fim.transform(_read(spark, folder, "documents").select("doc_id", "text"))
     made = F.col("fim")
@@ -85,7 +89,7 @@ def op13_fill_in_middle(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_curriculum, op2_language, op3_quality, op4_token_file, op5_bpe, op6_simhash, op7_hilbert, op8_licenses,
-    op9_nearest, op10_urls, op13_fill_in_middle)}
+    op9_nearest, op10_urls, op12_divergence, op13_fill_in_middle)}
 
 _TEMPLATES = ", ".join(
     f"({i}, '{k}', [{', '.join(repr(w) for w in licenses.template_bigrams(v))}])"
@@ -134,6 +138,40 @@ SQL = {
         select a.page_id, a.host, a.path, f.rule,
             coalesce(f.v, case when a.canonical in (select canonical from listed) then 'block' end, 'allow') as verdict
         from address a left join fits f using (page_id)""",
+    "op12_divergence": r"""
+        with docs as (
+            select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+            from documents),
+        occurring as (
+            select doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+        kept as (select lang, term, count(*) as n from occurring group by 1, 2 having count(distinct doc) >= 10),
+        counts as (
+            select lang, source, term, count(*) as n from occurring semi join kept using (lang, term) group by 1, 2, 3),
+        langs as (select lang, count(*) as v, sum(n) as n from kept group by 1),
+        sums as (select lang, source, sum(n) as n from counts group by 1, 2),
+        parts as (
+            select lang, source, coalesce(langs.v, 0) as v, coalesce(sums.n, 0) + 2 * coalesce(langs.v, 0) as whole,
+                coalesce(langs.n, 0) + 2 * coalesce(langs.v, 0) as lang_whole
+            from (select distinct lang, source from docs) left join langs using (lang) left join sums using (lang, source)),
+        shares as (
+            select lang, source, term, coalesce(counts.n, 0) as n,
+                (1 + 1000000000::hugeint * (coalesce(counts.n, 0) + 2) // whole)::bigint as p,
+                (1 + 1000000000::hugeint * (kept.n + 2) // lang_whole)::bigint as q
+            from parts join kept using (lang) left join counts using (lang, source, term)),
+        pairs as (
+            select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+            from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source
+            group by 1, 2, 3),
+        listed as (
+            select a.lang, a.source, 'pair' as part, b.source as item, coalesce(pairs.value, 0)::bigint as value
+            from parts a join parts b on a.lang = b.lang and a.source <> b.source
+                left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+            union all
+            select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from shares where n > 0 and p > q),
+        ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank from listed)
+        select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 10""",
     "op13_fill_in_middle": r"""
         with drawn as (
             select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
