@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from compare import connect, differences
 from llm_rows import CLASHING, SCHEMA, WORDS, prose
-from tidemark.llm import divergence, fim, queries
+from tidemark.llm import divergence, fim, passages, queries
 
 
-@pytest.mark.parametrize("name", ["op12_divergence", "op13_fill_in_middle"])
+@pytest.mark.parametrize("name", ["op11_passages", "op12_divergence", "op13_fill_in_middle"])
 def test_queries_against_sql(spark, folder, name):
     assert differences(queries.QUERIES[name](spark, folder), connect(folder), queries.SQL[name]) == []
 
@@ -173,3 +173,102 @@ def test_scatter_and_baseline_steps():
             want = sum(divergence._gap(p[a, i], p[b, i]) - divergence._gap(p[a, i], zero[b]) - divergence._gap(zero[a], p[b, i])
                        + divergence._gap(zero[a], zero[b]) for i in np.flatnonzero(both))
             assert found.get((a, b), 0) == want
+
+
+# --- repeated passages ----------------------------------------------------------------------------------
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_cut(rows, length):
+    """(key, text) -> (n_words, n_removed, kept); rows with one key must hold one text."""
+    texts = {(r[0], tuple(WORD.findall(r[1] or ""))) for r in rows}
+    seen, out = set(), {}
+    for key, words in sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)):
+        covered = set()
+        for i in range(len(words) - length + 1):
+            window = words[i:i + length]
+            if window in seen:
+                covered.update(range(i, i + length))
+            seen.add(window)
+        kept = [w for i, w in enumerate(words) if i not in covered]
+        out[key, words] = (len(words), len(covered), " ".join(kept))
+    return Counter((r[0], *out[r[0], tuple(WORD.findall(r[1] or ""))]) for r in rows)
+
+
+def cut_of(docs, length=20):
+    return Counter((r["doc_id"], *r["cut"]) for r in passages.cut_repeats(docs, length=length).select("doc_id", "cut").collect())
+
+
+def test_difference_covers():
+    for period, cover in passages.COVERS.items():
+        for a in range(period):
+            for b in range(period):
+                assert any((a + d) % period in cover and (b + d) % period in cover for d in range(period))
+    assert passages.cover_of(20) == (13, (0, 1, 3, 9), 8)
+    for length in range(1, 200):
+        period, _, width = passages.cover_of(length)
+        assert period + width - 1 == length and width >= 1
+
+
+def test_rolling_hashes():
+    known = passages.WordHashes()
+    words = passages.Words([b"a b a b a b c", b"", None, b"b a b", b"a"], known)
+    found = words.windows(3, passages.MULTIPLIERS[0])
+    text = b"a b a b a b c b a b a".split()
+    seen = defaultdict(set)
+    for i in range(len(text) - 2):
+        seen[tuple(text[i:i + 3])].add(int(found[i]))
+    assert all(len(x) == 1 for x in seen.values()) and len(set.union(*seen.values())) == len(seen)
+    assert words.lengths.tolist() == [7, 0, 0, 3, 1] and words.place.tolist() == [0, 1, 2, 3, 4, 5, 6, 0, 1, 2, 0]
+
+
+def test_word_hashes_are_forgotten(monkeypatch):
+    monkeypatch.setattr(passages, "KNOWN_WORDS", 3)
+    known = passages.WordHashes()
+    first = [known[w] for w in (b"a", b"b", b"c", b"d", b"a")]
+    assert first[0] == first[4] and len(set(first)) == 4 and len(known) <= 3
+
+
+@pytest.mark.parametrize("length", [1, 2, 5, 20, 33])
+def test_cuts_of_planted_passages(spark, length):
+    rnd = random.Random(length)
+    pool = [[rnd.choice(WORDS) for _ in range(rnd.randrange(length, 3 * length + 2))] for _ in range(6)]
+    rows = []
+    for i in range(120):
+        words = []
+        for _ in range(rnd.randrange(0, 5)):
+            words += [f"{rnd.choice(WORDS)}{rnd.randrange(9)}" for _ in range(rnd.randrange(0, 30))]
+            piece = rnd.choice(pool)
+            words += piece[rnd.randrange(0, 3):len(piece) - rnd.randrange(0, 3)] * rnd.randrange(1, 3)
+        rows.append((rnd.randrange(10**6) * 200 + i, rnd.choice([" ", "\n", " \t"]).join(words), "en", "a"))
+    rows += [(r[0] * 3 + 1, " ".join(r[1].split()), "fr", "b") for r in rows[:30]]
+    rows += rows[5:9] + [(7, "x " * (3 * length + 5), "en", "a"), (8, "x " * length, "en", "a")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    want = plain_cut(rows, length)
+    assert sum(r[2] for r in want) > 100
+    assert cut_of(docs, length) == want
+
+
+def test_cuts_of_odd_texts(spark, odd_docs, odd_rows):
+    out = passages.cut_repeats(odd_docs)
+    assert out.columns == [*odd_docs.columns, "cut"]
+    assert out.select(*CLASHING).distinct().count() == 1
+    assert Counter((r["doc_id"], *r["cut"]) for r in out.select("doc_id", "cut").collect()) == plain_cut(odd_rows, 20)
+
+
+def test_texts_of_one_key(spark):
+    """Several texts of one key: the one that is first by its hash keeps the words, the same at every run."""
+    passage = " ".join(f"w{i}" for i in range(25))
+    rows = [(5, f"{x} {passage} {x}", "en", "a") for x in "abc"] + [(None, passage, "en", "a")] * 2
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = cut_of(docs.repartition(3))
+    assert sorted(r[2] for r in found.elements()) == [0, 25, 25, 25, 25]
+    assert found == cut_of(docs.coalesce(1))
+
+
+def test_cuts_of_an_empty_table_and_text_keys(spark, no_docs):
+    assert passages.cut_repeats(no_docs).collect() == []
+    passage = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([("b", passage), ("a", passage + " end"), ("c", None)], "doc_id string, text string")
+    assert cut_of(docs) == Counter([("a", 31, 0, passage + " end"), ("b", 30, 30, ""), ("c", 0, 0, "")])

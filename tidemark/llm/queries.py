@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, divergence, fim, langid, licenses, mixing, quality, sharding, simhash, tokenfile, urls
+from tidemark.llm import ann, bpe, divergence, fim, langid, licenses, mixing, passages, quality, sharding, simhash, tokenfile, urls
 from tidemark.llm.common import prepare
 from tidemark.session import write_and_reread
 
@@ -70,6 +70,12 @@ def op10_urls(spark, folder):
     return urls.judge(pages, listed).drop("canonical")
 
 
+def op11_passages(spark, folder):
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return passages.cut_repeats(docs).select(
+        "doc_id", "cut.n_words", "cut.n_removed", F.sha2(F.col("cut.text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op12_divergence(spark, folder):
     return divergence.divergences(_read(spark, folder, "documents"))
 
@@ -89,7 +95,7 @@ def op13_fill_in_middle(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_curriculum, op2_language, op3_quality, op4_token_file, op5_bpe, op6_simhash, op7_hilbert, op8_licenses,
-    op9_nearest, op10_urls, op12_divergence, op13_fill_in_middle)}
+    op9_nearest, op10_urls, op11_passages, op12_divergence, op13_fill_in_middle)}
 
 _TEMPLATES = ", ".join(
     f"({i}, '{k}', [{', '.join(repr(w) for w in licenses.template_bigrams(v))}])"
@@ -138,6 +144,27 @@ SQL = {
         select a.page_id, a.host, a.path, f.rule,
             coalesce(f.v, case when a.canonical in (select canonical from listed) then 'block' end, 'allow') as verdict
         from address a left join fits f using (page_id)""",
+    "op11_passages": r"""
+        with words as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+        placed as (select doc_id, words, unnest(generate_series(1, len(words))) as place from words),
+        windows as (
+            select doc_id, place, words[place] as word,
+                case when place + 19 <= len(words) then array_to_string(words[place:place + 19], ' ') end as content
+            from placed),
+        judged as (
+            select doc_id, place, word, content is not null
+                and row_number() over (partition by content order by doc_id, place) > 1 as again
+            from windows),
+        covered as (
+            select doc_id, place, word,
+                bool_or(again) over (partition by doc_id order by place rows between 19 preceding and current row) as removed
+            from judged),
+        cut as (
+            select doc_id, count(*) filter (removed) as n_removed, string_agg(word, ' ' order by place) filter (not removed) as kept
+            from covered group by 1)
+        select doc_id, len(words) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from words left join cut using (doc_id)""",
     "op12_divergence": r"""
         with docs as (
             select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
