@@ -26,6 +26,7 @@ COVERS = {
 # Odd multipliers of the rolling hashes; the first also hashes anchors.
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 KNOWN_WORDS = 200_000
+SLICE = 2 << 20  # bytes of text whose words a task holds at once
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -96,7 +97,7 @@ def _describe(length: int):
     def run(batches):
         known, seen = WordHashes(), set()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = Words(as_bytes(part.column("text")), known)
                 digests = [sequence_hash(w) for w in words.words]
                 fresh = np.zeros(len(digests), bool)
@@ -154,7 +155,7 @@ def _windows(length: int):
     def run(batches):
         known = WordHashes()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 words = Words(as_bytes(part.column("text")), known)
                 at, hashes = words.anchors(length)
                 own = words.in_text(at, hashes)
