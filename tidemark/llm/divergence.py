@@ -14,7 +14,7 @@ from tidemark.session import write_and_reread
 
 UNIT = 1_000_000_000
 HELD = 300_000  # (group, term) counts that a task holds before it passes them on
-BLOCK = 1_000_000  # postings of an index block
+BLOCK = 131_072  # postings of an index block
 STEP = 1 << 20  # pairs of numbers in one numpy step
 
 # Bytes of ASCII letters, lowered, and of all other characters; the rest are blanks.
@@ -173,7 +173,7 @@ def divergences(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     count as often as they occur; other columns are not read. A source without
     a kept term still has its rows of part pair; an empty table gives none.
 
-    Terms of a language are cut into blocks of about a million postings, so a
+    Terms of a language are cut into blocks of some hundred thousand postings, so a
     source with a third of all texts is spread over as many tasks as its terms
     need. A task holds one number per source of a language, as the accumulator
     is dense, and the postings of a block.
