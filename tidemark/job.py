@@ -22,7 +22,7 @@ from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
-from tidemark.sources import sinks, tables
+from tidemark.sources import sinks, tables, versions
 from tidemark.sources.schemas import ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 
 MODEL = "credit_model"
@@ -49,7 +49,7 @@ class Store:
         return tables.read_snapshots(self.spark, self.path(name), start, end)
 
     def write(self, df: DataFrame, name: str, start, end) -> None:
-        sinks.write_snapshots(df, self.path(name), start=start, end=end)
+        versions.publish(df, self.path(name), start=start, end=end)
 
 
 def run_bronze(store: Store, raw: str, start, end, sources=SOURCES) -> None:
@@ -196,8 +196,8 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_
     cohort = dataset.scoring_cohort(store.read("gold/labels"), store.read("gold/risk"), snapshot)
     scored = write_and_reread(scoring.score(model, cohort), "scored")
     written = scoring.predictions(scored, f"models:/{name}/{model_id.rsplit('_', 1)[1]}", model_id)
-    sinks.write_predictions(
-        written.withColumn("written_at", F.current_timestamp()), store.path("gold/predictions"))
+    versions.publish(
+        written.withColumn("written_at", F.current_timestamp()), store.path("gold/predictions"), monitoring.BY_MODEL)
 
     baseline = spark.read.parquet(store.path("baseline")).filter(F.col("model_id") == model_id).drop("model_id")
     rows = scored.withColumnRenamed("model_predictions", "score").withColumn("model_id", F.lit(model_id))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
 from tidemark.sources.schemas import RAW_FILES
-from tidemark.sources.sinks import write_snapshots
 from tidemark.sources.tables import read_raw
+from tidemark.sources.versions import publish
 
 
 def bronze(raw: DataFrame, start=None, end=None) -> DataFrame:
@@ -26,4 +26,4 @@ def bronze(raw: DataFrame, start=None, end=None) -> DataFrame:
 def ingest(spark: SparkSession, raw_folder: str, source: str, out: str, start=None, end=None) -> None:
     """Split a raw CSV into the snapshot partitions of its bronze table."""
     raw = read_raw(spark, f"{raw_folder.rstrip('/')}/{RAW_FILES[source]}")
-    write_snapshots(bronze(raw, start, end), out, start=start, end=end)
+    publish(bronze(raw, start, end), out, start=start, end=end)

@@ -14,6 +14,7 @@ from tidemark.operators.stability import psi_against_baseline
 from tidemark.sources.sinks import metric_rows
 
 KEYS = ["snapshot_date", "model_id"]
+BY_MODEL = ["model_id", "snapshot_date"]
 
 
 def drift_records(scored: DataFrame, features, baseline: DataFrame, score: str = "score", baseline_by=(),

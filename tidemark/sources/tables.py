@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.dates import as_date, month_start
+from tidemark.sources import versions
 from tidemark.sources.schemas import BASELINE_JSON_SCHEMA, DRIFT_SCHEMA, RAW_COLUMNS
 
 
@@ -32,9 +33,13 @@ def between_dates(df: DataFrame, start, end, column: str = "snapshot_date") -> D
 def read_snapshots(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     """A snapshot table, or the partitions from `start` to `end`; absent months give no rows.
 
-    A partition column model_id is text, also where all ids look like numbers.
+    A published table is read through its newest manifest. A partition column
+    model_id is text, also where all ids look like numbers.
     """
-    df = spark.read.parquet(root)
+    if versions.is_published(spark, root):
+        df = versions.read_published(spark, root, start, end)
+    else:
+        df = spark.read.parquet(root)
     if "model_id" in df.columns and df.schema["model_id"].dataType != StringType():
         df = spark.read.schema(StructType(
             [StructField(f.name, StringType()) if f.name == "model_id" else f for f in df.schema])).parquet(root)

@@ -43,18 +43,25 @@ sql("bronze_sources", "\nUNION ALL\n".join(
 sql("raw_csv", """SELECT * REPLACE (CAST(snapshot_date AS DATE) AS snapshot_date) FROM silver_attributes""",
     s.SILVER_ATTRIBUTES)
 
-# A raw file holds text alone, and an empty text comes back as a missing one. Loans go by month.
+# A raw file holds text alone, and an empty text comes back as a missing one.
 for _source, _raw in (
         ("loans", s.RAW_LOANS), ("clickstream", s.RAW_CLICKS), ("attributes", s.RAW_ATTRIBUTES), ("financials", s.RAW_FINANCIALS)):
     _table = f"raw_{_source if _source != 'clickstream' else 'clicks'}"
-    _date = "date_trunc('month', CAST(snapshot_date AS DATE))" if _source == "loans" else "snapshot_date"
     sql(f"bronze_{_source}_csv", f"""
-SELECT nullif(CAST(COLUMNS(* EXCLUDE (snapshot_date)) AS VARCHAR), ''), CAST({_date} AS DATE) AS snapshot_date FROM {_table}""", _raw)
+SELECT nullif(CAST(COLUMNS(* EXCLUDE (snapshot_date)) AS VARCHAR), ''), CAST(snapshot_date AS DATE) AS snapshot_date FROM {_table}""", _raw)
 
 sql("snapshot_rewrite", """
 SELECT event_id, "Customer_ID", CASE WHEN snapshot_date = DATE '1999-03-01' THEN -1 ELSE fe_1 END AS fe_1, snapshot_date
 FROM silver_clicks WHERE snapshot_date <> DATE '1999-05-01'""", s.SILVER_CLICKS)
 
+sql("snapshot_versions", """
+SELECT 1 AS manifest, snapshot_date, count(*) AS rows, min(fe_1) AS least FROM silver_clicks GROUP BY 2
+UNION ALL
+SELECT n, snapshot_date, count(*), CASE WHEN snapshot_date = DATE '1999-03-01' THEN -1 ELSE min(fe_1) END
+FROM silver_clicks, (VALUES (2), (3)) m(n)
+WHERE n = 2 OR snapshot_date = DATE '1999-05-01' OR snapshot_date NOT BETWEEN DATE '1999-04-01' AND DATE '2000-02-01'
+GROUP BY 1, 2""", s.SILVER_CLICKS)
+
 sql("snapshot_catalogue", """
 SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
 WHERE o_orderdate <= DATE '2000-06-15'""")
@@ -442,7 +449,7 @@ SELECT metric, snapshot_date, model_id, round(value, 6) + 0.0 AS value FROM (
 
 sql("prediction_store", """
 SELECT "Customer_ID", snapshot_date, replace(model_id, 'model_', '00') AS model_id,
-  round(model_predictions, 6) + 0.0 AS model_predictions, written_at FROM predictions""", s.PREDICTIONS)
+  model_predictions, written_at FROM predictions""", s.PREDICTIONS)
 
 sql("hot_key_join", """
 SELECT o_orderstatus, o_orderkey FROM orders UNION ALL SELECT 'none', NULL""")

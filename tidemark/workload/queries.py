@@ -14,7 +14,7 @@ from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import scratch_path, write_and_reread
-from tidemark.sources import sinks, tables
+from tidemark.sources import sinks, tables, versions
 from tidemark.sources.schemas import (
     CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, MODEL_FEATURES, MONEY_COLUMNS,
     RAW_FILES, RISK_FEATURES,
@@ -117,12 +117,7 @@ def _ingested(spark, folder, source, build):
 
 @query
 def bronze_loans_csv(spark, folder):
-    """Loans by month, as the layers take them; a table of daily snapshots has some 2,500 folders."""
-    def monthly(spark, folder):
-        return s.raw_loans(spark, folder).withColumn(
-            "snapshot_date", F.trunc(F.col("snapshot_date").cast("date"), "MM").cast("string"))
-
-    return _ingested(spark, folder, "loans", monthly)
+    return _ingested(spark, folder, "loans", s.raw_loans)
 
 
 @query
@@ -142,16 +137,33 @@ def bronze_financials_csv(spark, folder):
 
 @query
 def snapshot_rewrite(spark, folder):
+    """All snapshots, one rewritten and one emptied, each through a manifest of its own."""
     path = scratch_path(spark, "snapshots")
     rows = silver.clickstream(s.raw_clicks(spark, folder)).select("event_id", "Customer_ID", "fe_1", "snapshot_date")
-    sinks.write_snapshots(rows, path)
+    versions.publish(rows, path)
     again = tables.one_snapshot(rows, "1999-03-01").withColumn("fe_1", F.lit(-1))
-    sinks.write_snapshots(again, path)
+    versions.publish(again, path)
     none = tables.one_snapshot(rows, "1999-05-01").filter("event_id < 0")
-    sinks.write_snapshots(none, path, start="1999-05-01", end="1999-05-01")
+    versions.publish(none, path, start="1999-05-01", end="1999-05-01")
     return tables.read_snapshots(spark, path)
 
 
+@query
+def snapshot_versions(spark, folder):
+    """Rows and oldest fe_1 per snapshot as of each of three manifests: all written, one rewritten, a range emptied."""
+    path = scratch_path(spark, "snapshots")
+    rows = silver.clickstream(s.raw_clicks(spark, folder)).select("event_id", "Customer_ID", "fe_1", "snapshot_date")
+    versions.publish(rows, path)
+    versions.publish(tables.one_snapshot(rows, "1999-03-01").withColumn("fe_1", F.lit(-1)), path)
+    versions.publish(tables.one_snapshot(rows, "1999-05-01"), path, start="1999-04-01", end="2000-02-01")
+    parts = [
+        versions.read_published(spark, path, number=n).groupBy(F.lit(n).alias("manifest"), "snapshot_date").agg(
+            F.count("*").alias("rows"), F.min("fe_1").alias("least"))
+        for n in versions.numbers(spark, path)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def snapshot_catalogue(spark, folder):
     return tables.snapshot_months(orders(spark, folder), "2000-06-15", "o_orderdate")
@@ -535,7 +547,7 @@ def prediction_store(spark, folder):
     path = scratch_path(spark, "predictions")
     digits = F.replace("model_id", F.lit("model_"), F.lit("00"))
     sinks.write_predictions(s.predictions(spark, folder).withColumn("model_id", digits), path)
-    return rounded(tables.read_snapshots(spark, path), "model_predictions")
+    return tables.read_snapshots(spark, path)
 
 
 @query
