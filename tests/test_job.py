@@ -77,6 +77,13 @@ def test_cycle(spark, mart):
     decisions = job.run_monitoring(mart, "2000-10-01")
     assert decisions["drift"] in ("pass", "retrain") and decisions["performance"] in ("done", "retrain")
 
+    job.run_drift(mart, "2000-09-01", "2000-12-01", 3)
+    spans = {str(r["last"]): r for r in mart.read("gold/span_drift").collect()}
+    assert sorted(spans) == ["2000-10-31", "2000-11-30", "2000-12-31"]  # the spans that hold the scored snapshot
+    record = job.tables.read_drift(spark, mart.path("gold/drift"), snapshot="2000-10-01").first()
+    for r in spans.values():
+        assert (r["psi_score"], r["csi_max"]) == pytest.approx((record["psi_score"], record["csi_max"]))
+
     predictions = mart.read("gold/predictions")
     cohort = mart.read("gold/labels", "2000-10-01", "2000-10-01")
     assert predictions.select("Customer_ID").distinct().count() == cohort.select("Customer_ID").distinct().count()

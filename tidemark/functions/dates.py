@@ -40,6 +40,20 @@ def month_calendar(spark: SparkSession, start, end, name: str = "snapshot_date")
     return spark.range(1).select(F.explode(months).alias(name))
 
 
+def calendar_spans(spark: SparkSession, start, end, unit: str) -> DataFrame:
+    """(span, first, last) of each whole "quarter", "year" or other unit of `trunc` that `start`..`end` touches."""
+    first = F.trunc("snapshot_date", unit).cast("date")
+    spans = month_calendar(spark, start, end).groupBy(first.alias("first")).agg(F.count("*"))
+    step = {"quarter": 3, "year": 12, "month": 1}[unit]
+    return spans.select(F.lit(unit).alias("span"), "first", F.date_sub(F.add_months("first", step), 1).alias("last"))
+
+
+def rolling_spans(spark: SparkSession, start, end, months: int) -> DataFrame:
+    """(first, last) of the `months` calendar months that end with each month of `start`..`end`."""
+    return month_calendar(spark, start, end, "month").select(
+        F.add_months("month", 1 - months).alias("first"), F.last_day("month").alias("last"))
+
+
 def training_windows(train_date, train_months: int = 12, oot_months: int = 2) -> dict[str, Column]:
     """The closed date windows that belong to one training date.
 

@@ -13,7 +13,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import as_date, month_calendar, months_before
+from tidemark.functions.dates import as_date, month_calendar, months_before, rolling_spans
+from tidemark.operators.bin_state import STATE_SCHEMA
 from tidemark.operators.decisions import (
     AUC_FLOOR, CSI_LIMIT, GINI_FLOOR, PSI_LIMIT, drift_decision, inference_gate, missing_snapshots, not_yet_run,
     resolve_model, training_gate,
@@ -23,7 +24,7 @@ from tidemark.operators.summary import feature_columns, numeric_columns, score_s
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
 from tidemark.sources import sinks, tables, versions
-from tidemark.sources.schemas import ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
+from tidemark.sources.schemas import BASELINE_SCHEMA, ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 
 MODEL = "credit_model"
 SOURCES = ["loans", "clickstream", "attributes", "financials"]
@@ -202,8 +203,10 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_
     baseline = spark.read.parquet(store.path("baseline")).filter(F.col("model_id") == model_id).drop("model_id")
     rows = scored.withColumnRenamed("model_predictions", "score").withColumn("model_id", F.lit(model_id))
     numeric = numeric_columns(rows, exclude=["score"])
-    records = write_and_reread(monitoring.drift_records(
-        rows, numeric, baseline, psi_limit=psi_limit, csi_limit=csi_limit), "drift")
+    versions.publish(monitoring.scored_state(rows, numeric, baseline), store.path("gold/bin_counts"), monitoring.BY_MODEL)
+    counts = store.read("gold/bin_counts", snapshot, snapshot).filter(F.col("model_id") == model_id)
+    records = write_and_reread(monitoring.drift_from_state(
+        counts, baseline, psi_limit=psi_limit, csi_limit=csi_limit), "drift")
     sinks.write_drift(records, store.path("gold/drift"))
     log_metrics(store, monitoring.drift_metrics(records))
     summary = score_summary(rows, "score", monitoring.KEYS)
@@ -212,6 +215,21 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_
     return model_id
 
 
+def run_drift(store: Store, start, end, months: int = 3, psi_limit: float = PSI_LIMIT, csi_limit: float = CSI_LIMIT) -> DataFrame:
+    """Drift of each model over the `months` months that end with each month of `start`..`end`, from stored counts alone.
+
+    Each model is held against its own baseline. A month that was never scored
+    adds nothing; spans without any scored snapshot have no row.
+    """
+    spark = store.spark
+    counts = store.read("gold/bin_counts", schema=f"{STATE_SCHEMA}, model_id string, snapshot_date date")
+    baseline = store.read("baseline", schema=BASELINE_SCHEMA)
+    found = monitoring.span_drift(
+        counts, rolling_spans(spark, start, end, months), baseline, ["model_id"], psi_limit, csi_limit)
+    versions.publish(found, store.path("gold/span_drift"), ["last"])
+    return store.read("gold/span_drift").filter(F.col("last").between(as_date(start), F.last_day(as_date(end))))
+
+
 def run_monitoring(store: Store, snapshot: str, auc_floor: float = AUC_FLOOR, gini_floor: float = GINI_FLOOR) -> dict[str, str]:
     """Retrain decisions of a snapshot: from drift, then from performance where labels exist.
 
@@ -234,7 +252,7 @@ def run_monitoring(store: Store, snapshot: str, auc_floor: float = AUC_FLOOR, gi
 
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark.job", description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor"])
+    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor", "drift"])
     parser.add_argument("--root", required=True, help="folder of the data mart")
     parser.add_argument("--raw", help="folder of the raw CSV files (bronze)")
     parser.add_argument("--start", required=True, help="first snapshot, YYYY-MM-DD; the only one for train/score/monitor")
@@ -244,8 +262,9 @@ def main(argv=None) -> None:
     parser.add_argument("--missing", action="store_true", help="only monthly snapshots without output (bronze, silver, gold)")
     parser.add_argument("--force", action="store_true", help="train or score even where it is not due")
     parser.add_argument("--min-months", type=int, default=MIN_MONTHS, help="months of history (train, score)")
-    parser.add_argument("--psi-limit", type=float, default=PSI_LIMIT, help="drift from here on (score)")
-    parser.add_argument("--csi-limit", type=float, default=CSI_LIMIT, help="drift from here on (score)")
+    parser.add_argument("--months", type=int, default=3, help="months of a span (drift)")
+    parser.add_argument("--psi-limit", type=float, default=PSI_LIMIT, help="drift from here on (score, drift)")
+    parser.add_argument("--csi-limit", type=float, default=CSI_LIMIT, help="drift from here on (score, drift)")
     parser.add_argument("--auc-floor", type=float, default=AUC_FLOOR, help="too weak below this (monitor)")
     parser.add_argument("--gini-floor", type=float, default=GINI_FLOOR, help="too weak below this (monitor)")
     args = parser.parse_args(argv)
@@ -259,6 +278,8 @@ def main(argv=None) -> None:
                 run_silver(store, start, last, sources)
             else:
                 run_gold(store, start, last)
+    elif args.step == "drift":
+        run_drift(store, args.start, end, args.months, args.psi_limit, args.csi_limit).orderBy("last", "model_id").show(truncate=False)
     elif args.step == "monitor":
         print(run_monitoring(store, args.start, args.auc_floor, args.gini_floor))
     elif not args.force and (reason := why_not(store, args.step, args.start, args.min_months)):

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.decisions import (
     AUC_FLOOR, CSI_LIMIT, GINI_FLOOR, PSI_LIMIT, drift_flags, newest_predictions, performance_decision,
-    performance_flags,
+    performance_flags, reaches,
 )
+from tidemark.operators.bin_state import bin_state, over_spans, psi_of_state
 from tidemark.operators.ranking import auc_and_gini
 from tidemark.operators.stability import psi_against_baseline
 from tidemark.sources.sinks import metric_rows
@@ -24,14 +25,41 @@ def drift_records(scored: DataFrame, features, baseline: DataFrame, score: str =
     The score column carries the name it has in the baseline.
     """
     psi = psi_against_baseline(scored, [score, *features], baseline, KEYS, baseline_by)
+    return drift_flags(_indices(psi, KEYS), psi_limit, csi_limit)
+
+
+def _indices(psi: DataFrame, by) -> DataFrame:
+    """(by..., psi_score, csi_mean, csi_max): the index of the score, mean and maximum of the features'."""
     is_score = F.col("metric_kind") == "score"
     known = F.when(~F.isnan("psi"), F.col("psi"))
-    per_snapshot = psi.groupBy(*KEYS).agg(
+    return psi.groupBy(*by).agg(
         F.max(F.when(is_score, known)).alias("psi_score"),
         F.avg(F.when(~is_score, known)).alias("csi_mean"),
         F.max(F.when(~is_score, known)).alias("csi_max"),
     )
-    return drift_flags(per_snapshot, psi_limit, csi_limit)
+
+
+def scored_state(scored: DataFrame, features, baseline: DataFrame, score: str = "score", baseline_by=()) -> DataFrame:
+    """Counts per snapshot, model, column and bin: all that drift needs to know of scored rows."""
+    return bin_state(scored, [score, *features], baseline, KEYS, baseline_by)
+
+
+def drift_from_state(state: DataFrame, baseline: DataFrame, baseline_by=(), psi_limit: float = PSI_LIMIT,
+                     csi_limit: float = CSI_LIMIT) -> DataFrame:
+    """`drift_records` from the counts alone."""
+    return drift_flags(_indices(psi_of_state(state, baseline, KEYS, baseline_by), KEYS), psi_limit, csi_limit)
+
+
+def span_drift(state: DataFrame, spans: DataFrame, baseline: DataFrame, baseline_by=(), psi_limit: float = PSI_LIMIT,
+               csi_limit: float = CSI_LIMIT) -> DataFrame:
+    """(spans' columns..., model_id, psi_score, csi_mean, csi_max, psi_breach, csi_breach) of each span of snapshots and model.
+
+    The snapshots of a span count as one sample; `spans` has first and last.
+    """
+    by = [*spans.columns, "model_id"]
+    psi = psi_of_state(over_spans(state, spans, ["model_id"]), baseline, by, baseline_by)
+    return _indices(psi, by).withColumns({
+        "psi_breach": reaches(F.col("psi_score"), F.lit(psi_limit)), "csi_breach": reaches(F.col("csi_max"), F.lit(csi_limit))})
 
 
 def performance_records(predictions: DataFrame, labels: DataFrame, auc_floor: float = AUC_FLOOR,

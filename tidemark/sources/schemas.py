@@ -70,6 +70,7 @@ BASELINE_JSON_SCHEMA = (
     "score_expected array<double>, feature_bins map<string,array<double>>, "
     "feature_expected map<string,array<double>>"
 )
+BASELINE_SCHEMA = "metric_kind string, feature string, edges array<double>, expected array<double>, model_id string"
 PREDICTION_SCHEMA = (
     "Customer_ID string, model_predictions double, model_name string, model_id string, snapshot_date date, "
     "written_at timestamp"

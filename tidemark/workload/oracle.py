@@ -365,12 +365,12 @@ expected AS (
   FROM bins LEFT JOIN base_counts USING ({using}, bin))"""
 
 
-def against_baseline(by: str, keys: str) -> str:
+def against_baseline(by: str, keys: str, source: str = "scored") -> str:
     """PSI per `keys` and feature since 1998 against the baseline kept per `by`."""
     k = f"{by}, " if by else ""
     all_keys = f"{keys}, feature"
     return f"""
-target AS ({long('scored', _FEATURES, keys.split(', '), "snapshot_date >= DATE '1998-01-01'")}),
+target AS ({long(source, _FEATURES, keys.split(', '), "snapshot_date >= DATE '1998-01-01'")}),
 target_counts AS (
   SELECT {all_keys}, CAST(least(len(list_filter(edges, lambda e: e <= value)), len(edges) - 1) AS BIGINT) AS bin, count(*) AS c
   FROM target JOIN edges USING ({k}feature) WHERE value >= edges[1] AND value <= edges[len(edges)] GROUP BY ALL),
@@ -406,6 +406,47 @@ sql("psi_vs_baseline", f"SELECT {_KEYS}, metric_kind, feature, round(psi, 6) + 0
 sql("baseline_per_model", "SELECT model_id, metric_kind, feature, round(psi, 6) + 0.0 AS psi FROM psi",
     s.SCORED, baseline("model_id"), against_baseline("model_id", "model_id"))
 
+_BIN = """CASE WHEN value IS NULL OR isnan(value) THEN -1 WHEN value < edges[1] OR value > edges[len(edges)] THEN 0
+  ELSE least(len(list_filter(edges, lambda e: e <= value)), len(edges) - 1) END"""
+sql("bin_state", f"""
+SELECT snapshot_date, model_id, feature, CAST({_BIN} AS INTEGER) AS bin, count(*) AS rows
+FROM ({long('scored', _FEATURES, ['snapshot_date', 'model_id'])}) JOIN edges USING (feature) GROUP BY ALL""",
+    s.SCORED, baseline())
+
+_SPANNED = """
+spanned AS (
+  SELECT 'quarter' AS span, CAST(date_trunc('quarter', snapshot_date) AS DATE) AS first,
+         CAST(date_trunc('quarter', snapshot_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS last, * FROM scored
+  UNION ALL
+  SELECT 'year', CAST(date_trunc('year', snapshot_date) AS DATE),
+         CAST(date_trunc('year', snapshot_date) + INTERVAL 12 MONTH - INTERVAL 1 DAY AS DATE), * FROM scored)"""
+sql("drift_from_state", """
+SELECT *, coalesce(psi_score >= 0.25, false) AS psi_breach, coalesce(csi_max >= 0.25, false) AS csi_breach FROM (
+  SELECT span, first, last, model_id, round(max(CASE WHEN feature = 'score' THEN psi END), 6) + 0.0 AS psi_score,
+    round(avg(CASE WHEN feature <> 'score' THEN psi END), 6) + 0.0 AS csi_mean,
+    round(max(CASE WHEN feature <> 'score' THEN psi END), 6) + 0.0 AS csi_max
+  FROM psi GROUP BY span, first, last, model_id)""",
+    s.SCORED, _SPANNED, baseline(), against_baseline("", "span, first, last, model_id", "spanned"))
+
+sql("records_from_state", "SELECT * FROM records", _DRIFT)
+
+sql("state_per_model", """
+SELECT model_id, metric_kind, feature, n, n_outside, n_missing, round(psi, 6) + 0.0 AS psi
+FROM psi JOIN (SELECT model_id, feature, count(*) AS n,
+    CAST(count(*) FILTER (value < edges[1] OR value > edges[len(edges)]) AS BIGINT) AS n_outside,
+    CAST(count(*) FILTER (value IS NULL) AS BIGINT) AS n_missing
+  FROM target JOIN edges USING (model_id, feature) GROUP BY 1, 2) USING (model_id, feature)""",
+    s.SCORED, baseline("model_id"), against_baseline("model_id", "model_id"))
+
+sql("baseline_of_state", f"""
+SELECT CASE feature WHEN 'score' THEN 'score' ELSE 'feature' END AS metric_kind, feature,
+  {fixed('any_value(edges)', 4)} AS edges, {fixed('list(share ORDER BY bin)')} AS expected
+FROM (SELECT feature, edges, bin, count(value) / sum(count(value)) OVER (PARTITION BY feature) AS share
+      FROM bins LEFT JOIN (SELECT feature, value, {_BIN} AS bin
+                           FROM ({long('scored', _FEATURES, [], "year(snapshot_date) = 1998")}) JOIN edges USING (feature)) v
+        USING (feature, bin) GROUP BY feature, edges, bin)
+GROUP BY feature""", s.SCORED, baseline())
+
 # --- monitoring ----------------------------------------------------------------------------------------
 
 sql("drift_flags", "SELECT * FROM records", _DRIFT)

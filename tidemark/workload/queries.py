@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, encode, text
+from tidemark.operators import bin_state as bins
 from tidemark.operators import decisions, ranking, stability, stratify, summary
+from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
@@ -508,6 +510,59 @@ def baseline_per_model(spark, folder):
     return rounded(psi, "psi")
 
 
+def _stored_state(spark, folder, baseline, by_model=False):
+    """The counts of every scored snapshot, as scoring leaves them behind: published per model and snapshot."""
+    path, keys = scratch_path(spark, "bin-counts"), ["model_id"] if by_model else []
+    versions.publish(
+        monitoring.scored_state(s.scored(spark, folder), s.SCORED_FEATURES, baseline, baseline_by=keys), path, monitoring.BY_MODEL)
+    return tables.read_snapshots(spark, path)
+
+
+def _since(state):
+    return state.filter(F.col("snapshot_date") >= "1998-01-01")
+
+
+@query
+def bin_state(spark, folder):
+    return _stored_state(spark, folder, _baseline(spark, folder)).drop("edges_id")
+
+
+@query
+def drift_from_state(spark, folder):
+    """Drift of every quarter and year from stored counts."""
+    baseline = stored(_baseline(spark, folder))
+    state = _since(_stored_state(spark, folder, baseline))
+    spans = dates.calendar_spans(spark, "1998-01-01", "2001-12-31", "quarter").unionByName(
+        dates.calendar_spans(spark, "1998-01-01", "2001-12-31", "year"))
+    return rounded(monitoring.span_drift(state, spans, baseline), "psi_score", "csi_mean", "csi_max")
+
+
+@query
+def records_from_state(spark, folder):
+    """The drift record of every snapshot and model from stored counts."""
+    baseline = stored(_baseline(spark, folder))
+    state = _since(_stored_state(spark, folder, baseline))
+    return rounded(monitoring.drift_from_state(state, baseline), "psi_score", "csi_max")
+
+
+@query
+def state_per_model(spark, folder):
+    """Index of all later rows against the baseline of each model, and how many lie off its edges."""
+    rows = s.scored(spark, folder)
+    before = rows.filter("snapshot_date < '1998-01-01'")
+    baseline = stored(stability.monitoring_baseline(before, s.SCORED_FEATURES, by=["model_id"]))
+    state = bins.merged(_since(_stored_state(spark, folder, baseline, by_model=True)), ["model_id"])
+    return rounded(bins.psi_of_state(state, baseline, ["model_id"], ["model_id"]), "psi")
+
+
+@query
+def baseline_of_state(spark, folder):
+    """A new baseline: the stored edges with the shares of a later year, from its counts."""
+    baseline = stored(_baseline(spark, folder))
+    year = _stored_state(spark, folder, baseline).filter(F.year("snapshot_date") == 1998)
+    return rounded_array(rounded_array(bins.baseline_of_state(year, baseline), "edges", places=4), "expected")
+
+
 # --- monitoring ----------------------------------------------------------------------------------------
 
 @query
