@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.bins import edge_columns, edges_reached
 from tidemark.functions.numeric import capped
 from tidemark.operators.bounded import known_values, lookup, running_total, stored, to_long
+from tidemark.operators.sketches import quantile_sketches, sketch_quantiles
 
 SKETCH_ACCURACY = 2_000
 
@@ -99,17 +100,17 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
 
 
 def cap_at_quantile(df: DataFrame, columns, prob: float = 0.97, by=("snapshot_date",),
-                    accuracy: int = SKETCH_ACCURACY, approximate: bool = False) -> DataFrame:
+                    accuracy: int = SKETCH_ACCURACY, approximate: bool = False, sketches: DataFrame | None = None) -> DataFrame:
     """Limit each column to its quantile within the snapshot; capped columns become doubles.
 
-    Exact quantiles read `df` several times: hand in a stored table. With `approximate` one pass
-    of a sketch gives caps whose rank is off by n / accuracy at most.
+    Exact quantiles read `df` several times: hand in a stored table. With `approximate` the caps come from
+    mergeable sketches, made in one pass or handed in as `sketches` (by..., feature, n, sketch), as they were
+    stored; a cap's rank is then off by half a hundredth of the rows at most (see `sketches.SKETCH_SIZE`).
     """
     by = list(by)
-    if approximate:
-        long = known_values(to_long(df, by, columns))
-        quantile = F.expr(f"percentile_approx(value, {_doubles([prob])}, {accuracy})").alias("quantiles")
-        found = long.groupBy(*by, "feature").agg(quantile)
+    if approximate or sketches is not None:
+        held = quantile_sketches(df, columns, by) if sketches is None else sketches
+        found = sketch_quantiles(held.filter(F.col("feature").isin(list(columns))), [prob])
     else:
         found = exact_quantiles(df, columns, [prob], by, "disc", accuracy)
     cap = F.expr("map_from_entries(collect_list(struct(feature, quantiles[0])))").alias("__caps")

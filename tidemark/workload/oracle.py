@@ -111,6 +111,29 @@ FROM m JOIN (SELECT snapshot_date, quantile_disc(o_totalprice, 0.97) AS p, quant
              FROM m GROUP BY snapshot_date) USING (snapshot_date)""",
     "m AS (SELECT *, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date FROM orders)")
 
+_ORDER_MONTHS = """
+m AS (
+  SELECT feature, snapshot_date, value FROM (
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey
+    FROM orders) UNPIVOT (value FOR feature IN (o_totalprice, o_custkey)))"""
+sql("sketch_caps", """
+SELECT span, first, last, feature, count(*) AS n, count(*) AS sketched, true AS near FROM (
+  SELECT 'quarter' AS span, CAST(date_trunc('quarter', snapshot_date) AS DATE) AS first,
+    CAST(date_trunc('quarter', snapshot_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS last, feature FROM m
+  UNION ALL
+  SELECT 'year', CAST(date_trunc('year', snapshot_date) AS DATE),
+    CAST(date_trunc('year', snapshot_date) + INTERVAL 12 MONTH - INTERVAL 1 DAY AS DATE), feature FROM m)
+GROUP BY ALL""", _ORDER_MONTHS)
+
+sql("sketch_capped", """
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, count(*) AS n, true AS o_totalprice_near,
+  true AS o_custkey_near, true AS o_totalprice_held, true AS o_custkey_held FROM orders GROUP BY 1""")
+
+sql("cap_approximate", """
+SELECT snapshot_date, feature, count(*) AS n, true AS near
+FROM (SELECT snapshot_date, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in s._CAPPED) + """ FROM clean_financials)
+  UNPIVOT (value FOR feature IN (""" + ", ".join(f'"{c}"' for c in s._CAPPED) + """)) GROUP BY 1, 2""", s.CLEAN_FINANCIALS)
+
 sql("fin_features", 'SELECT record_id, "Customer_ID", snapshot_date, ' + ", ".join(f'"{c}"' for c in s._CAPPED) + """,
   "Credit_Mix", "Payment_of_Min_Amount", "Credit_History_Age",
   round("Loans_per_Credit_Item", 6) + 0.0 AS "Loans_per_Credit_Item",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, encode, text
 from tidemark.operators import bin_state as bins
-from tidemark.operators import decisions, ranking, stability, stratify, summary
+from tidemark.operators import decisions, ranking, sketches, stability, stratify, summary
 from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
@@ -245,6 +245,65 @@ def p97_cap(spark, folder):
         ["o_totalprice", "o_custkey"])
 
 
+def _monthly_orders(spark, folder):
+    return orders(spark, folder).select(
+        "o_orderkey", "o_totalprice", "o_custkey", F.trunc("o_orderdate", "MM").alias("snapshot_date"))
+
+
+CAPPED_ORDERS = ["o_totalprice", "o_custkey"]
+
+
+def _stored_sketches(spark, folder):
+    """A sketch per month and column, published as a binary column."""
+    path = scratch_path(spark, "sketches")
+    versions.publish(sketches.quantile_sketches(_monthly_orders(spark, folder), CAPPED_ORDERS, ["snapshot_date"]), path)
+    return tables.read_snapshots(spark, path)
+
+
+def _near(prob):
+    """Whether the rank of a cap, among rows counted exactly, is within 0.01 n of the one wanted."""
+    return F.expr(f"low <= ({prob} + 0.01) * n and high >= ({prob} - 0.01) * n")
+
+
+@query
+def sketch_caps(spark, folder):
+    """Caps of every quarter and year from merged monthly sketches, held against the ranks of all rows."""
+    spans = dates.calendar_spans(spark, *s.ALL_DATES, "quarter").unionByName(dates.calendar_spans(spark, *s.ALL_DATES, "year"))
+    caps = stored(sketches.sketch_quantiles(sketches.over_spans(_stored_sketches(spark, folder), spans), [0.97]))
+    by = ["span", "first", "last"]
+    rows = _monthly_orders(spark, folder)
+    placed = rows.join(spans, rows["snapshot_date"].between(spans["first"], spans["last"]))
+    found = sketches.ranks_of(placed, CAPPED_ORDERS, caps, by)
+    return found.join(caps.select(*by, "feature", F.col("n").alias("sketched")), [*by, "feature"]).select(
+        *by, "feature", "n", "sketched", _near(0.97).alias("near"))
+
+
+@query
+def sketch_capped(spark, folder):
+    """Rows capped by stored sketches: how many are cut in each month, and whether that is 3 of 100, give or take one."""
+    rows = _monthly_orders(spark, folder)
+    capped = cap_at_quantile(rows, CAPPED_ORDERS, sketches=_stored_sketches(spark, folder))
+    both = rows.select("o_orderkey", *[F.col(c).alias(f"raw_{c}") for c in CAPPED_ORDERS]).join(capped, "o_orderkey")
+    return both.groupBy("snapshot_date").agg(F.count("*").alias("n"), *[
+        (F.sum((F.col(f"raw_{c}") > F.col(c)).cast("int")) <= 0.04 * F.count("*")).alias(f"{c}_near") for c in CAPPED_ORDERS],
+        *[F.max(F.col(c) <= F.col(f"raw_{c}")).alias(f"{c}_held") for c in CAPPED_ORDERS])
+
+
+@query
+def cap_approximate(spark, folder):
+    """Financial features with caps from sketches: known values per snapshot, and whether at most 4 of 100 are above the cap."""
+    values = write_and_reread(silver.financial_values(s.raw_financials(spark, folder)).select(
+        "record_id", "snapshot_date", *CAPPED_COLUMNS), "values")
+    capped = cap_at_quantile(values, CAPPED_COLUMNS, approximate=True)
+    long = [values.select("record_id", "snapshot_date", F.lit(c).alias("feature"), F.col(c).cast("double").alias("raw"))
+            .join(capped.select("record_id", F.col(c).alias("value")), "record_id") for c in CAPPED_COLUMNS]
+    rows = long[0]
+    for one in long[1:]:
+        rows = rows.unionByName(one)
+    return rows.filter("raw is not null").groupBy("snapshot_date", "feature").agg(
+        F.count("*").alias("n"), (F.sum((F.col("raw") > F.col("value")).cast("int")) <= 0.04 * F.count("*")).alias("near"))
+
+
 @query
 def fin_features(spark, folder):
     out = silver.financials(s.raw_financials(spark, folder)).select(
