@@ -1,11 +1,13 @@
 """The whole cycle from raw CSV files to a retrain decision, on data derived from the test tables."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import job
+from tidemark.sources import claims, files, tables
 from tidemark.sources.schemas import MODEL_FEATURES, RAW_FILES
 from tidemark.workload import standins
 
@@ -95,3 +97,93 @@ def test_cycle(spark, mart):
     logged = {r.metric for r in spark.read.parquet(mart.path("gold/metrics")).select("metric").distinct().collect()}
     assert {"auc_train", "auc_test", "auc_oot", "gini_oot", "psi_score_oot", "csi_max_test", "cv_balanced_accuracy",
             "ml_psi_score", "ml_score_mean", "ml_auc", "ml_auc_threshold", "parameter_maxIter"} <= logged
+
+
+SPACE = {"maxIter": [2], "maxDepth": [2]}
+
+
+def test_of_two_runs_one_trains(spark, mart):
+    known = tables.list_files(spark, mart.path("models"), "part-*").count() if files.exists(spark, mart.path("models")) else 0
+    ended, start = [], threading.Barrier(2)
+
+    def train():
+        start.wait()
+        try:
+            ended.append(job.run_training(mart, "2000-06-01", draws=1, space=SPACE))
+        except claims.Taken:
+            ended.append(None)
+
+    threads = [threading.Thread(target=train) for _ in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    model_id, = [m for m in ended if m]
+    assert None in ended and len(ended) == 2
+    assert job.current_model(mart) == model_id
+    trained = claims.records(spark, mart.path("registry"), job.REGISTRY_SCHEMA).filter("train_date = '2000-06-01'").collect()
+    assert [f"{r['name']}_{r['version']}" for r in trained] == [model_id]
+    assert tables.list_files(spark, mart.path("models"), "part-*").count() > known
+    assert job.why_not(mart, "train", "2000-06-01") == "this date was trained before"
+    with pytest.raises(claims.Taken):
+        job.run_training(mart, "2000-06-01", draws=1, space=SPACE)
+
+
+def test_a_run_that_fails_gives_its_claim_back(spark, mart, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(job.scoring, "search", broken)
+        job.run_training(mart, "2000-03-01", draws=1, space=SPACE)
+    folder = mart.path("claims/train=2000-03-01")
+    assert claims.state(spark, folder) == "failed"
+    # A run whose lease is over is overtaken, and does not make its model known when it comes back.
+    dead = claims.take(spark, folder)
+    assert claims.state(spark, folder) == "held" and job.why_not(mart, "train", "2000-03-01", 1) == "another run trains this date"
+    with pytest.raises(claims.Taken):
+        claims.take(spark, folder)
+    heir = claims.take(spark, folder, lease_hours=-1)
+    assert (dead.attempt, heir.attempt) == (2, 3)
+    assert not claims.is_mine(spark, dead) and claims.is_mine(spark, heir)
+    with pytest.raises(claims.Taken):
+        job._train(mart, "2000-03-01", 1, SPACE, job.MODEL, dead)
+    assert claims.records(spark, mart.path("registry"), job.REGISTRY_SCHEMA).filter("train_date = '2000-03-01'").count() == 0
+    claims.finish(spark, heir)
+    assert claims.state(spark, folder) == "done"
+    assert claims.take(spark, folder, again=True).attempt == 4
+
+
+def test_numbers_are_taken_once(spark, tmp_path):
+    folder, got = f"file://{tmp_path}/n", []
+    threads = [threading.Thread(target=lambda: got.append(claims.reserve(spark, folder))) for _ in range(6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(got) == [1, 2, 3, 4, 5, 6] and claims.reserve(spark, folder, after=10) == 11
+    assert claims.compare_and_set(spark, f"{folder}/r", 1, {"name": "a"})
+    assert not claims.compare_and_set(spark, f"{folder}/r", 1, {"name": "b"})
+    assert [r["name"] for r in claims.records(spark, f"{folder}/r", "name string").collect()] == ["a"]
+
+
+class Unregistered(job.Store):
+    """The same mart without registry and without the table of baselines."""
+
+    def path(self, name):
+        return super().path(f"nowhere/{name}" if name.startswith(("registry", "baseline")) else name)
+
+
+def test_the_newest_model_file_scores_without_a_registry(spark, mart):
+    store = Unregistered(spark, mart.root)
+    found = job.resolved_model(store).first()
+    assert (found["source"], found["model_id"]) == ("file", job.resolved_model(store).first()["model_id"])
+    newest = max(n for n, _ in files.names(spark, mart.path("models")))
+    assert found["model_id"] == newest
+    assert job.why_not(store, "score", "2000-11-01") is None
+    assert job.run_scoring(store, "2000-11-01") == newest
+    drift = tables.read_drift(spark, store.path("gold/drift"), snapshot="2000-11-01").first()
+    assert drift["model_id"] == newest and drift["psi_score"] is not None  # bins came from the file beside the model
+    table = mart.read("baseline").filter(F.col("model_id") == newest).drop("model_id")
+    assert sorted(map(tuple, job.stored_baseline(store, newest).select(*table.columns).collect())) == sorted(map(tuple, table.collect()))
+    assert job.current_model(Unregistered(spark, f"{mart.root}/none")) is None

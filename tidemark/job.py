@@ -8,6 +8,8 @@ no output yet. Training and scoring first ask whether they are due.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import re
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,7 @@ from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
-from tidemark.sources import sinks, tables, versions
+from tidemark.sources import claims, files, sinks, tables, versions
 from tidemark.sources.schemas import BASELINE_SCHEMA, ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 
 MODEL = "credit_model"
@@ -116,6 +118,8 @@ def why_not(store: Store, step: str, date: str, min_months: int = MIN_MONTHS, na
     done = store.read("runs", schema=RUN_SCHEMA).filter(F.col("step") == step)
     if not_yet_run(run, done).isEmpty():
         return "this date was trained before"
+    if claims.state(store.spark, store.path(f"claims/train={date}")) == "held":
+        return "another run trains this date"
     gate = training_gate(run, store.read("gold/labels", schema=DATED), min_months).first()
     return None if gate["train"] else f"no quarter month, or fewer than {min_months} months of labels: {gate['n_months']}"
 
@@ -130,11 +134,27 @@ def log_metrics(store: Store, df: DataFrame) -> None:
     sinks.append_metrics(df, store.path("gold/metrics"))
 
 
-def run_training(store: Store, train_date: str, draws: int = 100, space=None, name: str = MODEL) -> str:
+def run_training(store: Store, train_date: str, draws: int = 100, space=None, name: str = MODEL, again: bool = False,
+                 lease_hours: float = claims.LEASE_HOURS) -> str:
     """Fit, evaluate and register a model; returns its id.
 
-    Where another run has taken the same version, writing the model fails.
+    A date is trained once: the run claims it first, and `claims.Taken` is raised
+    where another run holds the claim or, without `again`, has finished. A run
+    that fails gives its claim back; one that is killed loses it when the lease
+    ends. Versions are numbers that no other run gets, and a model is known from
+    its record in the registry on, which comes last.
     """
+    claim = claims.take(store.spark, store.path(f"claims/train={train_date}"), lease_hours, again)
+    try:
+        model_id = _train(store, train_date, draws, space, name, claim)
+    except BaseException as error:
+        claims.fail(store.spark, claim, error=str(error)[:1000])
+        raise
+    claims.finish(store.spark, claim, model_id=model_id)
+    return model_id
+
+
+def _train(store: Store, train_date: str, draws: int, space, name: str, claim: claims.Claim) -> str:
     spark = store.spark
     rows = dataset.training_set(store.read("gold/labels"), store.read("gold/risk"), train_date)
     features = feature_columns(rows, [*ID_COLUMNS, "period"])
@@ -143,9 +163,8 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
     train = write_and_reread(dataset.with_folds(rows.filter("split = 'train'"), ["row_key"]), "folds")
     model, parameters, cv_score = scoring.search(train, features, draws=draws, space=space)
 
-    registry = tables.read_or_empty(spark, store.path("registry"), REGISTRY_SCHEMA)
-    last = registry.filter(F.col("name") == name).agg(F.max("version")).first()[0] or 0
-    model_id = f"{name}_{last + 1}"
+    version = claims.reserve(spark, store.path(f"versions/{name}"))
+    model_id = f"{name}_{version}"
     path = store.path(f"models/{model_id}")
     model.write().save(path)
 
@@ -153,7 +172,9 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
     scored = scoring.score(model, rows, "score").select("split", "label", "score", *numeric)
     scored = write_and_reread(scored, "scored")
     baseline = monitoring_baseline(scored.filter("split = 'train'"), numeric)
+    baseline = write_and_reread(baseline, "baseline")
     sinks.write_snapshots(baseline.withColumn("model_id", F.lit(model_id)), store.path("baseline"), by=("model_id",))
+    sinks.write_baseline_json(baseline, features, numeric, store.path(f"bins/{model_id}"))
 
     performance = scoring.split_performance(scored, "score")
     stability = scoring.split_stability(scored, numeric, score_col="score")
@@ -168,31 +189,53 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
         "metric", as_date(train_date).alias("snapshot_date"), F.lit(model_id).alias("model_id"), "value",
         F.current_timestamp().alias("logged_at")))
 
-    spark.range(1).select(
-        F.lit(name).alias("name"), F.lit(last + 1).alias("version"), F.current_timestamp().alias("last_updated"),
-        F.lit(path).alias("path"), as_date(train_date).alias("train_date"),
-    ).write.mode("append").parquet(store.path("registry"))
+    if not claims.is_mine(spark, claim):
+        raise claims.Taken(f"the claim on {train_date} was lost while it was trained")
+    record = {"name": name, "version": version, "last_updated": dt.datetime.now(dt.timezone.utc).isoformat(),
+              "path": path, "train_date": train_date}
+    if not claims.compare_and_set(spark, store.path(f"registry/{name}"), version, record):
+        raise claims.Taken(f"version {version} of {name} was registered by another run")
     mark_run(store, "train", train_date)
     return model_id
 
 
+def model_files(store: Store, name: str = MODEL) -> DataFrame:
+    """(file, modified): saved models by folder name and a suffix, and the newest change of their description; none where nothing was saved."""
+    at = store.path("models")
+    if not files.exists(store.spark, at):
+        return tables.empty_table(store.spark, "file string, modified timestamp")
+    folder = F.regexp_extract("path", r"/models/([^/]+)/metadata/[^/]+$", 1)
+    listed = tables.list_files(store.spark, at, "part-*").select(folder.alias("model"), "modificationTime")
+    return listed.filter(F.col("model").rlike(rf"^{re.escape(name)}_[0-9]+$")).groupBy(
+        F.concat("model", F.lit(".dir")).alias("file")).agg(F.max("modificationTime").alias("modified"))
+
+
 def resolved_model(store: Store, name: str = MODEL, as_of=None) -> DataFrame:
-    registry = tables.read_or_empty(store.spark, store.path("registry"), REGISTRY_SCHEMA)
-    files = tables.empty_table(store.spark, "file string, modified timestamp")
-    return resolve_model(registry, files, name, as_of)
+    """The newest registered version, else the newest saved model."""
+    registry = claims.records(store.spark, store.path("registry"), REGISTRY_SCHEMA)
+    return resolve_model(registry, model_files(store, name), name, as_of)
 
 
 def current_model(store: Store, name: str = MODEL, as_of=None) -> str | None:
     return resolved_model(store, name, as_of).first()["model_id"]
 
 
+def stored_baseline(store: Store, model_id: str) -> DataFrame:
+    """A model's bins from the table, else from the file beside it; no rows where neither was written."""
+    spark = store.spark
+    held = tables.read_or_empty(spark, store.path("baseline"), BASELINE_SCHEMA).filter(F.col("model_id") == model_id).drop("model_id")
+    if held.isEmpty() and files.exists(spark, store.path(f"bins/{model_id}")):
+        return tables.read_baseline_json(spark, store.path(f"bins/{model_id}")).drop("source")
+    return held
+
+
 def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_limit: float = PSI_LIMIT,
                 csi_limit: float = CSI_LIMIT) -> str:
     """Score the cohort of a snapshot with the newest model and record its drift."""
     spark = store.spark
     model_id = current_model(store, name, as_of)
     if model_id is None:
-        raise ValueError(f"no model registered under {name}")
+        raise ValueError(f"no model registered or saved under {name}")
     model = PipelineModel.load(store.path(f"models/{model_id}"))
     cohort = dataset.scoring_cohort(store.read("gold/labels"), store.read("gold/risk"), snapshot)
     scored = write_and_reread(scoring.score(model, cohort), "scored")
@@ -200,7 +243,7 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_
     versions.publish(
         written.withColumn("written_at", F.current_timestamp()), store.path("gold/predictions"), monitoring.BY_MODEL)
 
-    baseline = spark.read.parquet(store.path("baseline")).filter(F.col("model_id") == model_id).drop("model_id")
+    baseline = stored_baseline(store, model_id)
     rows = scored.withColumnRenamed("model_predictions", "score").withColumn("model_id", F.lit(model_id))
     numeric = numeric_columns(rows, exclude=["score"])
     versions.publish(monitoring.scored_state(rows, numeric, baseline), store.path("gold/bin_counts"), monitoring.BY_MODEL)
@@ -259,6 +302,7 @@ def main(argv=None) -> None:
     parser.add_argument("--end", help="last snapshot, the first by default")
     parser.add_argument("--source", choices=SOURCES, action="append", help="only these sources (bronze, silver)")
     parser.add_argument("--draws", type=int, default=100, help="parameter sets to try (train)")
+    parser.add_argument("--lease-hours", type=float, default=claims.LEASE_HOURS, help="a run that says nothing for so long is dead (train)")
     parser.add_argument("--missing", action="store_true", help="only monthly snapshots without output (bronze, silver, gold)")
     parser.add_argument("--force", action="store_true", help="train or score even where it is not due")
     parser.add_argument("--min-months", type=int, default=MIN_MONTHS, help="months of history (train, score)")
@@ -285,7 +329,10 @@ def main(argv=None) -> None:
     elif not args.force and (reason := why_not(store, args.step, args.start, args.min_months)):
         print(f"not due: {reason}")
     elif args.step == "train":
-        print(run_training(store, args.start, args.draws))
+        try:
+            print(run_training(store, args.start, args.draws, again=args.force, lease_hours=args.lease_hours))
+        except claims.Taken as error:
+            print(f"not due: {error}")
     else:
         print(run_scoring(store, args.start, psi_limit=args.psi_limit, csi_limit=args.csi_limit))
 

@@ -44,6 +44,25 @@ def write_predictions(df: DataFrame, root: str) -> None:
     write_snapshots(df, root, by=("model_id", "snapshot_date"))
 
 
+def write_baseline_json(baseline: DataFrame, feature_cols, numeric_cols, path: str) -> None:
+    """A model's bins as one JSON object: lists for the score, maps by column for the features.
+
+    The baseline has a row per column, so it fits into one object.
+    """
+    feature = F.col("metric_kind") == "feature"
+
+    def mapped(column):
+        return F.map_from_entries(F.collect_list(F.when(feature, F.struct("feature", column))))
+
+    baseline.agg(
+        F.array(*[F.lit(c) for c in feature_cols]).alias("feature_cols"),
+        F.array(*[F.lit(c) for c in numeric_cols]).alias("numeric_cols"),
+        F.first(F.when(~feature, F.col("edges")), True).alias("score_bins"),
+        F.first(F.when(~feature, F.col("expected")), True).alias("score_expected"),
+        mapped("edges").alias("feature_bins"), mapped("expected").alias("feature_expected"),
+    ).coalesce(1).write.mode("overwrite").json(path)
+
+
 def write_drift(df: DataFrame, root: str) -> None:
     """Drift records as JSON lines, one folder per snapshot; rewriting a snapshot replaces the records of all its models."""
     fields = [c.split()[0] for c in DRIFT_SCHEMA.split(", ")]
