@@ -2,6 +2,7 @@
 
 import datetime as dt
 import threading
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +175,22 @@ class Unregistered(job.Store):
         return super().path(f"nowhere/{name}" if name.startswith(("registry", "baseline")) else name)
 
 
+def test_stores_laid_out_by_customer(spark, mart):
+    from tidemark.plans import dataset
+
+    assert job.laid_out(mart) is None
+    assert job.run_layout(mart) == "layouts/00000001"
+    stores = job.laid_out(mart)
+    labels, risk = mart.read("gold/labels"), mart.read("gold/risk")
+    for placed, moved in ((dataset.training_set_in_place(stores, TRAIN), dataset.training_set(labels, risk, TRAIN)),
+                          (dataset.scoring_cohort_in_place(stores, "2000-11-01"), dataset.scoring_cohort(labels, risk, "2000-11-01"))):
+        assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(placed.columns) == sorted(moved.columns) and moved.count() > 0
+        assert Counter(map(tuple, placed.select(*moved.columns).collect())) == Counter(map(tuple, moved.collect()))
+    job.run_gold(mart, END[:8] + "01", END)  # one month is written again: the layout is older than the stores
+    assert job.laid_out(mart) is None and job.run_layout(mart) == "layouts/00000002" and job.laid_out(mart) is not None
+
+
 def test_the_newest_model_file_scores_without_a_registry(spark, mart):
     store = Unregistered(spark, mart.root)
     found = job.resolved_model(store).first()

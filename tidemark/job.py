@@ -21,6 +21,7 @@ from tidemark.operators.decisions import (
     AUC_FLOOR, CSI_LIMIT, GINI_FLOOR, PSI_LIMIT, drift_decision, inference_gate, missing_snapshots, not_yet_run,
     resolve_model, training_gate,
 )
+from tidemark.operators.joins import Colocated
 from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
 from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
@@ -156,7 +157,9 @@ def run_training(store: Store, train_date: str, draws: int = 100, space=None, na
 
 def _train(store: Store, train_date: str, draws: int, space, name: str, claim: claims.Claim) -> str:
     spark = store.spark
-    rows = dataset.training_set(store.read("gold/labels"), store.read("gold/risk"), train_date)
+    stores = laid_out(store)
+    rows = dataset.training_set_in_place(stores, train_date) if stores else dataset.training_set(
+        store.read("gold/labels"), store.read("gold/risk"), train_date)
     features = feature_columns(rows, [*ID_COLUMNS, "period"])
     keyed = rows.withColumn("row_key", F.sha2(F.to_json(F.struct("*")), 256))
     rows = write_and_reread(dataset.with_split(keyed, ["row_key"], train_date), "training")
@@ -210,6 +213,34 @@ def model_files(store: Store, name: str = MODEL) -> DataFrame:
         F.concat("model", F.lit(".dir")).alias("file")).agg(F.max("modificationTime").alias("modified"))
 
 
+def run_layout(store: Store) -> str:
+    """Lay out the label and feature stores by customer as they are now, and make that known; the layout's folder.
+
+    Training and scoring use the newest layout as long as it was made from the
+    newest manifests of both stores, and join plain tables otherwise.
+    """
+    spark = store.spark
+    made_from = _gold_manifests(store)
+    number = claims.reserve(spark, store.path("layouts/reserved"))
+    at = f"layouts/{number:08d}"
+    dataset.lay_out(spark, store.path(at), store.read("gold/labels"), store.read("gold/risk"))
+    claims.compare_and_set(spark, store.path("layouts/known"), number, {"number": number, "path": at, "made_from": made_from})
+    return at
+
+
+def _gold_manifests(store: Store) -> str:
+    return "/".join(str(max(versions.numbers(store.spark, store.path(f"gold/{t}")), default=0)) for t in ("labels", "risk"))
+
+
+def laid_out(store: Store) -> Colocated | None:
+    """The newest layout of the label and feature stores, None where it is older than they are."""
+    known = claims.records(store.spark, store.path("layouts/known"), "number int, path string, made_from string")
+    newest = known.orderBy(F.desc("number")).first()
+    if newest is None or newest["made_from"] != _gold_manifests(store):
+        return None
+    return Colocated(store.spark, store.path(newest["path"]))
+
+
 def resolved_model(store: Store, name: str = MODEL, as_of=None) -> DataFrame:
     """The newest registered version, else the newest saved model."""
     registry = claims.records(store.spark, store.path("registry"), REGISTRY_SCHEMA)
@@ -237,7 +268,9 @@ def run_scoring(store: Store, snapshot: str, name: str = MODEL, as_of=None, psi_
     if model_id is None:
         raise ValueError(f"no model registered or saved under {name}")
     model = PipelineModel.load(store.path(f"models/{model_id}"))
-    cohort = dataset.scoring_cohort(store.read("gold/labels"), store.read("gold/risk"), snapshot)
+    stores = laid_out(store)
+    cohort = dataset.scoring_cohort_in_place(stores, snapshot) if stores else dataset.scoring_cohort(
+        store.read("gold/labels"), store.read("gold/risk"), snapshot)
     scored = write_and_reread(scoring.score(model, cohort), "scored")
     written = scoring.predictions(scored, f"models:/{name}/{model_id.rsplit('_', 1)[1]}", model_id)
     versions.publish(
@@ -295,7 +328,7 @@ def run_monitoring(store: Store, snapshot: str, auc_floor: float = AUC_FLOOR, gi
 
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark.job", description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor", "drift"])
+    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor", "drift", "layout"])
     parser.add_argument("--root", required=True, help="folder of the data mart")
     parser.add_argument("--raw", help="folder of the raw CSV files (bronze)")
     parser.add_argument("--start", required=True, help="first snapshot, YYYY-MM-DD; the only one for train/score/monitor")
@@ -322,6 +355,8 @@ def main(argv=None) -> None:
                 run_silver(store, start, last, sources)
             else:
                 run_gold(store, start, last)
+    elif args.step == "layout":
+        print(run_layout(store))
     elif args.step == "drift":
         run_drift(store, args.start, end, args.months, args.psi_limit, args.csi_limit).orderBy("last", "model_id").show(truncate=False)
     elif args.step == "monitor":

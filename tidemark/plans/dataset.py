@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date, training_windows
-from tidemark.operators.joins import left_join
+from tidemark.operators.joins import Colocated, left_join
 from tidemark.operators.stratify import stratified_folds, stratified_split
 from tidemark.sources.schemas import ID_COLUMNS
 from tidemark.operators.summary import feature_columns
@@ -20,11 +20,31 @@ def features_only(features: DataFrame) -> DataFrame:
 def training_set(labels: DataFrame, features: DataFrame, train_date, train_months: int = 12,
                  oot_months: int = 2) -> DataFrame:
     """Label rows of both windows with the customer's features and `period` train_test or oot."""
+    inside, period = _both_windows(train_date, train_months, oot_months)
+    return left_join(labels.filter(inside).withColumn("period", period), features_only(features), "Customer_ID")
+
+
+def _both_windows(train_date, train_months: int, oot_months: int):
+    """Whether a snapshot lies in one of the windows, and in which."""
     w = training_windows(train_date, train_months, oot_months)
     date = F.col("snapshot_date")
-    rows = labels.filter(date.between(w["train_test_start"], w["oot_end"])).withColumn(
-        "period", F.when(date >= w["oot_start"], "oot").otherwise("train_test"))
-    return left_join(rows, features_only(features), "Customer_ID")
+    return date.between(w["train_test_start"], w["oot_end"]), F.when(date >= w["oot_start"], "oot").otherwise("train_test")
+
+
+def lay_out(spark, root: str, labels: DataFrame, features: DataFrame, **sizes) -> Colocated:
+    """Label and feature store by customer in the same buckets: training sets and cohorts then join in place."""
+    return Colocated(spark, root).lay_out(labels, features_only(features), "Customer_ID", **sizes)
+
+
+def training_set_in_place(stores: Colocated, train_date, train_months: int = 12, oot_months: int = 2) -> DataFrame:
+    """`training_set` from stores that are laid out; no row is moved."""
+    inside, period = _both_windows(train_date, train_months, oot_months)
+    return stores.join(inside).withColumn("period", period)
+
+
+def scoring_cohort_in_place(stores: Colocated, snapshot) -> DataFrame:
+    """`scoring_cohort` from stores that are laid out."""
+    return stores.join(F.col("snapshot_date") == as_date(snapshot)).drop("loan_id", "label", "label_def")
 
 
 def model_features(df: DataFrame) -> list[str]:

@@ -209,11 +209,15 @@ SELECT loan_id, label, label_def, l.snapshot_date,
 FROM label_store l LEFT JOIN risk_store r ON l."Customer_ID" = r."Customer_ID"
 WHERE l.snapshot_date BETWEEN DATE '1999-07-01' AND DATE '2000-08-31'""", _BOTH)
 
+SQL["q_training_set_moved"] = SQL["q_training_set"]
+
 sql("scoring_cohort", f"""
 SELECT l.snapshot_date, {RISK.replace('"Customer_ID"', 'l."Customer_ID"')}
 FROM label_store l LEFT JOIN risk_store r ON l."Customer_ID" = r."Customer_ID"
 WHERE l.snapshot_date = DATE '{SNAPSHOT}'""", _BOTH)
 
+SQL["q_cohort_in_place"] = SQL["q_scoring_cohort"]
+
 sql("feature_snapshot", f"SELECT {RISK} FROM risk_store WHERE snapshot_date = DATE '2000-06-01'", s.RISK_STORE)
 
 _LABELLED = """
