@@ -24,7 +24,7 @@ from tidemark.operators.decisions import (
 from tidemark.operators.joins import Colocated
 from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
-from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
+from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
 from tidemark.sources import claims, files, sinks, tables, versions
 from tidemark.sources.schemas import BASELINE_SCHEMA, ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
@@ -72,8 +72,12 @@ def run_silver(store: Store, start, end, sources=SOURCES) -> None:
         store.write(CLEAN[source](rows), f"silver/{source}", start, end)
 
 
-def run_gold(store: Store, start, end) -> None:
-    """Label and feature stores; a source without a cleaned table counts as one without rows."""
+def run_gold(store: Store, start, end, carry: bool = False) -> None:
+    """Label and feature stores; a source without a cleaned table counts as one without rows.
+
+    With `carry` the engagement panel goes on from the state of the snapshot
+    before `start`, and reads the clicks from there on instead of six months back.
+    """
     def cleaned(source, *dates):
         clean = silver.financial_columns if source == "financials" else CLEAN[source]
         return store.read(f"silver/{source}", *dates, schema=clean(tables.empty_bronze(store.spark, source)).schema)
@@ -82,7 +86,13 @@ def run_gold(store: Store, start, end) -> None:
     store.write(labels, "gold/labels", start, end)
     clicks = cleaned("clickstream").filter(
         F.col("snapshot_date").between(months_before(as_date(start), gold.LOOK_BACK), as_date(end)))
-    store.write(gold.engagement_store(clicks, start, end), "gold/engagement", start, end)
+    if carry:
+        panel = carried.CarriedPanel(store.spark, store.path("gold/engagement_state"))
+        panel.build(clicks, dt.date.fromisoformat(start).replace(day=1), dt.date.fromisoformat(end).replace(day=1))
+        engagement = carried.engagement_store(panel, clicks, start, end)
+    else:
+        engagement = gold.engagement_store(clicks, start, end)
+    store.write(engagement, "gold/engagement", start, end)
     risk = gold.risk_store(cleaned("financials", start, end), cleaned("attributes"))
     store.write(risk, "gold/risk", start, end)
 
@@ -336,6 +346,7 @@ def main(argv=None) -> None:
     parser.add_argument("--source", choices=SOURCES, action="append", help="only these sources (bronze, silver)")
     parser.add_argument("--draws", type=int, default=100, help="parameter sets to try (train)")
     parser.add_argument("--lease-hours", type=float, default=claims.LEASE_HOURS, help="a run that says nothing for so long is dead (train)")
+    parser.add_argument("--carry", action="store_true", help="engagement panel from the state of the month before (gold)")
     parser.add_argument("--missing", action="store_true", help="only monthly snapshots without output (bronze, silver, gold)")
     parser.add_argument("--force", action="store_true", help="train or score even where it is not due")
     parser.add_argument("--min-months", type=int, default=MIN_MONTHS, help="months of history (train, score)")
@@ -354,7 +365,7 @@ def main(argv=None) -> None:
             elif args.step == "silver":
                 run_silver(store, start, last, sources)
             else:
-                run_gold(store, start, last)
+                run_gold(store, start, last, args.carry)
     elif args.step == "layout":
         print(run_layout(store))
     elif args.step == "drift":

@@ -32,17 +32,24 @@ def monthly_first(clicks: DataFrame, order: str) -> DataFrame:
         F.min_by("fe_1", order).cast("int").alias("fe_1"))
 
 
-def engagement_panel(clicks: DataFrame, start, end, order: str = "fe_1") -> DataFrame:
+def engagement_panel(clicks: DataFrame, start, end, order: str = "fe_1", hot_rows: int = 1_000_000) -> DataFrame:
     """fe_1 of the six months before each snapshot of `start`..`end`, one row per customer.
 
-    Rows are first reduced to one per customer and month, then placed by
-    customer once. A row serves the six snapshots after it, so the sixfold
-    expansion and the pivot run within that placement, without another shuffle.
+    Rows are placed by customer once. The reduction to one row per customer and
+    month, the sixfold expansion (a row serves the six snapshots after it) and
+    the pivot all run within that placement, without another shuffle. Customers
+    with more than `hot_rows` rows, which are few, are reduced before it.
     """
     scan_from, scan_to = months_before(as_date(start), LOOK_BACK), months_before(as_date(end), 1)
-    history = clicks.filter(F.col("snapshot_date").between(scan_from, scan_to))
+    history = clicks.filter(F.col("snapshot_date").between(scan_from, scan_to)).select(
+        "Customer_ID", "snapshot_date", "fe_1", F.col(order).alias("__place"))
+    hot = stored(history.groupBy("Customer_ID").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("Customer_ID"))
+    first = F.min(F.struct(F.col("__place").isNull().alias("none"), "__place", "fe_1")).alias("first")
+    reduced = history.join(hot, "Customer_ID", "left_semi").groupBy("Customer_ID", "snapshot_date").agg(first).select(
+        "Customer_ID", "snapshot_date", "first.fe_1", "first.__place")
+    placed = history.join(hot, "Customer_ID", "left_anti").unionByName(reduced).repartition("Customer_ID")
     served = (
-        monthly_first(history, order).repartition("Customer_ID")
+        monthly_first(placed, "__place")
         .withColumn("months_ago", F.explode(F.sequence(F.lit(1), F.lit(LOOK_BACK))))
         .withColumn("snapshot_date", F.add_months("snapshot_date", F.col("months_ago")))
         .filter(F.col("snapshot_date").between(as_date(start), as_date(end)))

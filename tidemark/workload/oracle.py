@@ -169,6 +169,10 @@ sql("engagement_pivot", "SELECT * FROM panel", _PANEL)
 sql("engagement_scaffold", "SELECT * FROM scaffold", s.SILVER_CLICKS, _SCAFFOLD)
 sql("engagement_store", "SELECT * FROM panel UNION ALL BY NAME SELECT * FROM scaffold", _PANEL, _SCAFFOLD)
 
+SQL["q_engagement_carried"], SQL["q_engagement_late_month"] = SQL["q_engagement_store"], SQL["q_engagement_pivot"]
+sql("engagement_by_value", "SELECT * FROM panel UNION ALL BY NAME SELECT * FROM scaffold",
+    _PANEL.replace("first(fe_1 ORDER BY event_id)", "min(fe_1)"), _SCAFFOLD)
+
 sql("daily_panel", """
 SELECT user_id, CAST(day + to_days(CAST(i AS INTEGER)) AS DATE) AS day,
   """ + ", ".join(f"CAST(min(CASE WHEN i = {i} THEN n END) AS INTEGER) AS events_{i}d" for i in range(1, 7)) + """

@@ -5,6 +5,8 @@ Each reads its whole tables. The SQL in `oracle` computes the same columns.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tidemark.operators import decisions, ranking, sketches, stability, stratify
 from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
-from tidemark.plans import bronze, dataset, gold, monitoring, scoring, silver
+from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver
 from tidemark.session import scratch_path, write_and_reread
 from tidemark.sources import sinks, tables, versions
 from tidemark.sources.schemas import (
@@ -339,6 +341,39 @@ def engagement_store(spark, folder):
     return gold.engagement_store(silver.clickstream(s.raw_clicks(spark, folder)), *PANEL, order="event_id")
 
 
+@query
+def engagement_by_value(spark, folder):
+    """The engagement store as the job builds it, with the smallest fe_1 of a month, and busy customers reduced first."""
+    clicks = silver.clickstream(s.raw_clicks(spark, folder))
+    return gold.engagement_panel(clicks, *PANEL, hot_rows=20).unionByName(gold.engagement_scaffold(clicks, *PANEL))
+
+
+def _carried(spark, folder, step, order="event_id"):
+    clicks = write_and_reread(silver.clickstream(s.raw_clicks(spark, folder)).select(
+        "Customer_ID", "snapshot_date", "fe_1", "event_id"), "clicks")
+    panel = carried.CarriedPanel(spark, scratch_path(spark, "carried"), order)
+    first, last = (date.fromisoformat(d) for d in PANEL)
+    return panel, clicks, first, last, step
+
+
+@query
+def engagement_carried(spark, folder):
+    """The engagement store from states that are carried on, a year of snapshots at a time."""
+    panel, clicks, first, last, step = _carried(spark, folder, 12)
+    panel.build(clicks, first, last, step)
+    return carried.engagement_store(panel, clicks, *PANEL)
+
+
+@query
+def engagement_late_month(spark, folder):
+    """Carried states to which the clicks of one month came late, the six that look back on it made again."""
+    panel, clicks, first, last, step = _carried(spark, folder, 24)
+    month = date(1998, 5, 1)
+    panel.build(clicks.filter(F.col("snapshot_date") != F.lit(month)), first, last, step)
+    panel.late(clicks, month)
+    return panel.panel(*PANEL)
+
+
 @query
 def daily_panel(spark, folder):
     events = s.table(spark, folder, "events")
