@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tidemark.functions.numeric import drop_nan
-from tidemark.operators.bounded import lookup
+from tidemark.operators.bounded import lookup, stored
 from tidemark.operators.quantiles import exact_quantiles
 
 SCORE_PERCENTILES = (1, 5, 10, 50, 90, 95, 99)
@@ -76,6 +78,36 @@ def top_values(df: DataFrame, column: str, k: int = 25) -> DataFrame:
     return counts.orderBy(F.desc("rows"), F.asc_nulls_last("value")).limit(k)
 
 
+TRACKED_MOST = 1_000_000  # of Spark's frequent-items sketch
+
+
+def frequent_values(df: DataFrame, column: str, k: int = 25, tracked: int = 4_096) -> DataFrame:
+    """`top_values` of a column of very many values, exact, without a shuffle of them all.
+
+    A frequent-items sketch of bounded size names candidates, which are then
+    counted exactly. A value that it does not name has at most 7 / s of the rows,
+    where s is the size of its table; if the k-th candidate has more, or the
+    candidates are all there is, the answer is certain. Otherwise the sketch is
+    made eight times as large. Where the largest one leaves a doubt, no value
+    stands out, and all of them are counted. `df` is read twice a round: hand in
+    a stored table.
+    """
+    values = df.select(F.col(column).alias("value"))
+    while tracked <= TRACKED_MOST:
+        named = stored(values.agg(F.expr(f"approx_top_k(value, {tracked}, {tracked})").alias("top")).select(
+            F.expr("inline(top)")).select(F.col("item").alias("value")).distinct())
+        match = values["value"].eqNullSafe(named["value"])
+        counts = stored(values.join(named, match, "left_semi").groupBy("value").agg(F.count("*").alias("rows")))
+        top = counts.orderBy(F.desc("rows"), F.asc_nulls_last("value")).limit(k)
+        least, found = top.agg(F.min("rows"), F.count("*")).first()
+        whole, covered = values.count(), counts.agg(F.sum("rows")).first()[0] or 0
+        size = 1 << math.ceil(math.log2(tracked / 0.75))
+        if covered == whole or (found == k and least > 7 * whole / size):
+            return top
+        tracked *= 8
+    return top_values(df, column, k)
+
+
 def first_rows(df: DataFrame, order, k: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(k)
 

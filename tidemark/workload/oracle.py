@@ -602,6 +602,28 @@ sql("profile_top", """
 SELECT "Num_of_Delayed_Payment" AS value, count(*) AS rows FROM clean_financials GROUP BY 1
 ORDER BY rows DESC, value NULLS LAST LIMIT 25""", s.CLEAN_FINANCIALS)
 
+sql("profile_frequent", """
+SELECT o_custkey AS value, count(*) AS rows FROM orders GROUP BY 1 ORDER BY rows DESC, value ASC NULLS LAST LIMIT 25""")
+
+sql("profile_frequent_text", """
+SELECT CASE WHEN l_partkey % 5 <> 0 THEN 'part ' || CAST(l_partkey AS VARCHAR) END AS value, count(*) AS rows
+FROM lineitem GROUP BY 1 ORDER BY rows DESC, value ASC NULLS LAST LIMIT 25""")
+
+_CUSTOMERS = "m AS (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date FROM orders)"
+sql("cumulative_customers", """
+SELECT snapshot_date, count(*) AS n_distinct, CAST(count(*) FILTER (snapshot_date = first) AS BIGINT) AS n_new,
+  CAST((SELECT count(DISTINCT o_custkey) FROM m b WHERE b.snapshot_date <= a.snapshot_date) AS BIGINT) AS n_so_far
+FROM (SELECT *, min(snapshot_date) OVER (PARTITION BY o_custkey) AS first FROM m) a GROUP BY snapshot_date""", _CUSTOMERS)
+
+sql("customers_of_spans", """
+SELECT 'quarter' AS span, CAST(date_trunc('quarter', snapshot_date) AS DATE) AS first,
+  CAST(date_trunc('quarter', snapshot_date) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE) AS last,
+  count(DISTINCT o_custkey) AS n_distinct FROM m GROUP BY ALL
+UNION ALL
+SELECT 'year', CAST(date_trunc('year', snapshot_date) AS DATE),
+  CAST(date_trunc('year', snapshot_date) + INTERVAL 12 MONTH - INTERVAL 1 DAY AS DATE), count(DISTINCT o_custkey) FROM m GROUP BY ALL""",
+    _CUSTOMERS)
+
 sql("profile_hist", """
 SELECT feature, CAST(bin AS INTEGER) AS bin, round(edges[bin], 6) + 0.0 AS bin_low, round(edges[bin + 1], 6) + 0.0 AS bin_high,
   coalesce(c, 0) AS rows

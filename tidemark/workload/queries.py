@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, encode, text
 from tidemark.operators import bin_state as bins
-from tidemark.operators import decisions, ranking, sketches, stability, stratify, summary
+from tidemark.operators import decisions, distinct, ranking, sketches, stability, stratify, summary
 from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
@@ -824,6 +824,43 @@ def profile_top(spark, folder):
     return summary.top_values(values, "Num_of_Delayed_Payment")
 
 
+@query
+def profile_frequent(spark, folder):
+    """The 25 most frequent customers of orders, with ties, from bounded candidates."""
+    return summary.frequent_values(orders(spark, folder), "o_custkey")
+
+
+@query
+def profile_frequent_text(spark, folder):
+    """The 25 most frequent labels of parts in line items, NULL among them."""
+    label = F.when(F.col("l_partkey") % 5 != 0, F.concat(F.lit("part "), F.col("l_partkey").cast("string")))
+    return summary.frequent_values(write_and_reread(lineitem(spark, folder).select(label.alias("label")), "labels"), "label", tracked=512)
+
+
+def _customer_bitmaps(spark, folder):
+    """Customers per month, added in two batches of years, one month a second time."""
+    seen = orders(spark, folder).select("o_custkey", F.trunc("o_orderdate", "MM").alias("snapshot_date"))
+    store = distinct.DistinctStore(spark, scratch_path(spark, "distinct"), "o_custkey")
+    early = F.col("snapshot_date") < "1998-01-01"
+    store.add(seen.filter(early), "1990-01-01", "1997-12-31")
+    store.add(seen.filter(~early), "1998-01-01", "2010-12-31")
+    store.add(tables.one_snapshot(seen, "1999-03-01"))
+    return store
+
+
+@query
+def cumulative_customers(spark, folder):
+    """Customers of each month, new ones and all so far, exact, from bitmaps."""
+    return _customer_bitmaps(spark, folder).cumulative()
+
+
+@query
+def customers_of_spans(spark, folder):
+    """Distinct customers of every quarter and year from the bitmaps of their months."""
+    spans = dates.calendar_spans(spark, *s.ALL_DATES, "quarter").unionByName(dates.calendar_spans(spark, *s.ALL_DATES, "year"))
+    return _customer_bitmaps(spark, folder).over_spans(spans)
+
+
 @query
 def profile_hist(spark, folder):
     return rounded(stability.even_histogram(lineitem(spark, folder), MEASURES), "bin_low", "bin_high")
