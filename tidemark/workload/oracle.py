@@ -690,3 +690,20 @@ per_fold AS (
   FROM margins WHERE k = fold GROUP BY ALL),
 per_setting AS (SELECT setting, avg(accuracy) AS accuracy FROM per_fold GROUP BY 1),
 best AS (SELECT * FROM per_setting ORDER BY accuracy DESC LIMIT 1)""")
+
+sql("tree_scores", """
+SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-2 * (a + 0.5 * b))), 9) + 0.0 AS model_predictions FROM (
+  SELECT l_orderkey, l_linenumber,
+    CASE WHEN l_quantity <= 24 AND d <= 0.03 AND l_tax <= 0.02 THEN -0.75
+         WHEN l_quantity <= 24 AND d <= 0.03 THEN -0.25
+         WHEN l_quantity <= 24 AND l_extendedprice <= 20000 THEN 0.125
+         WHEN l_quantity <= 24 THEN 0.5
+         WHEN l_extendedprice <= 45000 AND d <= 0.06 THEN 0.25
+         WHEN l_extendedprice <= 45000 THEN 0.375
+         ELSE 1.0 END::DOUBLE AS a,
+    CASE WHEN d <= 0.05 AND l_quantity <= 10 THEN -1.0
+         WHEN d <= 0.05 THEN 0.0625
+         WHEN l_tax <= 0.04 AND l_quantity <= 40 THEN 0.5
+         WHEN l_tax <= 0.04 THEN -0.5
+         ELSE 0.75 END::DOUBLE AS b
+  FROM (SELECT *, nullif(l_discount, 0.05) AS d FROM lineitem))""")

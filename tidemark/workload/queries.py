@@ -16,7 +16,7 @@ from tidemark.operators import decisions, distinct, ranking, sketches, stability
 from tidemark.operators.bounded import stored
 from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
-from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver
+from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver, trees
 from tidemark.session import scratch_path, write_and_reread
 from tidemark.sources import sinks, tables, versions
 from tidemark.sources.schemas import (
@@ -916,6 +916,30 @@ def stump_search(spark, folder):
         "min_info_gain": F.lit(float(found["minInfoGain"])), "balanced_accuracy": F.round(F.lit(float(accuracy)), 6)})
 
 
+# (tree, weight, node, feature, threshold, left, right, value): two trees of depth three
+TREES = [
+    (0, 1.0, 0, "l_quantity", 24.0, 1, 8, 0.0), (0, 1.0, 1, "l_discount", 0.03, 2, 5, 0.0), (0, 1.0, 2, "l_tax", 0.02, 3, 4, 0.0),
+    (0, 1.0, 3, None, None, None, None, -0.75), (0, 1.0, 4, None, None, None, None, -0.25), (0, 1.0, 5, "l_extendedprice", 20000.0, 6, 7, 0.0),
+    (0, 1.0, 6, None, None, None, None, 0.125), (0, 1.0, 7, None, None, None, None, 0.5), (0, 1.0, 8, "l_extendedprice", 45000.0, 9, 12, 0.0),
+    (0, 1.0, 9, "l_discount", 0.06, 10, 11, 0.0), (0, 1.0, 10, None, None, None, None, 0.25), (0, 1.0, 11, None, None, None, None, 0.375),
+    (0, 1.0, 12, None, None, None, None, 1.0),
+    (1, 0.5, 0, "l_discount", 0.05, 1, 4, 0.0), (1, 0.5, 1, "l_quantity", 10.0, 2, 3, 0.0), (1, 0.5, 2, None, None, None, None, -1.0),
+    (1, 0.5, 3, None, None, None, None, 0.0625), (1, 0.5, 4, "l_tax", 0.04, 5, 8, 0.0), (1, 0.5, 5, "l_quantity", 40.0, 6, 7, 0.0),
+    (1, 0.5, 6, None, None, None, None, 0.5), (1, 0.5, 7, None, None, None, None, -0.5), (1, 0.5, 8, None, None, None, None, 0.75),
+]
+
+
+@query
+def tree_scores(spark, folder):
+    """Every line item scored by a table of nodes; a missing discount goes right."""
+    nodes = spark.createDataFrame(
+        TREES, "tree int, weight double, node int, feature string, threshold double, left int, right int, value double")
+    rows = lineitem(spark, folder).select(
+        "l_orderkey", "l_linenumber", *[c for c in MEASURES if c != "l_discount"],
+        F.nullif("l_discount", F.lit(0.05)).alias("l_discount"))
+    return rounded(trees.score(nodes, rows).select("l_orderkey", "l_linenumber", "model_predictions"), "model_predictions", places=9)
+
+
 # --- models of many trees (no SQL) --------------------------------------------------------------------
 
 def _model_rows(spark, folder):
