@@ -27,6 +27,7 @@ from tidemark.operators.summary import feature_columns, numeric_columns, score_s
 from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver
 from tidemark.session import get_session, write_and_reread
 from tidemark.sources import claims, files, sinks, tables, versions
+from tidemark.sources.metric_log import MetricLog
 from tidemark.sources.schemas import BASELINE_SCHEMA, ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
 
 MODEL = "credit_model"
@@ -142,7 +143,15 @@ def mark_run(store: Store, step: str, date: str) -> None:
 
 
 def log_metrics(store: Store, df: DataFrame) -> None:
-    sinks.append_metrics(df, store.path("gold/metrics"))
+    MetricLog(store.spark, store.path("gold/metrics")).append(df)
+
+
+def run_compaction(store: Store, before=None) -> int | None:
+    """Merge the metric samples taken before a date (all without one) into one row per label set, and drop old files."""
+    log = MetricLog(store.spark, store.path("gold/metrics"))
+    number = log.merge(before)
+    log.clean()
+    return number
 
 
 def run_training(store: Store, train_date: str, draws: int = 100, space=None, name: str = MODEL, again: bool = False,
@@ -338,7 +347,7 @@ def run_monitoring(store: Store, snapshot: str, auc_floor: float = AUC_FLOOR, gi
 
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark.job", description=__doc__)
-    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor", "drift", "layout"])
+    parser.add_argument("step", choices=["bronze", "silver", "gold", "train", "score", "monitor", "drift", "layout", "compact"])
     parser.add_argument("--root", required=True, help="folder of the data mart")
     parser.add_argument("--raw", help="folder of the raw CSV files (bronze)")
     parser.add_argument("--start", required=True, help="first snapshot, YYYY-MM-DD; the only one for train/score/monitor")
@@ -366,6 +375,8 @@ def main(argv=None) -> None:
                 run_silver(store, start, last, sources)
             else:
                 run_gold(store, start, last, args.carry)
+    elif args.step == "compact":
+        print(run_compaction(store, args.start))
     elif args.step == "layout":
         print(run_layout(store))
     elif args.step == "drift":

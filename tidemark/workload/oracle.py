@@ -537,6 +537,11 @@ SELECT event_type AS metric, CAST(ts AS DATE) AS snapshot_date, user_id % 5 AS m
 FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), user_id % 5 ORDER BY ts DESC, event_id DESC) = 1""")
 
+sql("metrics_compacted", """
+SELECT event_type AS metric, CAST(ts AS DATE) AS snapshot_date, CAST(user_id % 5 AS VARCHAR) AS model_id, value, ts AS logged_at
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE), user_id % 5 ORDER BY ts DESC, event_id DESC) = 1""")
+
 _RUNS = "runs AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date FROM orders)"
 
 

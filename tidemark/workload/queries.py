@@ -18,9 +18,9 @@ from tidemark.operators.joins import left_join
 from tidemark.operators.quantiles import cap_at_quantile, exact_quantiles
 from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver, trees
 from tidemark.session import scratch_path, write_and_reread
-from tidemark.sources import sinks, tables, versions
+from tidemark.sources import metric_log, sinks, tables, versions
 from tidemark.sources.schemas import (
-    CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, MODEL_FEATURES, MONEY_COLUMNS,
+    CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, METRIC_SCHEMA, MODEL_FEATURES, MONEY_COLUMNS,
     RAW_FILES, RISK_FEATURES,
 )
 from tidemark.workload import standins as s
@@ -744,6 +744,23 @@ def metrics_last_wins(spark, folder):
     return sinks.latest_metrics(samples, tiebreak="event_id")
 
 
+@query
+def metrics_compacted(spark, folder):
+    """The last samples of a log that grew in four parts and was merged twice up to a watermark."""
+    samples = s.table(spark, folder, "events").select(
+        F.col("event_type").alias("metric"), F.to_date("ts").alias("snapshot_date"),
+        (F.col("user_id") % 5).cast("string").alias("model_id"), "value", F.col("ts").cast("timestamp").alias("logged_at"), "event_id")
+    log = metric_log.MetricLog(spark, scratch_path(spark, "metrics"), "event_id", f"{METRIC_SCHEMA}, event_id long")
+    quarter = F.col("event_id") % 4
+    for part in (2, 0):  # not in the order of time
+        log.append(samples.filter(quarter == part))
+    log.merge()
+    log.append(samples.filter(quarter == 1))
+    log.merge("2100-01-01")
+    log.append(samples.filter(quarter == 3))
+    return log.latest()
+
+
 @query
 def gauge_rows(spark, folder):
     records = monitoring.performance_records(s.predictions(spark, folder), s.order_labels(spark, folder))
