@@ -62,6 +62,12 @@ FROM silver_clicks, (VALUES (2), (3)) m(n)
 WHERE n = 2 OR snapshot_date = DATE '1999-05-01' OR snapshot_date NOT BETWEEN DATE '1999-04-01' AND DATE '2000-02-01'
 GROUP BY 1, 2""", s.SILVER_CLICKS)
 
+sql("absent_sources", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS source, {n} AS columns, count(*) AS rows, count(*) AS dated FROM raw_{table}"
+    for name, table, n in (("loans", "loans", 11), ("clickstream", "clicks", 22), ("attributes", "attributes", 6),
+                           ("financials", "financials", 21))),
+    s.RAW_LOANS, s.RAW_CLICKS, s.RAW_ATTRIBUTES, s.RAW_FINANCIALS)
+
 sql("snapshot_catalogue", """
 SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
 WHERE o_orderdate <= DATE '2000-06-15'""")
@@ -378,6 +384,30 @@ FROM (WITH {binned_psi(samples, quantile_edges('samples'))} SELECT * FROM psi)""
 
 sql("psi_train_oot", _split_psi("test") + "\nUNION ALL\n" + _split_psi("oot"), _SPLIT)
 
+# Deciles of the train rows; where some tie, quantiles again for as many bins as their distinct values make.
+_TIED = _SPLIT + f""",
+scores AS (SELECT split, CAST(floor(o_totalprice / 90000) AS DOUBLE) AS score, CAST(o_custkey AS DOUBLE) AS o_custkey FROM with_split),
+first_edges AS (SELECT len(list_distinct(quantile_cont(score, {DECILES}))) - 1 AS b, list_sort(list(score)) AS v
+                FROM scores WHERE split = 'train'),
+ranks AS (SELECT v, (len(v) - 1) * CASE WHEN i = b THEN 1.0::DOUBLE ELSE i * (1.0::DOUBLE / b) END AS spot
+          FROM (SELECT v, b, unnest(range(0, b + 1)) AS i FROM first_edges)),
+tied_edges AS (SELECT list_sort(list_distinct(list(v[floor(spot)::INT + 1]
+                 + (v[ceil(spot)::INT + 1] - v[floor(spot)::INT + 1]) * (spot - floor(spot))))) AS edges FROM ranks)"""
+
+
+def _tied_psi(other: str) -> str:
+    samples = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, split = 'train' AS is_base, {c} AS value FROM scores WHERE split IN ('train', '{other}')"
+        for c in ("score", "o_custkey"))
+    edges = quantile_edges("samples", "is_base AND feature = 'o_custkey'") + " UNION ALL SELECT 'score', edges FROM tied_edges"
+    return f"""SELECT '{other}' AS compared, round(max(CASE WHEN feature = 'score' THEN psi END), 8) + 0.0 AS psi_score,
+  round(avg(CASE WHEN feature = 'o_custkey' THEN psi END), 8) + 0.0 AS csi_mean,
+  round(max(CASE WHEN feature = 'o_custkey' THEN psi END), 8) + 0.0 AS csi_max
+FROM (WITH {binned_psi(samples, edges)} SELECT * FROM psi)"""
+
+
+sql("psi_tied_scores", _tied_psi("test") + "\nUNION ALL\n" + _tied_psi("oot"), _TIED)
+
 _FEATURES = ["score", *s.SCORED_FEATURES]
 
 
@@ -422,6 +452,12 @@ SELECT CASE feature WHEN 'score' THEN 'score' ELSE 'feature' END AS metric_kind,
   {fixed('any_value(edges)', 4)} AS edges, {fixed('list(e ORDER BY bin)')} AS expected
 FROM expected JOIN edges USING (feature) GROUP BY feature""", s.SCORED, baseline())
 
+SQL["q_baseline_json"] = SQL["q_baseline_table"]
+sql("baseline_stored", f"""
+SELECT model_id, CASE feature WHEN 'score' THEN 'score' ELSE 'feature' END AS metric_kind, feature,
+  {fixed('any_value(edges)', 4)} AS edges, {fixed('list(e ORDER BY bin)')} AS expected
+FROM expected JOIN edges USING (model_id, feature) GROUP BY model_id, feature""", s.SCORED, baseline("model_id"))
+
 _KEYS = "snapshot_date, model_id"
 _DRIFT = s.SCORED + "," + baseline() + "," + against_baseline("", _KEYS) + """,
 drift AS (
@@ -512,6 +548,12 @@ SELECT snapshot_date, model_id, n_pos, n_neg, round(auc, 6) + 0.0 AS auc, round(
   coalesce(auc < 0.7 OR gini < 0.3, false) AS breach,
   CASE WHEN auc < 0.7 OR gini < 0.3 THEN 'retrain' ELSE 'done' END AS decision FROM perf""", _PERF)
 
+sql("record_json", """
+SELECT snapshot_date, model_id, '{"model_id":"' || model_id || '","n_pos":' || n_pos || ',"n_neg":' || n_neg
+  || ',"auc_breach":' || coalesce(auc < 0.7, false) || ',"gini_breach":' || coalesce(gini < 0.3, false)
+  || ',"breach":' || coalesce(auc < 0.7 OR gini < 0.3, false)
+  || ',"decision":"' || CASE WHEN auc < 0.7 OR gini < 0.3 THEN 'retrain' ELSE 'done' END || '"}' AS record FROM perf""", _PERF)
+
 sql("gauge_rows", """
 SELECT metric, snapshot_date, model_id, round(value, 6) + 0.0 AS value FROM (
   SELECT 'ml_auc' AS metric, snapshot_date, model_id, auc AS value FROM perf
@@ -561,6 +603,11 @@ SELECT run_date, CAST(n_months AS INTEGER) AS n_months, n_months > 20 AS infer F
     _RUNS, history("orders", "o_orderdate"))
 
 
+sql("infer_gate_without_model", """
+SELECT run_date, CAST(n_months AS INTEGER) AS n_months, false AS infer FROM history""",
+    _RUNS, history("orders", "o_orderdate"))
+
+
 def resolved(name: str, as_of: str | None = None) -> str:
     before_v = f"AND last_updated <= TIMESTAMP '{as_of}'" if as_of else ""
     before_f = f"WHERE modified <= TIMESTAMP '{as_of}'" if as_of else ""
@@ -599,6 +646,12 @@ sql("profile_nulls", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", count(*) AS n_rows, count("{c}") AS n_known, count(*) - count("{c}") AS n_missing
 FROM risk_store""" for c in _STORE), s.RISK_STORE)
 
+sql("feature_list", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column, {str(numeric).lower()} AS is_numeric, count("{c}") AS n_known,
+  {f'round(avg("{c}"), 6) + 0.0' if numeric else 'CAST(NULL AS DOUBLE)'} AS mean,
+  {'CAST(NULL AS BIGINT)' if numeric else f'count(DISTINCT "{c}")'} AS n_values FROM silver_attributes"""
+    for c, numeric in (("Name", False), ("Age", True), ("SSN", False), ("Occupation", True))), s.SILVER_ATTRIBUTES)
+
 sql("profile_unique", """
 SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_distinct, count(*) - count(DISTINCT o_custkey) AS n_repeated
 FROM orders""")

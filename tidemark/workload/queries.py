@@ -20,7 +20,7 @@ from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring,
 from tidemark.session import scratch_path, write_and_reread
 from tidemark.sources import metric_log, sinks, tables, versions
 from tidemark.sources.schemas import (
-    CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, METRIC_SCHEMA, MODEL_FEATURES, MONEY_COLUMNS,
+    CAPPED_COLUMNS, COUNT_COLUMNS, DRIFT_SCHEMA, FRACTION_COLUMNS, LOAN_TYPES, METRIC_SCHEMA, MODEL_FEATURES, MONEY_COLUMNS, ID_COLUMNS,
     RAW_FILES, RISK_FEATURES,
 )
 from tidemark.workload import standins as s
@@ -168,6 +168,20 @@ def snapshot_versions(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def absent_sources(spark, folder):
+    """Rows and columns of each source read together with a table that was never written."""
+    raw = {"loans": s.raw_loans, "clickstream": s.raw_clicks, "attributes": s.raw_attributes, "financials": s.raw_financials}
+    parts = []
+    for source, build in raw.items():
+        empty = tables.empty_bronze(spark, source)
+        absent = tables.read_or_empty(spark, scratch_path(spark, "absent"), empty.schema)
+        both = absent.unionByName(bronze.bronze(build(spark, folder)).select(*empty.columns))
+        parts.append(both.groupBy(F.lit(source).alias("source"), F.lit(len(both.columns)).alias("columns")).agg(
+            F.count("*").alias("rows"), F.count("snapshot_date").alias("dated")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query
 def snapshot_catalogue(spark, folder):
     return tables.snapshot_months(orders(spark, folder), "2000-06-15", "o_orderdate")
@@ -594,6 +608,15 @@ def psi_train_oot(spark, folder):
     return rounded(out, "psi_score", "csi_mean", "csi_max", places=8)
 
 
+@query
+def psi_tied_scores(spark, folder):
+    """Scores of few values: where deciles tie, edges are taken again for as many bins as were left."""
+    rows = dataset.with_split(labelled_orders(spark, folder), ["o_orderkey"], TRAIN_DATE)
+    tied = write_and_reread(rows.select("split", (F.floor(F.col("o_totalprice") / 90000)).alias("score"), "o_custkey"), "scored")
+    out = scoring.split_stability(tied, ["o_custkey"], score_col="score")
+    return rounded(out, "psi_score", "csi_mean", "csi_max", places=8)
+
+
 def _baseline(spark, folder):
     before = s.scored(spark, folder).filter(F.col("snapshot_date") < "1998-01-01")
     return stability.monitoring_baseline(before, s.SCORED_FEATURES)
@@ -654,6 +677,27 @@ def drift_from_state(spark, folder):
     return rounded(monitoring.span_drift(state, spans, baseline), "psi_score", "csi_mean", "csi_max")
 
 
+@query
+def baseline_json(spark, folder):
+    """The baseline written as the JSON object beside a model and read back."""
+    path = scratch_path(spark, "bins")
+    baseline = stored(_baseline(spark, folder))
+    sinks.write_baseline_json(baseline, ["model_id", *s.SCORED_FEATURES], s.SCORED_FEATURES, path)
+    back = tables.read_baseline_json(spark, path).drop("source")
+    return rounded_array(rounded_array(back, "edges", places=4), "expected")
+
+
+@query
+def baseline_stored(spark, folder):
+    """Baselines of two models, each written into its own partition, one of them twice."""
+    path = scratch_path(spark, "baseline")
+    before = s.scored(spark, folder).filter(F.col("snapshot_date") < "1998-01-01")
+    rows = stored(stability.monitoring_baseline(before, s.SCORED_FEATURES, by=["model_id"]))
+    sinks.write_snapshots(rows, path, by=("model_id",))
+    sinks.write_snapshots(rows.filter("model_id = 'model_F'"), path, by=("model_id",))
+    return rounded_array(rounded_array(tables.read_snapshots(spark, path), "edges", places=4), "expected")
+
+
 @query
 def records_from_state(spark, folder):
     """The drift record of every snapshot and model from stored counts."""
@@ -736,6 +780,13 @@ def metric_json(spark, folder):
         F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("type"))).alias("record"))
 
 
+@query
+def record_json(spark, folder):
+    """Performance records as flat JSON objects."""
+    records = monitoring.performance_records(s.predictions(spark, folder), s.order_labels(spark, folder))
+    return monitoring.record_json(records, ["model_id", "n_pos", "n_neg", "auc_breach", "gini_breach", "breach", "decision"])
+
+
 @query
 def metrics_last_wins(spark, folder):
     samples = s.table(spark, folder, "events").select(
@@ -784,6 +835,14 @@ def infer_gate(spark, folder):
     return decisions.inference_gate(_runs(spark, folder), features, _resolved(spark, folder))
 
 
+@query
+def infer_gate_without_model(spark, folder):
+    """No version of the name is registered and no file was saved before the tables begin."""
+    features = orders(spark, folder).select(F.to_date("o_orderdate").alias("snapshot_date"))
+    nothing = _resolved(spark, folder, name="none", as_of=F.lit("1990-01-01").cast("timestamp"))
+    return decisions.inference_gate(_runs(spark, folder), features, nothing)
+
+
 def _registry(spark, folder):
     part = s.table(spark, folder, "part")
     return part.select(
@@ -830,6 +889,18 @@ def profile_nulls(spark, folder):
     return summary.column_counts(risk_store_(spark, folder))
 
 
+@query
+def feature_list(spark, folder):
+    """Features by exclusion of the id columns, told numeric or not, each with what is known of it."""
+    rows = write_and_reread(silver.attributes(s.raw_attributes(spark, folder)), "attributes")
+    features = summary.feature_columns(rows, ID_COLUMNS)
+    numeric, other = summary.numeric_columns(rows.select(*features)), summary.other_columns(rows.select(*features))
+    means = rows.select(*[F.avg(c).alias(c) for c in numeric]).unpivot([], numeric, "column", "mean")
+    values = rows.select(*[F.count_distinct(c).alias(c) for c in other]).unpivot([], other, "column", "n_values")
+    listed = summary.column_counts(rows, features).join(means, "column", "left").join(values, "column", "left")
+    return rounded(listed.select("column", F.col("column").isin(numeric).alias("is_numeric"), "n_known", "mean", "n_values"), "mean")
+
+
 @query
 def profile_unique(spark, folder):
     return summary.uniqueness(s.raw_financials(spark, folder), "Customer_ID")
