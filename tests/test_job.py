@@ -60,6 +60,19 @@ def test_gates_and_missing_snapshots(spark, mart, capsys):
     assert job.missing_spans(mart, ["nowhere"], "2001-01-01", "2001-03-01") == later
 
 
+def test_a_step_leaves_no_scratch(spark, mart, capsys, tmp_path):
+    from tidemark import session
+
+    with session.scratch_scope(spark) as folder:
+        at = session.scratch_path(spark, "x")
+        assert at.startswith(folder) and session.write_and_reread(spark.range(3), "y").count() == 3
+        assert files.names(spark, folder)
+    assert not files.exists(spark, folder) and not session.scratch_path(spark, "x").startswith(folder)
+    before = {n for n, _ in files.names(spark, f"{session.shared_folder(spark)}/tidemark")}
+    job.main(["gold", "--root", f"{mart.root}/none", "--start", "2000-01-01"])
+    assert {n for n, _ in files.names(spark, f"{session.shared_folder(spark)}/tidemark")} == before
+
+
 def test_layers_without_any_source(spark, tmp_path):
     store = job.Store(spark, str(tmp_path / "empty"))
     job.run_gold(store, "2000-01-01", "2000-02-01")

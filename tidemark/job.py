@@ -25,7 +25,7 @@ from tidemark.operators.joins import Colocated
 from tidemark.operators.stability import monitoring_baseline
 from tidemark.operators.summary import feature_columns, numeric_columns, score_summary
 from tidemark.plans import bronze, carried, dataset, gold, monitoring, scoring, silver
-from tidemark.session import get_session, write_and_reread
+from tidemark.session import get_session, scratch_scope, write_and_reread
 from tidemark.sources import claims, files, sinks, tables, versions
 from tidemark.sources.metric_log import MetricLog
 from tidemark.sources.schemas import BASELINE_SCHEMA, ID_COLUMNS, LABEL_SCHEMA, PREDICTION_SCHEMA
@@ -366,6 +366,11 @@ def main(argv=None) -> None:
     parser.add_argument("--gini-floor", type=float, default=GINI_FLOOR, help="too weak below this (monitor)")
     args = parser.parse_args(argv)
     store, end, sources = Store(get_session(), args.root), args.end or args.start, args.source or SOURCES
+    with scratch_scope(store.spark):  # each step publishes its results
+        run_step(store, args, end, sources)
+
+
+def run_step(store: Store, args, end, sources) -> None:
     if args.step in ("bronze", "silver", "gold"):
         outputs = ["gold/labels", "gold/risk"] if args.step == "gold" else [f"{args.step}/{s}" for s in sources]
         for start, last in missing_spans(store, outputs, args.start, end) if args.missing else [(args.start, end)]:

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -59,9 +61,28 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written table inside the shared folder."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one written table inside the shared folder, or inside the scope that is open."""
+    return f"{_scope.get() or f'{shared_folder(spark)}/tidemark'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables written inside are deleted at the end, also after a failure.
+
+    For a step whose results are written elsewhere: what it returns lazily must not be read afterwards.
+    """
+    folder = f"{shared_folder(spark)}/tidemark/scope-{uuid.uuid4().hex}"
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def write_and_reread(df, name: str):
