@@ -108,6 +108,94 @@ def test_quality_each_statistic_rejects_alone(spark):
     assert {i for i, r in found.items() if not r["kept"]} == {1000 + i for i in range(len(odd))}
 
 
+def plain_rates(rows):
+    """Characters, different words and marks per word of each language."""
+    sums = defaultdict(lambda: np.zeros(4))
+    for lang, _, c in rows:
+        sums[lang] += [c["word_chars"], c["n_distinct"], c["n_marks"], c["n_words"]]
+    return {lang: s[:3] / s[3] for lang, s in sums.items()}
+
+
+def plain_statistics(c, rates):
+    n, few = c["n_words"] + 50, c["n_words"] + 10
+    return [np.log((c["word_chars"] + 50 * rates[0]) / n), np.sqrt(c["n_symbols"] / n), np.sqrt(c["n_dup_lines"] / (c["n_lines"] + 5)),
+            np.sqrt(c["n_repeat_words"] / n), np.log((c["n_distinct"] + 10 * rates[1]) / few), np.sqrt((c["n_marks"] + 10 * rates[2]) / few)]
+
+
+def plain_distances(rows, least, floors=quality.FLOORS, prior=quality.PRIOR, share=0.75, steps=3):
+    """rows: (lang, source, counts) that pass the plain limits -> squared distances, by the steps that fit() documents."""
+    rates = plain_rates(rows)
+    x = np.array([plain_statistics(r[2], rates[r[0]]) for r in rows])
+    p, floor = x.shape[1], np.diag(np.square(floors))
+
+    def binned(values, share, bin_of, edge_of):
+        bins = np.sort(np.floor(bin_of(values)))
+        return edge_of(bins[max(int(np.ceil(share * len(bins))), 1) - 1])
+
+    def middle(values):
+        return np.array([binned(v, 0.5, lambda v: v * 1024, lambda b: (b + 0.5) / 1024) for v in values.T])
+
+    def estimate(x):
+        centre = middle(x)
+        inverse = np.diag(1 / ((1.4826 * middle(abs(x - centre))) ** 2 + np.square(floors)))
+        for _ in range(steps):
+            far = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+            inside = x[far <= binned(far, share, lambda f: np.log(np.maximum(f, 1e-12)) * 50, lambda b: np.exp((b + 1) / 50))]
+            centre = inside.mean(axis=0)
+            scatter = np.cov(inside.T, bias=True) * share / quality.chi2_share(quality.chi2_limit(share, p), p + 2)
+            inverse = np.linalg.inv(scatter + floor)
+        return len(x), centre, scatter
+
+    def drawn(own, above):
+        n, c, s = own
+        return n, (n * c + least * above[1]) / (n + least), (n * s + least * above[2]) / (n + least)
+
+    n, c, s = estimate(x)
+    whole = n, c, (n * s + least * np.diag(np.square(prior))) / (n + least)
+    langs = {k: drawn(estimate(x[[r[0] == k for r in rows]]), whole) for k in {r[0] for r in rows}}
+    out = np.zeros(len(rows))
+    for k in {r[:2] for r in rows}:
+        own = np.array([r[:2] == k for r in rows])
+        _, c, s = drawn(estimate(x[own]), langs[k[0]])
+        out[own] = np.einsum("ni,ij,nj->n", x[own] - c, np.linalg.inv(s + floor), x[own] - c)
+    return out
+
+
+@pytest.mark.parametrize("least", [10, 100])
+def test_quality_verdicts_row_by_row(spark, odd_rows, least):
+    rnd = random.Random(4)
+    rows = odd_rows + [(100 + i, unlike(rnd, rnd.randrange(12, 600), rnd.choice([None] * 12 + ["symbols", "long words", "lines", "repeats"])),
+                        rnd.choice(["en", "en", "fr", None]), rnd.choice(["a", "a", "b", None])) for i in range(300)]
+    counted = write_and_reread(quality.with_counts(spark.createDataFrame(rows, SCHEMA).repartition(4)).drop("text"), "t")
+    found = quality.judge(counted, least=least).collect()
+    assert len(found) == len(rows)
+    passed = [r for r in found if not r["base_failed"]]
+    want = plain_distances([(r["lang"], r["source"], r["counts"]) for r in passed], least)
+    limit = quality.chi2_limit(1 - 1e-6, 6)
+    assert np.allclose([r["distance"] for r in passed], want, rtol=1e-6)
+    assert [r["kept"] for r in passed] == (want <= limit).tolist()
+    assert not any(r["kept"] for r in found if r["base_failed"]) and 5 < sum(want > limit) < len(want) / 2
+
+
+def test_quality_finds_what_no_single_limit_finds(spark):
+    """Long words and few marks together are unlike the rest; each alone is nearer to the centre than in rows that stay."""
+    rng = np.random.default_rng(5)
+    def row(key, u, off=0.0):
+        return (key, "en", "a", (1000, int(5000 + 500 * u), 0, 0, 0, 50, 700, int(120 * (1 + 0.25 * u + off))))
+    rows = [row(i, rng.normal()) for i in range(500)] + [row(900 + i, s * 2.2) for i, s in enumerate((-1, 1))]
+    rows += [row(1000, 1.8, -0.25 * 3.6), row(1001, -1.8, 0.25 * 3.6)]
+    counted = write_and_reread(spark.createDataFrame(
+        rows, "doc_id long, lang string, source string, counts struct<" + ",".join(f"{c}:long" for c in quality.COUNTS) + ">"), "t")
+    found = {r["doc_id"]: r for r in quality.judge(counted).collect()}
+    assert {i for i, r in found.items() if not r["kept"]} == {1000, 1001}
+    rates = plain_rates([("en", "a", r["counts"]) for r in found.values()])["en"]
+    stats = {i: np.array(plain_statistics(r["counts"], rates)) for i, r in found.items()}
+    centre = np.median(list(stats.values()), axis=0)
+    for odd in (1000, 1001):  # a row that stays is farther out in every statistic, so no weights of the squares part the two
+        off = abs(stats[odd] - centre)
+        assert any((off <= abs(stats[stays] - centre) + 1e-12).all() for stays in (900, 901))
+
+
 def test_stages_keep_columns(odd_docs):
     for stage in (lambda d: quality.keep_good(d, least=30), langid.keep_identified, simhash.keep_first, mixing.training_order):
         out = stage(odd_docs)

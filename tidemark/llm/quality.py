@@ -14,26 +14,41 @@ from tidemark.session import write_and_reread
 
 # The characters that count as symbols, and the words in a window.
 SYMBOLS = b"#*$%&|<>"
-WINDOW = 5
+WINDOW, CHUNK = 5, 20
 WHITE = b" \t\n\r\x0b\x0c"
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
-STATISTICS = ["word_length", "symbol_rate", "dup_line_share", "repeat_share"]
+MARKS = b".,;:!?"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_marks"]
+STATISTICS = ["word_length", "symbol_rate", "dup_line_share", "repeat_share", "distinct_share", "mark_rate"]
+# What the scatter of a statistic can be at least, and what is believed of it where there are no rows.
+FLOORS = (0.02, 0.04, 0.09, 0.06, 0.01, 0.02)
+PRIOR = (0.08, 0.04, 0.09, 0.07, 0.08, 0.06)
 
 
-def repeat_words(words: list[bytes], window: int = WINDOW) -> int:
+def word_ids(words: list[bytes]) -> np.ndarray:
+    """A number for each word of a text, equal words alike."""
+    index: dict = {}
+    return np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
+
+
+def distinct_in_chunks(ids: np.ndarray, chunk: int = CHUNK) -> int:
+    """Different words of each run of `chunk` words, summed; unlike those of the whole text, they grow with its length."""
+    whole = len(ids) // chunk * chunk
+    rows = np.sort(ids[:whole].reshape(-1, chunk), axis=1)
+    return int((np.diff(rows, axis=1) != 0).sum()) + len(rows) + len(np.unique(ids[whole:]))
+
+
+def repeat_words(ids: np.ndarray, window: int = WINDOW) -> int:
     """Words inside windows that occur twice or more in the text, first occurrences included."""
-    n = len(words) - window + 1
+    n = len(ids) - window + 1
     if n < 2:
         return 0
-    index: dict = {}
-    ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
-    kinds, run = len(index), ids[:n].copy()
+    kinds, run = int(ids.max()) + 1, ids[:n].copy()
     for i in range(1, window):
         if (int(run.max()) + 1) * kinds >= 1 << 62:
             run = np.unique(run, return_inverse=True)[1]
         run = run * kinds + ids[i:n + i]
     _, place, count = np.unique(run, return_inverse=True, return_counts=True)
-    edge = np.zeros(len(words) + 1, np.int64)
+    edge = np.zeros(len(ids) + 1, np.int64)
     at = np.flatnonzero(count[place] > 1)
     edge[at] += 1
     edge[at + window] -= 1
@@ -45,12 +60,13 @@ def counts(text: bytes | None) -> tuple[int, ...]:
     if not text:
         return (0,) * len(COUNTS)
     words = text.split()
+    ids = word_ids(words)
     lines = [x for x in text.split(b"\n") if x.strip()]
     inked = text.translate(None, WHITE)
     # UTF-8 bytes that go on with a character are 0x80 to 0xBF.
     chars = len(inked) if inked.isascii() else len(inked.decode())
     return (len(words), chars, len(inked) - len(inked.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
-            repeat_words(words), len(lines))
+            repeat_words(ids), len(lines), distinct_in_chunks(ids), len(inked) - len(inked.translate(None, MARKS)))
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -88,21 +104,36 @@ def chi2_limit(share: float, freedom: int) -> float:
     return high
 
 
-def statistics(pseudo_words: float = 50.0, pseudo_lines: float = 5.0) -> dict:
-    """The transformed statistics as columns of the counts.
+# Characters, different words (in a chunk) and marks per word, for a language without any row.
+USUAL = {"chars": 5.0, "different": 0.9, "marks": 0.12}
 
-    Pseudo-counts draw the shares of short texts towards an ordinary text, and
-    square roots even out the spread of rare counts.
+
+def statistics(rates: str, pseudo_words: float = 50.0, pseudo_lines: float = 5.0, pseudo_few: float = 10.0) -> dict:
+    """The transformed statistics as columns of the counts and of the struct `rates` of the row's language.
+
+    Pseudo-words draw short texts towards an ordinary text: one of the language's
+    own word length, different words and marks, and without symbols and repeats.
+    Logarithms and square roots even out the spread.
     """
     n, lines = f"(counts.n_words + {pseudo_words}D)", f"(counts.n_lines + {pseudo_lines}D)"
+    few = f"(counts.n_words + {pseudo_few}D)"
     return {
-        "word_length": F.expr(f"ln((counts.word_chars + 5 * {pseudo_words}D) / {n})"),
+        "word_length": F.expr(f"ln((counts.word_chars + {rates}.chars * {pseudo_words}D) / {n})"),
         "symbol_rate": F.expr(f"sqrt(counts.n_symbols / {n})"),
         "dup_line_share": F.expr(f"sqrt(counts.n_dup_lines / {lines})"),
         "repeat_share": F.expr(f"sqrt(counts.n_repeat_words / {n})"),
+        "distinct_share": F.expr(f"ln((counts.n_distinct + {rates}.different * {pseudo_few}D) / {few})"),
+        "mark_rate": F.expr(f"sqrt((counts.n_marks + {rates}.marks * {pseudo_few}D) / {few})"),
     }
 
 
+def _rates(passed: DataFrame) -> DataFrame:
+    """(grp, rates) of every language: totals of its rows, in which a long text counts by its words."""
+    per = ", ".join(f"sum(counts.{c}) / sum(double(counts.n_words)) as {name}" for c, name in (
+        ("word_chars", "chars"), ("n_distinct", "different"), ("n_marks", "marks")))
+    return passed.groupBy(F.col("__groups")[1].alias("grp")).agg(F.expr(f"struct({per}) as rates"))
+
+
 def _distance(columns) -> str:
     p = len(columns)
     return " + ".join(
@@ -111,7 +142,7 @@ def _distance(columns) -> str:
 
 
 def _estimates(sums: DataFrame, columns, floors, scale: float) -> DataFrame:
-    """(grp, size, centre, inverse) from the sums of each group; one row per group."""
+    """(grp, size, centre, inverse, scatter) from the sums of each group; one row per group. The scatter is without floors."""
     p, floor = len(columns), np.square(np.array(floors, dtype=float))
 
     def run(batches):
@@ -122,12 +153,13 @@ def _estimates(sums: DataFrame, columns, floors, scale: float) -> DataFrame:
             mean = first / inside[:, None]
             cov = second / inside[:, None, None] - mean[:, :, None] * mean[:, None, :]
             cov = scale * (cov + cov.transpose(0, 2, 1)) / 2
-            cov += np.einsum("ij,j->ij", np.eye(p), floor)
+            pdf["scatter"] = list(cov.reshape(len(pdf), p * p))
+            cov = cov + np.einsum("ij,j->ij", np.eye(p), floor)
             pdf["centre"] = list(mean)
             pdf["inverse"] = list(np.linalg.inv(cov).reshape(len(pdf), p * p)) if len(pdf) else []
-            yield pdf[["grp", "size", "centre", "inverse"]]
+            yield pdf[["grp", "size", "centre", "inverse", "scatter"]]
 
-    return sums.mapInPandas(run, "grp string, size long, centre array<double>, inverse array<double>")
+    return sums.mapInPandas(run, "grp string, size long, centre array<double>, inverse array<double>, scatter array<double>")
 
 
 def _cut_points(rows: DataFrame, share: float, bin_of: str, edge_of: str, by=("grp",)) -> DataFrame:
@@ -146,7 +178,7 @@ def _cut_points(rows: DataFrame, share: float, bin_of: str, edge_of: str, by=("g
 
 
 def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75, steps: int = 3) -> DataFrame:
-    """(grp, size, centre, inverse) per group: minimum-covariance-determinant centre and inverse scatter.
+    """(grp, size, centre, inverse, scatter) per group: minimum-covariance-determinant centre and inverse scatter.
 
     `rows` has the column grp and the statistics, and should be a written table.
     Median and median deviation of each statistic start the search. Each
@@ -192,62 +224,106 @@ def covariance_determinant(rows: DataFrame, columns, floors, share: float = 0.75
 
 
 def _marked(counted: DataFrame, lang: str, source: str) -> DataFrame:
-    """Rows with `counts`, and with base_failed, the transformed statistics and the three groups they may be judged by."""
+    """Rows with `counts`, and with base_failed and the three groups they may be judged by."""
     level = lambda n, *of: F.to_json(F.struct(F.lit(n).alias("level"), *of))
     return counted.withColumns({
         "base_failed": F.expr("counts.n_words < 10 or 100 * counts.n_repeat_words > 20 * counts.n_words"),
-        "__stats": F.struct(*[v.alias(k) for k, v in statistics().items()]),
         "__groups": F.array(level(2, F.col(lang).alias("lang"), F.col(source).alias("source")),
                             level(1, F.col(lang).alias("lang")), level(0))})
 
 
-def fit(counted: DataFrame, lang: str = "lang", source: str = "source", floors=(0.08, 0.04, 0.09, 0.07),
-        share: float = 0.75, least: int = 100, steps: int = 3) -> DataFrame:
-    """(grp, size, centre, inverse) of every language and source, language, and the whole, with `least` rows or more.
+def _drawn_to(own: DataFrame, above: DataFrame, weight: float) -> DataFrame:
+    """Centre and scatter of each group drawn towards those of the group above it, which counts as `weight` rows."""
+    def drawn(mine, theirs):
+        return f"zip_with({mine}, {theirs}, (a, b) -> (size * a + {weight}D * b) / (size + {weight}D))"
+
+    parents = above.select(F.col("grp").alias("parent"), F.col("centre").alias("__c"), F.col("scatter").alias("__s"))
+    return own.join(parents, "parent").select(
+        "grp", "size", F.expr(drawn("centre", "__c")).alias("centre"), F.expr(drawn("scatter", "__s")).alias("scatter"))
+
+
+def _inverted(found: DataFrame, floors) -> DataFrame:
+    """(grp, size, centre, inverse) of the scatter with the squares of the floors on its diagonal."""
+    p, floor = len(floors), np.diag(np.square(np.array(floors, float)))
+
+    def run(batches):
+        for pdf in batches:
+            cov = np.array(pdf["scatter"].tolist(), float).reshape(-1, p, p) + floor
+            pdf["inverse"] = list(np.linalg.inv(cov).reshape(len(pdf), p * p)) if len(pdf) else []
+            yield pdf[["grp", "size", "centre", "inverse"]]
+
+    return found.mapInPandas(run, "grp string, size long, centre array<double>, inverse array<double>")
+
+
+def fit(counted: DataFrame, lang: str = "lang", source: str = "source", floors=FLOORS, share: float = 0.75,
+        least: float = 100, steps: int = 3, prior=PRIOR) -> DataFrame:
+    """(grp, size, centre, inverse, rates) of every language and source, of every language (with its rates), and of the whole.
 
     Estimates come from all rows that pass the plain limits; NULL is a language
-    and a source of its own. The default `floors` are so small that, at the
-    default limit of `verdicts` (a distance of 5.3), each statistic can reject
-    alone: in a group without any, from 0.046 symbols a word, 0.23 repeated
-    lines a line or 0.14 repeated words a word, pseudo-counts included.
+    and a source of its own. There is no size from which on a group counts: its
+    centre and scatter are drawn towards its language's, a language's towards
+    the whole's, and the whole's scatter towards `prior`, where what is above
+    has the weight of `least` rows.
+
+    The floors matter where nearly all rows of a group have the same value, as
+    with symbols and repeats; word length, distinct words and marks vary by more
+    than theirs, and are judged by the estimated scatter with its correlations.
+    At the default limit of `verdicts` (a distance of 6.2) each statistic can
+    still reject alone.
     """
-    passed = _marked(counted, lang, source).filter(~F.col("base_failed"))
-    rows = write_and_reread(passed.select("__groups", "__stats.*"), "statistics")
-    found = covariance_determinant(
-        rows.select(F.explode("__groups").alias("grp"), *STATISTICS), STATISTICS, floors, share, steps)
-    return found.filter(F.col("size") >= least)
+    passed = _marked(counted, lang, source).filter(~F.col("base_failed")).select("counts", "__groups")
+    rates = write_and_reread(_rates(passed), "rates")
+    placed = passed.join(rates, F.col("__groups")[1] == rates["grp"])
+    rows = write_and_reread(placed.select("__groups", *[v.alias(k) for k, v in statistics("rates").items()]), "statistics")
+    found = write_and_reread(covariance_determinant(
+        rows.select(F.explode("__groups").alias("grp"), *STATISTICS), STATISTICS, floors, share, steps), "found")
+    above = rows.select(F.explode(F.expr("array(struct(__groups[0] as grp, __groups[1] as parent, 2 as level), "
+                                         "struct(__groups[1] as grp, __groups[2] as parent, 1 as level))")).alias("g")).select("g.*").distinct()
+    placed = write_and_reread(found.join(above, "grp", "left").select("grp", "parent", "level", "size", "centre", "scatter"), "placed")
+    p = len(STATISTICS)
+    believed = "array(" + ", ".join(f"{float(prior[i]) ** 2 if i == j else 0.0!r}D" for i in range(p) for j in range(p)) + ")"
+    whole = placed.filter("level is null").select(
+        "grp", "size", "centre",
+        F.expr(f"zip_with(scatter, {believed}, (a, b) -> (size * a + {float(least)}D * b) / (size + {float(least)}D))").alias("scatter"))
+    languages = _drawn_to(placed.filter("level = 1"), whole, float(least))
+    sources = _drawn_to(placed.filter("level = 2"), languages, float(least))
+    inverted = _inverted(whole.unionByName(languages).unionByName(sources), floors)
+    return write_and_reread(inverted.join(rates, "grp", "left"), "fitted")
 
 
 def verdicts(counted: DataFrame, fitted: DataFrame, lang: str = "lang", source: str = "source",
-             reject: float = 1e-5) -> DataFrame:
+             reject: float = 1e-6) -> DataFrame:
     """Add base_failed, distance and kept to rows with `counts`.
 
     base_failed: fewer than 10 words, or over a fifth of the words in repeated
     windows. kept: not base_failed, and the squared Mahalanobis distance from
-    the centre of the row's group is no more than a normal row exceeds with
-    probability `reject`. A row is judged by its language and source where that
-    group was fitted, else by its language, else by the whole; with none of
-    them, as in a very small table, no row is rejected by distance.
+    the centre of the row's language and source is no more than a normal row
+    exceeds with probability `reject`. A row whose language and source was not
+    among the fitted ones is judged by its language, else by the whole; where
+    nothing was fitted no row is rejected by distance. Repeated rows get one
+    verdict each; an empty table gives an empty one.
     """
     out = _marked(counted, lang, source)
     for i in range(3):
         out = out.withColumn(f"__g{i}", F.col("__groups")[i]).join(
-            fitted.select(F.col("grp").alias(f"__g{i}"), F.struct("centre", "inverse").alias(f"__fit{i}")), f"__g{i}", "left")
-    out = out.withColumn("__fit", F.coalesce("__fit0", "__fit1", "__fit2"))
+            fitted.select(F.col("grp").alias(f"__g{i}"), F.struct("centre", "inverse", "rates").alias(f"__fit{i}")), f"__g{i}", "left")
+    usual = F.struct(*[F.lit(v).alias(k) for k, v in USUAL.items()])
+    out = out.withColumns({"__fit": F.coalesce("__fit0", "__fit1", "__fit2"), "__rates": F.coalesce("__fit1.rates", usual)})
+    out = out.withColumn("__stats", F.struct(*[v.alias(k) for k, v in statistics("__rates").items()]))
     terms = _distance([f"__stats.{c}" for c in STATISTICS]).replace("centre[", "__fit.centre[").replace("inverse[", "__fit.inverse[")
     near = F.coalesce(F.col("distance") <= chi2_limit(1 - reject, len(STATISTICS)), F.lit(True))
     return (
         out.withColumn("distance", F.expr(terms)).withColumn("kept", ~F.col("base_failed") & near)
-        .drop("__stats", "__groups", "__fit", *[f"__fit{i}" for i in range(3)], *[f"__g{i}" for i in range(3)])
+        .drop("__stats", "__rates", "__groups", "__fit", *[f"__fit{i}" for i in range(3)], *[f"__g{i}" for i in range(3)])
     )
 
 
-def judge(counted: DataFrame, lang: str = "lang", source: str = "source", reject: float = 1e-5, **how) -> DataFrame:
+def judge(counted: DataFrame, lang: str = "lang", source: str = "source", reject: float = 1e-6, **how) -> DataFrame:
     """`verdicts` on the rows that were fitted, which should be a written table."""
     return verdicts(counted, fit(counted, lang, source, **how), lang, source, reject)
 
 
-def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", reject: float = 1e-5,
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", reject: float = 1e-6,
               **how) -> DataFrame:
     """The rows of `docs` that the rules keep, with their columns.
 
