@@ -247,6 +247,62 @@ def test_language_ignores_held_out_labels(spark):
     assert {r["lang_pred"] for r in found} == {"en"}
 
 
+def plain_bayes(rows, bits=langid.BITS, smoothing=0.5):
+    """(lang_pred, score) per text by counting n-grams one by one."""
+    def grams(text):
+        flat = " " + re.sub(" +", " ", "".join(c.lower()[0] if c.isalpha() else " " for c in text)) + " "
+        found = Counter()
+        for i in range(len(flat)):
+            code = 0
+            for c in flat[i:i + 3]:
+                code = (code * int(langid.STEP) + ord(c) + 1) % 2**32
+                found[code * int(langid.SPREAD) % 2**32 >> 32 - bits] += 1
+        return found if flat.strip() else None
+
+    taught = {}
+    for key, text, lang, _ in rows:
+        if text and lang is not None and zlib.crc32(str(key).encode()) % 4 != 2:
+            taught.setdefault(lang, Counter()).update(grams(text) or {})
+    size = {k: sum(c.values()) + smoothing * 2**bits for k, c in taught.items()}
+    out = []
+    for _, text, _, _ in rows:
+        found = grams(text) if text else None
+        if found is None or not taught:
+            out.append(("und", 0.0))
+            continue
+        score = {k: sum(n * np.log((c[g] + smoothing) / size[k]) for g, n in found.items()) for k, c in taught.items()}
+        best = min(score, key=lambda k: (-round(score[k], 9), k))
+        out.append((best, float(1 / sum(np.exp(s - score[best]) for s in score.values()))))
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 2, 256])
+def test_language_is_plain_naive_bayes(spark, odd_rows, block):
+    rnd = random.Random(9)
+    speak = {"en": "the of and ing", "fr": "le que eau oi é", "de": "der sch ung ß", "zz": "the le der"}
+    rows = [(1000 + i, " ".join(rnd.choice(speak[lang].split()) for _ in range(rnd.randrange(1, 9))), lang, "s")
+            for i in range(120) for lang in [rnd.choice(sorted(speak))]]
+    rows += [(i, t, lang, s) for i, t, lang, s in odd_rows if i is not None and len(t or "") < 2000]
+    want = Counter((r[0], w[0], round(w[1], 6)) for r, w in zip(rows, plain_bayes(rows)))
+    found = langid.identify(spark.createDataFrame(rows, SCHEMA).repartition(3), block=block).collect()
+    assert Counter((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in found) == want
+
+
+def test_many_languages_and_none(spark):
+    rnd = random.Random(3)
+    own = {f"l{i:03}": [rnd.choice(WORDS) + rnd.choice(WORDS) + rnd.choice(WORDS) for _ in range(4)] for i in range(600)}
+    rows = [(i * 10 + j, " ".join(rnd.choices(words, k=30)), lang, "s") for i, (lang, words) in enumerate(own.items()) for j in range(4)]
+    found = langid.identify(spark.createDataFrame(rows, SCHEMA)).collect()
+    truth = {r[0]: r[2] for r in rows}
+    taught = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    right = [truth[r["doc_id"]] == r["lang_pred"] for r in found if truth[r["doc_id"]] in taught]
+    assert len(taught) > 590 and np.mean(right) > 0.97
+
+    bare = spark.createDataFrame([(1, "some text", None, "s"), (2, "12 34", None, "s"), (3, None, None, "s"), (4, "é", None, None)], SCHEMA)
+    assert {(r["doc_id"], r["lang_pred"], r["score"]) for r in langid.identify(bare).collect()} == {(i, "und", 0.0) for i in range(1, 5)}
+    assert {r["doc_id"] for r in langid.keep_identified(bare).collect()} == {1, 4}
+
+
 def plain_print(text, k=3):
     words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not words:

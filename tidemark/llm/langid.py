@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import each_text
+from tidemark.operators.bounded import stored
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -63,36 +64,71 @@ class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, bits: int):
         self.languages, self.weights, self.bits = languages, weights, bits
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, its posterior with even priors); unknown, 0 where nothing can be told."""
+    def scores(self, text: str | None) -> np.ndarray | None:
+        """The log-likelihood of each language; None where nothing can be told."""
         found = gram_counts(text, bits=self.bits) if text else None
         if found is None or not self.languages:
-            return UNKNOWN, 0.0
+            return None
         used = np.flatnonzero(found)
-        score = found[used] @ self.weights[used]
+        return found[used] @ self.weights[used]
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        """(language, its posterior with even priors); unknown, 0 where nothing can be told."""
+        score = self.scores(text)
+        if score is None:
+            return UNKNOWN, 0.0
         best = int(score.argmax())  # on a tie the first in code-point order
         return self.languages[best], float(1 / np.exp(score - score[best]).sum())
 
 
+class ModelBlocks:
+    """A model of any number of languages in blocks of columns, each a broadcast of its own.
+
+    Texts are scored block after block; of each text the best language so far,
+    its score and the sum of all likelihoods against it are kept.
+    """
+
+    def __init__(self, blocks: list):
+        self.blocks = blocks
+
+    def predict_all(self, texts: list) -> list[tuple[str, float]]:
+        best: list = [None] * len(texts)
+        for block in self.blocks:
+            model = block.value
+            for i, text in enumerate(texts):
+                score = model.scores(text)
+                if score is None:
+                    continue
+                at = int(score.argmax())
+                name, top, rest = model.languages[at], float(score[at]), float(np.exp(score - score[at]).sum())
+                if best[i] is not None:
+                    old, high, sum_ = best[i]
+                    if top > high:  # on a tie the first in code-point order, as blocks are in that order
+                        rest += sum_ * np.exp(high - top)
+                    else:
+                        name, top, rest = old, high, sum_ + rest * np.exp(top - high)
+                best[i] = name, top, rest
+        return [(UNKNOWN, 0.0) if b is None else (b[0], float(1 / b[2])) for b in best]
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_language: int = 4000,
-          smoothing: float = 0.5, bits: int = BITS, most_languages: int = 500) -> Model:
+          smoothing: float = 0.5, bits: int = BITS, block: int = 256) -> list[Model]:
     """Fit on about `per_language` rows of each language (all, where there are fewer), chosen by the hash of the key.
 
-    `labelled` may hold NULLs; rows without text or language teach nothing. The
-    n-gram counts are summed by Spark; the driver gets the finished counts,
-    languages x 2^bits of them at most, and refuses more than `most_languages`.
+    `labelled` may hold NULLs; rows without text or language teach nothing, and
+    repeated rows teach as often as they occur. The n-gram counts are summed by
+    Spark. The model comes in blocks of `block` languages in code-point order:
+    the driver holds one block's counts at a time on the way to its broadcast,
+    block x 2^bits of them. What is broadcast grows with the number of languages,
+    not of texts. An empty or unlabelled table has no blocks.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
     rows = rows.dropna(subset=["text", "lang"])
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()
-    if len(sizes) > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
-    languages = sorted(r["lang"] for r in sizes)
+    sizes = rows.groupBy("lang").agg(F.expr(f"least({1 << 30}L, {per_language} * {1 << 30}L div count(*))").alias("part"))
+    languages = sorted(r["lang"] for r in sizes.select("lang").collect())
     if not languages:
-        return Model([], np.zeros((1 << bits, 0)), bits)
-    part = {r["lang"]: min(1 << 30, per_language * (1 << 30) // r["n"]) for r in sizes}
-    share = F.create_map(*[F.lit(x) for pair in part.items() for x in pair])
-    sample = rows.filter(F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1 << 30)) < share[F.col("lang")])
+        return []
+    sample = rows.join(stored(sizes), "lang").filter(F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(1 << 30)) < F.col("part"))
 
     def run(batches):
         sums: dict = {}
@@ -108,23 +144,33 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
                 ["lang", "gram", "n"])
 
     counted = sample.select("text", "lang").mapInArrow(run, "lang string, gram int, n long")
-    table = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((1 << bits, len(languages)))
-    if table.num_rows:
-        at = {name: i for i, name in enumerate(languages)}
-        column = np.array([at[x] for x in table.column("lang").to_pylist()])
-        counts[table.column("gram").to_numpy(), column] = table.column("n").to_numpy()
-    counts += smoothing
-    return Model(languages, np.log(counts / counts.sum(axis=0)), bits)
-
-
-def predicted(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """struct(lang_pred, score) of a text column; the matrix is broadcast, languages x 2^bits doubles."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
+    sums = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    if len(languages) > block:
+        sums = stored(sums)
+    blocks = []
+    for i in range(0, len(languages), block):
+        own = languages[i:i + block]
+        table = (sums if len(languages) <= block else sums.filter(F.col("lang").between(own[0], own[-1]))).toArrow()
+        counts = np.zeros((1 << bits, len(own)))
+        if table.num_rows:
+            at = {name: i for i, name in enumerate(own)}
+            column = np.array([at[x] for x in table.column("lang").to_pylist()])
+            counts[table.column("gram").to_numpy(), column] = table.column("n").to_numpy()
+        counts += smoothing
+        blocks.append(labelled.sparkSession.sparkContext.broadcast(Model(own, np.log(counts / counts.sum(axis=0)), bits)))
+    return blocks
+
+
+def predicted(docs: DataFrame, blocks: list, text: str = "text") -> Column:
+    """struct(lang_pred, score) of a text column; each block of the matrix is a broadcast of block x 2^bits doubles."""
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def of(column: pa.Array) -> pa.Array:
-        found = [shared.value.predict(None if t is None else t.decode()) for t in each_text(column)]
+        model, found = ModelBlocks(blocks), []
+        if len(blocks) == 1:
+            own = blocks[0].value
+            found = [own.predict(None if t is None else t.decode()) for t in each_text(column)]
+        else:
+            found = model.predict_all([None if t is None else t.decode() for t in each_text(column)])
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
             ["lang_pred", "score"])
@@ -138,7 +184,11 @@ def held_out(key: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", **fit) -> DataFrame:
-    """(key, held_out, lang_pred, score) of every whole text, learnt from the rows that are not held out."""
+    """(key, held_out, lang_pred, score) of every whole text, learnt from the rows that are not held out.
+
+    Where no row teaches a language, all are unknown with score 0. Repeated rows
+    get one prediction each, and an empty table gives an empty one.
+    """
     model = train(docs.filter(~held_out(key)), text, lang, key, **fit)
     return docs.select(F.col(key), held_out(key).alias("held_out"), predicted(docs, model, text).alias("found")).select(
         key, "held_out", "found.lang_pred", "found.score")
@@ -146,7 +196,13 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 
 def keep_identified(docs: DataFrame, least: float = 0.5, key: str = "doc_id", text: str = "text", lang: str = "lang",
                     **fit) -> DataFrame:
-    """The rows of `docs`, with their columns, whose language can be told with a posterior of `least` or more."""
+    """The rows of `docs`, with their columns, whose language can be told with a posterior of `least` or more.
+
+    Where no row teaches a language none can be told apart, and all rows with a
+    letter stay. Repeated rows stay or go together; an empty table stays empty.
+    """
     model = train(docs.filter(~held_out(key)), text, lang, key, **fit)
     found = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), predicted(docs, model, text).alias("found"))
+    if not model:
+        return docs.filter(F.col(text).rlike(r"\p{L}"))
     return found.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least)).select("doc.*")
