@@ -336,9 +336,36 @@ def test_registered():
     assert entry_point.queries()["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
 
 
+def plain_copies(rows, most=3):
+    """rows: (doc_id, source, size, hash) -> copies of each document in the mix, source by source, a limit at a time."""
+    size = Counter()
+    for _, source, n, _ in rows:
+        size[source] += n
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    weight = {s: i % 3 + 1 for i, s in enumerate(names)}
+    target, free, left = {}, set(names), float(sum(size.values()))
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * level > most * size[s]}
+        for s in over or free:
+            target[s] = most * size[s] if over else weight[s] * level
+        left -= sum(target[s] for s in over)
+        free = free - over if over else set()
+    out = Counter()
+    for s in names:
+        start = 0
+        for key, _, n, _ in sorted((r for r in rows if r[1] == s), key=lambda r: (r[3], r[0])):
+            if n:
+                out[key] = sum(p * size[s] + start + n / 2 < target[s] for p in range(most + 1))
+            start += n
+    return out
+
+
 def test_pipeline(spark, folder, library):
-    """The stages' decisions, each redone from its own input in plain Python or by the operator's own rows."""
+    """Each stage's rows redone from its own input in plain Python."""
+    from tidemark.llm.common import word_count
     from tidemark.session import write_and_reread
+    from test_texts import plain_bayes, plain_components, plain_distances
 
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns, kept = docs.columns, [docs]
@@ -346,20 +373,30 @@ def test_pipeline(spark, folder, library):
         kept.append(write_and_reread(stage(spark, kept[-1], folder), "stage"))
         assert name == corpus_pipeline.STAGES[-1][0] or kept[-1].columns == columns
     ids = [sorted(r[0] for r in k.select("doc_id").collect()) for k in kept]
+    rows = {r["doc_id"]: (r["doc_id"], r["text"], r["lang"], r["source"]) for r in docs.collect()}
+    texts = {i: r[1] for i, r in rows.items()}
+
+    counts = {i: dict(zip(quality.COUNTS, quality.counts(t.encode() if t else None))) for i, t in texts.items()}
+    passed = [i for i, c in counts.items() if c["n_words"] >= 10 and 100 * c["n_repeat_words"] <= 20 * c["n_words"]]
+    far = plain_distances([(*rows[i][2:], counts[i]) for i in passed], 100)
+    assert ids[1] == sorted(i for i, d in zip(passed, far) if d <= quality.chi2_limit(1 - 1e-6, 6))
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    failed = {i for i, t in texts.items() if len(t.split()) < 10 or 100 * quality.counts(t.encode())[4] > 20 * len(t.split())}
-    assert not failed & set(ids[1])
-    good = [i for i in ids[0] if labels.get(i) == 1 and i not in failed]
+    good = [i for i in passed if labels.get(i) == 1]
     assert len(set(good) & set(ids[1])) >= 0.99 * len(good)
-    assert ids[2] == ids[1]  # every text left has a language
+
+    told = plain_bayes([rows[i] for i in ids[1]])
+    assert ids[2] == [i for i, (lang, score) in zip(ids[1], told) if lang != "und" and score >= 0.5]
+
     prints = {i: simhash.fingerprint(texts[i].encode(), 3) & (1 << 64) - 1 for i in ids[2]}
-    from test_texts import plain_components
     order = sorted(prints)
     assert ids[3] == sorted(set(plain_components([(i, prints[i]) for i in order])))
-    words = {i: len(texts[i].split()) for i in ids[3]}
-    assert abs(sum(words[i] for i in ids[4]) - sum(words.values())) <= 0.15 * sum(words.values())
-    assert max(Counter(ids[4]).values()) <= 3 and ids[5] == ids[4]
-    for r in kept[5].limit(20).collect():
+
+    sized = kept[3].select("doc_id", "source", word_count("text").alias("size"))
+    hashed = sized.select("*", F.xxhash64(F.lit(42), "doc_id", "size")).collect()
+    assert Counter(ids[4]) == +plain_copies([tuple(r) for r in hashed])
+
+    encoded = kept[5].collect()
+    assert sorted(r["doc_id"] for r in encoded) == ids[4]
+    for r in encoded:
         want = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert list(r["ids"]) == want and r["n_tokens"] == len(want)
