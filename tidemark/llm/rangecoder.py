@@ -1,4 +1,4 @@
-"""An adaptive range coder for token ids that mixes predictions of order 0 to 2, many blocks at a time."""
+"""An adaptive range coder for token ids that mixes predictions of order 0 to 2, thousands of blocks at a time."""
 
 from __future__ import annotations
 
@@ -7,117 +7,105 @@ import zlib
 
 import numpy as np
 
-# Fixed values of the block format: magic; then ids, alphabet and checksum of the ids as unsigned 32-bit integers.
-MAGIC = b"CMR1"
+# Fixed values of the block format: magic; then ids, alphabet and checksum of the ids, begun with the alphabet, as unsigned
+# 32-bit integers.
+MAGIC = b"CMR2"
 HEADER = struct.Struct("<4sIII")
-LANES = 192
-SLOTS_1, SLOTS_2 = 1 << 12, 1 << 13
+LANES = 2048
+SLOTS_1, SLOTS_2 = 1 << 10, 1 << 11
 SURE = 7
 STATES = 2 * (SURE + 1) ** 2
 TOTAL_BITS = 12
 TOTAL = 1 << TOTAL_BITS
-STEP, LIMIT = 24, 1 << 12
-SEEN = 32
-RENEW = 2048
-GROUP_BITS = 8
-LONGEST = 1 << 14  # ids in a block at most, so that a cumulative sum stays below 2^20
+LEAST = 32  # of TOTAL, for a hit or a miss
+ADAPT = 4
+SEEN = 24
+LONGEST = 1 << 14  # ids in a block at most
 LOW = np.uint64((1 << 32) - 1)
-HALF, WORD = np.uint64(32), np.uint64(16)
-UNIT = np.uint64(TOTAL_BITS)
+HALF, WORD, UNIT = np.uint64(32), np.uint64(16), np.uint64(TOTAL_BITS)
+TOP = np.uint64(TOTAL - 1)
+
+
+class Classes:
+    """Order 0 codes the class of an id with adaptive counts, and its place in the class in plain bits.
+
+    Classes are half octaves of id + 1: ids of a vocabulary that was built by
+    merges get rarer with their number, so a class holds ids about alike in use.
+    """
+
+    def __init__(self, alphabet: int):
+        octaves = 1 << np.arange(int(alphabet).bit_length())
+        starts = np.unique(np.concatenate([octaves, octaves + octaves // 2]))  # 1, 2, 3, 4, 6, 8, 12, ...
+        self.start = starts[starts <= alphabet].astype(np.int64)
+        ends = np.append(self.start[1:], alphabet + 1)
+        self.bits = np.array([int(n - 1).bit_length() for n in ends - self.start], np.uint64)
+        self.of = (np.searchsorted(self.start, np.arange(1, alphabet + 1), side="right") - 1).astype(np.int16)
+        self.count = len(self.start)
 
 
 class Model:
     """What coder and decoder know before each id, for one id of every block (lane) at a time.
 
     Orders 2 and 1 name the id that last followed the two ids before, or the
-    one before, with a number for how often they have been right of late. Order
-    0 counts ids and turns the counts into cumulative sums at set places. How
-    sure both orders are, and whether they agree, selects a mixing state, whose
-    own adaptive counts give the weights of the three predictions.
+    one before, with a number for how often they have been right of late. How
+    sure both are, and whether they agree, selects the adaptive probability that
+    order 2 is right, and that order 1 is right where order 2 is not; what is
+    left is order 0's. A lane's whole state is some 13 KB.
     """
 
-    def __init__(self, lanes: int, alphabet: int):
-        self.alphabet = alphabet
+    def __init__(self, lanes: int, classes: Classes):
         lane = np.arange(lanes)
+        self.classes = classes
         self.one, self.base_one = np.zeros(lanes * SLOTS_1, np.int32), lane * SLOTS_1
         self.two, self.base_two = np.zeros(lanes * SLOTS_2, np.int32), lane * SLOTS_2
-        # Per state the weights of order 2, 1 and 0, and their sum.
-        self.weights, self.base_state = np.tile(np.array([1, 1, 1, 3], np.int32), (lanes * STATES, 1)), lane * STATES
-        self.counts, self.base_count = np.zeros(lanes * alphabet, np.uint16), lane * alphabet
-        self.sums, self.base_sum = np.zeros(lanes * (alphabet + 1), np.int32), lane * (alphabet + 1)
-        self.groups = -(-alphabet >> GROUP_BITS)
-        self.base_group = lane * self.groups
-        self.last, self.prior = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        self.hit_two = np.full(lanes * STATES, TOTAL // 4, np.int16)
+        self.hit_one = np.full(lanes * STATES, TOTAL // 4, np.int16)
+        self.base_state = lane * STATES
+        self.counts, self.base_count = np.zeros(lanes * classes.count, np.int32), lane * classes.count
+        self.sums = np.zeros((lanes, classes.count + 1), np.int32)
+        self.last, self.prior = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
         # What becomes of a certainty: rises when right, halves when wrong; a low one gives way to the new id.
         self.next_sure = np.array([*[s >> 1 for s in range(SURE + 1)], *[min(s + 1, SURE) for s in range(SURE + 1)]], np.int32)
         self.renew(lanes)
 
-    def renew(self, lanes: int) -> None:
-        counts, sums = self.counts.reshape(-1, self.alphabet), self.sums.reshape(-1, self.alphabet + 1)
-        for i in range(0, lanes, 64):
-            part = counts[i:min(i + 64, lanes)].astype(np.int32) * SEEN + 1
-            np.cumsum(part, axis=1, out=sums[i:i + len(part), 1:])
-        self.starts = sums[:, :-1:1 << GROUP_BITS].ravel()
-        self.totals = sums[:, -1].astype(np.uint64)
+    def renew(self, n: int) -> None:
+        """Order 0's shares of TOTAL from the counts so far; every class keeps one part at least."""
+        c = self.classes.count
+        sums = np.cumsum(self.counts.reshape(-1, c)[:n] * SEEN + 1, axis=1)
+        self.sums[:n, 1:] = sums * (TOTAL - c) // sums[:, -1:] + np.arange(1, c + 1)
 
-    def predict(self, at: int, lanes: int) -> tuple[np.ndarray, np.ndarray]:
-        """Widths, of TOTAL, of the hits of order 2 and order 1; the rest is order 0's."""
-        if at and (at % RENEW == 0 or 64 <= at < RENEW and at & (at - 1) == 0):
-            self.renew(lanes)
-        mixed = self.last[:lanes] * 40503
-        self.at_one = self.base_one[:lanes] + ((mixed >> 4) & (SLOTS_1 - 1))
-        self.at_two = self.base_two[:lanes] + ((mixed + self.prior[:lanes] * 60493 >> 5) & (SLOTS_2 - 1))
+    def predict(self, at: int, n: int) -> None:
+        if at and (at % 64 == 0 or at < 64 and at % 8 == 0):
+            self.renew(n)
+        mixed = self.last[:n] * np.uint32(40503)
+        self.at_one = self.base_one[:n] + ((mixed >> 4) & (SLOTS_1 - 1))
+        self.at_two = self.base_two[:n] + ((mixed + self.prior[:n] * np.uint32(60493) >> 5) & (SLOTS_2 - 1))
         self.known_one, self.known_two = one, two = self.one.take(self.at_one, mode="clip"), self.two.take(self.at_two, mode="clip")
-        self.id_one, self.id_two = (one >> 3) - 1, (two >> 3) - 1
-        same = self.id_one == self.id_two
-        self.state = self.base_state[:lanes] + ((same << 6) + ((two & SURE) << 3) + (one & SURE))
-        self.row = row = self.weights.take(self.state, axis=0, mode="clip")
-        share = row[:, :2] * (TOTAL - 4) // row[:, 3:] + 1
-        return share[:, 0], np.where(same, 0, share[:, 1])
-
-    def search(self, literal: np.ndarray, mark: np.ndarray) -> np.ndarray:
-        """Ids whose part of order 0's sums holds the marks: first the group of 256 ids, then the id."""
-        at, found = self.base_group[literal], np.zeros(len(literal), np.int64)
-        step = 1 << max(0, (self.groups - 1).bit_length() - 1)
-        while step:
-            further = np.minimum(found + step, self.groups - 1)
-            found = np.where(self.starts.take(at + further, mode="clip") <= mark, further, found)
-            step >>= 1
-        at, found, step = self.base_sum[literal], found << GROUP_BITS, 1 << (GROUP_BITS - 1)
-        while step:
-            further = np.minimum(found + step, self.alphabet - 1)
-            found = np.where(self.sums.take(at + further, mode="clip") <= mark, further, found)
-            step >>= 1
-        return found
+        self.id_one, self.id_two = one >> 3, two >> 3  # ids + 1; zero names none
+        self.same = self.id_one == self.id_two
+        self.state = self.base_state[:n] + ((self.same << 6) + ((two & SURE) << 3) + (one & SURE))
+        self.share_two = self.hit_two.take(self.state, mode="clip")
+        self.share_one = self.hit_one.take(self.state, mode="clip")
 
-    def update(self, ids: np.ndarray, outcome: np.ndarray, literal: np.ndarray) -> None:
-        lanes = len(ids)
-        flat, at = self.weights.reshape(-1), self.state << 2
-        flat[at + outcome] += STEP
-        flat[at + 3] += STEP
-        full = np.flatnonzero(self.row[:, 3] > LIMIT)
-        if len(full):
-            rows = self.weights[self.state[full]]
-            rows[:, :3] = (rows[:, :3] + 1) >> 1
-            rows[:, 3] = rows[:, :3].sum(axis=1)
-            self.weights[self.state[full]] = rows
-        fresh = (ids + 1) << 3
+    def update(self, ids: np.ndarray, hit_two: np.ndarray, hit_one: np.ndarray, literal: np.ndarray, classes: np.ndarray) -> None:
+        """ids are ids + 1 of the lanes; classes those of the lanes in `literal`."""
+        n = len(ids)
+        share = self.share_two
+        share = share + np.where(hit_two, (TOTAL - share) >> ADAPT, -(share >> ADAPT)).astype(np.int16)
+        self.hit_two[self.state] = np.clip(share, LEAST, TOTAL - LEAST)
+        asked = np.flatnonzero(~(hit_two | self.same))
+        share, hit = self.share_one[asked], hit_one[asked]
+        share = share + np.where(hit, (TOTAL - share) >> ADAPT, -(share >> ADAPT)).astype(np.int16)
+        self.hit_one[self.state[asked]] = np.clip(share, LEAST, TOTAL - LEAST)
+        fresh = ids << 3
         for table, at, known, guess in ((self.two, self.at_two, self.known_two, self.id_two),
                                         (self.one, self.at_one, self.known_one, self.id_one)):
             right, sure = guess == ids, known & SURE
             kept = known - sure + self.next_sure.take((right << 3) + sure, mode="clip")
             table[at] = np.where(right | (sure > 1), kept, fresh)
-        self.counts[self.base_count[literal] + ids[literal]] += 1
-        self.prior[:lanes] = self.last[:lanes]
-        self.last[:lanes] = ids
-
-
-def parts_of(outcome, first, second):
-    """Start and width, of TOTAL, of each lane's outcome."""
-    hits = first + second
-    start = np.where(outcome == 0, 0, np.where(outcome == 1, first, hits))
-    end = np.where(outcome == 0, first, np.where(outcome == 1, hits, TOTAL))
-    return start.astype(np.uint64), (end - start).astype(np.uint64)
+        self.counts[self.base_count[literal] + classes] += 1
+        self.prior[:n] = self.last[:n]
+        self.last[:n] = ids
 
 
 def encode_blocks(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
@@ -126,67 +114,89 @@ def encode_blocks(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
         raise ValueError(f"a block holds {LONGEST} ids at most")
     out: list = [None] * len(blocks)
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
+    classes = Classes(alphabet)
     for i in range(0, len(order), LANES):
         lot = order[i:i + LANES]
-        for k, coded in zip(lot, _encode([blocks[k] for k in lot], alphabet)):
-            head = HEADER.pack(MAGIC, len(blocks[k]), alphabet, zlib.crc32(blocks[k].astype("<u4").tobytes()))
+        for k, coded in zip(lot, _encode([blocks[k] for k in lot], classes)):
+            head = HEADER.pack(MAGIC, len(blocks[k]), alphabet, zlib.crc32(blocks[k].astype("<u4").tobytes(), alphabet))
             out[k] = head + coded
     return out
 
 
-def _encode(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
+class Words:
+    """16-bit words that the lanes of a coder have put out; a word may hold a carry, settled at the end."""
+
+    def __init__(self, lanes: int, room: int):
+        self.out, self.room = np.zeros(lanes * room, np.uint32), room
+        self.begin = np.arange(lanes) * room
+        self.put = self.begin.copy()
+
+    def add(self, at, low: np.ndarray) -> None:
+        self.out[self.put[at]] = low >> HALF
+        self.put[at] += 1
+
+    def texts(self) -> list[bytes]:
+        rows = self.out.reshape(-1, self.room)
+        for k, n in enumerate(self.put - self.begin):
+            rows[k, n:] = 0
+        while (over := rows >> 16).any():
+            rows &= 0xFFFF
+            rows[:, :-1] += over[:, 1:]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(rows, self.put - self.begin)]
+
+
+def _encode(blocks: list[np.ndarray], classes: Classes) -> list[bytes]:
     """Blocks, longest first, in step: every round codes the next id of each."""
     sizes = np.array([len(b) for b in blocks])
     longest, lanes = int(sizes.max(initial=0)), len(blocks)
     ids = np.zeros((longest, lanes), np.int32)
     for k, b in enumerate(blocks):
         ids[:len(b), k] = b
-    model = Model(lanes, alphabet)
+    model = Model(lanes, classes)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
-    room = 2 * longest + 8  # 12 and 20 bits an id at most, and the end
-    out = np.zeros(lanes * room, np.uint32)
-    begin = np.arange(lanes) * room
-    put = begin.copy()
+    words = Words(lanes, 3 * longest + 8)
     live = np.searchsorted(-sizes, -np.arange(longest), side="left")
     for t in range(longest):
         n = int(live[t])
-        now = ids[t, :n]
-        first, second = model.predict(t, n)
-        outcome = np.where(now == model.id_two, 0, np.where(now == model.id_one, 1, 2))
-        start, share = parts_of(outcome, first, second)
-        unit = width[:n] >> UNIT
-        low[:n] += start * unit
-        width[:n] = share * unit
-        literal = np.flatnonzero(outcome == 2)
-        if len(literal):
-            at = model.base_sum[literal] + now[literal]
-            below = model.sums.take(at, mode="clip")
-            unit = width[literal] // model.totals[literal]
-            low[literal] += below.astype(np.uint64) * unit
-            width[literal] = (model.sums.take(at + 1, mode="clip") - below).astype(np.uint64) * unit
-        # Words go out while a width is below 2^32; they may hold a carry, settled at the end.
-        short = width[:n] <= LOW
-        out[put[:n]] = low[:n] >> HALF
-        put[:n] += short
-        low[:n] = np.where(short, (low[:n] & LOW) << WORD, low[:n])
-        width[:n] <<= short * WORD
-        while len(at := np.flatnonzero(width[:n] <= LOW)):
-            out[put[at]] = low[at] >> HALF
-            put[at] += 1
-            low[at] = (low[at] & LOW) << WORD
-            width[at] <<= WORD
-        model.update(now, outcome, literal)
+        now = ids[t, :n] + 1
+        model.predict(t, n)
+        hit_two = now == model.id_two
+        hit_one = (now == model.id_one) & ~hit_two
+        l, w = low[:n], width[:n]
+        first = (w >> UNIT) * model.share_two.astype(np.uint64)
+        l += np.where(hit_two, 0, first).astype(np.uint64)
+        w[:] = np.where(hit_two, first, w - first)
+        second = np.where(hit_two | model.same, 0, (w >> UNIT) * model.share_one.astype(np.uint64)).astype(np.uint64)
+        l += np.where(hit_one, 0, second).astype(np.uint64)
+        w[:] = np.where(hit_one, second, w - second)
+        at = np.flatnonzero(w <= LOW)
+        if len(at):
+            words.add(at, l[at])
+            l[at] = (l[at] & LOW) << WORD
+            w[at] <<= WORD
+        literal = np.flatnonzero(~(hit_two | hit_one))
+        own = now[literal]
+        cls = classes.of[own - 1].astype(np.int64)
+        ll, ww = l[literal], w[literal]
+        below = model.sums[literal, cls]
+        unit = ww >> UNIT
+        ll += unit * below.astype(np.uint64)
+        ww = unit * (model.sums[literal, cls + 1] - below).astype(np.uint64) >> classes.bits[cls]
+        ll += ww * (own - classes.start[cls]).astype(np.uint64)
+        for _ in range(2):
+            short = np.flatnonzero(ww <= LOW)
+            if not len(short):
+                break
+            words.add(literal[short], ll[short])
+            ll[short] = (ll[short] & LOW) << WORD
+            ww[short] <<= WORD
+        l[literal], w[literal] = ll, ww
+        model.update(now, hit_two, hit_one, literal, cls)
+    everyone = np.arange(lanes)
     for _ in range(3):
-        out[put] = low >> HALF
-        put += 1
+        words.add(everyone, low)
         low = (low & LOW) << WORD
-    rows = out.reshape(lanes, room)
-    for k, n in enumerate(put - begin):
-        rows[k, n:] = 0
-    while (over := rows >> 16).any():
-        rows &= 0xFFFF
-        rows[:, :-1] += over[:, 1:]
-    return [row[:n].astype("<u2").tobytes() for row, n in zip(rows, put - begin)]
+    return words.texts()
 
 
 def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
@@ -196,21 +206,22 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
         if len(c) < HEADER.size or c[:4] != MAGIC:
             raise ValueError("not a block of token ids")
         heads.append(HEADER.unpack_from(c))
-    if any(h[1] > LONGEST for h in heads):
+    if any(h[1] > LONGEST or h[2] < 1 or h[2] > 1 << 28 for h in heads):
         raise ValueError("a block of token ids is damaged")
     out: list = [None] * len(coded)
     for alphabet in {h[2] for h in heads}:
         order = sorted((i for i, h in enumerate(heads) if h[2] == alphabet), key=lambda i: -heads[i][1])
+        classes = Classes(alphabet)
         for i in range(0, len(order), LANES):
             lot = order[i:i + LANES]
-            for k, ids in zip(lot, _decode([coded[k] for k in lot], [heads[k][1] for k in lot], alphabet)):
-                if zlib.crc32(ids.astype("<u4").tobytes()) != heads[k][3]:
+            for k, ids in zip(lot, _decode([coded[k] for k in lot], [heads[k][1] for k in lot], classes)):
+                if zlib.crc32(ids.astype("<u4").tobytes(), alphabet) != heads[k][3]:
                     raise ValueError("a block of token ids is damaged")
                 out[k] = ids
     return out
 
 
-def _decode(coded: list[bytes], sizes: list[int], alphabet: int) -> list[np.ndarray]:
+def _decode(coded: list[bytes], sizes: list[int], classes: Classes) -> list[np.ndarray]:
     longest, lanes = max(sizes), len(coded)
     words = [np.frombuffer(c, "<u2", offset=HEADER.size, count=(len(c) - HEADER.size) // 2) for c in coded]
     room = max(map(len, words)) + 8
@@ -219,40 +230,55 @@ def _decode(coded: list[bytes], sizes: list[int], alphabet: int) -> list[np.ndar
         source[k, :len(w)] = w
     code = source[:, :3].astype(np.uint64) @ np.array([1 << 32, 1 << 16, 1], np.uint64)
     source = source.ravel()
-    model = Model(lanes, alphabet)
+    model = Model(lanes, classes)
     got = np.arange(lanes) * room + 3
     width = np.full(lanes, (1 << 48) - 1, np.uint64)
     ids = np.zeros((longest, lanes), np.int32)
     live = np.searchsorted(-np.array(sizes), -np.arange(longest), side="left")
+    one, alphabet = np.uint64(1), len(classes.of)
     for t in range(longest):
         n = int(live[t])
-        first, second = model.predict(t, n)
-        unit = width[:n] >> UNIT
-        mark = np.minimum(code[:n] // unit, np.uint64(TOTAL - 1)).astype(np.int64)
-        outcome = np.where(mark < first, 0, np.where(mark < first + second, 1, 2))
-        start, share = parts_of(outcome, first, second)
-        code[:n] -= start * unit
-        width[:n] = share * unit
-        now = np.where(outcome == 0, model.id_two, model.id_one)
-        literal = np.flatnonzero(outcome == 2)
-        if len(literal):
-            total = model.totals[literal]
-            unit = width[literal] // total
-            mark = np.minimum(code[literal] // unit, total - np.uint64(1)).astype(np.int64)
-            now[literal] = found = model.search(literal, mark)
-            at = model.base_sum[literal] + found
-            below = model.sums.take(at, mode="clip")
-            code[literal] -= below.astype(np.uint64) * unit
-            width[literal] = (model.sums.take(at + 1, mode="clip") - below).astype(np.uint64) * unit
-        short = width[:n] <= LOW
-        code[:n] = np.where(short, code[:n] << WORD | source.take(got[:n], mode="clip"), code[:n])
-        got[:n] += short
-        width[:n] <<= short * WORD
-        while len(at := np.flatnonzero(width[:n] <= LOW)):
-            code[at] = code[at] << WORD | source.take(got[at], mode="clip")
+        model.predict(t, n)
+        c, w = code[:n], width[:n]
+        first = (w >> UNIT) * model.share_two.astype(np.uint64)
+        hit_two = c < first
+        c -= np.where(hit_two, 0, first).astype(np.uint64)
+        w[:] = np.where(hit_two, first, w - first)
+        second = np.where(hit_two | model.same, 0, (w >> UNIT) * model.share_one.astype(np.uint64)).astype(np.uint64)
+        hit_one = c < second
+        c -= np.where(hit_one, 0, second).astype(np.uint64)
+        w[:] = np.where(hit_one, second, w - second)
+        at = np.flatnonzero(w <= LOW)
+        if len(at):
+            c[at] = c[at] << WORD | source.take(got[at], mode="clip")
+            got[at] += 1
+            w[at] = np.maximum(w[at], one) << WORD
+        now = np.where(hit_two, model.id_two, model.id_one)
+        literal = np.flatnonzero(~(hit_two | hit_one))
+        cc, ww = c[literal], w[literal]
+        unit = ww >> UNIT
+        mark = np.minimum(cc // unit, TOP).astype(np.int32)
+        sums = model.sums[literal]
+        cls = (sums[:, 1:-1] <= mark[:, None]).sum(axis=1)
+        lane = np.arange(len(literal))
+        below = sums[lane, cls]
+        cc -= unit * below.astype(np.uint64)
+        bits = classes.bits[cls]
+        ww = np.maximum(unit * (sums[lane, cls + 1] - below).astype(np.uint64) >> bits, one)
+        place = np.minimum(cc // ww, (one << bits) - one)
+        cc -= ww * place
+        found = np.minimum(classes.start[cls] + place.astype(np.int64), alphabet)  # a damaged block must not leave the tables
+        now[literal] = found
+        for _ in range(2):
+            short = np.flatnonzero(ww <= LOW)
+            if not len(short):
+                break
+            at = literal[short]
+            cc[short] = cc[short] << WORD | source.take(got[at], mode="clip")
             got[at] += 1
-            width[at] = np.maximum(width[at], np.uint64(1)) << WORD
-        now = np.clip(now, 0, alphabet - 1)  # a damaged block must not leave the tables
+            ww[short] <<= WORD
+        c[literal], w[literal] = cc, ww
+        now = np.clip(now, 1, alphabet)
         ids[t, :n] = now
-        model.update(now, outcome, literal)
-    return [ids[:n, k].astype(np.int64) for k, n in enumerate(sizes)]
+        model.update(now, hit_two, hit_one, literal, cls)
+    return [ids[:n, k].astype(np.int64) - 1 for k, n in enumerate(sizes)]

@@ -15,7 +15,9 @@ from tidemark.llm import bpe, rangecoder
 from tidemark.llm.common import as_bytes, slices
 from tidemark.session import scratch_path
 
-BLOCK = rangecoder.LONGEST
+BLOCK = 2048  # ids; short blocks give the coder many lanes
+PART_BYTES = 256 << 20  # of text in a part at most, or the shuffle's number of parts where that is more
+PREFIX = 32
 PIECES = "array<struct<ordinal:long,key:{key},n:int>>"
 
 
@@ -78,8 +80,9 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
           text: str = "text") -> str:
     """Write the ids of every whole text and `end_id` in ascending order of the key; returns the path.
 
-    A range exchange cuts the key order into parts of like size. Each part is a
-    line of ids, cut into blocks without regard to documents. A block is coded
+    A range exchange by key and the first characters of the text cuts the order
+    into parts of like size; their number follows the bytes of all texts. Only
+    keys and those characters are sampled. Each part is a line of ids, cut into blocks without regard to documents. A block is coded
     on its own by the adaptive coder, with its length and checksum. The file's
     rows are blocks: part, block, start (ids of the part before it), n_ids, the
     coded payload, and the documents whose ids it holds, in order. NULL texts
@@ -90,8 +93,9 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
     path = path or scratch_path(spark, "tokens")
     shared = spark.sparkContext.broadcast(bpe.read_vocabulary(vocabulary))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "key", "text").sortWithinPartitions("key", "text")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    ordered = rows.repartitionByRange(parts, F.col("key"), F.substring("text", 1, PREFIX)).sortWithinPartitions("key", "text")
     kind = rows.schema["key"].dataType.simpleString()
     schema = f"part int, block int, start long, n_ids int, payload binary, pieces {PIECES.format(key=kind)}"
 
