@@ -433,6 +433,30 @@ def test_hilbert_curve(dimensions, bits):
     assert (abs(np.diff(walk, axis=0)).sum(axis=1) == 1).all()
 
 
+def shards_read(rows, shard_of):
+    """Mean shards whose least and greatest value leave room for a value: per language, per source, and for nine sizes."""
+    spans = defaultdict(list)
+    for r in rows:
+        spans[shard_of(r)].append(r)
+    edges = [[(min(c), max(c)) for c in zip(*((r["lang"], r["source"], r["size"]) for r in own))] for own in spans.values()]
+    sizes = sorted(r["size"] for r in rows)
+    wanted = [sorted({r["lang"] for r in rows}), sorted({r["source"] for r in rows}), [sizes[len(sizes) * i // 10] for i in range(1, 10)]]
+    return [np.mean([sum(e[d][0] <= v <= e[d][1] for e in edges) for v in wanted[d]]) for d in range(3)]
+
+
+def test_shards_are_pruned(spark):
+    rnd = random.Random(12)
+    rows = [(i, "x" * int(rnd.lognormvariate(6, 1.2)), rnd.choice(["de", "en", "en", "en", "es", "fr"]),
+             rnd.choice(["hot"] * 10 + [f"s{j:02}" for j in range(20)])) for i in range(6000)]
+    found = {r["doc_id"]: r for r in sharding.shard(spark.createDataFrame(rows, SCHEMA).repartition(4), 16).collect()}
+    table = [{"lang": r[2], "source": r[3], **found[r[0]].asDict()} for r in rows]
+    by_curve = shards_read(table, lambda r: r["shard"])
+    by_hash = shards_read(table, lambda r: zlib.crc32(str(r["doc_id"]).encode()) % 16)
+    by_key = shards_read(table, lambda r: r["doc_id"] * 16 // 6000)
+    assert min(by_hash) > 15 and min(by_key) > 15
+    assert by_curve[0] < 11 and by_curve[1] < 8 and by_curve[2] < 12
+
+
 def test_sharding(odd_docs, odd_rows):
     found = sharding.shard(odd_docs, 16).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == Counter(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import part_offsets, with_order
+from tidemark.operators.bounded import lookup, stored
+from tidemark.session import write_and_reread
 
 BITS = 8
 
@@ -54,18 +56,22 @@ def shard(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "t
           source: str = "source") -> DataFrame:
     """(key, size, text_crc32, law, shard, slot, grown_shard, hilbert) of every row: equal runs of the curve's order.
 
-    Dimensions are language, source and the logarithm of the size. Rows are
-    sorted by curve index, then key, checksum, size, language and source, and
+    Dimensions are language, source and size, each cut into cells that follow its
+    order and hold about as many rows each, so that the least and greatest value
+    of a shard tell what it cannot hold. Rows are sorted by curve index, then key, checksum, size, language and source, and
     cut into `shards` runs whose row counts differ by one at most; slot is the
     place in the run. Rows that agree in all of these are interchangeable. The
     order is cut by sampling into parts of like size and numbered from their
     counts, so no cell of the curve, however full, is a task of its own.
     """
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
-    cells = [name_cell(F.col(lang)), name_cell(F.col(source)), F.floor(F.log2(size) * 8)]
-    rows = docs.select(
+    rows = write_and_reread(docs.select(
         F.col(key), size.alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
-        curve(*cells).alias("hilbert"), F.col(lang).alias("__lang"), F.col(source).alias("__source"))
+        F.col(lang).alias("__lang"), F.col(source).alias("__source")), "narrow")
+    dimensions = ["__lang", "__source", "size"]
+    for c in dimensions:
+        rows = with_cell(rows, c)
+    rows = rows.withColumn("hilbert", curve(*[F.col(f"__cell_{c}") for c in dimensions])).drop(*[f"__cell_{c}" for c in dimensions])
     placed = with_order(rows, ["hilbert", key, "text_crc32", "size", "__lang", "__source"], "curve")
     offsets = part_offsets(placed, F.count("*"))
     rank, n = F.col("__before") + F.col("__idx"), F.col("__all")
@@ -78,9 +84,18 @@ def shard(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "t
                 F.lit(None).cast("int").alias("grown_shard"), "hilbert"))
 
 
-def name_cell(name: Column) -> Column:
-    """A name's cell by its first hash byte; NULL is cell 0. Equal names share a cell."""
-    return F.when(name.isNull(), 0).otherwise(F.pmod(F.xxhash64(name), F.lit(1 << BITS)))
+def with_cell(rows: DataFrame, column: str, bits: int = BITS) -> DataFrame:
+    """Add __cell_<column>: where the value's rows lie in the order of all values, in 2^bits steps.
+
+    Equal values share the cell of their middle row; NULL comes first. Values
+    are counted before they are ordered, and numbered by parts of the order.
+    """
+    counts = with_order(rows.groupBy(column).agg(F.count("*").alias("n")), [column], "values")
+    inside = F.sum("n").over(Window.partitionBy("__part").orderBy("__idx")) - F.col("n")
+    middle = F.col("__before") + F.col("__inside") + (F.col("n") - 1) / 2
+    cells = stored(counts.withColumn("__inside", inside).join(part_offsets(counts, F.sum("n")), "__part").select(
+        column, F.floor(middle * (1 << bits) / F.col("__all")).cast("int").alias(f"__cell_{column}")))
+    return lookup(rows, cells, [column], "left")
 
 
 def manifest(sharded: DataFrame, columns) -> DataFrame:
