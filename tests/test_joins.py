@@ -41,6 +41,14 @@ def test_cut_keys_on_either_side(sides, hot_rows):
         assert Counter(map(tuple, left_join(a, b, "k", hot_rows).collect())) == want
 
 
+def test_columns_of_any_name(spark):
+    left = spark.createDataFrame([("x", 1, 2), ("x", 7, 8), ("y", 3, 4)], "k string, a int, b int")
+    right = spark.createDataFrame([("x", 5, 6), ("x", 5, 9)], "k string, n int, parts int")
+    got = left_join(left, right, "k", 1)
+    assert got.columns == ["k", "a", "b", "n", "parts"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, "k", "left").collect()))
+
+
 def test_a_cut_key_is_spread(spark, sides):
     left, right = sides
     hot = hot_keys(left, right, "k", 20)

@@ -39,7 +39,8 @@ def _dealt(df: DataFrame, hot: DataFrame, key: str, own: str, other: str) -> Dat
     A row's part comes from what it holds, so a task that runs again after an
     executor is lost deals it the same way.
     """
-    known = lookup(df, hot, [key], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("a", "b")})
+    parts = hot.withColumnsRenamed({"a": "__a", "b": "__b"})
+    known = lookup(df, parts, [key], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("__a", "__b")})
     content = F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, MapType)])
     return known.withColumn("__own", F.pmod(content, F.col(own)).cast("int")).withColumn(
         "__other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
@@ -47,14 +48,14 @@ def _dealt(df: DataFrame, hot: DataFrame, key: str, own: str, other: str) -> Dat
 
 def deal_left(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Add the slot in which a left row meets right rows; one copy for each part of the right."""
-    return _dealt(df, hot, key, "a", "b").withColumns(
-        {SLOT: F.expr("__own * b + __other"), PARTS: F.col("b")}).drop("a", "b", "__own", "__other")
+    return _dealt(df, hot, key, "__a", "__b").withColumns(
+        {SLOT: F.expr("__own * __b + __other"), PARTS: F.col("__b")}).drop("__a", "__b", "__own", "__other")
 
 
 def deal_right(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Add the slot in which a right row meets left rows; one copy for each part of the left."""
-    return _dealt(df, hot, key, "b", "a").withColumn(SLOT, F.expr("__other * b + __own")).withColumn(
-        HERE, F.lit(True)).drop("a", "b", "__own", "__other")
+    return _dealt(df, hot, key, "__b", "__a").withColumn(SLOT, F.expr("__other * __b + __own")).withColumn(
+        HERE, F.lit(True)).drop("__a", "__b", "__own", "__other")
 
 
 def join_dealt(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
