@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest, xxh3_64_intdigest
 
 from tidemark.llm.common import as_bytes, each_text, part_offsets, slices, with_order
-from tidemark.session import write_and_reread
+from tidemark.session import scratch_path, scratch_scope, write_and_reread
 
 # Perfect difference sets. Any two positions have a shift below the period that takes both onto the set.
 COVERS = {
@@ -214,11 +214,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     compared by 128 bits, and the first of each hash stays. Anchors and windows
     meet in aggregations that combine before the shuffle and in joins that split
     hot keys; lists are held per text only, and are no longer than it. All steps
-    end in written tables. An empty table gives an empty one.
+    end in written tables, of which the spans stay. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    with shuffles_released(spark):
+    path = scratch_path(spark, "spans")
+    with shuffles_released(spark), scratch_scope(spark):
         rows = write_and_reread(described(named, length), "anchors")
         whole = rows.filter(F.col("n_words") >= length).groupBy("hi", "lo").agg(
             F.min("key").alias("key"), F.first("n_words").alias("n_words"), F.bool_or("local").alias("local"))
@@ -254,7 +255,9 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
             .join(firsts.select("hi", "lo", F.col("key").alias("least")), ["hi", "lo"])
             .filter(~F.col("key").eqNullSafe(F.col("least")))
             .select("hi", "lo", "key", F.expr("array(struct(0 as first, int(n_words) - 1 as last))").alias("spans")))
-        return write_and_reread(inside.unionByName(copies), "spans").select("key", "hi", "lo", "spans")
+        found = inside.unionByName(copies).select("key", "hi", "lo", "spans")
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def _merged(starts: str, length: int) -> Column:
