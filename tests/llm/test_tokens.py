@@ -100,6 +100,15 @@ def test_joined_checksum():
     assert tokenfile.joined_crc(map(zlib.crc32, parts), map(len, parts)) == zlib.crc32(b"".join(parts))
 
 
+def test_joined_checksums_of_many_runs():
+    rng = np.random.default_rng(1)
+    runs = [[rng.bytes(int(n)) for n in rng.choice([0, 1, 4, 7, 8192, 70_000], rng.integers(1, 9))] for _ in range(60)]
+    flat = [p for run in runs for p in run]
+    found = tokenfile.joined_crcs(np.array([zlib.crc32(p) for p in flat]), np.array([len(p) for p in flat]), np.array([len(r) for r in runs]))
+    assert found.tolist() == [zlib.crc32(b"".join(run)) for run in runs]
+    assert tokenfile.joined_crcs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []
+
+
 def test_op4(spark, odd_docs, odd_rows, library, no_docs, tmp_path):
     path = tokenfile.write(odd_docs, PATH, 2, f"file://{tmp_path}/tokens")
     rows = sorted(odd_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))

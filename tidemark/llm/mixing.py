@@ -104,7 +104,9 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
 
     Size is the number of words; taken is size times copies. first_position is
     the training time of the first copy, NULL where there is none. Rows are
-    sorted by it over the whole result, NULLs last.
+    sorted by it over the whole result, NULLs last. A NULL or empty text has no
+    words and is never taken; repeated rows are rows of their own. Other columns
+    are not read, whatever their names; an empty table gives an empty one.
     """
     sized = write_and_reread(
         docs.select(F.col(key), F.col(source).alias("source"), word_count(text).alias("size")), "sized")

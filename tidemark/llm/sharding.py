@@ -60,7 +60,9 @@ def shard(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "t
     order and hold about as many rows each, so that the least and greatest value
     of a shard tell what it cannot hold. Rows are sorted by curve index, then key, checksum, size, language and source, and
     cut into `shards` runs whose row counts differ by one at most; slot is the
-    place in the run. Rows that agree in all of these are interchangeable. The
+    place in the run. Rows that agree in all of these are interchangeable. A NULL
+    text has no bytes, a text of any length is one row, and other columns are not
+    read; an empty table gives an empty one. The
     order is cut by sampling into parts of like size and numbered from their
     counts, so no cell of the curve, however full, is a task of its own.
     """

@@ -207,6 +207,32 @@ def joined_crc(crcs, lengths) -> int:
     return total
 
 
+def _times_each(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`_times` of two arrays, element by element."""
+    out, one = np.zeros_like(a), np.uint32(1)
+    for _ in range(32):
+        out ^= np.where(a >> np.uint32(31), b, np.uint32(0))
+        a = a << one
+        b = b >> one ^ np.where(b & one, np.uint32(0xEDB88320), np.uint32(0))
+    return out
+
+
+def joined_crcs(crcs: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`joined_crc` of many runs at once; run i has the next counts[i] of the parts' checksums and lengths."""
+    crcs, powers, square = crcs.astype(np.uint32), np.full(len(crcs), 0x80000000, np.uint32), 0x40000000
+    bits = 8 * lengths.astype(np.int64)
+    while bits.any():
+        odd = np.flatnonzero(bits & 1)
+        powers[odd] = _times_each(powers[odd], np.full(len(odd), square, np.uint32))
+        square, bits = _times(square, square), bits >> 1
+    starts, total = np.cumsum(counts) - counts, np.zeros(len(counts), np.uint32)
+    for i in range(int(counts.max(initial=0))):
+        at = np.flatnonzero(counts > i)
+        own = starts[at] + i
+        total[at] = _times_each(powers[own], total[at]) ^ crcs[own]
+    return total.astype(np.int64)
+
+
 def summary(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """(key, start, n_tokens, ids_crc32) per document, all from the decoded file.
 
@@ -223,9 +249,10 @@ def summary(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
 
     @F.arrow_udf("long")
     def crc(column: pa.Array) -> pa.Array:
-        found = [x[0]["crc"] if len(x) == 1 else joined_crc([p["crc"] for p in x], [4 * p["n"] for p in x])
-                 for x in column.to_pylist()]
-        return pa.array(found, pa.int64())
+        parts = column.flatten()
+        crcs, n = (parts.field(c).to_numpy(zero_copy_only=False) for c in ("crc", "n"))
+        counts = np.diff(column.offsets.to_numpy())
+        return pa.array(joined_crcs(crcs, 4 * n, counts), pa.int64())
 
     docs = pieces.groupBy("part", "ordinal").agg(
         F.first("key").alias(key), F.min("start").alias("start"), F.sum("n").alias("n_tokens"),
