@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date, months_before
@@ -13,6 +13,7 @@ from tidemark.operators.joins import left_join
 from tidemark.sources.schemas import RISK_FEATURES
 
 LOOK_BACK = 6
+SAFE_DAY = 27  # the same day of the month in all months, and never the last
 CLICK_COLUMNS = [f"click_{i}m" for i in range(1, LOOK_BACK + 1)]
 
 
@@ -26,40 +27,67 @@ def label_store(loans: DataFrame, dpd: int = 30, mob: int = 6) -> DataFrame:
     )
 
 
-def monthly_first(clicks: DataFrame, order: str) -> DataFrame:
-    """One (Customer_ID, snapshot_date, fe_1) per customer and month, the first in `order`."""
-    return clicks.groupBy("Customer_ID", "snapshot_date").agg(
-        F.min_by("fe_1", order).cast("int").alias("fe_1"))
+def _one_per_month(clicks: DataFrame) -> DataFrame:
+    """The first row in `__place` of each customer, day of the month and month, where rows already lie by customer."""
+    first = Window.partitionBy("Customer_ID", "day", "at").orderBy(F.col("__place").asc_nulls_last(), "fe_1")
+    return clicks.withColumns({
+        "day": F.dayofmonth("snapshot_date"), "at": F.expr("12 * year(snapshot_date) + month(snapshot_date)"),
+    }).withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(
+        "Customer_ID", "day", "at", "snapshot_date", F.when(F.col("__place").isNotNull(), F.col("fe_1")).cast("int").alias("fe_1"))
+
+
+def _served(monthly: DataFrame) -> DataFrame:
+    """The panel rows of (Customer_ID, day, at, snapshot_date, fe_1), one row a month, made in the order of the months.
+
+    A month makes the rows of the snapshots after it up to the next month that
+    is there, six at most, so each row is made once and whole: its columns are the
+    month and the five before it. Nothing is held but a few rows.
+    """
+    ordered = Window.partitionBy("Customer_ID", "day").orderBy("at")
+    back = range(1, LOOK_BACK)
+    near = monthly.select(
+        "*", (F.lead("at").over(ordered) - F.col("at")).alias("__next"),
+        *[F.lag(c, k).over(ordered).alias(f"__{c}_{k}") for k in back for c in ("at", "fe_1")])
+    # Value of the month k months before: k rows hold at least k months, so it is among the last k.
+    months = [F.col("fe_1"), *[
+        F.coalesce(*[F.when(F.col(f"__at_{j}") == F.col("at") - k, F.col(f"__fe_1_{j}")) for j in range(1, k + 1)]) for k in back]]
+    made = near.select(
+        "Customer_ID", "day", "snapshot_date", F.array(*months).alias("__months"),
+        F.explode(F.sequence(F.lit(1), F.least(F.lit(LOOK_BACK), F.col("__next")))).alias("__ahead"))
+    return made.select(
+        "Customer_ID", "day", F.add_months("snapshot_date", F.col("__ahead")).alias("snapshot_date"),
+        *[F.get("__months", i - F.col("__ahead")).alias(c) for i, c in enumerate(CLICK_COLUMNS, 1)])
 
 
 def engagement_panel(clicks: DataFrame, start, end, order: str = "fe_1", hot_rows: int = 1_000_000) -> DataFrame:
     """fe_1 of the six months before each snapshot of `start`..`end`, one row per customer.
 
-    Rows are placed by customer once. The reduction to one row per customer and
-    month, the sixfold expansion (a row serves the six snapshots after it) and
-    the pivot all run within that placement, without another shuffle. Customers
-    with more than `hot_rows` rows, which are few, are reduced before it.
+    Rows are placed by customer once and sorted there by month; the reduction to
+    one row per customer and month and the making of the panel run down that order
+    without another shuffle or a table in memory. Customers with more than
+    `hot_rows` rows, which are few, are reduced before it.
     """
     scan_from, scan_to = months_before(as_date(start), LOOK_BACK), months_before(as_date(end), 1)
     history = clicks.filter(F.col("snapshot_date").between(scan_from, scan_to)).select(
         "Customer_ID", "snapshot_date", "fe_1", F.col(order).alias("__place"))
-    hot = stored(history.groupBy("Customer_ID").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("Customer_ID"))
+    counted = stored(history.groupBy("Customer_ID").agg(F.count("*").alias("n"), F.max(F.dayofmonth("snapshot_date")).alias("day")).filter(
+        (F.col("n") > hot_rows) | (F.col("day") > SAFE_DAY)))
+    late = not counted.filter(F.col("day") > SAFE_DAY).isEmpty()
+    hot = counted.filter(F.col("n") > hot_rows).select("Customer_ID")
+    if late:
+        hot = stored(hot)  # counted may then hold all customers
     first = F.min(F.struct(F.col("__place").isNull().alias("none"), "__place", "fe_1")).alias("first")
     reduced = history.join(hot, "Customer_ID", "left_semi").groupBy("Customer_ID", "snapshot_date").agg(first).select(
         "Customer_ID", "snapshot_date", "first.fe_1", "first.__place")
     placed = history.join(hot, "Customer_ID", "left_anti").unionByName(reduced).repartition("Customer_ID")
-    served = (
-        monthly_first(placed, "__place")
-        .withColumn("months_ago", F.explode(F.sequence(F.lit(1), F.lit(LOOK_BACK))))
-        .withColumn("snapshot_date", F.add_months("snapshot_date", F.col("months_ago")))
-        .filter(F.col("snapshot_date").between(as_date(start), as_date(end)))
-    )
-    wide = (
-        served.groupBy("Customer_ID", "snapshot_date")
-        .pivot("months_ago", list(range(1, LOOK_BACK + 1))).agg(F.first("fe_1"))
-    )
-    return wide.withColumnsRenamed({str(i): f"click_{i}m" for i in range(1, LOOK_BACK + 1)}).select(
-        "Customer_ID", "snapshot_date", *CLICK_COLUMNS)
+    columns = ["Customer_ID", "snapshot_date", *CLICK_COLUMNS]
+    panel = _served(_one_per_month(placed)).filter(F.col("snapshot_date").between(as_date(start), as_date(end)))
+    if not late:
+        return panel.select(columns)
+    # Days that a shorter month lacks fall on its last day, where they meet.
+    met = panel.filter(F.col("day") > SAFE_DAY).groupBy("Customer_ID", "snapshot_date").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in CLICK_COLUMNS])
+    return panel.filter(F.col("day") <= SAFE_DAY).select(columns).unionByName(met)
 
 
 def engagement_scaffold(clicks: DataFrame, start, end) -> DataFrame:
