@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 SIGNS = ("abs", "keep", "null")
 
 
-def blank_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-
-
 def _strip(c: Column, keep: str, sign: str) -> Column:
-    """Drop every character outside `keep`; a leading minus survives unless sign is "abs"."""
+    """Drop every character outside `keep`; a leading minus survives unless sign is "abs".
+
+    What is left may be empty, which casts to NULL.
+    """
     if sign not in SIGNS:
         raise ValueError(f"sign must be one of {SIGNS}")
     text = c.cast("string")
@@ -34,7 +33,7 @@ def decimal_text(c: Column, sign: str = "abs") -> Column:
     With the default sign the minus is dropped like any other character, so a
     negative amount turns into its absolute value.
     """
-    return _drop_negative(blank_to_null(_strip(c, "0-9.", sign)).try_cast("double"), sign)
+    return _drop_negative(_strip(c, "0-9.", sign).try_cast("double"), sign)
 
 
 def money(c: Column, sign: str = "abs", places: int = 3) -> Column:
@@ -43,7 +42,7 @@ def money(c: Column, sign: str = "abs", places: int = 3) -> Column:
 
 def integer_text(c: Column, sign: str = "abs") -> Column:
     """Digits of a text as an int; empty and overflowing texts are NULL."""
-    return _drop_negative(blank_to_null(_strip(c, "0-9", sign)).try_cast("int"), sign)
+    return _drop_negative(_strip(c, "0-9", sign).try_cast("int"), sign)
 
 
 def whole_number(c: Column) -> Column:
@@ -76,9 +75,7 @@ def without_sentinel(c: Column, sentinel: str = "_______") -> Column:
 def history_months(c: Column) -> Column:
     """"22 Years and 1 Months" as 265; texts not starting so are NULL."""
     pattern = r"^(\d+) Years and (\d+) Months"
-    years, months = (
-        blank_to_null(F.regexp_extract(c, pattern, i)).try_cast("int") for i in (1, 2)
-    )
+    years, months = (F.regexp_extract(c, pattern, i).try_cast("int") for i in (1, 2))
     return F.try_add(F.try_multiply(years, F.lit(12)), months)
 
 

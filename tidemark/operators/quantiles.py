@@ -11,6 +11,7 @@ from tidemark.operators.bounded import known_values, lookup, running_total, stor
 from tidemark.operators.sketches import quantile_sketches, sketch_quantiles
 
 SKETCH_ACCURACY = 2_000
+LARGEST_SKETCH = 65_535
 
 
 def even_probabilities(bins: int) -> list[float]:
@@ -57,14 +58,12 @@ def exact_quantiles(df: DataFrame, columns, probs, by=(), method: str = "linear"
     """
     by, probs = list(by), [float(p) for p in probs]
     keys = [*by, "feature"]
-    margin = 2.0 / accuracy
+    margin = 4.0 / accuracy
     fence_at = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     long = known_values(to_long(df, by, columns))
 
-    fences = stored(long.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.expr(f"percentile_approx(value, {_doubles(fence_at)}, {accuracy})").alias("fences"),
-    ))
+    sketched = quantile_sketches(df, columns, by, min(2 * accuracy, LARGEST_SKETCH))
+    fences = stored(sketch_quantiles(sketched, fence_at).withColumnRenamed("quantiles", "fences"))
 
     def slotted(side):
         wide = edge_columns(side, "fences", len(fence_at))
