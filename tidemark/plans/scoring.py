@@ -95,7 +95,9 @@ def search(train: DataFrame, features, label: str = "label", fold: str = "fold",
            folds: int = 3, seed: int = 42, parallelism: int = 4, space=None) -> tuple[PipelineModel, dict, float]:
     """Random search over stratified folds; the best parameters are fitted again on all rows.
 
-    `train` carries its fold number, see `dataset.with_folds`.
+    `train` carries its fold number, see `dataset.with_folds`. It is read for every
+    fold: hand in a stored table. Folds are cached by Spark ML, so they hold nothing
+    but what trees and evaluator read.
     """
     scaling = Pipeline(stages=[scaling_stage(train, features)]).fit(train)
     assembler, trees = tree_stages(features, label, seed)
@@ -104,7 +106,7 @@ def search(train: DataFrame, features, label: str = "label", fold: str = "fold",
         estimator=Pipeline(stages=[assembler, trees]), estimatorParamMaps=grid,
         evaluator=BalancedAccuracyEvaluator(label), numFolds=folds, foldCol=fold,
         parallelism=parallelism, seed=seed)
-    found: CrossValidatorModel = validator.fit(scaling.transform(train))
+    found: CrossValidatorModel = validator.fit(scaling.transform(train).select(label, fold, *assembler.getInputCols()))
     best = max(range(len(grid)), key=lambda i: found.avgMetrics[i])
     model = PipelineModel(stages=[*scaling.stages, *found.bestModel.stages])
     return model, {p.name: v for p, v in grid[best].items()}, found.avgMetrics[best]

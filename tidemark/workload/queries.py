@@ -1031,9 +1031,10 @@ def tree_scores(spark, folder):
 # --- models of many trees (no SQL) --------------------------------------------------------------------
 
 def _model_rows(spark, folder):
-    """Training rows keyed by their content, stored, as fitting passes over them many times."""
+    """Training rows keyed by their content; joined rows and split rows are stored, as splitting and fitting pass over them many times."""
     rows = dataset.training_set(label_store_(spark, folder), stored_risk_store(spark, folder), TRAIN_DATE)
     keyed = rows.withColumn("row_key", F.sha2(F.to_json(F.struct("*")), 256))
+    keyed = write_and_reread(keyed, "keyed")
     return write_and_reread(dataset.with_split(keyed, ["row_key"], TRAIN_DATE), "training")
 
 
@@ -1051,7 +1052,7 @@ def ml_scores(spark, folder):
 @query
 def model_search(spark, folder):
     rows = _model_rows(spark, folder)
-    train = dataset.with_folds(rows.filter("split = 'train'"), ["row_key"])
+    train = write_and_reread(dataset.with_folds(rows.filter("split = 'train'"), ["row_key"]), "folds")
     space = {"maxIter": [2, 4], "maxDepth": [2, 3], "stepSize": [0.1, 1.0]}
     model, _, _ = scoring.search(train, MODEL_FEATURES, draws=2, space=space)
     test = scoring.score(model, rows.filter("split = 'test'"))
