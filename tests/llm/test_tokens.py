@@ -94,6 +94,57 @@ def test_range_coder_finds_damage_and_packs():
         rangecoder.encode_blocks([np.zeros(rangecoder.LONGEST + 1, np.int64)], 5)
 
 
+def test_range_coder_learns_an_uneven_alphabet():
+    """Ids that follow no order are coded near the entropy of their counts: lanes of a block learn them together."""
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(49_408)[np.minimum(rng.zipf(1.3, 2 * rangecoder.LONGEST), 2000) - 1]
+    share = np.bincount(ids)[np.unique(ids)] / len(ids)
+    blocks = [ids[:rangecoder.LONGEST], ids[rangecoder.LONGEST:]]
+    coded = rangecoder.encode_blocks(blocks, 49_408)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, rangecoder.decode_blocks(coded)))
+    assert 8 * sum(map(len, coded)) / len(ids) < 1.2 * -(share * np.log2(share)).sum()
+    # More ids than order 0 has room for.
+    many = rng.integers(0, 49_408, rangecoder.LONGEST)
+    assert np.array_equal(rangecoder.decode_blocks(rangecoder.encode_blocks([many], 49_408))[0], many)
+
+
+def test_library_sees_a_piece_once(monkeypatch):
+    coder, seen = tokenfile.LibraryEncoder(bpe.read_vocabulary(PATH)), []
+    call = coder.merges.call
+    monkeypatch.setattr(coder.merges, "call", lambda pieces: seen.extend(pieces) or call(pieces))
+    coder.encode_batch([b"Word, word. WORD (x1) isn't", b"word, X", None, "isn't \u00c9t\u00e9, \u00e9t\u00e9".encode()])
+    coder.encode_batch([b"words: word", b"isn't"])
+    assert len(seen) == len(set(seen)) + 1  # the comma once more, in a word with odd characters
+    assert {"word", ",", ".", "(", "x", "1", ")", "isn", "'t", "\u00e9t\u00e9", "words", ":"} == set(seen)
+
+
+def test_library_encoder_on_each_character(library):
+    """Every character below U+0530, which a plain pattern cuts, and some of the others, between letters, alone and before a mark."""
+    rnd = random.Random(2)
+    some = [chr(c) for c in [*range(0x530), 0x1C89, 0xA7CB, 0x10D50,
+                             *rnd.sample([c for c in range(0x530, 0x110000) if not 0xD800 <= c < 0xE000], 3000)]]
+    texts = [f"A{c}b 'S{c} {c}{c}1 {c}\u0301x" for c in some]
+    ids, n = tokenfile.LibraryEncoder(bpe.read_vocabulary(PATH)).encode_batch([t.encode() for t in texts])
+    for t, run in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+        assert run.tolist() == library.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_last_blocks_are_halves():
+    cutter = tokenfile.Cutter()
+    sizes = np.array([5, tokenfile.BLOCK + 90, 0, tokenfile.BLOCK])
+    ids = np.arange(int(sizes.sum()), dtype=np.int32)
+    cutter.add(["a", "b", "c", "d"], ids, sizes)
+    blocks = cutter.take(1) + cutter.take()
+    assert [len(b[2]) for b in blocks] == [tokenfile.BLOCK, (tokenfile.BLOCK + 95) // 2, (tokenfile.BLOCK + 96) // 2]
+    assert np.array_equal(np.concatenate([b[2] for b in blocks]), ids) and [b[0] for b in blocks] == [0, 1, 2]
+    held = Counter()
+    for _, _, part, pieces in blocks:
+        assert sum(p[2] for p in pieces) == len(part)
+        for o, k, n in pieces:
+            held[o, k] += n
+    assert [held[o, k] for o, k in enumerate("abcd")] == sizes.tolist() and not cutter.held and cutter.take() == []
+
+
 def test_joined_checksum():
     rng = np.random.default_rng(0)
     parts = [rng.bytes(int(n)) for n in (5, 0, 1, 70_000, 13)]

@@ -75,12 +75,13 @@ class Merges:
         place = np.searchsorted(self.keys, key)
         return np.where(self.keys[place] == key, self.ranks[place], NONE)
 
-    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of non-empty pieces in one array, and the number of ids of each.
 
         Every round merges, in each word, all places of its lowest-ranked pair
         from left to right, and looks up only the pairs next to a merge.
         """
+        pieces = [p.encode() for p in pieces]
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         if not len(lengths):
             return np.empty(0, np.int32), lengths
@@ -135,6 +136,33 @@ class Index(dict):
         return place
 
 
+class Runs:
+    """Runs of ids, by number."""
+
+    def __init__(self):
+        self.flat, self.used = np.empty(1 << 20, np.int32), 0
+        self.starts = self.lengths = np.empty(0, np.int64)
+
+    def append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.starts = np.append(self.starts, self.used + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.used += len(ids)
+
+    def append_at(self, places: np.ndarray, count: int, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Append `count` runs, all empty but those at the places."""
+        every = np.zeros(count, np.int64)
+        every[places] = lengths
+        self.append(ids, every)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs `at` in one array, and the number of ids of each."""
+        lengths = self.lengths[at]
+        return gather_runs(self.flat, self.starts[at], lengths), lengths
+
+
 class Encoder:
     """Encodes texts word by word; ids of words met before are looked up.
 
@@ -143,24 +171,24 @@ class Encoder:
     """
 
     def __init__(self, text: str):
-        self.merges = Merges(text)
+        self.merges = self.make_merges(text)
         special = "|".join(map(regex.escape, sorted(self.merges.special, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
         self.pieces = regex.compile(rf"{PIECE}|\n")
         self.forget()
 
+    def make_merges(self, text: str):
+        return Merges(text)
+
     def forget(self):
-        self.index = Index()
-        self.flat, self.used = np.empty(1 << 20, np.int32), 0
-        self.starts = self.lengths = np.empty(0, np.int64)
+        self.index, self.runs = Index(), Runs()
 
     def normal(self, text: str) -> str:
         # Every character is lowered alone: no special case for a sigma that ends a word.
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
-    def learn(self, words: list[bytes]) -> None:
-        """Add the ids of words, which are new and hold no ASCII white space."""
-        texts = [w.decode() for w in words]
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that hold no ASCII white space in one array, and the number of ids of each."""
         parts, fixed = [], []  # texts that are encoded, and per word what takes their place, if not one of them
         for i, t in enumerate(texts):
             if self.special and "<|" in t and len(cut := self.special.split(t)) > 1:
@@ -168,14 +196,15 @@ class Encoder:
                 parts += cut[::2]
             else:
                 parts.append(t)
-        found = self.pieces.findall(self.normal("\n".join(parts))) if parts else []
+        ids, lengths = self.joined(self.pieces.findall(self.normal("\n".join(parts))) if parts else [], len(parts))
+        return self.insert(ids, lengths, fixed, len(texts)) if fixed else (ids, lengths)
+
+    def joined(self, found: list[str], count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of `count` words in one array, and the number of ids of each, from their pieces, which line feeds part."""
         cuts = np.array([p == "\n" for p in found], dtype=bool)
-        ids, n = self.merges.encode([p.encode() for p in found if p != "\n"])
+        ids, n = self.merges.encode([p for p in found if p != "\n"])
         owner = np.cumsum(cuts)[~cuts] if len(found) else np.empty(0, np.int64)
-        lengths = np.bincount(owner, weights=n, minlength=len(parts)).astype(np.int64)
-        if fixed:
-            ids, lengths = self.insert(ids, lengths, fixed, len(words))
-        self.append(ids, lengths)
+        return ids, np.bincount(owner, weights=n, minlength=count).astype(np.int64)
 
     def insert(self, ids, lengths, fixed, count):
         """Put special ids between the parts of the words that hold them."""
@@ -192,14 +221,6 @@ class Encoder:
             out.append(np.concatenate(pieces))
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
-    def append(self, ids, lengths):
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.starts = np.append(self.starts, self.used + np.cumsum(lengths) - lengths)
-        self.lengths = np.append(self.lengths, lengths)
-        self.used += len(ids)
-
     def encode_batch(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each; None is empty."""
         if len(self.index) > KNOWN_WORDS:
@@ -211,10 +232,8 @@ class Encoder:
             counts.append(len(words))
             at.extend(map(self.index.__getitem__, words))
         if len(self.index) > known:
-            self.learn(list(self.index)[known:])
-        at = np.array(at, dtype=np.int64)
-        lengths = self.lengths[at]
-        ids = gather_runs(self.flat, self.starts[at], lengths)
+            self.runs.append(*self.ids_of([w.decode() for w in list(self.index)[known:]]))
+        ids, lengths = self.runs.take(np.array(at, dtype=np.int64))
         text = np.repeat(np.arange(len(texts)), counts)
         return ids, np.bincount(text, weights=lengths, minlength=len(texts)).astype(np.int64)
 

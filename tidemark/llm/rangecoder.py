@@ -1,4 +1,4 @@
-"""An adaptive range coder for token ids that mixes predictions of order 0 to 2, thousands of blocks at a time."""
+"""An adaptive range coder for token ids that mixes predictions of order 0 to 2, thousands of lanes at a time."""
 
 from __future__ import annotations
 
@@ -8,26 +8,29 @@ import zlib
 import numpy as np
 
 # Fixed values of the block format: magic; then ids, alphabet and checksum of the ids, begun with the alphabet, as unsigned
-# 32-bit integers.
-MAGIC = b"CMR2"
+# 32-bit integers; the number of 16-bit words of each lane; the words of all lanes.
+MAGIC = b"CMR3"
 HEADER = struct.Struct("<4sIII")
-LANES = 2048
-SLOTS_1, SLOTS_2 = 1 << 10, 1 << 11
-SURE = 7
+LANE = 4096  # a block of n ids has (n // LANE) ** 2 lanes that learn together; a short one is a lane of its own
+LONGEST = 1 << 16  # ids in a block at most
+LANES = 8192  # in step at most
+BLOCKS, ENTRIES = 64, 1 << 21  # in step at most, and their order 0 together
+SLOT_BITS_1, SLOT_BITS_2 = 13, 15
+SURE = 3
 STATES = 2 * (SURE + 1) ** 2
-TOTAL_BITS = 12
-TOTAL = 1 << TOTAL_BITS
-LEAST = 32  # of TOTAL, for a hit or a miss
-ADAPT = 4
-SEEN = 24
-LONGEST = 1 << 14  # ids in a block at most
+MIX_BITS, ZERO_BITS = 12, 14
+MIX, ZERO = 1 << MIX_BITS, 1 << ZERO_BITS
+LEAST = 16  # of MIX, for each order
+PRIOR = np.array([1, 1, 2], np.int64)
+ROUND = 16  # steps in which tables stand still, fewer at the start
 LOW = np.uint64((1 << 32) - 1)
-HALF, WORD, UNIT = np.uint64(32), np.uint64(16), np.uint64(TOTAL_BITS)
-TOP = np.uint64(TOTAL - 1)
+HALF, WORD = np.uint64(32), np.uint64(16)
+UNIT_MIX, UNIT_ZERO = np.uint64(MIX_BITS), np.uint64(ZERO_BITS)
+TOP = np.uint64(ZERO - 1)
 
 
 class Classes:
-    """Order 0 codes the class of an id with adaptive counts, and its place in the class in plain bits.
+    """Ids that order 0 has not met yet: the class of an id with adaptive counts, and its place in the class in plain bits.
 
     Classes are half octaves of id + 1: ids of a vocabulary that was built by
     merges get rarer with their number, so a class holds ids about alike in use.
@@ -41,84 +44,141 @@ class Classes:
         self.bits = np.array([int(n - 1).bit_length() for n in ends - self.start], np.uint64)
         self.of = (np.searchsorted(self.start, np.arange(1, alphabet + 1), side="right") - 1).astype(np.int16)
         self.count = len(self.start)
+        self.alphabet = alphabet
+
+
+class Lot:
+    """Lanes of some blocks, longest first: element e of step t is lane e - at[t] of those that are still at work."""
+
+    def __init__(self, sizes: list[int]):
+        block, length, first = [], [], []
+        for b, n in enumerate(sizes):
+            lanes = max(1, (n // LANE) ** 2)
+            steps = -(-n // lanes)
+            begin = np.arange(lanes) * steps
+            block.append(np.full(lanes, b))
+            length.append(np.clip(n - begin, 0, steps))
+            first.append(begin)
+        block, length, first = map(np.concatenate, (block, length, first))
+        order = np.argsort(-length, kind="stable")
+        self.block, self.length, self.first = block[order], length[order], first[order]
+        self.sizes, self.steps = sizes, int(length.max(initial=0))
+        own = np.argsort(self.first, kind="stable")
+        own = own[np.argsort(self.block[own], kind="stable")]
+        self.own = np.split(own, np.cumsum(np.bincount(block, minlength=len(sizes)))[:-1])  # lanes of each block in order
+        self.longest = np.array([self.length[k[0]] for k in self.own])
+        self.live = np.searchsorted(-self.length, -np.arange(self.steps), side="left")
+        self.at = np.append(0, np.cumsum(self.live))
+        # Steps after which tables are brought up to date, and those after which shares are counted anew.
+        self.rounds, self.renewals, t, due = [], set(), 0, 1
+        while t < self.steps:
+            t += min(max(t // 2, 1), ROUND)
+            self.rounds.append(min(t, self.steps))
+            if due <= t < self.steps:
+                self.renewals.add(t)
+                due = 3 * t
+        self.counted = max(self.renewals, default=0)  # what comes later changes no share
 
 
 class Model:
-    """What coder and decoder know before each id, for one id of every block (lane) at a time.
+    """What coder and decoder know before each step, of all blocks of a lot.
 
-    Orders 2 and 1 name the id that last followed the two ids before, or the
-    one before, with a number for how often they have been right of late. How
-    sure both are, and whether they agree, selects the adaptive probability that
-    order 2 is right, and that order 1 is right where order 2 is not; what is
-    left is order 0's. A lane's whole state is some 13 KB.
+    The lanes of a block share what they learn, brought up to date after every
+    round. Orders 2 and 1 name the id that last followed the two ids before, or
+    the one before, with a number for how often they have been right of late. How
+    sure both are, and whether they agree, selects the adaptive shares of order 2
+    being right, of order 1 being right where order 2 is not, and of order 0,
+    which has the counts of a block's ids so far and classes for those not met.
     """
 
-    def __init__(self, lanes: int, classes: Classes):
-        lane = np.arange(lanes)
-        self.classes = classes
-        self.one, self.base_one = np.zeros(lanes * SLOTS_1, np.int32), lane * SLOTS_1
-        self.two, self.base_two = np.zeros(lanes * SLOTS_2, np.int32), lane * SLOTS_2
-        self.hit_two = np.full(lanes * STATES, TOTAL // 4, np.int16)
-        self.hit_one = np.full(lanes * STATES, TOTAL // 4, np.int16)
-        self.base_state = lane * STATES
-        self.counts, self.base_count = np.zeros(lanes * classes.count, np.int32), lane * classes.count
-        self.sums = np.zeros((lanes, classes.count + 1), np.int32)
-        self.last, self.prior = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        # What becomes of a certainty: rises when right, halves when wrong; a low one gives way to the new id.
-        self.next_sure = np.array([*[s >> 1 for s in range(SURE + 1)], *[min(s + 1, SURE) for s in range(SURE + 1)]], np.int32)
-        self.renew(lanes)
-
-    def renew(self, n: int) -> None:
-        """Order 0's shares of TOTAL from the counts so far; every class keeps one part at least."""
-        c = self.classes.count
-        sums = np.cumsum(self.counts.reshape(-1, c)[:n] * SEEN + 1, axis=1)
-        self.sums[:n, 1:] = sums * (TOTAL - c) // sums[:, -1:] + np.arange(1, c + 1)
-
-    def predict(self, at: int, n: int) -> None:
-        if at and (at % 64 == 0 or at < 64 and at % 8 == 0):
-            self.renew(n)
-        mixed = self.last[:n] * np.uint32(40503)
-        self.at_one = self.base_one[:n] + ((mixed >> 4) & (SLOTS_1 - 1))
-        self.at_two = self.base_two[:n] + ((mixed + self.prior[:n] * np.uint32(60493) >> 5) & (SLOTS_2 - 1))
-        self.known_one, self.known_two = one, two = self.one.take(self.at_one, mode="clip"), self.two.take(self.at_two, mode="clip")
-        self.id_one, self.id_two = one >> 3, two >> 3  # ids + 1; zero names none
-        self.same = self.id_one == self.id_two
-        self.state = self.base_state[:n] + ((self.same << 6) + ((two & SURE) << 3) + (one & SURE))
-        self.share_two = self.hit_two.take(self.state, mode="clip")
-        self.share_one = self.hit_one.take(self.state, mode="clip")
-
-    def update(self, ids: np.ndarray, hit_two: np.ndarray, hit_one: np.ndarray, literal: np.ndarray, classes: np.ndarray) -> None:
-        """ids are ids + 1 of the lanes; classes those of the lanes in `literal`."""
-        n = len(ids)
-        share = self.share_two
-        share = share + np.where(hit_two, (TOTAL - share) >> ADAPT, -(share >> ADAPT)).astype(np.int16)
-        self.hit_two[self.state] = np.clip(share, LEAST, TOTAL - LEAST)
-        asked = np.flatnonzero(~(hit_two | self.same))
-        share, hit = self.share_one[asked], hit_one[asked]
-        share = share + np.where(hit, (TOTAL - share) >> ADAPT, -(share >> ADAPT)).astype(np.int16)
-        self.hit_one[self.state[asked]] = np.clip(share, LEAST, TOTAL - LEAST)
-        fresh = ids << 3
-        for table, at, known, guess in ((self.two, self.at_two, self.known_two, self.id_two),
-                                        (self.one, self.at_one, self.known_one, self.id_one)):
-            right, sure = guess == ids, known & SURE
-            kept = known - sure + self.next_sure.take((right << 3) + sure, mode="clip")
-            table[at] = np.where(right | (sure > 1), kept, fresh)
-        self.counts[self.base_count[literal] + classes] += 1
-        self.prior[:n] = self.last[:n]
-        self.last[:n] = ids
+    def __init__(self, lot: Lot, classes: Classes):
+        self.lot, self.classes = lot, classes
+        blocks, self.width = len(lot.sizes), classes.alphabet + classes.count
+        bits = np.array([min(max(int(n).bit_length(), 4), SLOT_BITS_2) for n in lot.sizes])
+        bits_1 = np.minimum(bits, SLOT_BITS_1)
+        self.base_1, self.base_2 = ((np.cumsum(1 << x) - (1 << x))[lot.block] for x in (bits_1, bits))
+        self.shift_1, self.shift_2 = ((32 - x)[lot.block].astype(np.uint32) for x in (bits_1, bits))
+        self.one, self.two = np.zeros(int((1 << bits_1).sum()), np.int32), np.zeros(int((1 << bits).sum()), np.int32)
+        self.base_state = (lot.block * STATES).astype(np.int32)
+        self.base_zero = (lot.block * self.width).astype(np.int32)
+        self.base_slot = (lot.block * ZERO).astype(np.int32)
+        self.mixed = np.tile(PRIOR, blocks * STATES)
+        self.counts = np.zeros(blocks * self.width, np.int32)
+        self.counts.reshape(blocks, -1)[:, classes.alphabet:] = 1
+        self.zero = np.zeros(blocks * self.width, np.uint32)  # start << 15 | share; none: not met
+        self.slots = np.zeros(blocks * ZERO, np.int32)
+        self.seen_mixed, self.seen_zero = [], []
+        self.renew(0)
+
+    def renew(self, t: int) -> None:
+        """Shares from the counts so far; in order 0, ids get one if they are among the ZERO / 2 most frequent at least."""
+        if self.seen_mixed:
+            self.mixed += np.bincount(np.concatenate(self.seen_mixed), minlength=len(self.mixed)) * 4
+            np.add.at(self.counts, np.concatenate(self.seen_zero).astype(np.intp), np.int32(1))
+            self.seen_mixed, self.seen_zero = [], []
+        sums = np.cumsum(self.mixed.reshape(-1, 3), axis=1)
+        ends = sums * (MIX - 3 * LEAST) // sums[:, -1:] + np.arange(1, 4) * LEAST
+        starts = np.concatenate([np.zeros_like(ends[:, :1]), ends[:, :-1]], axis=1)
+        self.mix = (starts << 13 | ends - starts).astype(np.int32).ravel()
+        self.start_one, self.start_zero = starts[:, 1].astype(np.uint64), starts[:, 2].astype(np.uint64)
+        for b in np.flatnonzero(self.lot.longest > t):
+            counts, zero = self.counts[b * self.width:(b + 1) * self.width], self.zero[b * self.width:(b + 1) * self.width]
+            met = np.flatnonzero(counts != 0)
+            of = counts[met].astype(np.int64)
+            if (over := len(met) - self.classes.count - ZERO // 2) > 0:
+                zero[met] = 0
+                kept = (of > np.partition(of, over)[over]) | (met >= self.classes.alphabet)
+                met, of = met[kept], of[kept]
+            ends = np.cumsum(of)
+            ends = ends * (ZERO - len(met)) // ends[-1] + np.arange(1, len(met) + 1)
+            shares = np.diff(ends, prepend=0)
+            zero[met] = (ends - shares) << 15 | shares
+            self.slots[b * ZERO:(b + 1) * ZERO] = np.repeat(met, shares)
+
+    def keys(self, last: np.ndarray, prior: np.ndarray, lanes) -> tuple[np.ndarray, np.ndarray]:
+        """Places of orders 1 and 2 in their tables, for ids + 1 as unsigned 32-bit integers."""
+        key = last * np.uint32(0x9E3779B1)
+        one = self.base_1[lanes] + (key >> self.shift_1[lanes])
+        key += prior
+        key *= np.uint32(0x85EBCA6B)
+        return one, self.base_2[lanes] + (key >> self.shift_2[lanes])
+
+    def state(self, one: np.ndarray, two: np.ndarray, base_state: np.ndarray) -> np.ndarray:
+        """How sure both orders are of the ids + 1 that they name (zero names none), and whether these agree."""
+        state = (two & SURE) << 2
+        state += one & SURE
+        state += ((one ^ two) <= SURE).view(np.int8) << 4
+        state += base_state
+        return state
+
+    def learn(self, table: np.ndarray, at: np.ndarray, known: np.ndarray, right: np.ndarray, fresh: np.ndarray) -> None:
+        """A certainty rises when right and falls when wrong; a low one gives way to the new id."""
+        table[at] = np.where(right, np.minimum(known + 1, known | SURE), np.where((known & SURE) > 1, known - 1, fresh))
+
+
+def _lots(order, sizes, classes):
+    lot, lanes = [], 0
+    for i in order:
+        own = max(1, (sizes[i] // LANE) ** 2)
+        if lot and (lanes + own > LANES or len(lot) == BLOCKS or (len(lot) + 1) * (classes.alphabet + classes.count) > ENTRIES):
+            yield lot
+            lot, lanes = [], 0
+        lot.append(i)
+        lanes += own
+    if lot:
+        yield lot
 
 
 def encode_blocks(blocks: list[np.ndarray], alphabet: int) -> list[bytes]:
     """Each block of ids below `alphabet` as bytes of its own; blocks share nothing and hold LONGEST ids at most."""
-    if any(len(b) > LONGEST for b in blocks):
+    sizes = [len(b) for b in blocks]
+    if any(n > LONGEST for n in sizes):
         raise ValueError(f"a block holds {LONGEST} ids at most")
     out: list = [None] * len(blocks)
-    order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     classes = Classes(alphabet)
-    for i in range(0, len(order), LANES):
-        lot = order[i:i + LANES]
+    for lot in _lots(sorted(range(len(blocks)), key=lambda i: -sizes[i]), sizes, classes):
         for k, coded in zip(lot, _encode([blocks[k] for k in lot], classes)):
-            head = HEADER.pack(MAGIC, len(blocks[k]), alphabet, zlib.crc32(blocks[k].astype("<u4").tobytes(), alphabet))
+            head = HEADER.pack(MAGIC, sizes[k], alphabet, zlib.crc32(blocks[k].astype("<u4").tobytes(), alphabet))
             out[k] = head + coded
     return out
 
@@ -132,71 +192,117 @@ class Words:
         self.put = self.begin.copy()
 
     def add(self, at, low: np.ndarray) -> None:
-        self.out[self.put[at]] = low >> HALF
-        self.put[at] += 1
+        put = self.put[at]
+        self.out[put] = low >> HALF
+        self.put[at] = put + 1
+
+    def shorten(self, at: np.ndarray, low: np.ndarray, width: np.ndarray) -> None:
+        """Put out words of the lanes `at`, whose widths are LOW or less, until all are above it."""
+        while len(at):
+            l, w = low[at], width[at] << WORD
+            self.add(at, l)
+            low[at] = (l & LOW) << WORD
+            width[at] = w
+            at = at[w <= LOW]
 
-    def texts(self) -> list[bytes]:
-        rows = self.out.reshape(-1, self.room)
-        for k, n in enumerate(self.put - self.begin):
-            rows[k, n:] = 0
+    def settle(self) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of words, and how many of each row count."""
+        rows, used = self.out.reshape(-1, self.room), self.put - self.begin
+        rows = rows[:, :int(used.max(initial=0))]
+        rows[np.arange(rows.shape[1]) >= used[:, None]] = 0
         while (over := rows >> 16).any():
             rows &= 0xFFFF
             rows[:, :-1] += over[:, 1:]
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(rows, self.put - self.begin)]
+        return rows.astype("<u2"), used
 
 
 def _encode(blocks: list[np.ndarray], classes: Classes) -> list[bytes]:
-    """Blocks, longest first, in step: every round codes the next id of each."""
-    sizes = np.array([len(b) for b in blocks])
-    longest, lanes = int(sizes.max(initial=0)), len(blocks)
-    ids = np.zeros((longest, lanes), np.int32)
-    for k, b in enumerate(blocks):
-        ids[:len(b), k] = b
-    model = Model(lanes, classes)
+    """Blocks in step: shares are looked up a round at a time, then every step codes the next id of each lane."""
+    lot = Lot([len(b) for b in blocks])
+    lanes, steps, at, live = len(lot.block), lot.steps, lot.at, lot.live
+    model = Model(lot, classes)
+    # Ids + 1 by step and lane, with two empty steps before.
+    grid = np.zeros((steps + 2, lanes), np.uint32)
+    for b, own in zip(blocks, lot.own):
+        n = int(lot.length[own[0]])
+        padded = np.zeros(len(own) * n, np.uint32)
+        padded[:len(b)] = b
+        padded[:len(b)] += 1
+        grid[2:n + 2, own] = padded.reshape(len(own), n).T
+    inside = np.arange(steps)[:, None] < lot.length
+    lane = np.broadcast_to(np.arange(lanes), (steps, lanes))[inside]
+    now = grid[2:][inside].astype(np.int32)
+    at_one, at_two = (x[inside] for x in model.keys(grid[1:-1], grid[:-2], slice(None)))
+    del grid, inside
+    mixes = np.empty(len(now), np.int32)  # start << 13 | share
+    zeros = np.full(len(now), ZERO, np.uint32)  # start << 15 | share; for ids named by another order all of it
+    strange, t = [], 0
+    for upto in lot.rounds:
+        e = slice(at[t], at[upto])
+        ids, of = now[e], lane[e]
+        one, two = model.one.take(at_one[e], mode="clip"), model.two.take(at_two[e], mode="clip")
+        state = model.state(one, two, model.base_state.take(of, mode="clip"))
+        right_one, right_two = one >> 2 == ids, two >> 2 == ids
+        other_two = ~right_two
+        left = other_two & ~right_one
+        state *= 3
+        state += other_two
+        state += left
+        mixes[e] = model.mix.take(state, mode="clip")
+        left = np.flatnonzero(left)
+        base = model.base_zero.take(of.take(left, mode="clip"), mode="clip")
+        place = base + ids.take(left, mode="clip")
+        place -= 1
+        share = model.zero.take(place, mode="clip")
+        unmet = np.flatnonzero(share == 0)
+        cls = classes.of[ids[left[unmet]] - 1]
+        other = base[unmet] + classes.alphabet + cls
+        share[unmet] = model.zero[other]
+        zeros[at[t] + left] = share
+        strange.append(at[t] + left[unmet])
+        if upto <= lot.counted:
+            model.seen_mixed.append(state)
+            model.seen_zero += [place, other]
+        if upto < steps:
+            fresh = ids << 2 | 1
+            model.learn(model.one, at_one[e], one, right_one, fresh)
+            model.learn(model.two, at_two[e], two, right_two, fresh)
+        t = upto
+        if t in lot.renewals:
+            model.renew(t)
+    strange = np.concatenate(strange) if strange else np.empty(0, np.int64)
+    edges = np.searchsorted(strange, at)
+    cls = classes.of[now[strange] - 1]
+    bits, place = classes.bits[cls], (now[strange] - classes.start[cls]).astype(np.uint64)
+    del at_one, at_two
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 48) - 1, np.uint64)
-    words = Words(lanes, 3 * longest + 8)
-    live = np.searchsorted(-sizes, -np.arange(longest), side="left")
-    for t in range(longest):
-        n = int(live[t])
-        now = ids[t, :n] + 1
-        model.predict(t, n)
-        hit_two = now == model.id_two
-        hit_one = (now == model.id_one) & ~hit_two
-        l, w = low[:n], width[:n]
-        first = (w >> UNIT) * model.share_two.astype(np.uint64)
-        l += np.where(hit_two, 0, first).astype(np.uint64)
-        w[:] = np.where(hit_two, first, w - first)
-        second = np.where(hit_two | model.same, 0, (w >> UNIT) * model.share_one.astype(np.uint64)).astype(np.uint64)
-        l += np.where(hit_one, 0, second).astype(np.uint64)
-        w[:] = np.where(hit_one, second, w - second)
-        at = np.flatnonzero(w <= LOW)
-        if len(at):
-            words.add(at, l[at])
-            l[at] = (l[at] & LOW) << WORD
-            w[at] <<= WORD
-        literal = np.flatnonzero(~(hit_two | hit_one))
-        own = now[literal]
-        cls = classes.of[own - 1].astype(np.int64)
-        ll, ww = l[literal], w[literal]
-        below = model.sums[literal, cls]
-        unit = ww >> UNIT
-        ll += unit * below.astype(np.uint64)
-        ww = unit * (model.sums[literal, cls + 1] - below).astype(np.uint64) >> classes.bits[cls]
-        ll += ww * (own - classes.start[cls]).astype(np.uint64)
-        for _ in range(2):
-            short = np.flatnonzero(ww <= LOW)
-            if not len(short):
-                break
-            words.add(literal[short], ll[short])
-            ll[short] = (ll[short] & LOW) << WORD
-            ww[short] <<= WORD
-        l[literal], w[literal] = ll, ww
-        model.update(now, hit_two, hit_one, literal, cls)
-    everyone = np.arange(lanes)
+    words = Words(lanes, 3 * steps + 8)
+    for t in range(steps):
+        n, e = int(live[t]), slice(at[t], at[t + 1])
+        l, w, mix, zero = low[:n], width[:n], mixes[e], zeros[e]
+        w >>= UNIT_MIX
+        l += w * (mix >> 13).astype(np.uint64)
+        w *= (mix & 8191).astype(np.uint64)
+        w >>= UNIT_ZERO
+        l += w * (zero >> 15)
+        w *= zero & 32767
+        words.shorten(np.flatnonzero(w <= LOW), low, width)
+        if edges[t] < edges[t + 1]:
+            s = slice(edges[t], edges[t + 1])
+            of = lane[strange[s]]
+            ww = width[of] >> bits[s]
+            low[of] += ww * place[s]
+            width[of] = ww
+            words.shorten(of[ww <= LOW], low, width)
     for _ in range(3):
-        words.add(everyone, low)
+        words.add(np.arange(lanes), low)
         low = (low & LOW) << WORD
-    return words.texts()
+    rows, used = words.settle()
+    out = []
+    for own in lot.own:
+        texts = rows[own][np.arange(rows.shape[1]) < used[own, None]]
+        out.append(used[own].astype("<u2").tobytes() + texts.tobytes())
+    return out
 
 
 def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
@@ -209,76 +315,124 @@ def decode_blocks(coded: list[bytes]) -> list[np.ndarray]:
     if any(h[1] > LONGEST or h[2] < 1 or h[2] > 1 << 28 for h in heads):
         raise ValueError("a block of token ids is damaged")
     out: list = [None] * len(coded)
+    sizes = [h[1] for h in heads]
     for alphabet in {h[2] for h in heads}:
-        order = sorted((i for i, h in enumerate(heads) if h[2] == alphabet), key=lambda i: -heads[i][1])
+        order = sorted((i for i, h in enumerate(heads) if h[2] == alphabet), key=lambda i: -sizes[i])
         classes = Classes(alphabet)
-        for i in range(0, len(order), LANES):
-            lot = order[i:i + LANES]
-            for k, ids in zip(lot, _decode([coded[k] for k in lot], [heads[k][1] for k in lot], classes)):
+        for lot in _lots(order, sizes, classes):
+            for k, ids in zip(lot, _decode([coded[k] for k in lot], [sizes[k] for k in lot], classes)):
                 if zlib.crc32(ids.astype("<u4").tobytes(), alphabet) != heads[k][3]:
                     raise ValueError("a block of token ids is damaged")
                 out[k] = ids
     return out
 
 
+def _lane_words(coded: list[bytes], lot: Lot) -> np.ndarray:
+    """Rows of the words of each lane, with room to spare."""
+    begins, used, flat, base = np.empty(len(lot.block), np.int64), np.empty(len(lot.block), np.int64), [], 0
+    for c, own in zip(coded, lot.own):
+        both = np.frombuffer(c, "<u2", offset=HEADER.size, count=(len(c) - HEADER.size) // 2)
+        if len(both) < len(own) or len(both) - len(own) != int(both[:len(own)].sum(dtype=np.int64)):
+            raise ValueError("a block of token ids is damaged")
+        used[own] = both[:len(own)]
+        begins[own] = base + np.cumsum(used[own]) - used[own]
+        flat.append(both[len(own):])
+        base += len(flat[-1])
+    width = int(used.max()) + 8
+    flat = np.concatenate([*flat, np.zeros(width, np.uint16)])
+    rows = flat[begins[:, None] + np.arange(width)]
+    rows[np.arange(width) >= used[:, None]] = 0
+    return rows
+
+
 def _decode(coded: list[bytes], sizes: list[int], classes: Classes) -> list[np.ndarray]:
-    longest, lanes = max(sizes), len(coded)
-    words = [np.frombuffer(c, "<u2", offset=HEADER.size, count=(len(c) - HEADER.size) // 2) for c in coded]
-    room = max(map(len, words)) + 8
-    source = np.zeros((lanes, room), np.uint16)
-    for k, w in enumerate(words):
-        source[k, :len(w)] = w
+    lot = Lot(sizes)
+    lanes, steps, live = len(lot.block), lot.steps, lot.live
+    source = _lane_words(coded, lot)
+    room = source.shape[1]
     code = source[:, :3].astype(np.uint64) @ np.array([1 << 32, 1 << 16, 1], np.uint64)
     source = source.ravel()
-    model = Model(lanes, classes)
     got = np.arange(lanes) * room + 3
+    model = Model(lot, classes)
     width = np.full(lanes, (1 << 48) - 1, np.uint64)
-    ids = np.zeros((longest, lanes), np.int32)
-    live = np.searchsorted(-np.array(sizes), -np.arange(longest), side="left")
-    one, alphabet = np.uint64(1), len(classes.of)
-    for t in range(longest):
-        n = int(live[t])
-        model.predict(t, n)
-        c, w = code[:n], width[:n]
-        first = (w >> UNIT) * model.share_two.astype(np.uint64)
-        hit_two = c < first
-        c -= np.where(hit_two, 0, first).astype(np.uint64)
-        w[:] = np.where(hit_two, first, w - first)
-        second = np.where(hit_two | model.same, 0, (w >> UNIT) * model.share_one.astype(np.uint64)).astype(np.uint64)
-        hit_one = c < second
-        c -= np.where(hit_one, 0, second).astype(np.uint64)
-        w[:] = np.where(hit_one, second, w - second)
-        at = np.flatnonzero(w <= LOW)
-        if len(at):
-            c[at] = c[at] << WORD | source.take(got[at], mode="clip")
-            got[at] += 1
-            w[at] = np.maximum(w[at], one) << WORD
-        now = np.where(hit_two, model.id_two, model.id_one)
-        literal = np.flatnonzero(~(hit_two | hit_one))
-        cc, ww = c[literal], w[literal]
-        unit = ww >> UNIT
-        mark = np.minimum(cc // unit, TOP).astype(np.int32)
-        sums = model.sums[literal]
-        cls = (sums[:, 1:-1] <= mark[:, None]).sum(axis=1)
-        lane = np.arange(len(literal))
-        below = sums[lane, cls]
-        cc -= unit * below.astype(np.uint64)
-        bits = classes.bits[cls]
-        ww = np.maximum(unit * (sums[lane, cls + 1] - below).astype(np.uint64) >> bits, one)
-        place = np.minimum(cc // ww, (one << bits) - one)
-        cc -= ww * place
-        found = np.minimum(classes.start[cls] + place.astype(np.int64), alphabet)  # a damaged block must not leave the tables
-        now[literal] = found
-        for _ in range(2):
-            short = np.flatnonzero(ww <= LOW)
-            if not len(short):
-                break
-            at = literal[short]
-            cc[short] = cc[short] << WORD | source.take(got[at], mode="clip")
-            got[at] += 1
-            ww[short] <<= WORD
-        c[literal], w[literal] = cc, ww
-        now = np.clip(now, 1, alphabet)
-        ids[t, :n] = now
-        model.update(now, hit_two, hit_one, literal, cls)
-    return [ids[:n, k].astype(np.int64) - 1 for k, n in enumerate(sizes)]
+    grid = np.zeros((steps + 2, lanes), np.int32)
+    one, alphabet = np.uint64(1), classes.alphabet
+
+    def lengthen(at):
+        """Read words for the lanes `at`, whose widths are LOW or less, until all are above it."""
+        while len(at):
+            place, w = got[at], width[at] << WORD
+            code[at] = code[at] << WORD | source.take(place, mode="clip")
+            got[at] = place + 1
+            width[at] = w
+            at = at[w <= LOW]
+
+    t = 0
+    for upto in lot.rounds:
+        held = []
+        for t in range(t, upto):
+            n = int(live[t])
+            at_one, at_two = model.keys(grid[t + 1, :n].view(np.uint32), grid[t, :n].view(np.uint32), slice(n))
+            v_one, v_two = model.one.take(at_one, mode="clip"), model.two.take(at_two, mode="clip")
+            state = model.state(v_one, v_two, model.base_state[:n])
+            c, w = code[:n], width[:n]
+            unit = w >> UNIT_MIX
+            second = model.start_zero.take(state, mode="clip")
+            second *= unit
+            # Lanes whose id another order names, set apart; order 0 is worked out for every lane.
+            known = np.flatnonzero(c < second)
+            state_known, c_known, end = state[known], c[known], second[known]
+            first = model.start_one[state_known] * unit[known]
+            by_one = c_known >= first
+            w_known = np.where(by_one, end - first, first) >> UNIT_ZERO << UNIT_ZERO
+            c_known -= first * by_one
+            id_known = np.where(by_one, v_one[known], v_two[known]) >> 2
+            c -= second
+            unit <<= UNIT_MIX
+            unit -= second
+            unit >>= UNIT_ZERO
+            mark = c // unit
+            np.minimum(mark, TOP, out=mark)
+            mark = mark.view(np.int64)
+            mark += model.base_slot[:n]
+            now = model.slots.take(mark, mode="clip")
+            place = now + model.base_zero[:n]
+            share = model.zero.take(place, mode="clip")
+            c -= unit * (share >> 15)
+            np.multiply(unit, share & 32767, out=w)
+            now += 1
+            c[known], w[known] = c_known, w_known
+            now[known] = np.maximum(id_known, 1)  # a damaged block must not leave the tables
+            unmet = np.flatnonzero(now > alphabet)
+            lengthen(np.flatnonzero(w <= LOW))
+            others = unmet
+            if len(unmet):
+                cls = now[unmet] - (alphabet + 1)
+                bits = classes.bits[cls]
+                ww = w[unmet] >> bits
+                inner = np.minimum(c[unmet] // ww, (one << bits) - one)
+                c[unmet] -= ww * inner
+                w[unmet] = ww
+                now[unmet] = np.minimum(classes.start[cls] + inner.astype(np.int64), alphabet)
+                lengthen(unmet[ww <= LOW])
+                others = model.base_zero[unmet] + now[unmet] - 1
+            grid[t + 2, :n] = now
+            if upto <= lot.counted:
+                state *= 3
+                state += 2
+                state[known] = 3 * state_known + by_one
+                left = np.ones(n, bool)
+                left[known] = False
+                model.seen_mixed.append(state)
+                model.seen_zero += [place[left], others]
+            held.append((at_one, at_two, v_one, v_two, now))
+        t = upto
+        if upto < steps:
+            at_one, at_two, v_one, v_two, now = map(np.concatenate, zip(*held))
+            fresh = now << 2 | 1
+            model.learn(model.one, at_one, v_one, v_one >> 2 == now, fresh)
+            model.learn(model.two, at_two, v_two, v_two >> 2 == now, fresh)
+        if t in lot.renewals:
+            model.renew(t)
+    rows = np.ascontiguousarray(grid[2:].T)
+    return [rows[own, :lot.length[own[0]]].ravel()[:n].astype(np.int64) - 1 for own, n in zip(lot.own, sizes)]

@@ -3,41 +3,184 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from functools import cached_property
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, rangecoder
-from tidemark.llm.common import as_bytes, slices
+from tidemark.llm.common import gather_runs, slices
 from tidemark.session import scratch_path
 
-BLOCK = 2048  # ids; short blocks give the coder many lanes
+BLOCK = 1 << 16  # ids
+HELD = 32  # blocks that are coded or decoded at once
+CALL = 1000  # pieces in a call of the library
+KNOWN = 800_000  # words and pieces that a worker remembers
+# The pattern of bpe.PIECE for words in normal form, between line feeds, of characters below U+0530 (Latin to Cyrillic).
+EXOTIC = re.compile(r"[\u0530-\U0010ffff]|<\|")
+PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\n\x85\xa0]|_)+|\n")
+# The same for bytes: kinds of ASCII; ODD are those that may start a contraction or a special token, and all beyond ASCII.
+SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
+KIND = np.array([SPACE if b in b" \t\n\v\f\r" else ODD if b > 127 or b in b"'<" else LETTER if bytes([b]).isalpha() else
+                 DIGIT if bytes([b]).isdigit() else OTHER for b in range(256)], np.uint8)
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 PART_BYTES = 256 << 20  # of text in a part at most, or the shuffle's number of parts where that is more
 PREFIX = 32
 PIECES = "array<struct<ordinal:long,key:{key},n:int>>"
 
 
-class LibraryEncoder(bpe.Encoder):
-    """Encodes each word that is new to a worker with the tokenizers library, and looks up the others."""
+class LibraryPieces:
+    """Encodes each piece that is new to a worker with the tokenizers library, and looks up the others."""
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.library = Tokenizer.from_str(text)
+        self.text, self.library = text, Tokenizer.from_str(text)
         self.library.no_truncation()
         self.library.no_padding()
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
+        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.size = max(vocab.values()) + 1
+        # The model ends each piece with a token of its suffix, so many pieces can go in one call.
+        suffix = self.library.model.end_of_word_suffix
+        if not suffix:
+            raise ValueError("pieces are told apart by the suffix of their last token; the tokenizer file names none")
+        self.last = np.zeros(self.size, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.library.model._resize_cache(0)  # every piece comes once
+        self.library.normalizer = None
+        self.library.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.chars = {b: ord(c) for b, c in enumerate(bpe.byte_symbols())}
+        self.chars[ord("\n")] = ord(" ")
         self.forget()
 
-    def learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.append(np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths)
+    def forget(self) -> None:
+        self.index, self.runs = {}, bpe.Runs()
+
+    @cached_property
+    def whole(self):
+        """The library with all of its steps, for words that it cuts itself."""
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_str(self.text)
+        whole.no_truncation()
+        whole.no_padding()
+        return whole
+
+    def call(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of non-empty pieces, which hold no line feed, in one array, and the number of ids of each."""
+        ids, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), CALL):
+            some = pieces[i:i + CALL]
+            joined = "\n".join(some).encode().decode("latin-1").translate(self.chars)
+            ids.append(np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32))
+            lengths.append(np.diff(np.flatnonzero(self.last[ids[-1]]), prepend=-1))
+            if len(lengths[-1]) != len(some) or lengths[-1].sum() != len(ids[-1]):
+                raise ValueError("the tokens of a piece do not end with the suffix")
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Like `call`, but only pieces that are new reach the library."""
+        at, new = numbered(self.index, pieces, self.runs)
+        self.runs.append_at(new, len(pieces), *self.call([pieces[i] for i in new]))
+        return self.runs.take(at)
+
+
+def numbered(index: dict, keys: list, runs: bpe.Runs) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each key, for a new one its place after the runs so far; and the places of new keys among the keys."""
+    known = len(runs.starts)
+    at = np.fromiter(map(index.setdefault, keys, count(known)), np.int64, len(keys))
+    return at, np.flatnonzero(at == known + np.arange(len(keys)))
+
+
+def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of texts that hold no NULL, one after the other, and the number of pieces of each.
+
+    Words without odd characters are cut into lower-case runs of letters, single
+    digits and runs of others, as the tokenizer's pattern does; others stay whole.
+    """
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets -= offsets[0]
+    if not len(raw):
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    kind = KIND.take(raw)
+    solid = kind != SPACE
+    opens = np.ones(len(raw) + 1, bool)  # of words
+    np.logical_not(solid[:-1], out=opens[1:-1])
+    opens[offsets] = True
+    opens = opens[:-1][solid]
+    data, kind = raw[solid], kind[solid]
+    if not len(data):
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    starts = np.flatnonzero(opens)
+    whole = np.repeat(np.maximum.reduceat(kind, starts) == ODD, np.diff(starts, append=len(data)))
+    inner = kind == DIGIT
+    inner[1:] |= kind[1:] != kind[:-1]
+    opens |= inner & ~whole
+    starts = np.flatnonzero(opens)
+    data = np.where(whole, data, LOWER.take(data))
+    ends = np.append(starts, len(data)).astype(np.int32)
+    pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data))
+    solid[solid] = opens  # now the places where pieces start
+    return pieces, np.diff(np.searchsorted(np.flatnonzero(solid), offsets))
+
+
+class LibraryEncoder(bpe.Encoder):
+    """Encodes each piece, or word with odd characters, that is new to a worker with the tokenizers library, and looks up the others."""
+
+    def make_merges(self, text: str) -> LibraryPieces:
+        return LibraryPieces(text)
+
+    def forget(self) -> None:
+        self.index, self.runs = {}, bpe.Runs()
+        self.merges.forget()
+
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that hold no ASCII white space in one array, and the number of ids of each; the library cuts exotic ones."""
+        odd = np.array([bool(EXOTIC.search(w)) for w in words], bool)
+        order = np.argsort(odd, kind="stable")
+        n = len(words) - int(odd.sum())
+        ids, lengths = self.joined(PLAIN.findall(self.normal("\n".join([words[i] for i in order[:n]]))), n)
+        if n < len(words):
+            found = [e.ids for e in self.merges.whole.encode_batch_fast([words[i] for i in order[n:]], add_special_tokens=False)]
+            ids = np.concatenate([ids, *(np.array(x, np.int32) for x in found)])
+            lengths = np.append(lengths, list(map(len, found)))
+        return in_order(ids, lengths, order)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and the number of ids of each; NULL has none."""
+        if len(self.index) > KNOWN:
+            self.forget()
+        pieces, counts = cut_texts(pc.fill_null(texts.cast(pa.string()), ""))
+        pieces = pieces.dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at, new = numbered(self.index, distinct, self.runs)
+        fresh = [distinct[i] for i in new]
+        odd = np.array([not w.isascii() or "'" in w or "<" in w for w in fresh], bool)
+        order = np.argsort(odd, kind="stable")
+        n = len(fresh) - int(odd.sum())
+        some, others = self.merges.call([fresh[i] for i in order[:n]]), self.ids_of([fresh[i] for i in order[n:]])
+        self.runs.append_at(new, len(distinct), *in_order(*map(np.concatenate, zip(some, others)), order))
+        ids, lengths = self.runs.take(at[pieces.indices.to_numpy()])
+        return ids, np.diff(np.append(0, np.cumsum(lengths))[np.cumsum(counts)], prepend=0)
+
+    def encode_batch(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        return self.encode_column(pa.array(texts, pa.binary()))
+
+
+def in_order(ids: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ids that lie in an order, and their lengths, put back."""
+    back = np.argsort(order, kind="stable")
+    return gather_runs(ids, (np.cumsum(lengths) - lengths)[back], lengths[back]), lengths[back]
 
 
 class Cutter:
@@ -47,19 +190,22 @@ class Cutter:
         self.ids, self.pieces, self.held = [], [], 0
         self.ordinal = self.block = self.start = 0
 
-    def add(self, key, ids: np.ndarray) -> None:
+    def add(self, keys: list, ids: np.ndarray, lengths: np.ndarray) -> None:
         self.ids.append(ids)
-        self.pieces.append((self.ordinal, key, len(ids)))
+        self.pieces += zip(range(self.ordinal, self.ordinal + len(keys)), keys, lengths.tolist())
         self.held += len(ids)
-        self.ordinal += 1
+        self.ordinal += len(keys)
 
-    def take(self, all_of_it: bool) -> list[tuple[int, int, np.ndarray, list]]:
-        """(block, start, ids, pieces) of the full blocks, at the end also of the last."""
+    def take(self, blocks: int | None = None) -> list[tuple[int, int, np.ndarray, list]]:
+        """(block, start, ids, pieces) of the next full blocks, or of all that is left, where the last two are halves of their ids."""
         flat = np.concatenate(self.ids) if self.ids else np.empty(0, np.int32)
-        upto = len(flat) if all_of_it else len(flat) // BLOCK * BLOCK
+        upto = len(flat) if blocks is None else blocks * BLOCK
+        edges = [*range(0, upto, BLOCK), upto]
+        if blocks is None and len(edges) > 2:
+            edges[-2] = (edges[-3] + upto) // 2  # a short block has few lanes
         out, pieces, i, left = [], self.pieces, 0, self.pieces[0][2] if self.pieces else 0
-        for a in range(0, upto, BLOCK):
-            part = flat[a:min(a + BLOCK, upto)]
+        for a, b in zip(edges, edges[1:]):
+            part = flat[a:b]
             room, own = len(part), []
             while room:
                 n = min(left, room)
@@ -101,7 +247,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
 
     def run(batches):
         coder, cutter = bpe.encoder(shared.value, LibraryEncoder), Cutter()
-        alphabet, part_id = max(coder.size, end_id + 1), TaskContext.get().partitionId()
+        alphabet, part_id = max(coder.merges.size, end_id + 1), TaskContext.get().partitionId()
 
         def coded(lot):
             payloads = rangecoder.encode_blocks([b[2] for b in lot], alphabet)
@@ -116,16 +262,13 @@ def write(docs: DataFrame, vocabulary: str, end_id: int, path: str | None = None
                 piece = pa.struct([("ordinal", pa.int64()), ("key", batch.schema.field("key").type), ("n", pa.int32())])
                 arrow = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("start", pa.int64()), ("n_ids", pa.int32()),
                                    ("payload", pa.binary()), ("pieces", pa.list_(piece))])
-            for some in slices(batch, "text", bpe.SLICE):
-                ids, n = coder.encode_batch(as_bytes(some.column("text")))
-                cuts = np.cumsum(n)
-                for k, own in zip(some.column("key").to_pylist(), np.split(ids, cuts[:-1])):
-                    cutter.add(k, np.append(own, np.int32(end_id)))
-                if cutter.held >= rangecoder.LANES * BLOCK:
-                    yield coded(cutter.take(False))
-        coder.forget()
+            for some in slices(batch, "text"):
+                ids, n = coder.encode_column(some.column("text"))
+                cutter.add(some.column("key").to_pylist(), np.insert(ids, np.cumsum(n), end_id), n + 1)
+                while cutter.held >= (HELD + 2) * BLOCK:
+                    yield coded(cutter.take(HELD))
         if cutter.held:
-            yield coded(cutter.take(True))
+            yield coded(cutter.take())
 
     ordered.mapInArrow(run, schema).write.parquet(path)
     return path
@@ -145,8 +288,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def _decoder(rows_of):
     def run(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, rangecoder.LANES):
-                some = batch.slice(i, rangecoder.LANES)
+            for i in range(0, batch.num_rows, HELD):
+                some = batch.slice(i, HELD)
                 blocks = rangecoder.decode_blocks(some.column("payload").to_pylist())
                 names = ["part", "block", "start", "pieces"]
                 yield rows_of(zip(*[some.column(c).to_pylist() for c in names], blocks), some.schema)
