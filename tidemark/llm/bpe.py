@@ -151,12 +151,6 @@ class Runs:
         self.lengths = np.append(self.lengths, lengths)
         self.used += len(ids)
 
-    def append_at(self, places: np.ndarray, count: int, ids: np.ndarray, lengths: np.ndarray) -> None:
-        """Append `count` runs, all empty but those at the places."""
-        every = np.zeros(count, np.int64)
-        every[places] = lengths
-        self.append(ids, every)
-
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the runs `at` in one array, and the number of ids of each."""
         lengths = self.lengths[at]

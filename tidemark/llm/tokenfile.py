@@ -6,7 +6,7 @@ import os
 import re
 import zlib
 from functools import cached_property
-from itertools import count
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from tidemark.session import scratch_path
 BLOCK = 1 << 16  # ids
 HELD = 32  # blocks that are coded or decoded at once
 CALL = 1000  # pieces in a call of the library
-KNOWN = 800_000  # words and pieces that a worker remembers
+KNOWN, KNOWN_IDS = 800_000, 8_000_000  # words and pieces that a worker remembers, and ids of them
 # The pattern of bpe.PIECE for words in normal form, between line feeds, of characters below U+0530 (Latin to Cyrillic).
 EXOTIC = re.compile(r"[\u0530-\U0010ffff]|<\|")
 PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\n\x85\xa0]|_)+|\n")
@@ -89,16 +89,19 @@ class LibraryPieces:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Like `call`, but only pieces that are new reach the library."""
-        at, new = numbered(self.index, pieces, self.runs)
-        self.runs.append_at(new, len(pieces), *self.call([pieces[i] for i in new]))
-        return self.runs.take(at)
+        distinct = list(dict.fromkeys(pieces))
+        _, new = numbered(self.index, distinct)
+        self.runs.append(*self.call([distinct[i] for i in new]))
+        return self.runs.take(np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces)))
 
 
-def numbered(index: dict, keys: list, runs: bpe.Runs) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each key, for a new one its place after the runs so far; and the places of new keys among the keys."""
-    known = len(runs.starts)
-    at = np.fromiter(map(index.setdefault, keys, count(known)), np.int64, len(keys))
-    return at, np.flatnonzero(at == known + np.arange(len(keys)))
+def numbered(index: dict, keys: list) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each key, which all differ, and the places of those that are new; their numbers follow on."""
+    at = np.fromiter(map(index.get, keys, repeat(-1)), np.int64, len(keys))
+    new = np.flatnonzero(at < 0)
+    at[new] = np.arange(len(index), len(index) + len(new))
+    index.update(zip([keys[i] for i in new], at[new].tolist()))
+    return at, new
 
 
 def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -158,18 +161,18 @@ class LibraryEncoder(bpe.Encoder):
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the number of ids of each; NULL has none."""
-        if len(self.index) > KNOWN:
+        if len(self.index) > KNOWN or self.runs.used > KNOWN_IDS:
             self.forget()
         pieces, counts = cut_texts(pc.fill_null(texts.cast(pa.string()), ""))
         pieces = pieces.dictionary_encode()
         distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
-        at, new = numbered(self.index, distinct, self.runs)
+        at, new = numbered(self.index, distinct)
         fresh = [distinct[i] for i in new]
         odd = np.array([not w.isascii() or "'" in w or "<" in w for w in fresh], bool)
         order = np.argsort(odd, kind="stable")
         n = len(fresh) - int(odd.sum())
         some, others = self.merges.call([fresh[i] for i in order[:n]]), self.ids_of([fresh[i] for i in order[n:]])
-        self.runs.append_at(new, len(distinct), *in_order(*map(np.concatenate, zip(some, others)), order))
+        self.runs.append(*in_order(*map(np.concatenate, zip(some, others)), order))
         ids, lengths = self.runs.take(at[pieces.indices.to_numpy()])
         return ids, np.diff(np.append(0, np.cumsum(lengths))[np.cumsum(counts)], prepend=0)
 
